@@ -77,4 +77,45 @@ SELECT w.doc_id, w.digest, k.license_id, coalesce(n.notices, '') AS notices, coa
 FROM w LEFT JOIN k USING (digest) LEFT JOIN n ON n.doc_id = w.doc_id"""
 
 
-ORACLE_SQL: dict[str, str] = {"op3_secret_scan": _secrets(), "op6_mixing": _MIX, "op7_license_scan": _licenses()}
+
+_JACCARD = f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{W}') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE
+  list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM d),
+t AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM t a JOIN t b ON a.g = b.g AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n) GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN s x ON x.doc_id = a JOIN s y ON y.doc_id = b WHERE 100 * both >= 90 * (len(x.s) + len(y.s) - both)),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r AS (SELECT doc_id AS node, doc_id AS seen FROM d UNION SELECT r.node, e.b FROM r JOIN e ON e.a = r.seen)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, c.component_id FROM s JOIN (SELECT node, min(seen) AS component_id FROM r GROUP BY 1) c ON c.node = s.doc_id"""
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_QUALITY = rf"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, unnest(x) AS w, generate_subscripts(x, 1) AS i FROM (SELECT doc_id, regexp_extract_all(t, '{W}') AS x FROM d)),
+g AS (SELECT *, lead(w) OVER o AS w2, lead(w, 2) OVER o AS w3 FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+c AS (SELECT *, w3 IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, w, w2, w3) > 1 AS twice FROM g),
+k AS (SELECT *, twice OR coalesce(lag(twice) OVER o, false) OR coalesce(lag(twice, 2) OVER o, false) AS hit FROM c WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+ws AS (SELECT doc_id, count(*) AS n_words, CAST(sum(length(w)) AS BIGINT) AS word_chars, count(*) FILTER (hit) AS n_repeat_words FROM k GROUP BY doc_id),
+l AS (SELECT doc_id, source, unnest(string_split(t, chr(10))) AS line FROM d),
+dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM l WHERE regexp_matches(line, '{W}') GROUP BY doc_id),
+f AS (SELECT doc_id, source, regexp_extract_all(regexp_replace(regexp_replace(translate(line, '{_UPPER}', '{_LOWER}'), '[0-9]', '0', 'g'), '[!-/:-@\[-`{{-~]', ' ', 'g'), '{W}') AS x FROM l),
+n AS (SELECT doc_id, source, array_to_string(x, ' ') AS form, sum(len(x)) AS n FROM f WHERE len(x) > 0 GROUP BY 1, 2, 3),
+h AS (SELECT source, count(*) AS docs FROM d GROUP BY source),
+common AS (SELECT n.source, form FROM n JOIN h ON h.source IS NOT DISTINCT FROM n.source GROUP BY n.source, form, h.docs HAVING count(*) > 10 AND count(*) > h.docs * 0.02::DOUBLE),
+gone AS (SELECT n.doc_id, CAST(sum(n.n) AS BIGINT) AS removed FROM n JOIN common c ON c.form = n.form AND c.source IS NOT DISTINCT FROM n.source GROUP BY 1),
+total AS (SELECT doc_id, sum(n) AS total FROM n GROUP BY 1),
+a AS (SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars,
+  CAST(len(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+  coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(removed, 0) AS removed_words, coalesce(total, 0) AS total
+  FROM d LEFT JOIN ws USING (doc_id) LEFT JOIN dup USING (doc_id) LEFT JOIN gone USING (doc_id) LEFT JOIN total USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, removed_words,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND NOT (removed_words > 0 AND (total - removed_words < 50 OR total - removed_words < total * 0.5::DOUBLE)) AS kept FROM a"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_jaccard_join": _JACCARD,
+    "op3_secret_scan": _secrets(),
+    "op6_mixing": _MIX,
+    "op7_license_scan": _licenses(),
+    "op9_quality_rules": _QUALITY,
+}

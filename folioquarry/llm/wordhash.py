@@ -46,11 +46,11 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of ``data[starts[i]:ends[i]]`` for each i; equal bytes give equal hashes."""
-    powers, inverses = _powers(len(data) + 1)
-    sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[: len(data)], out=sums[1:])
+def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of the sequence ``values[starts[i]:ends[i]]`` for each i; equal sequences of bytes or of hashes give equal hashes."""
+    powers, inverses = _powers(len(values) + 1)
+    sums = np.zeros(len(values) + 1, dtype=np.uint64)
+    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * powers[: len(values)], out=sums[1:])
     h = (sums[ends] - sums[starts]) * inverses[starts]
     return mix(h + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
