@@ -27,6 +27,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import small, written
 from .wordhash import SEPARATOR, blocks, byte_rows, runs, span_hashes
@@ -187,7 +188,7 @@ def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     )
 
 
-@F.pandas_udf("struct<text: string, removed: bigint>")
+@F.pandas_udf(T.StructType().add("text", T.StringType()).add("removed", T.LongType()))
 def _without(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.DataFrame:
     kept, removed = [], []
     for text, a, b in zip(texts, starts, ends, strict=True):
