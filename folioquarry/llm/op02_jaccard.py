@@ -68,7 +68,7 @@ def part_digests(tokens: np.ndarray, percent: int, level_least: np.ndarray) -> n
         if level < 0:
             continue
         k = parts_of(level_least, level, percent)
-        step = np.uint64((1 << 64) // k)
+        step = np.uint64(((1 << 64) - 1) // k)
         cuts = np.searchsorted(tokens, np.arange(1, k, dtype=np.uint64) * step)
         at = np.concatenate(([0], cuts, [n]))
         digest = sums[at[1:]] - sums[at[:-1]]
