@@ -83,8 +83,8 @@ WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text,
 s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE
   list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM d),
 t AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
-p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM t a JOIN t b ON a.g = b.g AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n) GROUP BY 1, 2),
-l AS (SELECT a, b FROM p JOIN s x ON x.doc_id = a JOIN s y ON y.doc_id = b WHERE 100 * both >= 90 * (len(x.s) + len(y.s) - both)),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM t a JOIN t b ON a.g = b.g AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n) GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN s x ON x.doc_id = a JOIN s y ON y.doc_id = b WHERE 100 * common >= 90 * (len(x.s) + len(y.s) - common)),
 e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
 r AS (SELECT doc_id AS node, doc_id AS seen FROM d UNION SELECT r.node, e.b FROM r JOIN e ON e.a = r.seen)
 SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, c.component_id FROM s JOIN (SELECT node, min(seen) AS component_id FROM r GROUP BY 1) c ON c.node = s.doc_id"""
