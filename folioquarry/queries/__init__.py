@@ -1,2 +1,6 @@
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+"""Every query by name, with the SQL that checks it where SQL can say the same."""
+
+from . import coerce, layout, pages, reports
+
+QUERIES = layout.QUERIES | pages.QUERIES | reports.QUERIES | coerce.QUERIES
+ORACLE_SQL = layout.ORACLE_SQL | pages.ORACLE_SQL | reports.ORACLE_SQL | coerce.ORACLE_SQL

@@ -98,7 +98,7 @@ def find_inputs(wanted: DataFrame, files: DataFrame, suffixes: tuple[str, ...] =
 
 def gpu_inventory(lines: DataFrame, column: str = "line") -> DataFrame:
     """(index, uuid, total_mib, used_mib, free_mib) of comma-separated lines; malformed ones are skipped."""
-    parts = F.transform(F.split(column, ","), F.trim)
+    parts = F.transform(F.split(column, ","), lambda x: F.trim(x))
     rows = lines.where(F.size(parts) >= 4).select(
         parts[0].try_cast("int").alias("index"), parts[1].alias("uuid"), parts[2].try_cast("int").alias("total_mib"), parts[3].try_cast("int").alias("used_mib"),
     )
