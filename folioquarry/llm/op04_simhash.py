@@ -11,7 +11,7 @@ into ``radius + spare`` blocks, and fingerprints that differ in at most ``radius
 least ``spare`` whole blocks; each choice of ``spare`` blocks is a table keyed by those blocks.
 
 Defined results: a null text counts as empty; an empty text has fingerprint 0; equal texts have
-equal fingerprints; rows with a null id have no neighbours and are their own row in the result.
+equal fingerprints; rows with a null id have no neighbours and are their own row in the result; repeated rows get a row each.
 """
 
 from __future__ import annotations
@@ -58,8 +58,9 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def next_document(docs: DataFrame) -> DataFrame:
-    """doc_id, text, next_id, next_text: the next row in descending id, after the last the first.
+    """doc_id, text, place, next_id, next_text: the next row in descending id, after the last the first.
 
+    ``place`` tells repeated rows apart.
     Ids are cut at quantiles into ranges of about ``RANGE_BYTES`` of text; a range is one window
     partition. The id at a cut is also dealt to the range above as its end, so no range has to look
     into another, and no window runs over the whole table.
@@ -84,12 +85,11 @@ def next_document(docs: DataFrame) -> DataFrame:
     dealt = texts.where("doc_id is not null").select("*", F.explode(F.array_compact(F.array(here, above, around))).alias("at"))
     window = Window.partitionBy("at.part").orderBy(F.when(F.col("at.end") == 2, 1).otherwise(0), F.col("doc_id").desc(), F.xxhash64("text"))
     linked = dealt.select(
-        "doc_id", "text", "at",
+        "doc_id", "text", "at", F.row_number().over(window).cast("long").alias("place"),
         F.lead("doc_id").over(window).alias("next_id"), F.lead("text").over(window).alias("next_text"),
     )
-    return linked.where("at.end = 0").drop("at").unionByName(
-        texts.where("doc_id is null").select("doc_id", "text", F.col("doc_id").alias("next_id"), F.lit("").alias("next_text"))
-    )
+    alone = texts.where("doc_id is null").select("doc_id", "text", F.monotonically_increasing_id().alias("place"), F.col("doc_id").alias("next_id"), F.lit("").alias("next_text"))
+    return linked.where("at.end = 0").drop("at").unionByName(alone)
 
 
 def near_pairs(prints: DataFrame, radius: int = 3, spare: int = 3) -> DataFrame:
@@ -120,24 +120,25 @@ def near_pairs(prints: DataFrame, radius: int = 3, spare: int = 3) -> DataFrame:
 def edited_fingerprints(docs: DataFrame) -> DataFrame:
     """The rows of query op4: fingerprints of every text and of its edited text, and their likeness.
 
-    Rows equal in id and text give one row. A row without a next document (null id) is edited with
-    nothing and has near_next 0.
+    A row without a next document (null id) is edited with nothing and has near_next 0.
     """
     linked = next_document(docs)
     n = F.char_length("text")
     cut = F.floor(n / 3).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - cut), F.substring(F.col("next_text"), F.lit(1), cut))
     versions = F.array(F.struct(F.lit(0).alias("v"), F.col("text").alias("t")), F.struct(F.lit(1).alias("v"), edited.alias("t")))
-    key = ["doc_id", "next_id", "n_chars", "text_hash"]
-    both = linked.select("doc_id", "next_id", n.cast("long").alias("n_chars"), F.xxhash64("text").alias("text_hash"), F.explode(versions).alias("x"))
+    key = ["doc_id", "place", "next_id", "n_chars", "text_hash", "next_hash"]
+    both = linked.select(
+        "doc_id", "place", "next_id", n.cast("long").alias("n_chars"), F.xxhash64("text").alias("text_hash"), F.xxhash64("next_text").alias("next_hash"), F.explode(versions).alias("x")
+    )
     both = both.select(*key, "x.v", F.when(F.col("x.v") == 1, F.sha2("x.t", 256)).alias("sha"), "x.t")
     prints = fingerprints(both, [*key, "v", "sha"], "t", "fp")
     rows = written(prints.groupBy(*key).agg(
         F.max("sha").alias("edited_sha256"), F.max(F.when(F.col("v") == 0, F.col("fp"))).alias("fp"), F.max(F.when(F.col("v") == 1, F.col("fp"))).alias("edited_fp"),
     ))
-    following = rows.where("doc_id is not null").groupBy(F.col("doc_id").alias("next_id")).agg(F.min("fp").alias("next_fp"))
+    following = rows.where("doc_id is not null").groupBy(F.col("doc_id").alias("next_id"), F.col("text_hash").alias("next_hash")).agg(F.min("fp").alias("next_fp"))
     as_text = lambda c: F.lower(F.lpad(F.hex(c), 16, "0"))
-    return rows.join(following, "next_id", "left").select(
+    return rows.join(following, ["next_id", "next_hash"], "left").select(
         "doc_id", "n_chars", "edited_sha256", as_text("fp").alias("fingerprint"), as_text("edited_fp").alias("edited_fingerprint"),
         likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"), F.coalesce(likeness(F.col("fp"), F.col("next_fp")), F.lit(0.0)).alias("near_next"),
     )

@@ -400,14 +400,14 @@ def encode(docs: DataFrame, model_path: str = MODEL_PATH, giant: int = GIANT, ch
     big = F.coalesce(F.char_length("text") > giant, F.lit(False))
     short = docs.where(~big).mapInArrow(_encode_short(model, names, check), schema)
     # giant texts, written once with a row number that then stays
-    large = written(docs.where(big).withColumn("_row", F.monotonically_increasing_id()))
-    chunks = written(large.select("_row", "text").mapInArrow(_chunks(model, giant), _CHUNK_SCHEMA).repartition("row", "chunk"))
+    large = written(docs.where(big).select(F.struct(*names).alias("doc"), F.monotonically_increasing_id().alias("row")))
+    chunks = written(large.select("row", "doc.text").mapInArrow(_chunks(model, giant), _CHUNK_SCHEMA).repartition("row", "chunk"))
     soft = chunks.where("soft").mapInArrow(_matrices(model), "row bigint, stretch bigint, chunk bigint, cells array<string>")
     stretches = soft.groupBy("row", "stretch").agg(F.array_sort(F.collect_list(F.struct("chunk", "cells"))).alias("chunks")).select("row", "chunks")
     states = stretches.mapInArrow(_settled, "row bigint, chunk bigint, first bigint, last bigint")
     traced = chunks.join(states, ["row", "chunk"], "left").mapInArrow(_traced(model), "row bigint, chunk bigint, ids binary")
-    whole = traced.groupBy(F.col("row").alias("_row")).agg(F.array_sort(F.collect_list(F.struct("chunk", "ids"))).alias("_ids"))
-    long = large.join(whole, "_row").select(*names, "_ids").mapInArrow(_joined_chunks(model, names, check), schema)
+    whole = traced.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("chunk", "ids"))).alias("chunks"))
+    long = large.join(whole, "row").select(*[F.col(f"doc.{n}").alias(f"c{i}") for i, n in enumerate(names)], "chunks").mapInArrow(_joined_chunks(model, names, check), schema)
     return short.unionByName(long)
 
 
@@ -425,7 +425,7 @@ def decode(encoded: DataFrame, model_path: str = MODEL_PATH) -> DataFrame:
             texts = [None if ids is None else pieces.decode(np.array(ids, dtype=np.int32)) for ids in batch.column(len(kept)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array(texts, pa.string())], names=[*kept, "text"])
 
-    return encoded.select(*kept, "ids").mapInArrow(run, encoded.select(*kept).withColumn("text", F.lit("")).schema)
+    return encoded.select(*kept, "ids").mapInArrow(run, encoded.select(*kept).withColumn("text", F.lit(None).cast("string")).schema)
 
 
 def piece_rows(docs: DataFrame, model_path: str = MODEL_PATH) -> DataFrame:

@@ -99,4 +99,4 @@ def mix(docs: DataFrame, **parameters) -> DataFrame:
         small(below).alias("p"),
         F.col("d.doc_id").eqNullSafe(F.col("p.doc_id")) & F.col("d.source").eqNullSafe(F.col("p.source")),
     )
-    return joined.where("p.times > 0").select("d.*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("p.times"))).alias("_copy")).drop("_copy")
+    return joined.where("p.times > 0").select(F.explode(F.array_repeat(F.struct("d.*"), F.col("p.times").cast("int"))).alias("row")).select("row.*")

@@ -206,9 +206,10 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with later copies of repeated line runs deleted from ``text``; ``removed_lines`` has their number."""
     cuts = small(written(deletions(docs, min_words)))
     columns = [c for c in docs.columns if c != "removed_lines"]
-    keyed = docs.select(*columns, F.xxhash64("text").alias("_hash")).alias("d")
-    on = F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("d._hash") == F.col("c.text_hash"))
-    kept = keyed.join(cuts.alias("c"), on, "left_anti").select(*columns, F.lit(0).cast("bigint").alias("removed_lines"))
-    edited = keyed.join(cuts.alias("c"), on).select(*[F.col(f"d.{c}") for c in columns], _without("d.text", "c.starts", "c.ends").alias("_new"))
-    edited = edited.select(*[F.col("_new.text").alias("text") if c == "text" else c for c in columns], F.col("_new.removed").alias("removed_lines"))
+    # the row travels as one struct, so its columns cannot clash with the working ones
+    keyed = docs.select(F.struct(*columns).alias("row"), F.xxhash64("text").alias("text_hash")).alias("d")
+    on = F.col("d.row.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("d.text_hash") == F.col("c.text_hash"))
+    kept = keyed.join(cuts.alias("c"), on, "left_anti").select("row.*", F.lit(0).cast("bigint").alias("removed_lines"))
+    edited = keyed.join(cuts.alias("c"), on).select("d.row", _without("d.row.text", "c.starts", "c.ends").alias("new"))
+    edited = edited.select(*[F.col("new.text").alias("text") if c == "text" else F.col(f"row.{c}") for c in columns], F.col("new.removed").alias("removed_lines"))
     return kept.unionByName(edited)
