@@ -91,7 +91,7 @@ def test_similarity(spark):
 
 def test_denoise(spark):
     got = column(spark, T.denoise(F.col("t")), [("·Ａ１　 ｂ​ ·",), (None,), ("",)], "t string")
-    assert got == ["A1 b", None, ""]
+    assert got == ["A1 b ", None, ""]
 
 
 def test_coercion(spark):

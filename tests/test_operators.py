@@ -186,7 +186,7 @@ def test_reports(spark):
     r = report.batch_report(results).first()
     assert (r.total_files, r.success_count, r.failure_count, r.skipped_count, r.total_pages, r.total_matches, r.seconds_per_page) == (3, 2, 1, 1, 3, 3, 1.167)
     devices = spark.createDataFrame([(0, "GPU-a", 5), (1, "GPU-b", 9)], "index int, uuid string, free_mib int")
-    assert [(r.index, r.visible_index) for r in report.visible(devices, "gpu-B,0").orderBy("visible_index").collect()] == [(1, 0), (0, 1)]
+    assert [(r["index"], r["visible_index"]) for r in report.visible(devices, "gpu-B,0").orderBy("visible_index").collect()] == [(1, 0), (0, 1)]
 
 
 def test_bad_json_raises_its_code(spark):
@@ -198,8 +198,9 @@ def test_bad_json_raises_its_code(spark):
 def test_tables_merge(spark, sf_dir):
     got = QUERIES["merged_artifact_text"](spark, sf_dir)
     assert {r.origin for r in got.select("origin").distinct().collect()} <= {"kept", "replaced", "appended"}
-    again = tables.new_blocks(got, got)
-    assert again.isEmpty()
+    box = F.struct("x", "y", "w", "h")
+    again = got.select("doc_id", "page_index", "line_no", "text", box.alias("box"))
+    assert tables.new_blocks(again, again).isEmpty()
 
 
 def test_search_stream_equals_batch(spark, sf_dir, tmp_path):
