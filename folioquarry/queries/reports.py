@@ -26,11 +26,10 @@ _EVENTS = """e AS (SELECT event_id, event_type, event_type <> 'error' AS success
 
 @query(f"""WITH {_EVENTS}, t AS (SELECT event_type, count(*) AS total_files, count(*) FILTER (success) AS success_count, count(*) FILTER (NOT success) AS failure_count,
   count(*) FILTER (success AND skipped) AS skipped_count, CAST(coalesce(sum(pages) FILTER (success), 0) AS BIGINT) AS total_pages, CAST(coalesce(sum(matches) FILTER (success), 0) AS BIGINT) AS total_matches,
-  round(sum(elapsed), 2) AS elapsed_seconds FROM e GROUP BY 1)
-SELECT *, CASE WHEN total_pages > 0 THEN round(elapsed_seconds / total_pages, 2) ELSE 0.0::DOUBLE END AS seconds_per_page FROM t""")
+  round(sum(elapsed), 3) AS elapsed_seconds FROM e GROUP BY 1)
+SELECT *, CASE WHEN total_pages > 0 THEN round(elapsed_seconds / total_pages, 3) ELSE 0.0::DOUBLE END AS seconds_per_page FROM t""")
 def batch_report(spark, sf_dir):
-    totals = report.batch_report(_events(spark, sf_dir), "event_type")
-    return totals.withColumns({"elapsed_seconds": F.round("elapsed_seconds", 2), "seconds_per_page": F.round("seconds_per_page", 2)})
+    return report.batch_report(_events(spark, sf_dir), "event_type")
 
 
 @query(f"WITH {_EVENTS} SELECT event_id, pages, elapsed FROM e WHERE NOT success")
