@@ -59,3 +59,23 @@ def merge_artifact_text(blocks: DataFrame, candidates: DataFrame) -> DataFrame:
         (T.canonical_key(F.col("text")) != "") & ~F.coalesce(F.exists("keys", lambda k: T.one_holds_other(T.canonical_key(F.col("text")), k)), F.lit(False))
     )
     return updated.unionByName(fresh.select(*PAGE, (-F.col("ordinal") - 1).alias("line_no"), "text", "box", F.lit("appended").alias("origin")))
+
+
+def pages_from_models(layout: DataFrame, lines: DataFrame, marks: DataFrame) -> DataFrame:
+    """Blocks of pages from layout regions, OCR lines and seal or formula marks.
+
+    A region's text is that of the lines centred in it (each line belongs to the first region, by line_no), or its
+    own; tables are left out; lines in no region are blocks of their own; equal overlapping blocks are one; marks are
+    put on blocks or appended. ``layout``: keys, line_no, label, text, box; ``lines``: keys, line_no, text, box,
+    confidence; ``marks``: keys, ordinal, text, box.
+    """
+    from ..functions import geometry as G
+    from ..functions import text as T
+    from ..operators.spatial import PAGE, annotate, fill_cells, outside
+
+    regions = layout.where("label <> 'table'").withColumnRenamed("line_no", "cell_no")
+    filled = fill_cells(regions.select(*PAGE, "cell_no", "box"), lines.withColumn("text", T.squeeze(F.col("text"))))
+    own = regions.join(filled.select(*PAGE, "cell_no", F.col("text").alias("found")), [*PAGE, "cell_no"], "left")
+    blocks = own.select(*PAGE, F.col("cell_no").alias("line_no"), F.coalesce("found", T.squeeze(F.col("text"))).alias("text"), "box").where("text <> \'\'")
+    free = outside(lines, regions.select(*PAGE, "box"), G.center_inside).select(*PAGE, (F.col("line_no") + 1_000_000).cast("int").alias("line_no"), "text", "box")
+    return annotate(reading.dedupe_blocks(blocks.unionByName(free)), marks)

@@ -1,6 +1,6 @@
 """Every query by name, with the SQL that checks it where SQL can say the same."""
 
-from . import coerce, layout, pages, reports
+from . import coerce, layout, pages, refinement, reports
 
-QUERIES = layout.QUERIES | pages.QUERIES | reports.QUERIES | coerce.QUERIES
-ORACLE_SQL = layout.ORACLE_SQL | pages.ORACLE_SQL | reports.ORACLE_SQL | coerce.ORACLE_SQL
+QUERIES = layout.QUERIES | pages.QUERIES | refinement.QUERIES | reports.QUERIES | coerce.QUERIES
+ORACLE_SQL = layout.ORACLE_SQL | pages.ORACLE_SQL | refinement.ORACLE_SQL | reports.ORACLE_SQL | coerce.ORACLE_SQL

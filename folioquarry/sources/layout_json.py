@@ -216,7 +216,11 @@ def ocr_lines(df: DataFrame, column: str = "json") -> DataFrame:
     keep = [c for c in df.columns if c != column]
     pages = df.select(*keep, F.posexplode(must_be_list(F.col(column), "INVALID_OCR_PAGES")).alias("position", "raw")).withColumn("page", unwrap(F.col("raw")))
     o = F.coalesce(get(F.col("page"), "overall_ocr_res", "variant"), F.col("page"))
-    zipped = F.arrays_zip(get(o, "rec_texts", TEXTS).alias("text"), get(o, "rec_boxes", "array<array<double>>").alias("corners"), get(o, "rec_scores", NUMBERS).alias("score"))
+    # Polygons where there are no boxes
+    polygons = F.transform(get(o, "rec_polys", "array<array<array<double>>>"), lambda p: F.array(
+        F.array_min(F.transform(p, lambda q: q[0])), F.array_min(F.transform(p, lambda q: q[1])), F.array_max(F.transform(p, lambda q: q[0])), F.array_max(F.transform(p, lambda q: q[1]))))
+    boxes = F.coalesce(get(o, "rec_boxes", "array<array<double>>"), polygons)
+    zipped = F.arrays_zip(get(o, "rec_texts", TEXTS).alias("text"), boxes.alias("corners"), get(o, "rec_scores", NUMBERS).alias("score"))
     rows = pages.select(*keep, V.page_index(get(F.col("page"), "page_index", "int"), F.col("position")).alias("page_index"), F.posexplode(zipped).alias("ordinal", "c"))
     return rows.select(
         *keep, "page_index", "ordinal", T.squeeze(F.col("c.text")).alias("text"), G.from_corners(F.col("c.corners"), order="swap").alias("bounding_box"), F.col("c.score").alias("confidence"),
