@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,14 +34,39 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
-def written(df: DataFrame) -> DataFrame:
-    """``df`` written once as Parquet in the shared folder and read back: cuts lineage, survives lost executors."""
+#: The tables that each open ``scratch`` has to delete.
+_scratch: list[list[str]] = []
+
+
+def written(df: DataFrame, keep: bool = False) -> DataFrame:
+    """``df`` written once as Parquet in the shared folder and read back: cuts lineage, survives lost executors.
+
+    Within a ``scratch`` the table is deleted at its end; one to ``keep`` outlives it (and is the surrounding one's).
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/folioquarry/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    owners = _scratch[:-1] if keep else _scratch
+    if owners:
+        owners[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes, at its end, the tables written in it; nothing that is still to be read may depend on them."""
+    paths: list[str] = []
+    _scratch.append(paths)
+    try:
+        yield
+    finally:
+        _scratch.remove(paths)
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for path in paths:
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(conf).delete(at, True)
+
+
 def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """``df``, marked for broadcast only if it has at most ``limit`` rows; ``df`` must be cheap to count."""
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import scratch, written
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -16,6 +16,13 @@ def components(edges: DataFrame) -> DataFrame:
     path; a round sends each edge twice, minima are reduced before they shuffle, and no node's
     neighbours are gathered. Each round is written, so a lost executor costs one round at most.
     """
+    with scratch(edges.sparkSession):
+        stars = written(_stars(edges), keep=True)
+    return stars.select(F.col("b").alias("node"), F.col("a").alias("component")).union(stars.select("a", "a").distinct())
+
+
+def _stars(edges: DataFrame) -> DataFrame:
+    """Edges (a, b) from the least node of each component to its others."""
     low, high = F.least("a", "b"), F.greatest("a", "b")
     edges = written(edges.where("a <> b").select(low.alias("a"), high.alias("b")).distinct())
     while True:
@@ -32,4 +39,4 @@ def components(edges: DataFrame) -> DataFrame:
         if small.select(F.col("a").alias("n")).join(small.select(F.col("b").alias("n")), "n", "left_semi").isEmpty() and small.count() == small.select("b").distinct().count():
             break
         edges = small
-    return small.select(F.col("b").alias("node"), F.col("a").alias("component")).union(small.select("a", "a").distinct())
+    return small

@@ -4,10 +4,10 @@ A document is the set of its word shingles, hashed to 64 bits. Two documents lin
 similarity of their sets reaches ``percent``.
 
 Which documents can link. Two sets that link differ in at most d tokens, and d follows from their
-sizes. Cut the hash range into d + 1 parts: at least one part must be equal in both, so documents are
-dealt by the digests of their parts. Sizes are cut into classes such that linked sets are in one class
-or in neighbouring ones, and a document is dealt by the parts of its own class and of the one below.
-A common passage fills some parts only in part, so frequent shingles draw no one together.
+sizes. Cut the hash range into more than d parts: all but d must be equal in both, so documents are dealt
+by the digests of their d + 1 largest parts. Sizes are cut into classes such that linked sets are in one
+class or in neighbouring ones, and a document is dealt by the parts of its own class and of the one below.
+A common passage fills parts only in part, so frequent shingles draw no one together.
 
 Groups. The documents of equal parts form groups: each goes to the least document that it shares a
 part with, and groups are cut into blocks of about ``BLOCK``. A block's matrix has a row for each
@@ -18,10 +18,11 @@ opened, and then one sum over the query's columns gives its overlap with all mem
 Every document first queries the first block of each group it met. The links found join documents to
 components; the further blocks of large groups are then queried only by documents whose component is
 less, by size, than one in the block. Of two documents still apart one always queries the other's
-block, and pairs already connected are left out, so components stay exact.
+block, and pairs already connected are left out, so components stay exact. This is done for a few blocks,
+then for sixteen times as many, and so on, as most documents find their component early.
 
-Skew. Equal sets are emitted once by each task and collapse into one class; the rows of a part are
-streamed in sorted order, never gathered; a query's tokens are held one document at a time and a block's are
+Skew. Equal sets are one node, so a text of which there are many copies is dealt once; the rows of a part
+are streamed in sorted order, never gathered; a query's tokens are held one document at a time and a block's are
 bounded. Defined results: null or empty texts have an empty set and link to nothing; rows with a null
 id are their own row with a null component; rows with one id are one node.
 """
@@ -35,13 +36,15 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small, written
+from .common import scratch, small, written
 from .components import components
 from .wordhash import byte_rows, mix, shingle_hashes, word_hashes
 
 BLOCK = 64
-#: Distinct sets that a task remembers in order to emit equal ones once.
+#: Distinct sets that a task remembers in order to deal equal ones once.
 REMEMBERED = 200_000
+#: Ids (two longs at most) up to which a list of documents may be broadcast; beyond it the join shuffles.
+BROADCAST_IDS = 1_000_000
 
 
 def size_classes(percent: int, up_to: int) -> np.ndarray:
@@ -52,14 +55,24 @@ def size_classes(percent: int, up_to: int) -> np.ndarray:
     return np.array(least)
 
 
+def most_apart(size: int, percent: int) -> int:
+    """Most tokens in which a set of this size differs from one that it links to."""
+    return size * (100 - percent) // percent
+
+
 def parts_of(level_least: np.ndarray, level: int, percent: int) -> int:
-    """Parts for pairs whose smaller set is in ``level``: one more than the tokens they may differ in."""
-    most = int(level_least[level + 1]) - 1
-    return most * (100 - percent) // percent + 1
+    """Parts of a size class: three tenths more than the tokens that its sets may differ in, plus one."""
+    least = most_apart(int(level_least[level + 1]) - 1, percent) + 1
+    return least + 3 * least // 10
 
 
 def part_digests(tokens: np.ndarray, percent: int, level_least: np.ndarray) -> np.ndarray:
-    """The digests by which a sorted set is dealt, those of its own size class and of the class below."""
+    """The digests by which a sorted set is dealt, for its own size class and for the class below.
+
+    Of two sets that differ in d tokens at most d parts differ. Taken in one order of contents, largest parts
+    first, the first d + 1 parts of both therefore have one in common: the others, small or empty ones that
+    many sets share, are not dealt.
+    """
     n = len(tokens)
     own = int(np.searchsorted(level_least, n, side="right")) - 1
     sums = np.concatenate(([np.uint64(0)], np.cumsum(mix(tokens))))
@@ -71,9 +84,10 @@ def part_digests(tokens: np.ndarray, percent: int, level_least: np.ndarray) -> n
         step = np.uint64(((1 << 64) - 1) // k)
         cuts = np.searchsorted(tokens, np.arange(1, k, dtype=np.uint64) * step)
         at = np.concatenate(([0], cuts, [n]))
-        digest = sums[at[1:]] - sums[at[:-1]]
-        size = (at[1:] - at[:-1]).astype(np.uint64)
-        out.append(mix(digest + mix(np.arange(k, dtype=np.uint64) + np.uint64(level << 32)) + size))
+        size = at[1:] - at[:-1]
+        digest = mix(sums[at[1:]] - sums[at[:-1]] + mix(np.arange(k, dtype=np.uint64) + np.uint64(level << 32)) + size.astype(np.uint64))
+        first = min(most_apart(n, percent), most_apart(int(level_least[level + 1]) - 1, percent)) + 1
+        out.append(digest[np.lexsort((digest, -size))[:first]] if first < k else digest)
     return np.concatenate(out)
 
 
@@ -87,8 +101,22 @@ def _digest(tokens: np.ndarray) -> tuple[int, int]:
     return int(a.view(np.int64)), int(b.view(np.int64))
 
 
-def _sizes_and_parts(words: int, percent: int):
-    """Rows (doc_id, n, hi, lo, part): one per document with part null, and one per part of a set new to the task."""
+def _sizes(words: int):
+    """(doc_id, text_hash, text) -> (doc_id, text_hash, n, hi, lo): the size and digest of every set."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            sets = [shingle_set(data, words) for data in byte_rows(batch.column(2))]
+            n, hi, lo = np.array([(len(s), *_digest(s)) for s in sets], dtype=np.int64).reshape(-1, 3).T
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n), pa.array(hi), pa.array(lo)], names=["doc_id", "text_hash", "n", "hi", "lo"])
+
+    return run
+
+
+def _parts(words: int, percent: int):
+    """(doc_id, text) -> (part, doc_id), one row per part of a set that is new to the task."""
 
     def run(batches):
         import pyarrow as pa
@@ -96,28 +124,22 @@ def _sizes_and_parts(words: int, percent: int):
         seen: set[tuple[int, int]] = set()
         least = size_classes(percent, 1 << 14)
         for batch in batches:
-            ids, facts, dealt = batch.column(0), [], []
+            dealt = []
             for i, data in enumerate(byte_rows(batch.column(1))):
                 tokens = shingle_set(data, words)
                 digest = _digest(tokens)
-                facts.append((len(tokens), *digest))
-                if not len(tokens) or digest in seen or not ids[i].is_valid:
+                if not len(tokens) or digest in seen:
                     continue
                 if len(seen) < REMEMBERED:
                     seen.add(digest)
                 if len(tokens) >= least[-1]:
                     least = size_classes(percent, 2 * len(tokens))
                 dealt.append((i, part_digests(tokens, percent, least)))
-            n, hi, lo = np.array(facts, dtype=np.int64).reshape(-1, 3).T
-            names = ["doc_id", "n", "hi", "lo", "part"]
-            nothing = pa.nulls(len(n), pa.int64())
-            yield pa.RecordBatch.from_arrays([ids, pa.array(n), pa.array(hi), pa.array(lo), nothing], names=names)
             for at in range(0, len(dealt), 64):
                 some = dealt[at : at + 64]
                 owner = pa.array(np.repeat([i for i, _ in some], [len(p) for _, p in some]))
                 parts = pa.array(np.concatenate([p for _, p in some]).view(np.int64))
-                none = pa.nulls(len(parts), pa.int64())
-                yield pa.RecordBatch.from_arrays([ids.take(owner), none, none, none, parts], names=names)
+                yield pa.RecordBatch.from_arrays([parts, batch.column(0).take(owner)], names=["part", "doc_id"])
 
     return run
 
@@ -225,19 +247,30 @@ def _links(percent: int):
 
 def jaccard_components(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
     """(doc_id, n_shingles, component_id): one row per row of ``docs``. ``doc_id`` must be an integer."""
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    both = written(texts.mapInArrow(_sizes_and_parts(words, percent), "doc_id bigint, n bigint, hi bigint, lo bigint, part bigint"))
-    sizes = both.where("part is null").select("doc_id", "n", "hi", "lo")
-    dealt = both.where("part is not null").select("part", "doc_id").repartition("part").sortWithinPartitions("part", "doc_id")
+    with scratch(docs.sparkSession):
+        return written(_components(docs, words, percent), keep=True)
+
+
+def _components(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    sizes = written(texts.mapInArrow(_sizes(words), "doc_id bigint, text_hash bigint, n bigint, hi bigint, lo bigint"))
+    # equal sets are one node, the least id's; the others are not dealt
+    equal = sizes.where("n > 0 and doc_id is not null").groupBy("n", "hi", "lo").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
+    equal = small(written(equal.where("copies > 1").drop("copies")))
+    nodes = written(sizes.join(equal, ["n", "hi", "lo"], "left").select("doc_id", "text_hash", "n", "first"))
+    copies = small(nodes.where("first <> doc_id").select("doc_id", "text_hash").distinct(), BROADCAST_IDS)
+    own = texts.where("doc_id is not null").join(copies, ["doc_id", "text_hash"], "left_anti").select("doc_id", "text")
+    dealt = own.mapInArrow(_parts(words, percent), "part bigint, doc_id bigint").repartition("part").sortWithinPartitions("part", "doc_id")
     met = written(dealt.mapInArrow(_met, "part bigint, doc_id bigint, head bigint"))
     # a document's group is the least head it met; groups beyond BLOCK are cut by hash
     home = met.groupBy("doc_id").agg(F.min("head").alias("home"))
     count = home.groupBy("home").count()
     block = F.when(F.col("count") > BLOCK, F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("count") / BLOCK))).otherwise(0).cast("int")
     home = written(home.join(count, "home").select("doc_id", "home", block.alias("block")))
-    tokens = written(texts.join(small(home.select("doc_id")), "doc_id", "left_semi").mapInArrow(_tokens(words), "doc_id bigint, tokens binary"))
-    groups = met.select("part", "doc_id").join(home, "doc_id").select("part", "home", "block").distinct()
-    asked = written(met.select("part", "doc_id").join(groups, "part").select("doc_id", "home", "block").distinct())
+    tokens = written(own.join(small(home.select("doc_id"), BROADCAST_IDS), "doc_id", "left_semi").mapInArrow(_tokens(words), "doc_id bigint, tokens binary"))
+    members = met.select("part", "doc_id").join(home.select("doc_id", "home"), "doc_id")
+    groups = members.select("part", "home").distinct()
+    asked = written(members.select("part", "doc_id").join(groups, "part").select("doc_id", "home").distinct())
 
     def verified(queries: DataFrame) -> DataFrame:
         members = home.join(queries.select("home", "block").distinct(), ["home", "block"], "left_semi")
@@ -246,20 +279,20 @@ def jaccard_components(docs: DataFrame, words: int = 3, percent: int = 90) -> Da
         sorted_ = full.repartition("home", "block").sortWithinPartitions("home", "block", "query")
         return sorted_.mapInArrow(_links(percent), "a bigint, b bigint")
 
-    links = written(verified(asked.where("block = 0")))
-    later = asked.where("block > 0")
-    if not later.isEmpty():
-        of = written(components(links))
-        placed = home.join(of.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", "home", "block", F.coalesce("component", "doc_id").alias("component"))
+    links = written(verified(asked.withColumn("block", F.lit(0))))
+    last = home.agg(F.max("block")).first()[0] or 0
+    begin, width = 1, 4
+    while begin <= last:
+        of = components(links).withColumnRenamed("node", "doc_id")
+        placed = home.join(of, "doc_id", "left").select("doc_id", "home", "block", F.coalesce("component", "doc_id").alias("component"))
         # components in order of size: of two documents apart, the one in the lesser queries the other's block
         order = placed.groupBy("component").count().select("component", F.struct("count", "component").alias("order"))
-        placed = placed.join(order, "component")
-        greatest = placed.groupBy("home", "block").agg(F.max("order").alias("greatest"))
-        own = placed.select("doc_id", "order")
-        open_ = later.join(own, "doc_id").join(greatest, ["home", "block"]).where("order < greatest")
-        links = written(links.unionByName(verified(open_.select("doc_id", "home", "block"))))
-    equal = sizes.where("n > 0 and doc_id is not null").groupBy("n", "hi", "lo").agg(F.min("doc_id").alias("first"))
-    nodes = sizes.join(equal, ["n", "hi", "lo"], "left").select("doc_id", "n", "first")
+        placed = written(placed.join(order, "component").select("doc_id", "home", "block", "order"))
+        opened = placed.where(F.col("block").between(begin, begin + width - 1)).groupBy("home", "block").agg(F.max("order").alias("greatest"))
+        asking = asked.join(placed.select("doc_id", "order"), "doc_id").alias("q")
+        queries = asking.join(opened.alias("o"), (F.col("q.home") == F.col("o.home")) & (F.col("q.order") < F.col("o.greatest")))
+        links = written(links.unionByName(verified(written(queries.select("q.doc_id", "q.home", "o.block")))))
+        begin, width = begin + width, width * 16
     edges = links.select("a", "b").union(nodes.where("first <> doc_id").select("first", "doc_id"))
     found = components(edges)
     return nodes.join(found, nodes.doc_id == found.node, "left").select(
