@@ -25,6 +25,8 @@ from .wordhash import SEPARATOR, blocks, byte_rows, word_hashes
 
 DIMENSIONS = 1 << 12
 PER_LANGUAGE = 400
+#: The constant feature of the machines, and the scale at which vectors are sent.
+BIAS, SCALE = 0.3, 65_535
 UNDETERMINED = "und"
 
 # Families of languages by ISO 639-1 code; a language not listed is a family of its own.
@@ -74,24 +76,30 @@ def has_letter(data: np.ndarray | None) -> bool:
     return bool((data >= 128).any()) and any(c.isalpha() for c in data.tobytes().decode("utf-8", "replace"))
 
 
-def fit_machine(x: np.ndarray, y: np.ndarray, rounds: int = 30, cost: float = 10.0) -> np.ndarray:
-    """A linear support vector machine with squared hinge loss, by dual coordinate descent; y is 1 or -1, the last weight is the bias."""
-    x = np.hstack([x, np.full((len(x), 1), 0.3)])
-    weights, alpha = np.zeros(x.shape[1]), np.zeros(len(x))
-    curve = (x * x).sum(axis=1) + 0.5 / cost
+def fit_machine(x: np.ndarray, rows: np.ndarray, y: np.ndarray, rounds: int = 30, cost: float = 10.0) -> np.ndarray:
+    """A linear support vector machine with squared hinge loss, by dual coordinate descent, on some rows of x.
+
+    y is 1 or -1; the last weight is the bias, whose feature is ``BIAS``. Rows are read in place, never copied.
+    """
+    weights, alpha = np.zeros(x.shape[1]), np.zeros(len(rows))
+    bias, soft = 0.0, 0.5 / cost
+    curve = np.array([float(x[i] @ x[i]) for i in rows]) + BIAS * BIAS + soft
     order = np.random.default_rng(7)
     for _ in range(rounds):
         most = 0.0
-        for i in order.permutation(len(x)):
-            slope = y[i] * (x[i] @ weights) - 1 + alpha[i] * 0.5 / cost
-            new = max(0.0, alpha[i] - slope / curve[i])
-            if new != alpha[i]:
-                weights += (new - alpha[i]) * y[i] * x[i]
-                most = max(most, abs(new - alpha[i]))
-                alpha[i] = new
+        for k in order.permutation(len(rows)):
+            v = x[rows[k]]
+            slope = y[k] * (v @ weights + BIAS * bias) - 1 + alpha[k] * soft
+            new = max(0.0, alpha[k] - slope / curve[k])
+            step = new - alpha[k]
+            if step:
+                weights += step * y[k] * v
+                bias += step * y[k] * BIAS
+                most = max(most, abs(step))
+                alpha[k] = new
         if most < 1e-3:
             break
-    return weights
+    return np.append(weights, bias)
 
 
 @dataclass
@@ -104,17 +112,18 @@ class Duels:
 
     @classmethod
     def fit(cls, x: np.ndarray, labels: np.ndarray) -> Duels:
-        names = sorted(set(labels))
-        pairs, rows = list(combinations(range(len(names)), 2)), []
+        """``labels`` are those of the rows of x; rows of label "" take no part."""
+        names = sorted(set(labels) - {""})
+        pairs, machines = list(combinations(range(len(names)), 2)), []
         for a, b in pairs:
-            chosen = (labels == names[a]) | (labels == names[b])
-            rows.append(fit_machine(x[chosen], np.where(labels[chosen] == names[a], 1.0, -1.0)))
-        return cls(names, pairs, np.array(rows).reshape(len(pairs), DIMENSIONS + 1))
+            rows = np.flatnonzero((labels == names[a]) | (labels == names[b]))
+            machines.append(fit_machine(x, rows, np.where(labels[rows] == names[a], 1.0, -1.0)))
+        return cls(names, pairs, np.array(machines).reshape(len(pairs), DIMENSIONS + 1))
 
     def decide(self, v: np.ndarray) -> tuple[str, float]:
         if len(self.labels) == 1:
             return self.labels[0], 1.0
-        margin = self.weights[:, :-1] @ v + 0.3 * self.weights[:, -1]
+        margin = self.weights[:, :-1] @ v + BIAS * self.weights[:, -1]
         sure = 1 / (1 + np.exp(-3 * np.clip(margin, -20, 20)))
         wins, least = np.zeros(len(self.labels)), np.ones(len(self.labels))
         for (a, b), p in zip(self.pairs, sure, strict=True):
@@ -136,7 +145,7 @@ class LanguageModel:
             return cls(None, {})
         langs = np.array(labels)
         family = np.array([FAMILY_OF.get(lang, lang) for lang in labels])
-        return cls(Duels.fit(x, family), {f: Duels.fit(x[family == f], langs[family == f]) for f in sorted(set(family))})
+        return cls(Duels.fit(x, family), {f: Duels.fit(x, np.where(family == f, langs, "")) for f in sorted(set(family))})
 
     def predict(self, data: np.ndarray | None) -> tuple[str, float]:
         if self.families is None or not has_letter(data):
@@ -156,7 +165,7 @@ def _vectors(batches):
     import pyarrow as pa
 
     for batch in batches:
-        vectors = [features(d).astype(np.float32).tobytes() for d in byte_rows(batch.column(1))]
+        vectors = [np.rint(features(d) * SCALE).astype(np.uint16).tobytes() for d in byte_rows(batch.column(1))]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(vectors, pa.binary())], names=["lang", "vector"])
 
 
@@ -174,10 +183,14 @@ def learn(docs: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel:
     drawn = labelled.where(F.pmod(place, F.lit(1_000_000)) < share * 1_000_000).select("lang", "text", place.alias("place"), F.xxhash64("text").alias("h"))
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("place", "h"))
     chosen = drawn.withColumn("nth", nth).where(F.col("nth") <= per_language).select("lang", "text")
-    rows = written(chosen.mapInArrow(_vectors, "lang string, vector binary")).orderBy("lang", "vector").collect()
-    x = np.array([np.frombuffer(r["vector"], dtype=np.float32) for r in rows], dtype=np.float64).reshape(len(rows), DIMENSIONS)
-    some = x.any(axis=1)
-    return LanguageModel.fit(x[some], [r["lang"] for r, ok in zip(rows, some, strict=True) if ok])
+    sent = written(chosen.mapInArrow(_vectors, "lang string, vector binary")).orderBy("lang", "vector")
+    labels, x = [], np.zeros((sum(min(n, per_language) for n in counts.values()), DIMENSIONS), dtype=np.float32)
+    for r in sent.toLocalIterator():
+        x[len(labels)] = np.frombuffer(r["vector"], dtype=np.uint16)
+        labels.append(r["lang"] if x[len(labels)].any() else "")
+    x /= SCALE
+    taught = np.array(labels) != ""
+    return LanguageModel.fit(x[: len(labels)] if taught.all() else x[: len(labels)][taught], [lang for lang in labels if lang])
 
 
 def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
