@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small, written
+from .common import scratch, small, written
 from .wordhash import SEPARATOR, blocks, byte_rows, runs, span_hashes
 
 MIN_WORDS = 50
@@ -179,6 +179,8 @@ def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     place = written(place) if k > 1 else place
     at = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash", "seq", "to")
     interval = place.groupBy("n", "a", "b").agg(F.min(at).alias("head"), F.count("*").alias("places")).where("places > 1")
+    # written, so that the join deals both sides anew and a hot interval's places can be split
+    interval = small(written(interval))
     later = place.alias("p").join(interval.alias("i"), ["n", "a", "b"]).where(at != F.col("head"))
     here = F.col("p.doc_id").eqNullSafe(F.col("head.doc_id")) & (F.col("p.text_hash") == F.col("head.text_hash"))
     start = F.when(here, F.greatest(F.col("first"), F.col("head.to"))).otherwise(F.col("first"))
@@ -204,7 +206,9 @@ def _without(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.DataFra
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with later copies of repeated line runs deleted from ``text``; ``removed_lines`` has their number."""
-    cuts = small(written(deletions(docs, min_words)))
+    with scratch(docs.sparkSession):
+        cuts = written(deletions(docs, min_words), keep=True)
+    cuts = small(cuts)
     columns = [c for c in docs.columns if c != "removed_lines"]
     # the row travels as one struct, so its columns cannot clash with the working ones
     keyed = docs.select(F.struct(*columns).alias("row"), F.xxhash64("text").alias("text_hash")).alias("d")

@@ -112,10 +112,24 @@ a AS (SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, removed_words,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND NOT (removed_words > 0 AND (total - removed_words < 50 OR total - removed_words < total * 0.5::DOUBLE)) AS kept FROM a"""
 
+_ENOUGH = "a.doc_id = b.doc_id AND b.i >= a.i AND b.upto - a.upto + a.words >= 50"
+_LINES = f"""
+WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS nth FROM documents),
+c AS (SELECT doc_id, nth, line, len(regexp_extract_all(line, '{W}')) AS words, row_number() OVER o AS i, sum(len(regexp_extract_all(line, '{W}'))) OVER o AS upto
+  FROM l WHERE regexp_matches(line, '{W}') WINDOW o AS (PARTITION BY doc_id ORDER BY nth)),
+w AS (SELECT a.doc_id, a.i AS a, min(b.i) AS b FROM c a JOIN c b ON {_ENOUGH} GROUP BY 1, 2 UNION SELECT b.doc_id, max(a.i), b.i FROM c a JOIN c b ON {_ENOUGH} GROUP BY 1, 3),
+t AS (SELECT w.doc_id, w.a, min(c.nth) AS lo, max(c.nth) AS hi, string_agg(c.line, chr(10) ORDER BY c.i) AS run FROM w JOIN c ON c.doc_id = w.doc_id AND c.i BETWEEN w.a AND w.b GROUP BY w.doc_id, w.a, w.b),
+h AS (SELECT *, min({{'d': doc_id, 'a': a, 'hi': hi}}) OVER (PARTITION BY run) AS head FROM t),
+g AS (SELECT doc_id, CASE WHEN head.d = doc_id THEN greatest(lo, head.hi + 1) ELSE lo END AS lo, hi FROM h WHERE head.d <> doc_id OR head.a <> a),
+k AS (SELECT l.*, EXISTS (SELECT 1 FROM g WHERE g.doc_id = l.doc_id AND l.nth BETWEEN g.lo AND g.hi) AS gone FROM l)
+SELECT d.doc_id, coalesce(removed, 0) AS removed_lines, coalesce(sha, sha256('')) AS text_sha256 FROM documents d LEFT JOIN (
+  SELECT doc_id, count(*) FILTER (gone AND regexp_matches(line, '{W}')) AS removed, sha256(coalesce(string_agg(line, chr(10) ORDER BY nth) FILTER (NOT gone), '')) AS sha FROM k GROUP BY 1) x USING (doc_id)"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_jaccard_join": _JACCARD,
     "op3_secret_scan": _secrets(),
     "op6_mixing": _MIX,
     "op7_license_scan": _licenses(),
     "op9_quality_rules": _QUALITY,
+    "op10_line_dedup": _LINES,
 }
