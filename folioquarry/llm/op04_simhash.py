@@ -6,7 +6,7 @@ Votes are counted 16 bits to a lane, four lanes to a long, so a term costs 16 ad
 code; a text is counted in runs of ``2 ** 15`` terms, which keeps lanes from overflowing however
 long the text is, and the runs' counts are added as full longs.
 
-``near_pairs`` finds all pairs within a Hamming radius by permuted block tables: the 64 bits are cut
+``within`` finds all fingerprints within a Hamming radius by permuted block tables: the 64 bits are cut
 into ``radius + spare`` blocks, and fingerprints that differ in at most ``radius`` bits agree on at
 least ``spare`` whole blocks; each choice of ``spare`` blocks is a table keyed by those blocks.
 
@@ -21,18 +21,21 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import small, written
 
 LANES, PER_LONG, RUN = 16, 4, 1 << 15
 ONES = 0x0001000100010001
 SEPARATORS = r"[\x20\x09-\x0D]+"
 #: Bytes of text that a range of ids should hold, and the most ranges; see ``next_document``.
 RANGE_BYTES, MOST_RANGES = 8 << 20, 20_000
+#: Query op4 searches the neighbours of every row whose id this divides.
+SEARCHED = 100
 
 
 def terms(text: Column) -> Column:
     """Array of structs of three consecutive words; a shorter text gives its words and nulls."""
-    words = F.filter(F.split(text, SEPARATORS), lambda w: w != "")
+    inner = F.btrim(text, F.lit(" \t\n\x0b\f\r"))  # so that no piece of the split is empty
+    words = F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, SEPARATORS))
     n = F.greatest(F.size(words) - 2, F.least(F.size(words), F.lit(1)))
     return F.arrays_zip(F.slice(words, 1, n), F.slice(words, 2, n), F.slice(words, 3, n))
 
@@ -92,35 +95,52 @@ def next_document(docs: DataFrame) -> DataFrame:
     return linked.where("at.end = 0").drop("at").unionByName(alone)
 
 
-def near_pairs(prints: DataFrame, radius: int = 3, spare: int = 3) -> DataFrame:
-    """Pairs (a < b, distance) of distinct fingerprints in column ``fp`` within ``radius`` bits.
+def within(queries: DataFrame, prints: DataFrame, radius: int = 3, spare: int = 3, greater: bool = False) -> DataFrame:
+    """(q, fp, distance): for each fingerprint of ``queries`` those of ``prints`` within ``radius`` bits, itself included.
 
-    Reported once each, by the first table that matches. Identical fingerprints are one node: join
-    ``prints`` on ``fp`` for the documents of each, rather than expanding them into pairs.
+    Both have a column ``fp`` of distinct values. A pair is reported once, by the first table that it agrees
+    in; ``greater`` leaves only fp > q. A side of few rows is broadcast, else both are dealt by table and key.
     """
     blocks = radius + spare
     edge = [round(64 * i / blocks) for i in range(blocks + 1)]
-    masks = [((1 << edge[i + 1]) - (1 << edge[i])) for i in range(blocks)]
+    block = [(1 << edge[i + 1]) - (1 << edge[i]) for i in range(blocks)]
     signed = lambda m: m - (1 << 64) if m >> 63 else m
-    tables = [signed(sum(masks[i] for i in chosen)) for chosen in combinations(range(blocks), spare)]
-    keys = F.array(*[F.struct(F.lit(k).alias("table"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for k, m in enumerate(tables)])
-    dealt = prints.select("fp").distinct().where("fp is not null").select("fp", F.explode(keys).alias("k")).select("fp", "k.table", "k.key")
-    a, b = dealt.alias("a"), dealt.alias("b")
+    masks = [signed(sum(block[i] for i in chosen)) for chosen in combinations(range(blocks), spare)]
+    keys = F.array(*[F.struct(F.lit(k).alias("table"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for k, m in enumerate(masks)])
+    dealt = lambda df: df.select("fp", F.explode(keys).alias("k")).select("fp", "k.table", "k.key")
+    a, b = dealt(queries).alias("a"), dealt(prints).alias("b")
     apart = F.col("a.fp").bitwiseXOR(F.col("b.fp"))
-    first = F.lit(len(tables))
-    for k, m in reversed(list(enumerate(tables))):
+    first = F.lit(len(masks))
+    for k, m in reversed(list(enumerate(masks))):
         first = F.when(apart.bitwiseAND(F.lit(m)) == 0, F.lit(k)).otherwise(first)
-    return a.join(
-        b,
-        (F.col("a.table") == F.col("b.table")) & (F.col("a.key") == F.col("b.key")) & (F.col("a.fp") < F.col("b.fp"))
-        & (F.bit_count(apart) <= radius) & (first == F.col("a.table")),
-    ).select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b"), F.bit_count(apart).cast("int").alias("distance"))
+    near = (F.col("a.table") == F.col("b.table")) & (F.col("a.key") == F.col("b.key")) & (F.bit_count(apart) <= radius) & (first == F.col("a.table"))
+    near = near & (F.col("a.fp") < F.col("b.fp")) if greater else near
+    return a.join(b, near).select(F.col("a.fp").alias("q"), F.col("b.fp").alias("fp"), F.bit_count(apart).cast("int").alias("distance"))
+
+
+def near_pairs(prints: DataFrame, radius: int = 3, spare: int = 3) -> DataFrame:
+    """Pairs (a < b, distance) of distinct fingerprints in column ``fp`` within ``radius`` bits.
+
+    Identical fingerprints are one node: join ``prints`` on ``fp`` for the documents of each, rather than
+    expanding them into pairs.
+    """
+    own = prints.select("fp").distinct().where("fp is not null")
+    return within(own, own, radius, spare, greater=True).select(F.col("q").alias("a"), F.col("fp").alias("b"), "distance")
+
+
+def near_counts(prints: DataFrame, asked: Column, radius: int = 3, spare: int = 3) -> DataFrame:
+    """(fp, n_near) for the fingerprints of rows that are ``asked``: how many rows lie within ``radius`` bits, the fingerprint's own included."""
+    own = prints.groupBy("fp").agg(F.count("*").alias("rows"))
+    queries = small(written(prints.where(asked).select("fp").distinct()), 10_000)
+    found = within(queries, own.select("fp"), radius, spare)
+    return found.join(own, "fp").groupBy(F.col("q").alias("fp")).agg(F.sum("rows").alias("n_near"))
 
 
 def edited_fingerprints(docs: DataFrame) -> DataFrame:
     """The rows of query op4: fingerprints of every text and of its edited text, and their likeness.
 
-    A row without a next document (null id) is edited with nothing and has near_next 0.
+    A row without a next document (null id) is edited with nothing and has near_next 0. Every row whose id is
+    divisible by ``SEARCHED`` is looked for among all rows: ``n_near`` other rows lie within three bits.
     """
     linked = next_document(docs)
     n = F.char_length("text")
@@ -136,9 +156,13 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     rows = written(prints.groupBy(*key).agg(
         F.max("sha").alias("edited_sha256"), F.max(F.when(F.col("v") == 0, F.col("fp"))).alias("fp"), F.max(F.when(F.col("v") == 1, F.col("fp"))).alias("edited_fp"),
     ))
+    asked = F.col("doc_id") % SEARCHED == 0
+    near = small(written(near_counts(rows, asked)))
     following = rows.where("doc_id is not null").groupBy(F.col("doc_id").alias("next_id"), F.col("text_hash").alias("next_hash")).agg(F.min("fp").alias("next_fp"))
     as_text = lambda c: F.lower(F.lpad(F.hex(c), 16, "0"))
-    return rows.join(following, ["next_id", "next_hash"], "left").select(
+    joined = rows.join(following, ["next_id", "next_hash"], "left").join(near, "fp", "left")
+    return joined.select(
         "doc_id", "n_chars", "edited_sha256", as_text("fp").alias("fingerprint"), as_text("edited_fp").alias("edited_fingerprint"),
         likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"), F.coalesce(likeness(F.col("fp"), F.col("next_fp")), F.lit(0.0)).alias("near_next"),
+        F.when(asked, F.col("n_near") - 1).alias("n_near"),
     )

@@ -165,6 +165,8 @@ def test_simhash_by_force(spark, monkeypatch):
         assert (x.n_chars, x.edited_sha256) == (len(texts[i]), hashlib.sha256(edited.encode()).hexdigest())
         assert (x.fingerprint, x.edited_fingerprint) == (format(own, "016x"), format(other, "016x"))
         assert (x.near_edited, x.near_next) == (likeness(own, other), likeness(own, nxt))
+        near = sum(1 for j in texts if j != i and likeness(own, simhash_by_force(texts[j])) >= 61 / 64)
+        assert x.n_near == (near if i % 100 == 0 else None)
 
 
 def test_near_fingerprints_by_force(spark):
