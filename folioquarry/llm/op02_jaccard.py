@@ -16,10 +16,11 @@ union, which bounds its overlap with every member; only blocks that could reach
 opened, and then one sum over the query's columns gives its overlap with all members.
 
 Every document first queries the first block of each group it met. The links found join documents to
-components; the further blocks of large groups are then queried only by documents whose component is
-less, by size, than one in the block. Of two documents still apart one always queries the other's
-block, and pairs already connected are left out, so components stay exact. This is done for a few blocks,
-then for sixteen times as many, and so on, as most documents find their component early.
+components, and these are put in one order, by size, that all later rounds keep. The further blocks of
+large groups are then queried only by documents that come before a member which they are not yet connected
+to. Of two documents still apart the one that comes first always queries the other's block, and pairs
+already connected are left out, so components stay exact. This is done for a few blocks, then for sixteen
+times as many, and so on, as most documents find their component early.
 
 Skew. Equal sets are one node, so a text of which there are many copies is dealt once; the rows of a part
 are streamed in sorted order, never gathered; a query's tokens are held one document at a time and a block's are
@@ -281,16 +282,24 @@ def _components(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
     links = written(verified(asked.withColumn("block", F.lit(0))))
     last = home.agg(F.max("block")).first()[0] or 0
-    begin, width = 1, 4
+    begin, width, ranked = 1, 4, None
     while begin <= last:
         of = components(links).withColumnRenamed("node", "doc_id")
-        placed = home.join(of, "doc_id", "left").select("doc_id", "home", "block", F.coalesce("component", "doc_id").alias("component"))
-        # components in order of size: of two documents apart, the one in the lesser queries the other's block
-        order = placed.groupBy("component").count().select("component", F.struct("count", "component").alias("order"))
-        placed = written(placed.join(order, "component").select("doc_id", "home", "block", "order"))
-        opened = placed.where(F.col("block").between(begin, begin + width - 1)).groupBy("home", "block").agg(F.max("order").alias("greatest"))
-        asking = asked.join(placed.select("doc_id", "order"), "doc_id").alias("q")
-        queries = asking.join(opened.alias("o"), (F.col("q.home") == F.col("o.home")) & (F.col("q.order") < F.col("o.greatest")))
+        if ranked is None:
+            # components of the first blocks in order of size, one order for all rounds: of two documents apart, the lesser queries the other's block
+            found = home.join(of, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+            order = found.groupBy("component").count().select("component", F.struct("count", "component").alias("order"))
+            ranked = written(found.join(order, "component").select("doc_id", "home", "block", "order"))
+            placed = ranked.withColumn("component", F.col("order.component"))
+        else:
+            placed = written(ranked.join(of, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id")))
+        # the greatest of a block, and the greatest of those that are not in its component by now
+        opened = placed.where(F.col("block").between(begin, begin + width - 1)).groupBy("home", "block", "component").agg(F.max("order").alias("order"))
+        opened = opened.groupBy("home", "block").agg(F.slice(F.sort_array(F.collect_list(F.struct("order", "component")), False), 1, 2).alias("top"))
+        opened = opened.select("home", "block", F.col("top")[0].alias("first"), F.try_element_at("top", F.lit(2))["order"].alias("second"))
+        asking = asked.join(placed.select("doc_id", "order", "component"), "doc_id").alias("q")
+        greatest = F.when(F.col("o.first.component") == F.col("q.component"), F.col("o.second")).otherwise(F.col("o.first.order"))
+        queries = asking.join(opened.alias("o"), (F.col("q.home") == F.col("o.home")) & (F.col("q.order") < greatest))
         links = written(links.unionByName(verified(written(queries.select("q.doc_id", "q.home", "o.block")))))
         begin, width = begin + width, width * 16
     edges = links.select("a", "b").union(nodes.where("first <> doc_id").select("first", "doc_id"))

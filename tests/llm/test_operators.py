@@ -7,6 +7,7 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -105,6 +106,24 @@ def test_jaccard_by_force(spark, monkeypatch, k, percent):
     assert got == links_by_force(rows, k, percent)
 
 
+def test_jaccard_of_sparse_groups_by_force(spark, monkeypatch):
+    """Texts that all share a part, few of which link, in blocks of one: components grow between the rounds."""
+    monkeypatch.setattr(op02_jaccard, "BLOCK", 1)
+    r = random.Random(5)
+    top = lambda w: op02_jaccard.shingle_set(np.frombuffer(w.encode(), np.uint8), 1)[0] >> np.uint64(61) == 7
+    rows = []
+    for base in range(3):
+        fixed = [w for w in (f"f{base}x{i}" for i in range(100)) if not top(w)][:24]
+        varied = [w for w in (f"v{base}x{i}" for i in range(1000)) if top(w)][:24]
+        chosen = {tuple(r.randrange(4) for _ in range(6)) for _ in range(200)}
+        for pick in sorted(chosen):  # texts link that differ in one of the six words
+            rows.append((0, " ".join(fixed + [varied[4 * at + w] for at, w in enumerate(pick)]), None, None))
+    ids = r.sample(range(10_000), len(rows))
+    rows = [(i, *row[1:]) for i, row in zip(ids, rows, strict=True)]
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in op02_jaccard.jaccard_components(documents(spark, rows), 1, 90).collect()}
+    assert got == links_by_force(rows, 1, 90)
+
+
 def test_components_of_a_path(spark):
     n = 60
     edges = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(100, 101), (100, 102), (7, 7)], "a long, b long")
