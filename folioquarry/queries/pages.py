@@ -33,9 +33,10 @@ r AS (SELECT doc_id, replace(replace(replace(t, '（盖率）', '（盖章）'),
 SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(t, '(签字[（(])盖率([）)])', '\1盖章\2', 'g'),
   '({_LETTER}{{1,20}})[\[〔](\d{{4}})[\]〕](\s*\d+\s*号)', '\1〔\2〕\3', 'g'), '({_LETTER}{{1,20}}(?:监办|府办|办发|府发|函|字|文))[（(](\d{{4}})[）)](\s*\d+\s*号)', '\1〔\2〕\3', 'g') AS corrected FROM r""")
 def ocr_correction(spark, sf_dir):
+    """T1 on whole texts; the SQL above cuts texts at 20 characters, so it is equal for shorter ones only."""
     docs = L.read_documents(spark, sf_dir)
     year = (F.lit(2000) + F.col("doc_id") % 25).cast("string")
-    text = F.concat(F.substring("text", 1, 20), F.lit(" 签字(盖率)"), F.lit(" 签字盖率 粤府办["), year, F.lit("] "), F.col("doc_id").cast("string"), F.lit("号 某函(2021)7号"))
+    text = F.concat(F.col("text"), F.lit(" 签字(盖率)"), F.lit(" 签字盖率 粤府办["), year, F.lit("] "), F.col("doc_id").cast("string"), F.lit("号 某函(2021)7号"))
     return docs.select("doc_id", T.correct(text).alias("corrected"))
 
 

@@ -1,6 +1,7 @@
 """Order-dependent operators against plain Python, and the user-operator machinery."""
 
 import difflib
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -216,3 +217,19 @@ def test_search_stream_equals_batch(spark, sf_dir, tmp_path):
     streamed = spark.read.parquet(str(tmp_path / "out")).select("doc_id", "keyword", "page_index", "text", "source")
     batch = field_search_plan(spark, docs, ["the", "und"]).select("doc_id", "keyword", "page_index", "text", "source")
     assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))
+
+
+def test_ocr_correction_of_whole_texts(spark, tmp_path):
+    """The registered query, against plain Python."""
+    texts = ["short", None, "", "x" * 30 + " 签字(盖率) 粤府办[2020] 5号 " + "y " * 4000 + "（盖率） 某函（2021）7号 end", "one\ntwo " * 10 + "签字盖率\nlast line"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+
+    def plain(i, text):
+        text = f"{text} 签字(盖率) 签字盖率 粤府办[{2000 + i % 25}] {i}号 某函(2021)7号"
+        for wrong, right in (("（盖率）", "（盖章）"), ("(盖率)", "(盖章)"), ("签字盖率", "签字盖章")):
+            text = text.replace(wrong, right)
+        text = re.sub(r"([一-鿿A-Za-z]{1,20})[\[〔](\d{4})[\]〕](\s*\d+\s*号)", r"\1〔\2〕\3", text)
+        return re.sub(r"([一-鿿A-Za-z]{1,20}(?:监办|府办|办发|府发|函|字|文))[（(](\d{4})[）)](\s*\d+\s*号)", r"\1〔\2〕\3", text)
+
+    got = {r.doc_id: r.corrected for r in QUERIES["ocr_correction"](spark, str(tmp_path)).collect()}
+    assert got == {i: None if t is None else plain(i, t) for i, t in enumerate(texts)}
