@@ -3,8 +3,9 @@
 Terms are runs of three words (a shorter text is one term). Each occurrence of a term votes with
 the 64 bits of its hash: a set bit for, a clear bit against; the fingerprint has the bits that win.
 Votes are counted 16 bits to a lane, four lanes to a long, so a term costs 16 additions in generated
-code; a text is counted in runs of ``2 ** 15`` terms, which keeps lanes from overflowing however
-long the text is, and the runs' counts are added as full longs.
+code; a text is counted in runs of ``2 ** 14`` terms, so that even the highest lane, from bit 48, stays
+below the sign (``2 ** 15`` votes there make ``2 ** 63``) however long the text is, and the runs' counts
+are added as full longs.
 
 ``within`` finds all fingerprints within a Hamming radius by permuted block tables: the 64 bits are cut
 into ``radius + spare`` blocks, and fingerprints that differ in at most ``radius`` bits agree on at
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .common import small, written
 
-LANES, PER_LONG, RUN = 16, 4, 1 << 15
+LANES, PER_LONG, RUN_BITS = 16, 4, 14
 ONES = 0x0001000100010001
 SEPARATORS = r"[\x20\x09-\x0D]+"
 #: Bytes of text that a range of ids should hold, and the most ranges; see ``next_document``.
@@ -44,7 +45,7 @@ def fingerprints(df: DataFrame, key: list[str], text: str, out: str) -> DataFram
     """(key..., out): one row per distinct key."""
     exploded = df.select(*key, F.posexplode_outer(terms(F.col(text))).alias("pos", "t"))
     # votes of nothing for the row that an empty text keeps
-    hashed = exploded.select(*key, F.shiftright("pos", 15).alias("run"), F.when(F.col("t").isNotNull(), F.xxhash64("t")).alias("h"))
+    hashed = exploded.select(*key, F.shiftright("pos", RUN_BITS).alias("run"), F.when(F.col("t").isNotNull(), F.xxhash64("t")).alias("h"))
     lanes = [F.sum(F.shiftright("h", i).bitwiseAND(F.lit(ONES))).alias(f"s{i}") for i in range(LANES)]
     counted = hashed.groupBy(*key, "run").agg(F.count("h").alias("n"), *lanes)
     lane = lambda bit: F.shiftright(f"s{bit % 16}", 16 * (bit // 16)).bitwiseAND(F.lit(0xFFFF))

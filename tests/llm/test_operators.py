@@ -188,6 +188,13 @@ def test_simhash_by_force(spark, monkeypatch):
         assert x.n_near == (near if i % 100 == 0 else None)
 
 
+def test_simhash_of_repeated_words(spark):
+    """All terms of full runs vote alike, also for the highest lane."""
+    texts = {1: "same " * 40_000, 2: "one two three " * 20_000, 3: "a b " * (1 << 14) + "a b c", 4: "w " * ((1 << 15) + 2)}
+    got = op04_simhash.fingerprints(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), ["doc_id"], "text", "fp").collect()
+    assert {r.doc_id: r.fp % (1 << 64) for r in got} == {i: simhash_by_force(t) for i, t in texts.items()}
+
+
 def test_near_fingerprints_by_force(spark):
     r = random.Random(1)
     base = [r.getrandbits(64) for _ in range(20)]
