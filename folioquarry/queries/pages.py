@@ -145,7 +145,7 @@ def nested_layout_pages(spark, sf_dir):
         F.lit('{"pdf_info":[{"page_size":[100,200],"preproc_blocks":[{"type":"text","lines":[{"bbox":[1,2,6,4],"spans":[{"content":"head '), F.col("doc_id").cast("string"),
         F.lit('"}]},{"bbox":[3,4,10,6],"spans":[{"content":"tail"},{"content":" "}]}]},{"type":"table","bbox":[0,0,5,5],"blocks":[]}]}]}'),
     )
-    rows = J.parsed(L.read_documents(spark, sf_dir).select("doc_id", text.alias("json")))
+    rows = L.read_documents(spark, sf_dir).select("doc_id", text.alias("json"))
     return J.page_text_blocks(J.nested_pages(rows)).select("doc_id", "page_index", "text", "bounding_box.x", "bounding_box.y", "bounding_box.w", "bounding_box.h")
 
 
@@ -156,7 +156,7 @@ def nested_layout_tables(spark, sf_dir):
         F.lit('{"pdf_info":[{"para_blocks":[{"type":"title","bbox":[0,0,1,1]},{"type":"table","bbox":[0,0,5,5],"score":0.7,"blocks":[{"lines":[{"spans":[{"html":"<table>'),
         F.col("doc_id").cast("string"), F.lit('</table>"}]}]}]}]}]}'),
     )
-    rows = J.parsed(L.read_documents(spark, sf_dir).select("doc_id", text.alias("json")))
+    rows = L.read_documents(spark, sf_dir).select("doc_id", text.alias("json"))
     return J.page_tables(J.nested_pages(rows)).select("doc_id", "page_index", "table_id", "html", "bounding_box.w")
 
 

@@ -2,13 +2,17 @@
 
 Open JSON is parsed once to VARIANT and read by path; numbers that are not numbers become null, as do
 boxes that are not boxes. Positions of exploded arrays are kept as ordinals, so order never depends on
-how rows are dealt. Everything is a projection: no reader shuffles except to group blocks by page.
+how rows are dealt. What lies at any depth (S7, S11) is walked in Arrow batches. Everything is a projection: no reader shuffles except to group blocks by page.
 """
 
 from __future__ import annotations
 
+import json
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from ..functions import geometry as G
 from ..functions import text as T
@@ -57,58 +61,92 @@ def children_box(block: Column) -> Column:
     return F.when(F.size(every) > 0, F.array(F.array_min(at(0)), F.array_min(at(1)), F.array_max(at(2)), F.array_max(at(3))))
 
 
-def fragments(block: Column, depth: int = 3) -> Column:
-    """The span texts below a block, in order, down to ``depth`` nested blocks."""
-    empty = F.array().cast(TEXTS)
-
-    def own(b: Column) -> Column:
-        spans = F.flatten(F.transform(F.coalesce(get(b, "lines", ITEMS), F.array().cast(ITEMS)), lambda x: F.coalesce(get(x, "spans", ITEMS), F.array().cast(ITEMS))))
-        of_spans = F.filter(F.transform(spans, lambda s: V.text_or(F.coalesce(get(s, "content"), get(s, "text")))), lambda x: x.isNotNull())
-        direct = V.text_or(F.coalesce(get(b, "text"), get(b, "content")))
-        return F.concat(F.when(direct.isNotNull(), F.array(direct)).otherwise(empty), F.coalesce(of_spans, empty))
-
-    def below(b: Column, left: int) -> Column:
-        if not left:
-            return own(b)
-        inner = F.coalesce(get(b, "blocks", ITEMS), F.array().cast(ITEMS))
-        return F.concat(own(b), F.flatten(F.transform(inner, lambda x: below(x, left - 1))))
-
-    return below(block, depth)
-
-
-def first_html(block: Column, depth: int = 3) -> Column:
-    """The first html, the block's own before that of its spans and nested blocks."""
-    own = V.text_or(get(block, "html"))
-    spans = F.flatten(F.transform(F.coalesce(get(block, "lines", ITEMS), F.array().cast(ITEMS)), lambda x: F.coalesce(get(x, "spans", ITEMS), F.array().cast(ITEMS))))
-    of_spans = F.try_element_at(F.filter(F.transform(spans, lambda s: V.text_or(get(s, "html"))), lambda x: x.isNotNull()), F.lit(1))
-    found = F.coalesce(own, of_spans)
-    if depth:
-        inner = F.coalesce(get(block, "blocks", ITEMS), F.array().cast(ITEMS))
-        deeper = F.filter(F.transform(inner, lambda b: first_html(b, depth - 1)), lambda x: x.isNotNull())
-        found = F.coalesce(found, F.try_element_at(deeper, F.lit(1)))
-    return found
+# Where texts lie below a block, in order.
+CHILDREN = ("blocks", "lines", "spans", "image_caption", "image_footnote", "table_caption", "table_footnote")
+
+
+def fragments(payload) -> list[str]:
+    """The texts below a parsed JSON value, in order and however deep."""
+    out, stack = [], [payload]
+    while stack:
+        x = stack.pop()
+        if isinstance(x, list):
+            stack.extend(reversed(x))
+        elif isinstance(x, dict):
+            own = next((x[k] for k in ("content", "text") if isinstance(x.get(k), str)), "").strip()
+            if own:
+                out.append(own)
+            stack.extend(x[k] for k in reversed(CHILDREN) if x.get(k) is not None)
+    return out
+
+
+def first_html(payload) -> str | None:
+    """The first html below a parsed JSON value, a mapping's own before that of any of its values, in order and however deep."""
+    stack = [payload]
+    while stack:
+        x = stack.pop()
+        if isinstance(x, list):
+            stack.extend(reversed(x))
+        elif isinstance(x, dict):
+            own = "" if x.get("html") is None else str(x["html"]).strip()
+            if own:
+                return own
+            stack.extend(reversed(x.values()))
+    return None
+
+
+_BELOW = StructType([StructField("texts", ArrayType(StringType())), StructField("html", StringType())])
+
+
+@F.arrow_udf(ArrayType(ArrayType(_BELOW)))
+def below_blocks(texts: pa.Array) -> pa.Array:
+    """S7, S11 of the blocks of each page of nested layout JSON; null if it is no JSON."""
+    clean = lambda t: None if t is None else t.encode("utf-8", "replace").decode()
+
+    def pages(text: str | None):
+        try:
+            value = None if text is None else json.loads(text)
+        except ValueError:
+            return None
+        found = value.get("pdf_info") if isinstance(value, dict) else None
+        out = []
+        for page in found if isinstance(found, list) else []:
+            kinds = [page.get(k) for k in ("para_blocks", "preproc_blocks")] if isinstance(page, dict) else []
+            blocks = next((b for b in kinds if isinstance(b, list)), [])
+            out.append([{"texts": [clean(t) for t in fragments(b)], "html": clean(first_html(b))} for b in blocks])
+        return out
+
+    kind = pa.list_(pa.list_(pa.struct([("texts", pa.list_(pa.string())), ("html", pa.string())])))
+    return pa.array([pages(t) for t in texts.to_pylist()], kind)
 
 
 def nested_pages(df: DataFrame, column: str = "json") -> DataFrame:
-    """(source columns..., position, page_index, width, height, blocks) of nested layout JSON; para_blocks before preproc_blocks."""
+    """(source columns..., position, page_index, width, height, blocks, below) of nested layout JSON; para_blocks before preproc_blocks.
+
+    ``below`` has the texts and the first html of each block. The column may be text or VARIANT; a VARIANT does not
+    keep the order of keys, so html is first by the names of keys there.
+    """
     keep = [c for c in df.columns if c != column]
-    pages = must_be_list(get(F.col(column), "pdf_info", "variant"), "INVALID_LAYOUT_JSON")
-    rows = df.select(*keep, F.posexplode(pages).alias("position", "page"))
+    is_text = df.schema[column].dataType.typeName() == "string"
+    value, text = (F.try_parse_json(column), F.col(column)) if is_text else (F.col(column), F.to_json(column))
+    pages = must_be_list(get(value, "pdf_info", "variant"), "INVALID_LAYOUT_JSON")
+    rows = df.select(*keep, below_blocks(text).alias("below"), F.posexplode(pages).alias("position", "page"))
     size = get(F.col("page"), "page_size", NUMBERS)
     return rows.select(
         *keep, "position", V.page_index(get(F.col("page"), "page_idx", "int"), F.col("position")).alias("page_index"),
         F.try_element_at(size, F.lit(1)).alias("width"), F.try_element_at(size, F.lit(2)).alias("height"),
         F.coalesce(get(F.col("page"), "para_blocks", ITEMS), get(F.col("page"), "preproc_blocks", ITEMS), F.array().cast(ITEMS)).alias("blocks"),
+        F.get("below", F.col("position")).alias("below"),
     )
 
 
 def page_text_blocks(pages: DataFrame) -> DataFrame:
     """The pages' blocks that have text and a box, one row each."""
-    keep = [c for c in pages.columns if c != "blocks"]
-    rows = pages.select(*keep, F.posexplode("blocks").alias("ordinal", "b"))
+    keep = [c for c in pages.columns if c not in ("blocks", "below")]
+    rows = pages.select(*keep, "below", F.posexplode("blocks").alias("ordinal", "b"))
     b = F.col("b")
     place = G.from_corners(F.coalesce(get(b, "bbox", NUMBERS), children_box(b)))
-    words = F.array_join(fragments(b), "\n")
+    words = F.array_join(F.get("below", F.col("ordinal"))["texts"], "\n")
     return rows.select(
         *keep, "ordinal", words.alias("text"), place.alias("bounding_box"), V.text_or(get(b, "type")).alias("block_type"), V.confidence(get(b, "score", "double")).alias("confidence"),
     ).where((F.col("text") != "") & F.col("bounding_box").isNotNull())
@@ -116,14 +154,14 @@ def page_text_blocks(pages: DataFrame) -> DataFrame:
 
 def page_tables(pages: DataFrame) -> DataFrame:
     """The pages' blocks of type table, with box and html."""
-    keep = [c for c in pages.columns if c != "blocks"]
-    raw = F.filter("blocks", lambda b: get(b, "type") == "table")
-    rows = pages.select(*keep, F.posexplode(raw).alias("table_index", "b"))
-    b = F.col("b")
+    keep = [c for c in pages.columns if c not in ("blocks", "below")]
+    raw = F.filter(F.arrays_zip("blocks", "below"), lambda x: get(x["blocks"], "type") == "table")
+    rows = pages.select(*keep, F.posexplode(raw).alias("table_index", "x"))
+    b = F.col("x.blocks")
     place = F.coalesce(G.from_corners(get(b, "bbox", NUMBERS)), G.from_corners(children_box(b)))
     return rows.select(
         *keep, "table_index", F.format_string("p%d-mineru-t%d", "page_index", "table_index").alias("table_id"), place.alias("bounding_box"),
-        first_html(b).alias("html"), V.confidence(get(b, "score", "double")).alias("confidence"), V.as_int(get(b, "index")).alias("raw_index"),
+        F.col("x.below.html").alias("html"), V.confidence(get(b, "score", "double")).alias("confidence"), V.as_int(get(b, "index")).alias("raw_index"),
     ).where("bounding_box is not null")
 
 

@@ -1,6 +1,7 @@
 """Order-dependent operators against plain Python, and the user-operator machinery."""
 
 import difflib
+import json
 import re
 
 import pytest
@@ -233,3 +234,22 @@ def test_ocr_correction_of_whole_texts(spark, tmp_path):
 
     got = {r.doc_id: r.corrected for r in QUERIES["ocr_correction"](spark, str(tmp_path)).collect()}
     assert got == {i: None if t is None else plain(i, t) for i, t in enumerate(texts)}
+
+
+def test_nested_layout_to_any_depth(spark):
+    """Captions, footnotes, spans without lines, blocks below lines, html under any key, and blocks deeper than three."""
+    deep = {"spans": [{"content": "bottom"}], "other": {"html": " <b>deep</b> "}}
+    for _ in range(40):
+        deep = {"blocks": [deep]}
+    blocks = [
+        {"bbox": [0, 0, 5, 5], "image_caption": [{"content": "caption"}], "image_footnote": {"text": "foot"}},
+        {"bbox": [0, 0, 5, 5], "text": "later", "content": " first ", "lines": [{"blocks": [{"text": "in line"}]}], "spans": [{"text": "direct"}]},
+        {"type": "table", "bbox": [0, 0, 5, 5], "table_footnote": [{"text": "note"}], "table_caption": [{"text": "title"}], "blocks": [deep]},
+        {"type": "table", "bbox": [0, 0, 5, 5], "zzz": [{"html": "<i>1</i>"}], "blocks": [{"html": "<i>2</i>"}], "content": " ", "text": "unread"},
+        "no block",
+    ]
+    rows = spark.createDataFrame([(json.dumps({"pdf_info": [{"para_blocks": blocks}, {"preproc_blocks": []}]}),)], "json string")
+    pages = J.nested_pages(rows)
+    assert [r.text for r in J.page_text_blocks(pages).orderBy("ordinal").collect()] == ["caption\nfoot", "first\nin line\ndirect", "bottom\ntitle\nnote"]
+    assert [r.html for r in J.page_tables(pages).orderBy("table_index").collect()] == ["<b>deep</b>", "<i>1</i>"]
+    assert [r.text for r in J.page_text_blocks(J.nested_pages(J.parsed(rows))).orderBy("ordinal").collect()][2] == "bottom\ntitle\nnote"
