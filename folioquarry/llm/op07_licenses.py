@@ -6,7 +6,7 @@ spaces. Digests of whole canonical texts are joined to the digests of known lice
 pass through the very same expressions. Each line of a text is a text too, so that one-line licence
 notices are found wherever they stand.
 
-The known side is a fixed table (``NOTICES`` and ``TEXTS``, or the caller's), never data, so it is
+The known side is a fixed table (``NOTICES``, ``TEXTS`` and the files in ``licenses``, or the caller's), never data, so it is
 broadcast. No text is shuffled: only ids and digests of matches are.
 
 Defined results: a null or empty text has the digest of the empty canonical text, and no licence;
@@ -15,6 +15,9 @@ a text of copyright lines only is empty too; repeated rows (equal id and text) g
 
 from __future__ import annotations
 
+import re
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,6 +59,32 @@ TEXTS = {
     "0BSD": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.\n\n" + _ISC,
 }
 
+#: Lines of title of the whole texts; texts are known without the first of them too, up to all.
+TITLE_LINES = {"Apache-2.0": 3, "BSD-2-Clause": 1, "BSD-3-Clause": 1, "CC0-1.0": 2, "GPL-2.0": 2, "GPL-3.0": 2, "ISC": 1, "LGPL-2.1": 2, "LGPL-3.0": 2, "MIT": 1, "MPL-2.0": 2, "Unlicense": 1}
+
+
+def whole_texts() -> list[tuple[str, str]]:
+    """(license_id, text) of ``TEXTS`` and of the files in ``licenses``, in the forms in which they are handed on.
+
+    With and without title lines; to the end or to the end of the terms; with and without the line that holds a
+    place for the owner (a filled one is a copyright line); BSD also with bullets, and with a line of rights reserved.
+    """
+    files = sorted((Path(__file__).parent / "licenses").glob("*.txt"))
+    out = []
+    for name, text in [*TEXTS.items(), *((f.stem, f.read_text(encoding="utf-8")) for f in files)]:
+        lines = [x for x in text.split("\n") if x.strip()]
+        bodies = [lines, [x for x in lines if "[yyyy]" not in x]]
+        ends = [i for i, x in enumerate(lines) if x.strip() == "END OF TERMS AND CONDITIONS"]
+        bodies += [lines[: i + more] for i in ends[:1] for more in (0, 1)]
+        titles = TITLE_LINES.get(name, 0)
+        forms = [body[k:] for body in bodies for k in range(titles + 1)]
+        if name.startswith("BSD"):
+            forms += [[re.sub(r"^[0-9]\. ", "* ", x) for x in form] for form in forms]
+            forms += [[*form[:k], "All rights reserved.", *form[k:]] for form in forms for k in [int(form[0].startswith("BSD"))]]
+        out += [(name, "\n".join(form)) for form in forms]
+    return sorted(set(out))
+
+
 #: (pattern, replacement) on lower-case text: spellings that licence readers treat as one.
 SPELLINGS = (
     (r"https?://", " "), (r"licence", "license"), (r"sub[- ]license", "sublicense"), (r"non[- ]?infringement", "noninfringement"),
@@ -78,9 +107,9 @@ def canonical_lines(text: Column) -> Column:
     return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), form), lambda x: x != "")
 
 
-def known_licenses(spark: SparkSession, notices=NOTICES, texts=TEXTS) -> DataFrame:
-    """(digest, license_id) of the known texts, through the same expressions as the data."""
-    rows = [(name, t) for name, ts in notices.items() for t in ts] + list(texts.items())
+def known_licenses(spark: SparkSession, notices=NOTICES, texts=None) -> DataFrame:
+    """(digest, license_id) of the known texts (``whole_texts`` unless given), through the same expressions as the data."""
+    rows = [(name, t) for name, ts in notices.items() for t in ts] + (whole_texts() if texts is None else list(texts.items()))
     known = spark.createDataFrame(rows, "license_id string, text string")
     digest = F.sha2(F.array_join(canonical_lines(F.col("text")), " "), 256)
     return known.select(digest.alias("digest"), "license_id").groupBy("digest").agg(F.min("license_id").alias("license_id"))

@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -270,6 +271,21 @@ def test_licenses(spark):
     assert got == {1: ("MIT", ""), 2: ("MIT", ""), 3: (None, ""), 4: (None, "MIT"), 5: (None, "")}
 
 
+def test_whole_licenses(spark):
+    """Every licence file, with a copyright line, without title, without line breaks; and an Apache licence with its owner."""
+    texts = {f.stem: f.read_text(encoding="utf-8") for f in Path(op07_licenses.__file__).parent.glob("licenses/*.txt")} | {"MIT": op07_licenses.TEXTS["MIT"]}
+    assert {"Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0", "Unlicense"} <= set(texts)
+    forms = []
+    for name, text in texts.items():
+        untitled = "\n".join([x for x in text.split("\n") if x.strip()][op07_licenses.TITLE_LINES[name] :])
+        forms += [(name, text), (name, "Copyright (c) 2020 Someone\n" + text.upper()), (name, untitled)]
+    forms.append(("Apache-2.0", texts["Apache-2.0"].replace("[yyyy] [name of copyright owner]", "2020 Someone")))
+    forms.append(("BSD-3-Clause", "Copyright 2020 Someone\nAll rights reserved.\n" + "\n".join(texts["BSD-3-Clause"].split("\n")[1:])))
+    forms.append((None, texts["GPL-3.0"].replace("patent", "")))
+    got = {r.doc_id: r.license_id for r in op07_licenses.scan_licenses(documents(spark, [(i, t, None, None) for i, (_, t) in enumerate(forms)])).collect()}
+    assert [got[i] for i in range(len(forms))] == [name for name, _ in forms]
+
+
 def test_shards_by_force(spark):
     shards, size = [f"s{i}" for i in range(7)], 101
     table = op08_sharding.fill_table(shards, size)
