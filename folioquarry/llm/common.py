@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: A word, as every contract of this subpackage has it.
 WORD = r"[^\x20\x09-\x0D]+"
-#: Rows up to which the small side of a join may be broadcast; above it the join shuffles.
+#: Rows and bytes up to which the small side of a join may be broadcast; above either the join shuffles.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 16 << 20
+#: What a batch of rows may hold on its way to a Python worker, unless the session says otherwise.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,9 +74,61 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             at.getFileSystem(conf).delete(at, True)
 
 
-def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``df``, marked for broadcast only if it has at most ``limit`` rows; ``df`` must be cheap to count."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+def mapped(df: DataFrame, work, schema) -> DataFrame:
+    """``df.mapInArrow(work, schema)`` in batches of few megabytes, so that what JVM and worker hold of a task is bounded.
+
+    A batch has one row at least, so a text longer than the bound is a batch of its own. Workers outlive their tasks:
+    what a task has used is given back to the system at its end, so that idle workers hold nothing of it.
+    """
+    conf = df.sparkSession.conf
+    for key, value in BATCHES.items():
+        if conf.get(key, None) is None:
+            conf.set(key, value)
+
+    def run(batches):
+        import pyarrow as pa
+
+        pa.set_memory_pool(pa.system_memory_pool())  # one that can be trimmed
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    return df.mapInArrow(run, schema)
+
+
+def give_back() -> None:
+    """Returns freed memory of this process to the system, where the C library can."""
+    gc.collect()
+    with suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def bytes_of(df: DataFrame) -> Column:
+    """Bytes of a row as it is broadcast, from the types of its columns and the lengths of its texts and arrays."""
+
+    def of(value: Column, kind: T.DataType) -> Column:
+        if isinstance(kind, T.StructType):
+            return reduce(lambda a, f: a + of(value[f.name], f.dataType), kind.fields, F.lit(16))
+        if isinstance(kind, (T.StringType, T.BinaryType)):
+            return F.coalesce(F.octet_length(value), F.lit(0)) + 16
+        if isinstance(kind, T.ArrayType):
+            if isinstance(kind.elementType, (T.StringType, T.BinaryType, T.ArrayType, T.StructType, T.MapType)):
+                each = F.aggregate(value, F.lit(0), lambda a, x: a + of(x, kind.elementType))
+            else:
+                each = F.size(value) * 16
+            return F.coalesce(each, F.lit(0)) + 16
+        if isinstance(kind, T.MapType):
+            return of(F.map_entries(value), T.ArrayType(T.StructType([T.StructField("key", kind.keyType), T.StructField("value", kind.valueType)])))
+        return F.lit(16)
+
+    return reduce(lambda a, f: a + of(F.col(f"`{f.name}`"), f.dataType).cast("long"), df.schema.fields, F.lit(0).cast("long"))
+
+
+def small(df: DataFrame, limit: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """``df``, marked for broadcast only if it has at most ``limit`` rows and about ``size`` bytes; ``df`` must be cheap to read."""
+    rows, total = df.limit(limit + 1).select(bytes_of(df).alias("b")).agg(F.count("*"), F.sum("b")).first()
+    return F.broadcast(df) if rows <= limit and (total or 0) <= size else df
 
 
 def code_points(text: Column) -> Column:

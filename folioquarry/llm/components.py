@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import scratch, written
+from .common import scratch, small, written
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -14,7 +14,9 @@ def components(edges: DataFrame) -> DataFrame:
     Each round replaces the edges by ones to least neighbours: a node's greater neighbours, and then
     its lesser ones, are tied to the least of all. Rounds grow with the logarithm of the longest
     path; a round sends each edge twice, minima are reduced before they shuffle, and no node's
-    neighbours are gathered. Each round is written, so a lost executor costs one round at most.
+    neighbours are gathered: minima are written first, so few of them are broadcast, and where they are many
+    both sides of the join are dealt anew and Spark splits the edges of a node that has too many.
+    Each round is written, so a lost executor costs one round at most.
     """
     with scratch(edges.sparkSession):
         stars = written(_stars(edges), keep=True)
@@ -28,15 +30,14 @@ def _stars(edges: DataFrame) -> DataFrame:
     while True:
         # large star: greater neighbours to the least neighbour
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        least = small(written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))))
         large = both.where("v > u").join(least, "u").select(F.col("m").alias("a"), F.col("v").alias("b")).distinct()
         large = written(large)
         # small star: lesser neighbours and the node itself to the least neighbour
-        least = large.groupBy(F.col("b").alias("u")).agg(F.min("a").alias("m"))
-        small = large.select(F.col("b").alias("u"), F.col("a").alias("v")).join(least, "u")
-        small = written(small.select(F.col("m").alias("a"), F.col("v").alias("b")).union(least.select("m", "u")).where("a <> b").distinct())
-        # done when no node is both a head and a member: all are stars
-        if small.select(F.col("a").alias("n")).join(small.select(F.col("b").alias("n")), "n", "left_semi").isEmpty() and small.count() == small.select("b").distinct().count():
-            break
-        edges = small
-    return small
+        least = small(written(large.groupBy(F.col("b").alias("u")).agg(F.min("a").alias("m"))))
+        tied = large.select(F.col("b").alias("u"), F.col("a").alias("v")).join(least, "u")
+        edges = written(tied.select(F.col("m").alias("a"), F.col("v").alias("b")).union(least.select("m", "u")).where("a <> b").distinct())
+        # done when no node is both a head and a member, nor a member twice: all are stars
+        ends = edges.select("b").union(edges.select("a").distinct())
+        if ends.groupBy("b").count().where("count > 1").isEmpty():
+            return edges

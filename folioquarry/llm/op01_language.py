@@ -8,7 +8,10 @@ Prediction is a map without a shuffle: a matrix of one row per machine is all th
 
 Defined results: null texts and texts without a letter are ``und`` with score 0; null labels and null
 ids are not learned from but are predicted; repeated rows get a row each; without any labelled text
-every prediction is ``und``; with one language only, that language with score 1.
+every prediction is ``und``; with one language only, that language with score 1; of labels that win as many
+duels the surer one is taken, then the first by code point; an empty table gives no rows; a text of any length
+is read whole, in blocks; further columns are kept, but ``lang_pred`` and ``score`` are replaced. More labels than
+``most_labels`` are refused: each costs the driver ``per_language`` vectors and tasks a machine per pair of its family.
 """
 
 from __future__ import annotations
@@ -20,11 +23,11 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import mapped, written
 from .wordhash import SEPARATOR, blocks, byte_rows, word_hashes
 
 DIMENSIONS = 1 << 12
-PER_LANGUAGE = 400
+PER_LANGUAGE, MOST_LABELS = 400, 64
 #: The constant feature of the machines, and the scale at which vectors are sent.
 BIAS, SCALE = 0.3, 65_535
 UNDETERMINED = "und"
@@ -111,13 +114,13 @@ class Duels:
     weights: np.ndarray
 
     @classmethod
-    def fit(cls, x: np.ndarray, labels: np.ndarray) -> Duels:
-        """``labels`` are those of the rows of x; rows of label "" take no part."""
-        names = sorted(set(labels) - {""})
+    def fit(cls, x: np.ndarray, labels: np.ndarray, of: np.ndarray) -> Duels:
+        """``labels`` of the rows ``of`` x."""
+        names = sorted(set(labels))
         pairs, machines = list(combinations(range(len(names)), 2)), []
         for a, b in pairs:
-            rows = np.flatnonzero((labels == names[a]) | (labels == names[b]))
-            machines.append(fit_machine(x, rows, np.where(labels[rows] == names[a], 1.0, -1.0)))
+            some = (labels == names[a]) | (labels == names[b])
+            machines.append(fit_machine(x, of[some], np.where(labels[some] == names[a], 1.0, -1.0)))
         return cls(names, pairs, np.array(machines).reshape(len(pairs), DIMENSIONS + 1))
 
     def decide(self, v: np.ndarray) -> tuple[str, float]:
@@ -143,9 +146,9 @@ class LanguageModel:
     def fit(cls, x: np.ndarray, labels: list[str]) -> LanguageModel:
         if not labels:
             return cls(None, {})
-        langs = np.array(labels)
+        langs, rows = np.array(labels), np.arange(len(labels))
         family = np.array([FAMILY_OF.get(lang, lang) for lang in labels])
-        return cls(Duels.fit(x, family), {f: Duels.fit(x, np.where(family == f, langs, "")) for f in sorted(set(family))})
+        return cls(Duels.fit(x, family, rows), {f: Duels.fit(x, langs[family == f], rows[family == f]) for f in sorted(set(family))})
 
     def predict(self, data: np.ndarray | None) -> tuple[str, float]:
         if self.families is None or not has_letter(data):
@@ -169,10 +172,12 @@ def _vectors(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(vectors, pa.binary())], names=["lang", "vector"])
 
 
-def learn(docs: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel:
+def learn(docs: DataFrame, per_language: int = PER_LANGUAGE, most_labels: int = MOST_LABELS) -> LanguageModel:
     """Fits on at most ``per_language`` texts of each label, those least by a hash of id and text."""
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().limit(most_labels + 1).collect()}
+    if len(counts) > most_labels:
+        raise ValueError(f"more than {most_labels} labels to learn; clean them, or raise most_labels")
     if not counts:
         return LanguageModel.fit(np.empty((0, DIMENSIONS)), [])
     # a share by hash of about three times what is wanted keeps the ranking small; no sort of all rows
@@ -183,14 +188,14 @@ def learn(docs: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel:
     drawn = labelled.where(F.pmod(place, F.lit(1_000_000)) < share * 1_000_000).select("lang", "text", place.alias("place"), F.xxhash64("text").alias("h"))
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("place", "h"))
     chosen = drawn.withColumn("nth", nth).where(F.col("nth") <= per_language).select("lang", "text")
-    sent = written(chosen.mapInArrow(_vectors, "lang string, vector binary")).orderBy("lang", "vector")
+    sent = written(mapped(chosen, _vectors, "lang string, vector binary")).orderBy("lang", "vector")
     labels, x = [], np.zeros((sum(min(n, per_language) for n in counts.values()), DIMENSIONS), dtype=np.float32)
     for r in sent.toLocalIterator():
         x[len(labels)] = np.frombuffer(r["vector"], dtype=np.uint16)
-        labels.append(r["lang"] if x[len(labels)].any() else "")
+        if x[len(labels)].any():  # else the row is filled anew: a text without a letter teaches nothing
+            labels.append(r["lang"])
     x /= SCALE
-    taught = np.array(labels) != ""
-    return LanguageModel.fit(x[: len(labels)] if taught.all() else x[: len(labels)][taught], [lang for lang in labels if lang])
+    return LanguageModel.fit(x[: len(labels)], labels)
 
 
 def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
@@ -207,7 +212,7 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*names, "lang_pred", "score"])
 
     schema = docs.select(*names).withColumn("lang_pred", F.lit("")).withColumn("score", F.lit(0.0)).schema
-    return docs.select(*names).mapInArrow(run, schema)
+    return mapped(docs.select(*names), run, schema)
 
 
 def language_rows(docs: DataFrame) -> DataFrame:

@@ -22,10 +22,13 @@ to. Of two documents still apart the one that comes first always queries the oth
 already connected are left out, so components stay exact. This is done for a few blocks, then for sixteen
 times as many, and so on, as most documents find their component early.
 
-Skew. Equal sets are one node, so a text of which there are many copies is dealt once; the rows of a part
-are streamed in sorted order, never gathered; a query's tokens are held one document at a time and a block's are
+Skew. Equal sets are one node, so a text of which there are many copies is dealt once; documents of a batch that share
+a part are tied to one of them before the shuffle; the rows of a part are streamed in sorted order, never gathered; a
+block that many ask is replicated; a query's tokens are held one document at a time and a block's are
 bounded. Defined results: null or empty texts have an empty set and link to nothing; rows with a null
-id are their own row with a null component; rows with one id are one node.
+id are their own row with a null component; rows with one id are one node; repeated rows get a row each; an empty
+table gives no rows; a text of any length is hashed whole, in blocks; columns but ``doc_id`` and ``text`` are not read.
+Ids that are no integers are refused.
 """
 
 from __future__ import annotations
@@ -34,10 +37,10 @@ import math
 from fractions import Fraction
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import scratch, small, written
+from .common import mapped, scratch, small, written
 from .components import components
 from .wordhash import byte_rows, mix, shingle_hashes, word_hashes
 
@@ -45,7 +48,9 @@ BLOCK = 64
 #: Distinct sets that a task remembers in order to deal equal ones once.
 REMEMBERED = 200_000
 #: Ids (two longs at most) up to which a list of documents may be broadcast; beyond it the join shuffles.
-BROADCAST_IDS = 1_000_000
+BROADCAST_IDS = 500_000
+#: Queries of a block that go to one task; a block with more is replicated.
+ASKERS = 1_000
 
 
 def size_classes(percent: int, up_to: int) -> np.ndarray:
@@ -117,7 +122,11 @@ def _sizes(words: int):
 
 
 def _parts(words: int, percent: int):
-    """(doc_id, text) -> (part, doc_id), one row per part of a set that is new to the task."""
+    """(doc_id, text) -> (part, doc_id, tied), one row per part of a set that is new to the task.
+
+    Of documents of a batch that share a part only the least (tied is null) goes on to meet those of other batches;
+    the rest are tied to it, so a part that a third of all documents have is one row a batch.
+    """
 
     def run(batches):
         import pyarrow as pa
@@ -125,7 +134,7 @@ def _parts(words: int, percent: int):
         seen: set[tuple[int, int]] = set()
         least = size_classes(percent, 1 << 14)
         for batch in batches:
-            dealt = []
+            ids, dealt = batch.column(0).to_numpy(), []
             for i, data in enumerate(byte_rows(batch.column(1))):
                 tokens = shingle_set(data, words)
                 digest = _digest(tokens)
@@ -136,50 +145,51 @@ def _parts(words: int, percent: int):
                 if len(tokens) >= least[-1]:
                     least = size_classes(percent, 2 * len(tokens))
                 dealt.append((i, part_digests(tokens, percent, least)))
-            for at in range(0, len(dealt), 64):
-                some = dealt[at : at + 64]
-                owner = pa.array(np.repeat([i for i, _ in some], [len(p) for _, p in some]))
-                parts = pa.array(np.concatenate([p for _, p in some]).view(np.int64))
-                yield pa.RecordBatch.from_arrays([parts, batch.column(0).take(owner)], names=["part", "doc_id"])
+            if not dealt:
+                continue
+            part = np.concatenate([p for _, p in dealt]).view(np.int64)
+            doc = np.repeat(ids[[i for i, _ in dealt]], [len(p) for _, p in dealt])
+            order = np.lexsort((doc, part))
+            part, doc = part[order], doc[order]
+            first = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
+            head = np.repeat(doc[first], np.diff(np.append(first, len(part))))
+            new = np.concatenate(([True], (part[1:] != part[:-1]) | (doc[1:] != doc[:-1])))
+            tied = pa.array(head[new], mask=(head == doc)[new])
+            yield pa.RecordBatch.from_arrays([pa.array(part[new]), pa.array(doc[new]), tied], names=["part", "doc_id", "tied"])
 
     return run
 
 
 def _met(batches):
-    """Sorted (part, doc_id) -> (part, doc_id, head) for parts with more documents than one, head being the least; streamed."""
+    """Sorted (part, doc_id, tied) -> (part, doc_id, head, tied) for parts with more documents than one, head being the least; streamed.
+
+    Rows tied within their batch pass unchanged, with the document that they are tied to as their head.
+    """
     import pyarrow as pa
 
-    held: tuple[int, int, bool] | None = None  # part, head, whether the head was sent
+    def out(part, doc, head, tied: bool):
+        return pa.RecordBatch.from_arrays([pa.array(part), pa.array(doc), pa.array(head), pa.array(np.full(len(part), tied))], names=["part", "doc_id", "head", "tied"])
+
+    held_part, held_head, shown = None, None, False  # the part of the last row, its least document, and whether that was sent
     for batch in batches:
-        part = batch.column(0).to_numpy()
-        doc = batch.column(1).to_numpy()
+        bound = batch.column(2).is_valid().to_numpy(zero_copy_only=False)
+        part, doc = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        if bound.any():
+            yield out(part[bound], doc[bound], batch.column(2).filter(pa.array(bound)).to_numpy(), True)
+            part, doc = part[~bound], doc[~bound]
         if not len(part):
             continue
-        fresh = np.concatenate(([held is None or part[0] != held[0]], part[1:] != part[:-1]))
-        starts = np.flatnonzero(fresh)
-        run = np.cumsum(fresh) - 1
-        heads = doc[starts] if len(starts) else np.empty(0, doc.dtype)
-        head = np.where(run >= 0, heads[np.maximum(run, 0)], 0) if len(heads) else np.zeros(len(doc), doc.dtype)
-        if held is not None and run[0] < 0:
-            head[run < 0] = held[1]
+        first = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
+        sizes = np.diff(np.append(first, len(part)))
+        heads, sent = doc[first].copy(), np.zeros(len(first), dtype=bool)
+        if part[0] == held_part:  # the first run goes on from the batch before
+            heads[0], sent[0] = held_head, shown
+        head = np.repeat(heads, sizes)
         other = doc != head
-        alone = np.ones(len(starts), dtype=bool)
-        with_other = np.unique(run[other])
-        alone[with_other[with_other >= 0]] = False
-        out_part, out_doc, out_head = [part[other]], [doc[other]], [head[other]]
-        sent = starts[~alone]
-        out_part.append(part[sent])
-        out_doc.append(doc[sent])
-        out_head.append(doc[sent])
-        if held is not None and not held[2] and bool((other & (run < 0)).any()):
-            out_part.append(np.array([held[0]]))
-            out_doc.append(np.array([held[1]]))
-            out_head.append(np.array([held[1]]))
-        last_sent = (held[2] if held else False) or bool((other & (run < 0)).any()) if run[-1] < 0 else not alone[-1]
-        held = (part[-1], head[-1], last_sent)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(out_part)), pa.array(np.concatenate(out_doc)), pa.array(np.concatenate(out_head))], names=["part", "doc_id", "head"]
-        )
+        met = np.logical_or.reduceat(other, first)  # runs in which someone meets the head
+        now = met & ~sent
+        yield out(np.concatenate([part[other], part[first[now]]]), np.concatenate([doc[other], heads[now]]), np.concatenate([head[other], heads[now]]), False)
+        held_part, held_head, shown = part[-1], heads[-1], bool(met[-1] or sent[-1])
 
 
 def _tokens(words: int):
@@ -219,7 +229,7 @@ class Matrix:
 
 
 def _links(percent: int):
-    """Rows (head, block, query, doc_id, tokens), members before queries, sorted by block -> links (a, b)."""
+    """Rows (head, block, query, doc_id, tokens, copy), members before queries, sorted by copy of a block -> links (a, b)."""
 
     def run(batches):
         import pyarrow as pa
@@ -227,10 +237,10 @@ def _links(percent: int):
         key, ids, sets, matrix = None, [], [], None
         for batch in batches:
             a, b = [], []
-            heads, blocks_, query, doc = (batch.column(k).to_pylist() for k in range(4))
+            heads, blocks_, query, doc, copies = (batch.column(k).to_pylist() for k in (0, 1, 2, 3, 5))
             for i in range(len(doc)):
-                if (heads[i], blocks_[i]) != key:
-                    key, ids, sets, matrix = (heads[i], blocks_[i]), [], [], None
+                if (heads[i], blocks_[i], copies[i]) != key:
+                    key, ids, sets, matrix = (heads[i], blocks_[i], copies[i]), [], [], None
                 tokens = np.frombuffer(batch.column(4)[i].as_buffer(), dtype=np.uint64)
                 if not query[i]:
                     ids.append(doc[i])
@@ -254,31 +264,54 @@ def jaccard_components(docs: DataFrame, words: int = 3, percent: int = 90) -> Da
 
 def _components(docs: DataFrame, words: int, percent: int) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
-    sizes = written(texts.mapInArrow(_sizes(words), "doc_id bigint, text_hash bigint, n bigint, hi bigint, lo bigint"))
+    sizes = written(mapped(texts, _sizes(words), "doc_id bigint, text_hash bigint, n bigint, hi bigint, lo bigint"))
     # equal sets are one node, the least id's; the others are not dealt
     equal = sizes.where("n > 0 and doc_id is not null").groupBy("n", "hi", "lo").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
     equal = small(written(equal.where("copies > 1").drop("copies")))
     nodes = written(sizes.join(equal, ["n", "hi", "lo"], "left").select("doc_id", "text_hash", "n", "first"))
     copies = small(nodes.where("first <> doc_id").select("doc_id", "text_hash").distinct(), BROADCAST_IDS)
     own = texts.where("doc_id is not null").join(copies, ["doc_id", "text_hash"], "left_anti").select("doc_id", "text")
-    dealt = own.mapInArrow(_parts(words, percent), "part bigint, doc_id bigint").repartition("part").sortWithinPartitions("part", "doc_id")
-    met = written(dealt.mapInArrow(_met, "part bigint, doc_id bigint, head bigint"))
+    dealt = mapped(own, _parts(words, percent), "part bigint, doc_id bigint, tied bigint")
+    # rows that are tied already are spread, as nothing of a part has to meet there
+    dealt = dealt.repartition("part", F.when(F.col("tied").isNull(), F.lit(-1)).otherwise(F.pmod("doc_id", F.lit(64)))).sortWithinPartitions("part", "doc_id")
+    met = written(mapped(dealt, _met, "part bigint, doc_id bigint, head bigint, tied boolean"))
+    free, tied = met.where("not tied").drop("tied"), met.where("tied").alias("t")
+    at = tied.join(free.alias("f"), (F.col("t.part") == F.col("f.part")) & (F.col("t.head") == F.col("f.doc_id")), "left")
+    at = at.select("t.part", F.col("t.doc_id").alias("doc_id"), F.col("t.head").alias("near"), F.coalesce("f.head", "t.head").alias("head"))
+    heads = at.where("near = head").select("part", F.col("near").alias("doc_id"), "head").distinct()
+    met = written(free.unionByName(at.drop("near")).unionByName(heads))
     # a document's group is the least head it met; groups beyond BLOCK are cut by hash
-    home = met.groupBy("doc_id").agg(F.min("head").alias("home"))
-    count = home.groupBy("home").count()
-    block = F.when(F.col("count") > BLOCK, F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("count") / BLOCK))).otherwise(0).cast("int")
-    home = written(home.join(count, "home").select("doc_id", "home", block.alias("block")))
-    tokens = written(own.join(small(home.select("doc_id"), BROADCAST_IDS), "doc_id", "left_semi").mapInArrow(_tokens(words), "doc_id bigint, tokens binary"))
+    home = written(met.groupBy("doc_id").agg(F.min("head").alias("home")))
+    count = small(written(home.groupBy("home").count().where(F.col("count") > BLOCK)))
+    block = F.coalesce(F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("count") / BLOCK)), F.lit(0)).cast("int")
+    home = written(home.join(count, "home", "left").select("doc_id", "home", block.alias("block")))
+    grouped = own.join(small(home.select("doc_id"), BROADCAST_IDS), "doc_id", "left_semi")
+    tokens = written(mapped(grouped, _tokens(words), "doc_id bigint, tokens binary"))
     members = met.select("part", "doc_id").join(home.select("doc_id", "home"), "doc_id")
     groups = members.select("part", "home").distinct()
     asked = written(members.select("part", "doc_id").join(groups, "part").select("doc_id", "home").distinct())
 
     def verified(queries: DataFrame) -> DataFrame:
-        members = home.join(queries.select("home", "block").distinct(), ["home", "block"], "left_semi")
-        rows = members.select("doc_id", "home", "block", F.lit(0).alias("query")).unionByName(queries.select("doc_id", "home", "block", F.lit(1).alias("query")))
-        full = rows.join(tokens, "doc_id").select("home", "block", "query", "doc_id", "tokens")
-        sorted_ = full.repartition("home", "block").sortWithinPartitions("home", "block", "query")
-        return sorted_.mapInArrow(_links(percent), "a bigint, b bigint")
+        """Links of the queries (doc_id, home, block) to members of their blocks; a block of many queries is replicated for each thousand of them."""
+        asking = written(queries.groupBy("home", "block").agg(F.ceil(F.count("*") / ASKERS).cast("int").alias("copies")))
+        many = small(written(asking.where("copies > 1")))
+        copy = F.pmod(F.xxhash64("doc_id"), F.coalesce("copies", F.lit(1))).cast("int")
+        spread = queries.join(many, ["home", "block"], "left").select("doc_id", "home", "block", copy.alias("copy"), F.lit(1).alias("query"))
+        members = home.join(asking, ["home", "block"]).select("doc_id", "home", "block", F.explode(F.expr("sequence(0, copies - 1)")).alias("copy"), F.lit(0).alias("query"))
+        full = members.unionByName(spread).join(tokens, "doc_id").select("home", "block", "query", "doc_id", "tokens", "copy")
+        sorted_ = full.repartition("home", "block", "copy").sortWithinPartitions("home", "block", "copy", "query")
+        return mapped(sorted_, _links(percent), "a bigint, b bigint")
+
+    def two_greatest(placed: DataFrame, *of: str) -> DataFrame:
+        """(of..., first, second): the greatest order of all and the greatest of another component, of each group."""
+        one = placed.groupBy(*of, "component").agg(F.max("order").alias("order"))
+        place = F.row_number().over(Window.partitionBy(*of).orderBy(F.col("order").desc(), F.col("component").desc()))
+        top = one.withColumn("place", place).where("place <= 2").groupBy(*of).agg(F.array_sort(F.collect_list(F.struct("place", "order", "component"))).alias("top"))
+        return top.select(*of, F.col("top")[0].alias("first"), F.try_element_at("top", F.lit(2))["order"].alias("second"))
+
+    def comes_before(top: str) -> Column:
+        """Whether a query comes before the greatest that it is not connected to."""
+        return F.col("q.order") < F.when(F.col(f"{top}.first.component") == F.col("q.component"), F.col(f"{top}.second")).otherwise(F.col(f"{top}.first.order"))
 
     links = written(verified(asked.withColumn("block", F.lit(0))))
     last = home.agg(F.max("block")).first()[0] or 0
@@ -293,13 +326,12 @@ def _components(docs: DataFrame, words: int, percent: int) -> DataFrame:
             placed = ranked.withColumn("component", F.col("order.component"))
         else:
             placed = written(ranked.join(of, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id")))
-        # the greatest of a block, and the greatest of those that are not in its component by now
-        opened = placed.where(F.col("block").between(begin, begin + width - 1)).groupBy("home", "block", "component").agg(F.max("order").alias("order"))
-        opened = opened.groupBy("home", "block").agg(F.slice(F.sort_array(F.collect_list(F.struct("order", "component")), False), 1, 2).alias("top"))
-        opened = opened.select("home", "block", F.col("top")[0].alias("first"), F.try_element_at("top", F.lit(2))["order"].alias("second"))
+        opened = placed.where(F.col("block").between(begin, begin + width - 1))
         asking = asked.join(placed.select("doc_id", "order", "component"), "doc_id").alias("q")
-        greatest = F.when(F.col("o.first.component") == F.col("q.component"), F.col("o.second")).otherwise(F.col("o.first.order"))
-        queries = asking.join(opened.alias("o"), (F.col("q.home") == F.col("o.home")) & (F.col("q.order") < greatest))
+        # first by what a group as a whole has to offer, which leaves few queries where most are connected; then block by block
+        groups_ = small(written(two_greatest(opened, "home"))).alias("g")
+        some = written(asking.join(groups_, (F.col("q.home") == F.col("g.home")) & comes_before("g")).select("q.*")).alias("q")
+        queries = some.join(small(written(two_greatest(opened, "home", "block"))).alias("o"), (F.col("q.home") == F.col("o.home")) & comes_before("o"))
         links = written(links.unionByName(verified(written(queries.select("q.doc_id", "q.home", "o.block")))))
         begin, width = begin + width, width * 16
     edges = links.select("a", "b").union(nodes.where("first <> doc_id").select("first", "doc_id"))

@@ -18,18 +18,18 @@ splits where skewed. A document is worked as one row, as its text is.
 
 Defined results: a null text stays null; null ids come last in order; rows equal in id and text are one
 document in several rows, and are edited alike; blank lines between deleted lines go with them; a text
-whose lines are all deleted becomes empty. Lines are told apart by a 64-bit hash and their length.
+whose lines are all deleted becomes empty; an empty table gives no rows; a text of any length is edited whole;
+further columns are kept, whatever their names, but ``removed_lines`` is replaced. Lines are told apart by a
+64-bit hash and their length.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .common import scratch, small, written
+from .common import mapped, scratch, small, written
 from .wordhash import SEPARATOR, blocks, byte_rows, runs, span_hashes
 
 MIN_WORDS = 50
@@ -151,13 +151,12 @@ def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, text_hash, starts, ends): line ranges to delete, for documents that have any."""
     kind = dict(docs.dtypes)["doc_id"]
     keyed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    lines = keyed.mapInArrow(_lines, f"doc_id {kind}, text_hash bigint, seq int, line_no int, hash bigint, bytes bigint, words int")
-    lines = written(lines)
+    lines = written(mapped(keyed, _lines, f"doc_id {kind}, text_hash bigint, seq int, line_no int, hash bigint, bytes bigint, words int"))
     repeated = lines.groupBy("hash", "bytes").count().where("count > 1").drop("count")
     named = lines.join(ranked(repeated, "hash", "bytes"), ["hash", "bytes"])
     line = F.struct("seq", "line_no", "rank", "words")
     sequences = named.groupBy(*KEY).agg(F.array_sort(F.collect_set(line)).alias("lines"))
-    found = written(sequences.mapInArrow(_pieces(min_words), f"doc_id {kind}, text_hash bigint, kind int, seq int, first int, n int, to int, rank bigint"))
+    found = written(mapped(sequences, _pieces(min_words), f"doc_id {kind}, text_hash bigint, kind int, seq int, first int, n int, to int, rank bigint"))
     whole = found.where("kind = 1")
     longest = whole.agg(F.max("n")).first()[0] or 1
     place = whole.where("n = 1").select(*KEY, "seq", "first", "n", "to", F.col("rank").alias("a"), F.col("rank").alias("b"))
@@ -190,18 +189,31 @@ def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     )
 
 
-@F.pandas_udf(T.StructType().add("text", T.StringType()).add("removed", T.LongType()))
-def _without(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.DataFrame:
-    kept, removed = [], []
-    for text, a, b in zip(texts, starts, ends, strict=True):
-        lines = text.split("\n")
-        step = np.zeros(len(lines) + 1, dtype=np.int64)
-        np.add.at(step, np.asarray(a), 1)
-        np.add.at(step, np.asarray(b), -1)
-        gone = np.cumsum(step[:-1]) > 0
-        kept.append("\n".join(x for x, g in zip(lines, gone, strict=True) if not g))
-        removed.append(sum(1 for x, g in zip(lines, gone, strict=True) if g and not all(c in " \t\n\v\f\r" for c in x)))
-    return pd.DataFrame({"text": kept, "removed": removed})
+def without_ranges(text: str, starts: np.ndarray, ends: np.ndarray) -> tuple[str, int]:
+    """A text without some ranges of its lines, and how many of these held a word."""
+    lines = text.split("\n")
+    step = np.zeros(len(lines) + 1, dtype=np.int64)
+    np.add.at(step, starts, 1)
+    np.add.at(step, ends, -1)
+    gone = np.cumsum(step[:-1]) > 0
+    removed = sum(1 for x, g in zip(lines, gone, strict=True) if g and not all(c in " \t\n\v\f\r" for c in x))
+    return "\n".join(x for x, g in zip(lines, gone, strict=True) if not g), removed
+
+
+def _edited(at: int):
+    """(row, starts, ends) -> the row's columns with the text (column ``at``) edited, and the lines removed."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            row = batch.column(0)
+            columns = row.flatten()
+            done = [without_ranges(t, np.asarray(a), np.asarray(b)) for t, a, b in zip(columns[at].to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            columns[at] = pa.array([d[0] for d in done], columns[at].type)
+            yield pa.RecordBatch.from_arrays([*columns, pa.array([d[1] for d in done], pa.int64())], names=[*(f.name for f in row.type), "removed_lines"])
+
+    return run
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -214,6 +226,5 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     keyed = docs.select(F.struct(*columns).alias("row"), F.xxhash64("text").alias("text_hash")).alias("d")
     on = F.col("d.row.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("d.text_hash") == F.col("c.text_hash"))
     kept = keyed.join(cuts.alias("c"), on, "left_anti").select("row.*", F.lit(0).cast("bigint").alias("removed_lines"))
-    edited = keyed.join(cuts.alias("c"), on).select("d.row", _without("d.row.text", "c.starts", "c.ends").alias("new"))
-    edited = edited.select(*[F.col("new.text").alias("text") if c == "text" else F.col(f"row.{c}") for c in columns], F.col("new.removed").alias("removed_lines"))
-    return kept.unionByName(edited)
+    hit = keyed.join(cuts.alias("c"), on).select("d.row", "c.starts", "c.ends")
+    return kept.unionByName(mapped(hit, _edited(columns.index("text")), kept.schema))

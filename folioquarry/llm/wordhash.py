@@ -25,16 +25,17 @@ _tables: list[np.ndarray] = []
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse, at least ``n`` of each."""
-    if not _tables or len(_tables[0]) < n:
-        size = max(BLOCK, 1 << (n - 1).bit_length())
-        inverse = np.uint64(pow(int(_P), -1, 1 << 64))
-        _tables[:] = []
-        for base in (_P, inverse):
-            powers = np.full(size, base, dtype=np.uint64)
-            powers[0] = 1
-            _tables.append(np.cumprod(powers, dtype=np.uint64))
-    return _tables[0][:n], _tables[1]
+    """Powers of the base and of its inverse, at least ``n`` of each; those of a block are kept, longer ones are not."""
+    if _tables and n <= len(_tables[0]):
+        return _tables[0][:n], _tables[1]
+    found = []
+    for base in (_P, np.uint64(pow(int(_P), -1, 1 << 64))):
+        powers = np.full(max(BLOCK + 1, n), base, dtype=np.uint64)
+        powers[0] = 1
+        found.append(np.cumprod(powers, dtype=np.uint64))
+    if n <= BLOCK + 1:
+        _tables[:] = found
+    return found[0][:n], found[1]
 
 
 def mix(h: np.ndarray) -> np.ndarray:
