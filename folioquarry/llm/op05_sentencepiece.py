@@ -3,18 +3,21 @@
 The model is a byte-pair model with byte fallback. An encoding is a path through the lattice of the
 text's pieces, and the path that merging would give is the one in which every two neighbours are what
 merging makes of the two alone; it is unique. A step of the lattice so weighs 0 if its two pieces may
-stand together and minus infinity if not, and a path's weight is the sum: max-plus algebra, of which
-sets of reachable states are the two-valued case.
-
-A chunk of a text has states at its borders: the piece that ends at the border or reaches over it. Its
-transfer matrix holds the best weight from each state at its start to each at its end. Matrices are
-combined associatively along a document; that settles the state at every border, and then every chunk
-is traced back on its own. Where no piece of the model can cross (before a space mark that follows
-another character, and around characters without a piece) the only state is the border itself; chunks
-end there if they can, and the words between two such places are looked up or merged directly.
-
-A text of at most ``GIANT`` characters is one chunk, encoded in a plain map without a shuffle. Defined results: a null
-text has null pieces; an empty text has none; repeated rows get a row each. U+2581 in a text decodes to
+stand together and minus infinity if not, and a path's weight is the sum: max-plus algebra.
+
+A giant text is cut into chunks of ``giant`` characters wherever that falls, inside words too. A chunk has
+states at its borders: the piece that ends at the border or reaches over it. Its transfer matrix holds the best
+weight from each state at its start to each at its end. Where no piece of the model can cross (before a space
+mark that follows another character, and around characters without a piece) the lattice has one state, so a matrix
+is the max-plus product of a column (from the states at the start to the first such place) and a row (from
+the last such place to the states at the end); only these two ends are walked piece by piece. Matrices of
+``FAN`` neighbours are combined associatively, tasks taking neighbours each, and so on up a tree to one matrix a
+text. Down the tree again each product is settled: of the states at its two ends those between follow. Then every
+chunk is traced back on its own: its ends through the lattice, the words between by merging.
+
+A text of at most ``giant`` characters is one chunk without a border, encoded in a plain map without a shuffle.
+Defined results: a null text has null pieces; an empty text has none; repeated rows get a row each; an empty table gives
+no rows; further columns are kept, but those named as the results are replaced. U+2581 in a text decodes to
 a space, as the model defines it, and is the only loss.
 """
 
@@ -22,18 +25,23 @@ from __future__ import annotations
 
 import hashlib
 import re
+from functools import reduce
+from pathlib import Path
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import mapped, scratch, written
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 GIANT = 60_000
+#: Neighbouring matrices that one step of the scan combines.
+FAN = 16
 SPACE = "▁"
-#: Words and pairs that a worker remembers before it starts anew.
-REMEMBERED = 400_000
+#: Characters of words and pairs that a worker remembers before it starts anew.
+REMEMBERED = 1_000_000
+NEVER = float("-inf")
 #: A run without a place to cut that is longer than this goes through the lattice.
 LONG_WORD = 200
 
@@ -67,6 +75,7 @@ class Pieces:
             raise ValueError("pieces of this model cross spaces; only models that split at white space are supported")
         self.words = _Words(self)
         self.pairs: dict[tuple[str, str], bool] = {}
+        self.paired = 0
         # a line feed without a piece is a place to cut, too
         self.splitter = re.compile(f"{SPACE}*[^{SPACE}\n]+|\n|{SPACE}+" if "\n" not in self.chars else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
@@ -95,11 +104,17 @@ class Pieces:
     def fit_together(self, a: str, b: str) -> bool:
         found = self.pairs.get((a, b))
         if found is None:
-            if len(self.pairs) > REMEMBERED:
-                self.pairs.clear()
-            found = self.pairs[a, b] = self.merge(a + b) == [a, b]
+            self.paired += len(a) + len(b)
+            if self.paired > REMEMBERED:
+                self.forget()
+            found = self.pairs[a, b] = self.merge(a + b) == ([a, b] if b else [a])
         return found
 
+    def forget(self) -> None:
+        self.pairs.clear()
+        self.paired = 0
+        self.words.clear()
+
     def at(self, text: str, start: int) -> list[str]:
         """Pieces that start here; a character without a piece stands for its bytes."""
         longer = (text[start:to] for to in range(start + 2, min(start + self.longest, len(text)) + 1))
@@ -107,10 +122,7 @@ class Pieces:
 
     def stands(self, piece: str) -> bool:
         """Whether merging ever makes this piece of its own characters."""
-        found = self.pairs.get((piece, ""))
-        if found is None:
-            found = self.pairs[piece, ""] = self.merge(piece) == [piece]
-        return found
+        return self.fit_together(piece, "")
 
     def cut_at(self, text: str, i: int) -> bool:
         """Whether no piece crosses position i."""
@@ -129,51 +141,72 @@ class Pieces:
             out += [(p, start + len(p)) for p in self.at(text, start) if start + len(p) >= at]
         return out
 
-    def lattice(self, text: str, begin: int, end: int, entering: list[tuple[str, int]]) -> list[dict[str, int]]:
-        """For each position from ``begin``: piece ending there -> set (bits) of the entering states that reach it."""
-        reach: list[dict[str, int]] = [{} for _ in range(end - begin + self.longest + 1)]
+    def inner_cuts(self, text: str, begin: int, end: int) -> tuple[int, int] | None:
+        """The first and the last place within a chunk that no piece crosses, its borders included; None if there is none."""
+        first = next((i for i in range(begin, end + 1) if self.cut_at(text, i)), None)
+        return None if first is None else (first, next(i for i in range(end, begin - 1, -1) if self.cut_at(text, i)))
+
+    def lattice(self, text: str, begin: int, end: int, entering: list[tuple[str, int]]) -> list[dict[str, np.ndarray]]:
+        """For each position from ``begin``: piece ending there -> best weight from each of the entering states."""
+        reach: list[dict[str, np.ndarray]] = [{} for _ in range(end - begin + self.longest + 1)]
         for k, (piece, to) in enumerate(entering):
-            reach[to - begin][piece] = reach[to - begin].get(piece, 0) | 1 << k
+            start = reach[to - begin].setdefault(piece, np.full(len(entering), NEVER))
+            start[k] = 0.0
         for at in range(begin, end):
             here = reach[at - begin]
             if not here:
                 continue
             free = self.cut_at(text, at)
             for t in self.at(text, at):
-                bits = 0
-                for u, b in here.items():
-                    if free or u == "" or self.fit_together(u, t):
-                        bits |= b
-                if bits:
+                before = [w for u, w in here.items() if free or u == "" or self.fit_together(u, t)]
+                if before:
                     there = reach[at + len(t) - begin]
-                    there[t] = there.get(t, 0) | bits
+                    there[t] = np.maximum.reduce([*before, *([there[t]] if t in there else [])])
         return reach
 
-    def transfer(self, text: str, begin: int, end: int) -> list[int]:
-        """The matrix of a chunk: for each state at its end, the set (bits) of states at its start that reach it."""
-        reach = self.lattice(text, begin, end, self.border(text, begin))
-        out = []
-        for piece, to in self.border(text, end):
-            cells = reach[to - begin]
-            bits = 0
-            for p, b in cells.items():
-                bits |= b if p == piece or piece == "" else 0
-            out.append(bits)
+    def weights(self, text: str, begin: int, end: int) -> np.ndarray:
+        """The matrix of a stretch, walked through its whole lattice: states at its start by states at its end."""
+        entering = self.border(text, begin)
+        reach = self.lattice(text, begin, end, entering)
+        out = np.full((len(entering), len(leaving := self.border(text, end))), NEVER)
+        for j, (piece, to) in enumerate(leaving):
+            for p, w in reach[to - begin].items():
+                if p == piece or piece == "":
+                    out[:, j] = np.maximum(out[:, j], w)
         return out
 
-    def trace(self, text: str, begin: int, end: int, first: int, last: int) -> list[str]:
-        """The pieces of a chunk that end after ``begin`` and up to the state at its end."""
+    def transfer(self, text: str, begin: int, end: int) -> np.ndarray:
+        """The matrix of a chunk: its ends walked, and between its first and last cut the one state, of weight 0."""
+        cuts = self.inner_cuts(text, begin, end)
+        if cuts is None:
+            return self.weights(text, begin, end)
+        return compose(self.weights(text, begin, cuts[0]), self.weights(text, cuts[1], end))
+
+    def trace(self, text: str, begin: int, end: int, first: int, last: int) -> bytes:
+        """The ids of a chunk's pieces that end after ``begin`` and up to the state at its end."""
+        cuts = self.inner_cuts(text, begin, end)
+        if cuts is None:
+            return self.ids(self.walk_back(text, begin, end, first, last))
+        head = self.walk_back(text, begin, cuts[0], first, 0)
+        return self.ids(head) + self.encode(text[cuts[0] : cuts[1]]) + self.ids(self.walk_back(text, cuts[1], end, 0, last))
+
+    def walk_back(self, text: str, begin: int, end: int, first: int, last: int) -> list[str]:
+        """The pieces of a stretch on the best path between a state at its start and one at its end."""
         entering = self.border(text, begin)[first]
         reach = self.lattice(text, begin, end, [entering])
         piece, at = self.border(text, end)[last]
+
+        def best(here: dict[str, np.ndarray], fits) -> str:
+            return max((p for p, w in here.items() if w[0] > NEVER and fits(p)), key=lambda p: here[p][0], default="")
+
         if piece == "":
-            piece = next(p for p, b in reach[at - begin].items() if b) if at > entering[1] else ""
+            piece = best(reach[at - begin], lambda p: True) if at > entering[1] else ""
         out: list[str] = []
         while piece and (piece, at) != entering:
             out.append(piece)
             at -= len(piece)
-            free = self.cut_at(text, at)
-            piece = next((u for u, b in reach[at - begin].items() if b and (free or u == "" or self.fit_together(u, piece))), "")
+            free, after = self.cut_at(text, at), piece
+            piece = best(reach[at - begin], lambda u: free or u == "" or self.fit_together(u, after))  # noqa: B023
         return out[::-1]
 
     def encode(self, text: str) -> bytes:
@@ -191,20 +224,24 @@ class _Words(dict):
 
     def __init__(self, pieces: Pieces) -> None:
         super().__init__()
-        self.pieces = pieces
+        self.pieces, self.held = pieces, 0
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) > REMEMBERED:
-            self.clear()
         p = self.pieces
-        if 1 < len(word) <= LONG_WORD and word[0] == SPACE != word[1]:  # the library merges words, and puts a mark before them
+        if len(word) > LONG_WORD:
+            return p.ids(p.walk_back(word, 0, len(word), 0, 0))
+        if self.held > REMEMBERED:
+            self.clear()
+        self.held += len(word)
+        if 1 < len(word) and word[0] == SPACE != word[1]:  # the library merges words, and puts a mark before them
             found = self[word] = np.array(p.processor.encode(word[1:]), dtype=np.int32).tobytes()
-            return found
-        if len(word) <= LONG_WORD:
+        else:
             found = self[word] = p.ids(p.merge(word))
-            return found
-        last = len(word)
-        return p.ids(p.trace(word, 0, last, 0, 0))
+        return found
+
+    def clear(self) -> None:
+        super().clear()
+        self.held = 0
 
 
 def normalised(text: str) -> str:
@@ -212,41 +249,21 @@ def normalised(text: str) -> str:
     return SPACE + text.replace(" ", SPACE) if text else ""
 
 
-def compose(a: list[int], b: list[int]) -> list[int]:
-    """Of the matrices of two neighbouring chunks, that of both; associative."""
-    out = []
-    for middle in b:
-        bits, k = 0, 0
-        while middle:
-            if middle & 1:
-                bits |= a[k]
-            middle >>= 1
-            k += 1
-        out.append(bits)
-    return out
-
-
-def settle(matrices: list[list[int]]) -> list[int]:
-    """The state at every border of a stretch that starts and ends at places to cut, the two ends included."""
-    upto, total = [], None
-    for m in matrices:  # prefix products of the scan
-        total = m if total is None else compose(total, m)
-        upto.append(total)
-    states = [0]
-    for k in range(len(matrices) - 1, 0, -1):  # the one state that the start reaches and that reaches the next
-        came = matrices[k][states[0]]
-        states.insert(0, next(s for s in range(len(upto[k - 1])) if came >> s & 1 and upto[k - 1][s]))
-    return [0, *states]
-
-
-def chunk_ends(pieces: Pieces, text: str, size: int) -> list[int]:
-    """Ends of chunks of at most ``size`` characters, at places to cut where there are any."""
-    ends, at = [], 0
-    while len(text) - at > size:
-        cut = next((i for i in range(at + size, at, -1) if pieces.cut_at(text, i)), at + size)
-        ends.append(cut)
-        at = cut
-    return [*ends, len(text)]
+def compose(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The max-plus product: of the matrices of two neighbours, that of both; associative."""
+    return (a[:, :, None] + b[None, :, :]).max(axis=1)
+
+
+def settle(matrices: list[np.ndarray], first: int, last: int) -> list[int]:
+    """The states at all borders of neighbours, from those at the two ends of them all."""
+    best = [np.full(matrices[0].shape[0], NEVER)]
+    best[0][first] = 0.0
+    for m in matrices:
+        best.append((best[-1][:, None] + m).max(axis=0))
+    states = [last]
+    for k in range(len(matrices) - 1, -1, -1):
+        states.insert(0, int(np.argmax(best[k] + matrices[k][:, states[0]])))
+    return states
 
 
 _loaded: dict[bytes, Pieces] = {}
@@ -271,6 +288,7 @@ def _encode_short(model: bytes, names: list[str], check: bool):
                 texts = batch.column(at).to_pylist()
                 ids = [pieces.encode(normalised(t)) if t is not None else None for t in texts]
                 yield _result(pa, pieces, batch, names, texts, ids, check)
+        pieces.forget()
 
     return run
 
@@ -293,7 +311,7 @@ def _result(pa, pieces: Pieces, batch, names: list[str], texts: list, ids: list,
 
 
 def _chunks(model: bytes, size: int):
-    """(row, text) -> (row, chunk, stretch, soft, begin, end, text): each chunk with what borders it."""
+    """(row, text) -> (row, chunk, begin, end, part): each chunk with what borders it, and where in that it lies."""
 
     def run(batches):
         import pyarrow as pa
@@ -303,53 +321,69 @@ def _chunks(model: bytes, size: int):
         for batch in batches:
             for row, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 text = normalised(raw)
-                begin, stretch, rows = 0, 0, []
-                for chunk, end in enumerate(chunk_ends(pieces, text, size)):
-                    hard = pieces.cut_at(text, begin)
-                    stretch = chunk if hard else stretch
-                    lead = min(begin, around) if begin else 0
+                for chunk, begin in enumerate(range(0, len(text), size)):
+                    end = min(begin + size, len(text))
+                    lead = min(begin, around)
                     part = text[begin - lead : end + around]
-                    # between two places to cut, words are all there is, unless there is none to cut at
-                    soft = not (hard and pieces.cut_at(text, end))
-                    rows.append((row, chunk, stretch, soft, lead, lead + end - begin, part, begin - lead == 0, end + around >= len(text)))
-                    begin = end
-                yield pa.RecordBatch.from_pylist([dict(zip(_CHUNK, r, strict=True)) for r in rows])
+                    yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip((row, chunk, lead, lead + end - begin, part), (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.string()), strict=True)], names=["row", "chunk", "begin", "end", "part"])
 
     return run
 
 
-_CHUNK = ("row", "chunk", "stretch", "soft", "begin", "end", "part", "head", "tail")
-_CHUNK_SCHEMA = "row bigint, chunk bigint, stretch bigint, soft boolean, begin bigint, end bigint, part string, head boolean, tail boolean"
+_CHUNK_SCHEMA = "row bigint, chunk int, begin int, end int, part string"
+_NODE_SCHEMA = "row bigint, node int, starts int, cells array<double>"
+_STATE_SCHEMA = "row bigint, node int, first int, last int"
 
 
 def _matrices(model: bytes):
+    """Chunks -> nodes of the tree's lowest level: (row, node, starts, cells), cells by rows."""
+
     def run(batches):
         import pyarrow as pa
 
         pieces = load(model)
         for batch in batches:
             rows = batch.to_pylist()
-            cells = [[format(x, "x") for x in pieces.transfer(r["part"], r["begin"], r["end"])] for r in rows]
+            found = [pieces.transfer(r["part"], r["begin"], r["end"]) for r in rows]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[c] for r in rows], pa.int64()) for c in ("row", "stretch", "chunk")] + [pa.array(cells, pa.list_(pa.string()))],
-                names=["row", "stretch", "chunk", "cells"],
-            )
+                [pa.array([r["row"] for r in rows], pa.int64()), pa.array([r["chunk"] for r in rows], pa.int32()),
+                 pa.array([m.shape[0] for m in found], pa.int32()), pa.array([m.ravel().tolist() for m in found], pa.list_(pa.float64()))],
+                names=["row", "node", "starts", "cells"],
+            )
 
     return run
 
 
+def _as_matrices(nodes: list[dict]) -> list[np.ndarray]:
+    return [np.array(n["cells"]).reshape(n["starts"], -1) for n in nodes]
+
+
+def _combined(batches):
+    """(row, node, nodes: ``FAN`` neighbours at most, in order) -> the node of their product."""
+    import pyarrow as pa
+
+    for batch in batches:
+        rows = batch.to_pylist()
+        found = [reduce(compose, _as_matrices(r["nodes"])) for r in rows]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([r["row"] for r in rows], pa.int64()), pa.array([r["node"] for r in rows], pa.int32()),
+             pa.array([m.shape[0] for m in found], pa.int32()), pa.array([m.ravel().tolist() for m in found], pa.list_(pa.float64()))],
+            names=["row", "node", "starts", "cells"],
+        )
+
+
 def _settled(batches):
-    """Stretches (row, chunks in order with their matrices) -> the states at the start and end of each chunk."""
+    """(row, nodes, first, last): neighbours with the states at their two ends -> the states at the ends of each."""
     import pyarrow as pa
 
     for batch in batches:
-        out: dict[str, list] = {k: [] for k in ("row", "chunk", "first", "last")}
+        out: list[tuple[int, int, int, int]] = []
         for r in batch.to_pylist():
-            states = settle([[int(x, 16) for x in c["cells"]] for c in r["chunks"]])
-            for c, a, b in zip(r["chunks"], states[:-1], states[1:], strict=True):
-                for k, v in (("row", r["row"]), ("chunk", c["chunk"]), ("first", a), ("last", b)):
-                    out[k].append(v)
-        yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in out.values()], names=list(out))
+            states = settle(_as_matrices(r["nodes"]), r["first"], r["last"])
+            out += [(r["row"], n["node"], a, b) for n, a, b in zip(r["nodes"], states[:-1], states[1:], strict=True)]
+        columns = list(zip(*out, strict=True)) or [[], [], [], []]
+        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32())
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["row", "node", "first", "last"])
 
 
 def _traced(model: bytes):
@@ -359,15 +393,9 @@ def _traced(model: bytes):
         pieces = load(model)
         for batch in batches:
             rows = batch.to_pylist()
-            ids = []
-            for r in rows:
-                if r["soft"]:
-                    found = pieces.ids(pieces.trace(r["part"], r["begin"], r["end"], r["first"], r["last"]))
-                else:
-                    found = pieces.encode(r["part"][r["begin"] : r["end"]])
-                ids.append(found)
+            ids = [pieces.trace(r["part"], r["begin"], r["end"], r["first"], r["last"]) for r in rows]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r["row"] for r in rows], pa.int64()), pa.array([r["chunk"] for r in rows], pa.int64()), pa.array(ids, pa.binary())],
+                [pa.array([r["row"] for r in rows], pa.int64()), pa.array([r["chunk"] for r in rows], pa.int32()), pa.array(ids, pa.binary())],
                 names=["row", "chunk", "ids"],
             )
 
@@ -375,46 +403,77 @@ def _traced(model: bytes):
 
 
 def _joined_chunks(model: bytes, names: list[str], check: bool):
+    """(doc, chunks: the ids of each, in order) -> rows of the result."""
+
     def run(batches):
         import pyarrow as pa
 
         pieces = load(model)
         for batch in batches:
-            ids = [b"".join(c["ids"] for c in cs) for cs in batch.column(len(names)).to_pylist()]
-            own = pa.RecordBatch.from_arrays(batch.columns[: len(names)], names=names)
+            ids = [b"".join(c["ids"] for c in cs) for cs in batch.column(1).to_pylist()]
+            own = pa.RecordBatch.from_arrays(batch.column(0).flatten(), names=names)
             yield _result(pa, pieces, own, names, own.column(names.index("text")).to_pylist(), ids, check)
 
     return run
 
 
+def border_states(chunks: DataFrame, model: bytes, fan: int = FAN) -> DataFrame:
+    """(row, node, first, last): the states at the start and end of every chunk, by a scan up and down a tree of matrices.
+
+    A step up reads the nodes of one level and writes those of the next, of which there are ``fan`` times fewer; no task
+    sees more than ``fan`` matrices of a text at once. The number of steps grows with the logarithm of the longest text.
+    """
+    levels = [written(mapped(chunks, _matrices(model), _NODE_SCHEMA))]
+    node = F.struct("node", "starts", "cells")
+
+    def neighbours(level: DataFrame) -> DataFrame:
+        return level.groupBy("row", F.floor(F.col("node") / fan).cast("int").alias("above")).agg(F.array_sort(F.collect_list(node)).alias("nodes"))
+
+    while (levels[-1].agg(F.max("node")).first()[0] or 0) > 0:
+        levels.append(written(mapped(neighbours(levels[-1]).select("row", F.col("above").alias("node"), "nodes"), _combined, _NODE_SCHEMA)))
+    # a text starts and ends at places to cut, so its one matrix has one state at each end
+    states = levels[-1].select("row", "node", F.lit(0).alias("first"), F.lit(0).alias("last"))
+    for level in reversed(levels[:-1]):
+        given = neighbours(level).join(states.withColumnRenamed("node", "above"), ["row", "above"])
+        states = written(mapped(given.select("row", "nodes", "first", "last"), _settled, _STATE_SCHEMA))
+    return states
+
+
+def model_bytes(spark: SparkSession, path: str) -> bytes:
+    """The model's file, read on the driver where it is local and by Spark where it is elsewhere."""
+    if ":" not in path:
+        return Path(path).read_bytes()
+    return bytes(spark.read.format("binaryFile").load(path).select("content").first()[0])
+
+
 def encode(docs: DataFrame, model_path: str = MODEL_PATH, giant: int = GIANT, check: bool = False) -> DataFrame:
     """``docs`` with ``ids`` (array<int>); with ``check``, in place of text and ids: n_pieces, ids_sha256, round_trip."""
     spark = docs.sparkSession
-    model = spark.read.format("binaryFile").load(model_path if ":" in model_path else f"file://{model_path}").select("content").first()[0]
-    model = bytes(model)
+    model = model_bytes(spark, model_path)
+    if giant < Pieces(model).longest:
+        raise ValueError("chunks must be longer than the longest piece")
     names = [c for c in docs.columns if c not in ("ids", "n_pieces", "ids_sha256", "round_trip")]
     docs = docs.select(*names)
     schema = docs.drop("text") if check else docs
     extra = "n_pieces bigint, ids_sha256 string, round_trip boolean" if check else "ids array<int>"
     schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in schema.schema], extra])
     big = F.coalesce(F.char_length("text") > giant, F.lit(False))
-    short = docs.where(~big).mapInArrow(_encode_short(model, names, check), schema)
-    # giant texts, written once with a row number that then stays
-    large = written(docs.where(big).select(F.struct(*names).alias("doc"), F.monotonically_increasing_id().alias("row")))
-    chunks = written(large.select("row", "doc.text").mapInArrow(_chunks(model, giant), _CHUNK_SCHEMA).repartition("row", "chunk"))
-    soft = chunks.where("soft").mapInArrow(_matrices(model), "row bigint, stretch bigint, chunk bigint, cells array<string>")
-    stretches = soft.groupBy("row", "stretch").agg(F.array_sort(F.collect_list(F.struct("chunk", "cells"))).alias("chunks")).select("row", "chunks")
-    states = stretches.mapInArrow(_settled, "row bigint, chunk bigint, first bigint, last bigint")
-    traced = chunks.join(states, ["row", "chunk"], "left").mapInArrow(_traced(model), "row bigint, chunk bigint, ids binary")
-    whole = traced.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("chunk", "ids"))).alias("chunks"))
-    long = large.join(whole, "row").select(*[F.col(f"doc.{n}").alias(f"c{i}") for i, n in enumerate(names)], "chunks").mapInArrow(_joined_chunks(model, names, check), schema)
+    short = mapped(docs.where(~big), _encode_short(model, names, check), schema)
+    with scratch(spark):
+        # giant texts, written once with a row number that then stays
+        large = written(docs.where(big).select(F.struct(*names).alias("doc"), F.monotonically_increasing_id().alias("row")), keep=True)
+        chunks = written(mapped(large.select("row", "doc.text"), _chunks(model, giant), _CHUNK_SCHEMA).repartition("row", "chunk"))
+        states = border_states(chunks, model).withColumnRenamed("node", "chunk")
+        traced = mapped(chunks.join(states, ["row", "chunk"]), _traced(model), "row bigint, chunk int, ids binary")
+        whole = written(traced.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("chunk", "ids"))).alias("chunks")), keep=True)
+    long = mapped(large.join(whole, "row").select("doc", "chunks"), _joined_chunks(model, names, check), schema)
     return short.unionByName(long)
 
 
 def decode(encoded: DataFrame, model_path: str = MODEL_PATH) -> DataFrame:
     """``encoded`` with ``text`` from ``ids``."""
     spark = encoded.sparkSession
-    model = bytes(spark.read.format("binaryFile").load(model_path if ":" in model_path else f"file://{model_path}").select("content").first()[0])
+    model = model_bytes(spark, model_path)
     kept = [c for c in encoded.columns if c not in ("ids", "text")]
 
     def run(batches):
@@ -425,7 +484,7 @@ def decode(encoded: DataFrame, model_path: str = MODEL_PATH) -> DataFrame:
             texts = [None if ids is None else pieces.decode(np.array(ids, dtype=np.int32)) for ids in batch.column(len(kept)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array(texts, pa.string())], names=[*kept, "text"])
 
-    return encoded.select(*kept, "ids").mapInArrow(run, encoded.select(*kept).withColumn("text", F.lit(None).cast("string")).schema)
+    return mapped(encoded.select(*kept, "ids"), run, encoded.select(*kept).withColumn("text", F.lit(None).cast("string")).schema)
 
 
 def piece_rows(docs: DataFrame, model_path: str = MODEL_PATH) -> DataFrame:

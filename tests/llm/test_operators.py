@@ -229,10 +229,39 @@ def test_encoding_equals_the_library(spark, monkeypatch):
 
 
 def test_matrices_are_associative():
-    r = random.Random(2)
-    a, b, c = ([r.getrandbits(n) for _ in range(m)] for n, m in ((3, 4), (4, 5), (5, 2)))
+    r = np.random.default_rng(2)
+    a, b, c = (np.where(r.random(shape) < 0.4, -np.inf, r.integers(-9, 1, shape)) for shape in ((3, 4), (4, 5), (5, 2)))
     f = op05_sentencepiece.compose
-    assert f(f(a, b), c) == f(a, f(b, c))
+    assert (f(f(a, b), c) == f(a, f(b, c))).all()
+    force = [[max(a[i][k] + b[k][j] for k in range(4)) for j in range(5)] for i in range(3)]
+    assert f(a, b).tolist() == force
+
+
+def test_every_giant_goes_through_the_scan(spark, monkeypatch):
+    """Chunks of 40 characters, products of two: every text above that has a matrix a chunk, in a tree; ids are the library's."""
+    import sentencepiece
+
+    monkeypatch.setattr(op05_sentencepiece, "FAN", 2)
+    seen: list[tuple[int, int]] = []
+    scan = op05_sentencepiece.border_states
+
+    def spied(chunks, model):
+        out = scan(chunks, model, fan=2)
+        seen.extend((r["row"], r["n"]) for r in out.groupBy("row").agg(F.count("*").alias("n")).collect())
+        return out
+
+    monkeypatch.setattr(op05_sentencepiece, "border_states", spied)
+    sp = sentencepiece.SentencePieceProcessor(model_file=op05_sentencepiece.MODEL_PATH)
+    r = random.Random(14)
+    words = "The internationalisation of characteristic representations   is    extraordinarily \n straightforward é 日本 \U0001f600 aaaaaaaaaaaaa".split(" ")
+    texts = [" ".join(r.choice(words) for _ in range(r.randint(0, 90))) for _ in range(30)] + ["x" * 200, "in" * 150, " " * 130, "日" * 90, None, ""]
+    out = op05_sentencepiece.encode(documents(spark, [(i, t, None, None) for i, t in enumerate(texts)]).select("doc_id", "text"), giant=40)
+    got = {x.doc_id: x.ids for x in out.collect()}
+    assert got == {i: None if t is None else sp.encode(t) for i, t in enumerate(texts)}
+    chunks = sorted(-(-(len(t) + 1) // 40) for t in texts if t and len(t) > 40)
+    assert sorted(n for _, n in seen) == chunks and chunks[-1] > 8
+    with pytest.raises(ValueError):
+        op05_sentencepiece.encode(documents(spark, []), giant=3)
 
 
 def test_mixing_totals(spark):
