@@ -97,19 +97,21 @@ g AS (SELECT *, lead(w) OVER o AS w2, lead(w, 2) OVER o AS w3 FROM w WINDOW o AS
 c AS (SELECT *, w3 IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, w, w2, w3) > 1 AS twice FROM g),
 k AS (SELECT *, twice OR coalesce(lag(twice) OVER o, false) OR coalesce(lag(twice, 2) OVER o, false) AS hit FROM c WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
 ws AS (SELECT doc_id, count(*) AS n_words, CAST(sum(length(w)) AS BIGINT) AS word_chars, count(*) FILTER (hit) AS n_repeat_words FROM k GROUP BY doc_id),
-l AS (SELECT doc_id, source, unnest(string_split(t, chr(10))) AS line FROM d),
+l AS (SELECT doc_id, source, unnest(string_split(t, chr(10))) AS line, unnest(range(len(string_split(t, chr(10))))) AS nth FROM d),
 dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM l WHERE regexp_matches(line, '{W}') GROUP BY doc_id),
-f AS (SELECT doc_id, source, regexp_extract_all(regexp_replace(regexp_replace(translate(line, '{_UPPER}', '{_LOWER}'), '[0-9]', '0', 'g'), '[!-/:-@\[-`{{-~]', ' ', 'g'), '{W}') AS x FROM l),
+f AS (SELECT doc_id, source, line, nth, regexp_extract_all(regexp_replace(regexp_replace(translate(line, '{_UPPER}', '{_LOWER}'), '[0-9]', '0', 'g'), '[!-/:-@\[-`{{-~]', ' ', 'g'), '{W}') AS x FROM l),
 n AS (SELECT doc_id, source, array_to_string(x, ' ') AS form, sum(len(x)) AS n FROM f WHERE len(x) > 0 GROUP BY 1, 2, 3),
 h AS (SELECT source, count(*) AS docs FROM d GROUP BY source),
 common AS (SELECT n.source, form FROM n JOIN h ON h.source IS NOT DISTINCT FROM n.source GROUP BY n.source, form, h.docs HAVING count(*) > 10 AND count(*) > h.docs * 0.02::DOUBLE),
 gone AS (SELECT n.doc_id, CAST(sum(n.n) AS BIGINT) AS removed FROM n JOIN common c ON c.form = n.form AND c.source IS NOT DISTINCT FROM n.source GROUP BY 1),
 total AS (SELECT doc_id, sum(n) AS total FROM n GROUP BY 1),
+less AS (SELECT f.doc_id, sha256(coalesce(string_agg(line, chr(10) ORDER BY nth) FILTER (c.form IS NULL), '')) AS clean_sha256
+  FROM f LEFT JOIN common c ON c.form = array_to_string(x, ' ') AND len(x) > 0 AND c.source IS NOT DISTINCT FROM f.source GROUP BY 1),
 a AS (SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars,
   CAST(len(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
-  coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(removed, 0) AS removed_words, coalesce(total, 0) AS total
-  FROM d LEFT JOIN ws USING (doc_id) LEFT JOIN dup USING (doc_id) LEFT JOIN gone USING (doc_id) LEFT JOIN total USING (doc_id))
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, removed_words,
+  coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(removed, 0) AS removed_words, coalesce(total, 0) AS total, clean_sha256
+  FROM d LEFT JOIN less USING (doc_id) LEFT JOIN ws USING (doc_id) LEFT JOIN dup USING (doc_id) LEFT JOIN gone USING (doc_id) LEFT JOIN total USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, removed_words, clean_sha256,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND NOT (removed_words > 0 AND (total - removed_words < 50 OR total - removed_words < total * 0.5::DOUBLE)) AS kept FROM a"""
 
 _ENOUGH = "a.doc_id = b.doc_id AND b.i >= a.i AND b.upto - a.upto + a.words >= 50"

@@ -14,7 +14,7 @@ from .op05_sentencepiece import piece_rows
 from .op06_mixing import mix_plan
 from .op07_licenses import scan_licenses
 from .op08_sharding import assign_shards
-from .op09_quality import quality
+from .op09_quality import quality_rows
 from .op10_line_dedup import dedup_lines
 
 
@@ -52,7 +52,7 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality(documents(spark, sf_dir))
+    return quality_rows(documents(spark, sf_dir))
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

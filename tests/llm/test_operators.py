@@ -24,7 +24,7 @@ from .helpers import WORD, awkward, clashing, documents
 OPERATORS = {
     "op1": op01_language.language_rows, "op2": op02_jaccard.jaccard_components, "op3": op03_secrets.secret_rows, "op4": op04_simhash.edited_fingerprints,
     "op5": op05_sentencepiece.piece_rows, "op6": op06_mixing.mix_plan, "op7": op07_licenses.scan_licenses, "op8": lambda d: op08_sharding.assign_shards(d, "doc_id"),
-    "op9": op09_quality.quality, "op10": op10_line_dedup.dedup_lines,
+    "op9": op09_quality.clean, "op10": op10_line_dedup.dedup_lines,
 }
 
 
@@ -340,14 +340,36 @@ def test_shards_are_even(spark):
     assert len(counts) == 64 and max(counts) < 1.25 * 1000
 
 
-def test_quality_rejects_depleted(spark):
+def test_quality_removes_common_lines(spark):
     common_line = "this line is on every page of the host and says nothing " * 6
     letters = lambda i: "".join("abcdefghij"[int(d)] for d in str(i))
     own = lambda i: " ".join(f"own{letters(i)}x{letters(j)}" for j in range(90))
     rows = [(i, f"{common_line}\n{own(i) if i % 2 else f'short{letters(i)}'}", None, "h") for i in range(40)] + [(100 + i, own(100 + i), None, "other") for i in range(5)]
-    got = {r.doc_id: r for r in op09_quality.quality(documents(spark, rows), repeat_percent=100).collect()}
+    rows += [(200 + i, f"{own(200 + i)}\n\n{common_line.upper()}!", None, "h") for i in range(3)]
+    docs = documents(spark, rows)
+    got = {r.doc_id: r for r in op09_quality.clean(docs, repeat_percent=100).collect()}
     assert all(got[i].kept == bool(i % 2) and got[i].removed_words == 72 for i in range(40))
-    assert all(got[100 + i].kept and not got[100 + i].removed_words for i in range(5))
+    assert all(got[i].text == (own(i) if i % 2 else f"short{letters(i)}") for i in range(40))
+    assert all(got[100 + i].kept and not got[100 + i].removed_words and got[100 + i].text == own(100 + i) for i in range(5))
+    assert all(got[200 + i].kept and got[200 + i].text == own(200 + i) + "\n" for i in range(3))
+    out = {r.doc_id: r.clean_sha256 for r in op09_quality.quality_rows(docs).collect()}
+    assert out == {i: hashlib.sha256(got[i].text.encode()).hexdigest() for i in got}
+
+
+def test_quality_counts_documents_not_rows(spark):
+    line = "a line of one document that came in very many rows of it"
+    docs = documents(spark, [(7, f"{line}\nrow {chr(97 + i)}", None, "h") for i in range(20)] + [(100 + i, f"own text {chr(97 + i)}", None, "h") for i in range(5)])
+    assert all(not r.removed_words and (r.text or "").startswith((line, "own")) for r in op09_quality.clean(docs).collect())
+    assert all(r.removed_words for r in op09_quality.clean(docs.withColumn("doc_id", F.monotonically_increasing_id())).where(F.col("text").startswith("row") | F.col("text").startswith(line)).collect())
+
+
+def test_lines_are_removed_across_blocks(monkeypatch):
+    from folioquarry.llm import wordhash
+
+    monkeypatch.setattr(wordhash, "BLOCK", 7)
+    for text, less in (("a\nbb cc\nd", "a\nd"), ("bb cc\n", ""), ("bb cc", ""), ("x\n\nBB, CC", "x\n"), ("bb cc\nbb cc\nq\n", "q\n"), ("", "")):
+        gone = op09_quality.text_facts(np.frombuffer(b"bb cc", np.uint8))[1]
+        assert op09_quality.without_lines(np.frombuffer(text.encode(), np.uint8), gone).decode() == less
 
 
 def lines_by_force(rows, least):
