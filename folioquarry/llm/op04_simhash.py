@@ -12,7 +12,9 @@ into ``radius + spare`` blocks, and fingerprints that differ in at most ``radius
 least ``spare`` whole blocks; each choice of ``spare`` blocks is a table keyed by those blocks.
 
 Defined results: a null text counts as empty; an empty text has fingerprint 0; equal texts have
-equal fingerprints; rows with a null id have no neighbours and are their own row in the result; repeated rows get a row each.
+equal fingerprints; a bit with as many votes for as against is 0; rows with a null id have no neighbours and are their own
+row in the result; repeated rows get a row each, rows of one id following each other by the hash of their texts; an
+empty table gives no rows; texts of any length vote whole; columns but ``doc_id`` and ``text`` are not read.
 """
 
 from __future__ import annotations
@@ -92,7 +94,9 @@ def next_document(docs: DataFrame) -> DataFrame:
         "doc_id", "text", "at", F.row_number().over(window).cast("long").alias("place"),
         F.lead("doc_id").over(window).alias("next_id"), F.lead("text").over(window).alias("next_text"),
     )
-    alone = texts.where("doc_id is null").select("doc_id", "text", F.monotonically_increasing_id().alias("place"), F.col("doc_id").alias("next_id"), F.lit("").alias("next_text"))
+    # equal texts without an id are counted and then numbered, so that a task that runs again numbers them as before
+    alone = texts.where("doc_id is null").groupBy("doc_id", "text").agg(F.count("*").alias("n"))
+    alone = alone.select("doc_id", "text", F.explode(F.sequence(F.lit(1).cast("bigint"), "n")).alias("place"), F.col("doc_id").alias("next_id"), F.lit("").alias("next_text"))
     return linked.where("at.end = 0").drop("at").unionByName(alone)
 
 

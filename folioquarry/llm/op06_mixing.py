@@ -13,17 +13,18 @@ costs ``2 ** BITS`` rows per task. Table sizes: sources, and sources x buckets.
 
 Defined results: a null text has size 0; a null source is a source of its own, last in order; null
 or repeated ids hash to the same value and go in or out together; a source without words has target
-0; empty input, no rows; a boundary document is taken if that brings the source nearer its target.
+0; an empty table gives no rows; a boundary document is taken if that brings the source nearer its target; documents of one
+hash go in or out together; a text of any length counts whole; further columns are kept by ``mix``, whatever their names.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, small, written
+from .common import WORD, scratch, small, written
 
 BITS, LEVELS = 12, 4
 WEIGHTS = (3, 1, 2)
@@ -75,28 +76,46 @@ def thresholds(sized: DataFrame, targets: DataFrame) -> DataFrame:
     return state.select("source", (F.col("prefix") + nearer.cast("long")).alias("below"))
 
 
-def mix_plan(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, max_repeats: int = 2) -> DataFrame:
-    """One row per document: doc_id, source, size, h, source_size, target, times."""
-    digest = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    sized = written(docs.select(
-        "doc_id", "source",
-        F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        F.conv(F.substring(digest, 1, BITS * LEVELS // 4), 16, 10).cast("long").alias("h"),
-    ))
+def hash_of(doc_id: Column) -> Column:
+    """48 bits by which documents of a source are ordered; other languages have this hash too."""
+    digest = F.md5(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
+    return F.conv(F.substring(digest, 1, BITS * LEVELS // 4), 16, 10).cast("long")
+
+
+def size_of(text: Column) -> Column:
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def source_plan(sized: DataFrame, weights=WEIGHTS, share: float = 1.5, max_repeats: int = 2) -> DataFrame:
+    """(source, source_size, target, copies, below), a row per source, from (source, size, h) of documents; written."""
     targets = written(source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, max_repeats))
     below = thresholds(sized, targets)
-    per_source = targets.alias("t").join(below.alias("b"), F.col("t.source").eqNullSafe(F.col("b.source")), "left").select("t.*", "b.below")
-    taken = F.col("copies") + F.coalesce((F.col("h") < F.col("below")).cast("long"), F.lit(0))
+    return written(targets.alias("t").join(small(below).alias("b"), F.col("t.source").eqNullSafe(F.col("b.source")), "left").select("t.*", "b.below"))
+
+
+def times_taken(h: Column) -> Column:
+    return F.col("p.copies") + F.coalesce((h < F.col("p.below")).cast("long"), F.lit(0))
+
+
+def mix_plan(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, max_repeats: int = 2) -> DataFrame:
+    """One row per document: doc_id, source, size, h, source_size, target, times."""
+    sized = written(docs.select("doc_id", "source", size_of(F.col("text")).alias("size"), hash_of(F.col("doc_id")).alias("h")))
+    per_source = source_plan(sized, weights, share, max_repeats)
     return sized.alias("d").join(small(per_source).alias("p"), F.col("d.source").eqNullSafe(F.col("p.source"))).select(
-        "d.doc_id", "d.source", "d.size", "d.h", "source_size", "target", taken.alias("times")
+        "d.doc_id", "d.source", "d.size", "d.h", "source_size", "target", times_taken(F.col("d.h")).alias("times")
     )
 
 
-def mix(docs: DataFrame, **parameters) -> DataFrame:
-    """The mixed corpus: every row of ``docs`` as often as the plan takes it, all columns kept."""
-    below = mix_plan(docs, **parameters).select("doc_id", "source", "times").distinct()
-    joined = docs.alias("d").join(
-        small(below).alias("p"),
-        F.col("d.doc_id").eqNullSafe(F.col("p.doc_id")) & F.col("d.source").eqNullSafe(F.col("p.source")),
-    )
-    return joined.where("p.times > 0").select(F.explode(F.array_repeat(F.struct("d.*"), F.col("p.times").cast("int"))).alias("row")).select("row.*")
+def mix(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, max_repeats: int = 2) -> DataFrame:
+    """The mixed corpus: every row of ``docs`` as often as the plan takes it, all columns kept.
+
+    Sizes and hashes are written once for the histograms; the documents themselves are only filtered, each by the hash of its
+    own id against the threshold of its source, and joined to nothing but the table of sources.
+    """
+    with scratch(docs.sparkSession):
+        sized = written(docs.select("source", size_of(F.col("text")).alias("size"), hash_of(F.col("doc_id")).alias("h")))
+        per_source = written(source_plan(sized, weights, share, max_repeats), keep=True)
+    rows = docs.select(F.struct(*docs.columns).alias("row")).alias("d")
+    joined = rows.join(small(per_source).alias("p"), F.col("d.row.source").eqNullSafe(F.col("p.source")))
+    times = times_taken(hash_of(F.col("d.row.doc_id")))
+    return joined.where(times > 0).select(F.explode(F.array_repeat("d.row", times.cast("int"))).alias("row")).select("row.*")

@@ -6,11 +6,12 @@ spaces. Digests of whole canonical texts are joined to the digests of known lice
 pass through the very same expressions. Each line of a text is a text too, so that one-line licence
 notices are found wherever they stand.
 
-The known side is a fixed table (``NOTICES``, ``TEXTS`` and the files in ``licenses``, or the caller's), never data, so it is
-broadcast. No text is shuffled: only ids and digests of matches are.
+The known side is a fixed table (``NOTICES``, ``TEXTS`` and the files in ``licenses``, or the caller's) of at most
+``MOST_KNOWN`` digests, never data: it is broadcast for the join of whole texts, and is a literal map for lines. Nothing is shuffled.
 
 Defined results: a null or empty text has the digest of the empty canonical text, and no licence;
-a text of copyright lines only is empty too; repeated rows (equal id and text) give one row each.
+a text of copyright lines only is empty too; repeated rows give one row each; of licences of one digest the first by
+code point counts; an empty table gives no rows; a text of any length is read whole; columns but ``doc_id`` and ``text`` are not read.
 """
 
 from __future__ import annotations
@@ -59,6 +60,8 @@ TEXTS = {
     "0BSD": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.\n\n" + _ISC,
 }
 
+#: Digests that a scan may know.
+MOST_KNOWN = 5_000
 #: Lines of title of the whole texts; texts are known without the first of them too, up to all.
 TITLE_LINES = {"Apache-2.0": 3, "BSD-2-Clause": 1, "BSD-3-Clause": 1, "CC0-1.0": 2, "GPL-2.0": 2, "GPL-3.0": 2, "ISC": 1, "LGPL-2.1": 2, "LGPL-3.0": 2, "MIT": 1, "MPL-2.0": 2, "Unlicense": 1}
 
@@ -118,16 +121,15 @@ def known_licenses(spark: SparkSession, notices=NOTICES, texts=None) -> DataFram
 def scan_licenses(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """doc_id, digest, license_id (of the whole text, or null), notices (ids named by its lines, comma-joined), n_notices."""
     known = known_licenses(docs.sparkSession) if known is None else known
-    lines = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), canonical_lines(F.col("text")).alias("lines"))
-    # a document and its lines side by side: the document is line -1
-    dealt = lines.select(
-        "doc_id", "row", F.posexplode(F.concat(F.array(F.array_join("lines", " ")), "lines")).alias("at", "form"),
+    rows = [(r["digest"], r["license_id"]) for r in known.select("digest", "license_id").limit(MOST_KNOWN + 1).collect()]
+    if len(rows) > MOST_KNOWN:
+        raise ValueError(f"more than {MOST_KNOWN} known digests")
+    table = docs.sparkSession.createDataFrame(rows, "known_digest string, license_id string")
+    of = F.create_map(*[F.lit(x) for row in rows for x in row]) if rows else F.create_map().cast("map<string, string>")
+    lines = canonical_lines(F.col("text"))
+    named = F.array_compact(F.transform(lines, lambda x: F.try_element_at(of, F.sha2(x, 256))))
+    hashed = docs.select("doc_id", F.sha2(F.array_join(lines, " "), 256).alias("digest"), named.alias("named"))
+    joined = hashed.join(F.broadcast(table), F.col("digest") == F.col("known_digest"), "left")
+    return joined.select(
+        "doc_id", "digest", "license_id", F.array_join(F.array_sort(F.array_distinct("named")), ",").alias("notices"), F.size("named").cast("bigint").alias("n_notices"),
     )
-    hashed = dealt.select("doc_id", "row", "at", F.sha2("form", 256).alias("digest"))
-    hit = hashed.join(F.broadcast(known), "digest", "left").where("at = 0 or license_id is not null")
-    whole = F.col("at") == 0
-    return hit.groupBy("doc_id", "row").agg(
-        F.max(F.when(whole, F.col("digest"))).alias("digest"), F.max(F.when(whole, F.col("license_id"))).alias("license_id"),
-        F.array_join(F.array_sort(F.collect_set(F.when(~whole, F.col("license_id")))), ",").alias("notices"),
-        F.count(F.when(~whole, F.col("license_id"))).alias("n_notices"),
-    ).drop("row")

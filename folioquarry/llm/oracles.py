@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from .op03_secrets import BASE, RULES
 from .op06_mixing import BITS, LEVELS
-from .op07_licenses import COPYRIGHT, NOTICES, SPELLINGS, TEXTS
+from .op07_licenses import COPYRIGHT, NOTICES, SPELLINGS, whole_texts
+from .op08_sharding import SHARDS, TABLE_SIZE, fill_table
 
 W = r"[^\x20\x09-\x0D]+"
 
@@ -65,7 +66,7 @@ def _form(x: str) -> str:
 
 
 def _licenses() -> str:
-    known = ", ".join(f"({_quoted(name)}, {_quoted(t)})" for name, ts in [*NOTICES.items(), *((k, [v]) for k, v in TEXTS.items())] for t in ts)
+    known = ", ".join(f"({_quoted(name)}, {_quoted(t)})" for name, ts in [*NOTICES.items(), *((k, [v]) for k, v in whole_texts())] for t in ts)
     lines = "list_filter(list_transform(string_split({0}, chr(10)), lambda x: {1}), lambda x: x <> '')"
     return f"""
 WITH k AS (SELECT sha256(array_to_string({lines.format("t", _form("x"))}, ' ')) AS digest, min(id) AS license_id FROM (VALUES {known}) v(id, t) GROUP BY 1),
@@ -78,6 +79,14 @@ FROM w LEFT JOIN k USING (digest) LEFT JOIN n ON n.doc_id = w.doc_id"""
 
 
 
+def _shards() -> str:
+    owners = ",".join(map(str, fill_table(SHARDS)))
+    return f"""
+WITH o AS (SELECT string_split('{owners}', ',') AS owners), t AS (SELECT unnest(range({TABLE_SIZE})) AS slot, unnest(owners) AS owner FROM o),
+d AS (SELECT doc_id, CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 12) AS BIGINT) % {TABLE_SIZE} AS slot FROM documents)
+SELECT doc_id, CAST(slot AS INT) AS slot, 'shard-' || lpad(owner, 4, '0') AS shard FROM d JOIN t USING (slot)"""
+
+
 _JACCARD = f"""
 WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{W}') AS w FROM documents),
 s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE
@@ -132,6 +141,7 @@ ORACLE_SQL: dict[str, str] = {
     "op3_secret_scan": _secrets(),
     "op6_mixing": _MIX,
     "op7_license_scan": _licenses(),
+    "op8_sharding": _shards(),
     "op9_quality_rules": _QUALITY,
     "op10_line_dedup": _LINES,
 }
