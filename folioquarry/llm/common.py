@@ -68,10 +68,14 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _scratch.remove(paths)
-        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-        for path in paths:
-            at = jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(conf).delete(at, True)
+        delete(spark, *paths)
+
+
+def delete(spark: SparkSession, *paths: str) -> None:
+    """Removes written tables, wherever Spark can write."""
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def mapped(df: DataFrame, work, schema) -> DataFrame:
