@@ -13,7 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioquarry.llm.common import WORD, shared_dir
+from folioquarry.llm.common import WORD, delete, shared_dir
 from folioquarry.llm.op01_language import UNDETERMINED, identify, learn
 from folioquarry.llm.op02_jaccard import first_of_components
 from folioquarry.llm.op05_sentencepiece import encode
@@ -51,14 +51,17 @@ STAGES = [
     ("sentencepiece", encode_pieces),
 ]
 
-#: Line dedup, mixing by hash and encoding cannot be put in SQL; the stages are tested one by one.
+#: Language ID and encoding cannot be put in SQL; the pipeline is tested against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages; a stage's table is deleted when the next is written, and the last of them stays for the lazy result to read."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
         path = f"{shared_dir(spark)}/folioquarry/{uuid.uuid4().hex}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        if before:
+            delete(spark, before)
+        docs, before = spark.read.parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)
