@@ -50,7 +50,7 @@ REMEMBERED = 200_000
 #: Ids (two longs at most) up to which a list of documents may be broadcast; beyond it the join shuffles.
 BROADCAST_IDS = 500_000
 #: Queries of a block that go to one task; a block with more is replicated.
-ASKERS = 1_000
+ASKERS = 400
 
 
 def size_classes(percent: int, up_to: int) -> np.ndarray:
@@ -292,7 +292,7 @@ def _components(docs: DataFrame, words: int, percent: int) -> DataFrame:
     asked = written(members.select("part", "doc_id").join(groups, "part").select("doc_id", "home").distinct())
 
     def verified(queries: DataFrame) -> DataFrame:
-        """Links of the queries (doc_id, home, block) to members of their blocks; a block of many queries is replicated for each thousand of them."""
+        """Links of the queries (doc_id, home, block) to members of their blocks; a block of many queries is replicated for each ``ASKERS`` of them."""
         asking = written(queries.groupBy("home", "block").agg(F.ceil(F.count("*") / ASKERS).cast("int").alias("copies")))
         many = small(written(asking.where("copies > 1")))
         copy = F.pmod(F.xxhash64("doc_id"), F.coalesce("copies", F.lit(1))).cast("int")
