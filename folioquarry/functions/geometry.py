@@ -91,6 +91,11 @@ def intersection(a: Box, b: Box) -> Column:
     return F.when((w > 0) & (h > 0), w * h).otherwise(F.lit(0.0))
 
 
+def touching(a: Box, b: Box) -> Column:
+    """Whether two boxes have an area in common: four comparisons that spare most pairs of a page the measures."""
+    return (a["x"] < right(b)) & (b["x"] < right(a)) & (a["y"] < bottom(b)) & (b["y"] < bottom(a))
+
+
 def area(b: Box) -> Column:
     return side(b, "w") * side(b, "h")
 
@@ -127,23 +132,28 @@ def horizontal_overlap(a: Box, b: Box) -> Column:
     return _axis_overlap(side(a, "x"), right(a), side(b, "x"), right(b), F.least(side(a, "w"), side(b, "w")))
 
 
+# When a box goes on another, beside it or below.
+BESIDE_SHARE, BELOW_SHARE, REACH, REACH_SIZES = 0.45, 0.35, 48.0, 2.5
+BACK, BACK_SIZES, RISE, RISE_SIZES = 6.0, 0.5, 4.0, 0.25
+
+
+def _reach(*sizes: Column) -> Column:
+    return F.greatest(F.lit(REACH), *[s * REACH_SIZES for s in sizes])
+
+
 def right_on_line(a: Box, b: Box) -> Column:
     """Whether ``b`` goes on to the right of ``a`` on the same line."""
     gap = side(b, "x") - right(a)
-    back = -F.greatest(F.lit(6.0), F.least(side(a, "w"), side(b, "w")) * 0.5)
-    ahead = F.greatest(F.lit(48.0), side(a, "h") * 2.5, side(b, "h") * 2.5)
-    return (vertical_overlap(a, b) >= 0.45) & (gap >= back) & (gap <= ahead)
+    back = -F.greatest(F.lit(BACK), F.least(side(a, "w"), side(b, "w")) * BACK_SIZES)
+    return (vertical_overlap(a, b) >= BESIDE_SHARE) & gap.between(back, _reach(side(a, "h"), side(b, "h")))
 
 
 def on_next_line(a: Box, b: Box) -> Column:
     """Whether ``b`` goes on below ``a``."""
     gap = F.greatest(F.lit(0.0), side(b, "y") - bottom(a))
-    near = F.abs(center_x(b) - center_x(a)) <= F.greatest(F.lit(48.0), side(a, "w") * 2.5, side(b, "w") * 2.5)
-    return (
-        (side(b, "y") >= side(a, "y") - F.greatest(F.lit(4.0), side(a, "h") * 0.25))
-        & (gap <= F.greatest(F.lit(48.0), side(a, "h") * 2.5, side(b, "h") * 2.5))
-        & ((horizontal_overlap(a, b) >= 0.35) | near)
-    )
+    near = F.abs(center_x(b) - center_x(a)) <= _reach(side(a, "w"), side(b, "w"))
+    not_above = side(b, "y") >= side(a, "y") - F.greatest(F.lit(RISE), side(a, "h") * RISE_SIZES)
+    return not_above & (gap <= _reach(side(a, "h"), side(b, "h"))) & ((horizontal_overlap(a, b) >= BELOW_SHARE) | near)
 
 
 def quad_points(b: Box) -> Column:

@@ -4,42 +4,77 @@ from __future__ import annotations
 
 import difflib
 import html
+import re
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# White space by Unicode with the separators U+001C to U+001F, as a class of patterns, and as characters.
+WHITE = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+WHITE_CHARS = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+# Fixed value: the ideographs that rules speak of.
+IDEOGRAPHS = r"\u4e00-\u9fff"
 # Misread seal words and what they stand for.
 SEAL_WORDS = (("（盖率）", "（盖章）"), ("(盖率)", "(盖章)"), ("签字盖率", "签字盖章"))
 # Rewrites of signature and document-number brackets, applied in order.
+SEAL_RULE = (r"(签字[（(])盖率([）)])", "$1盖章$2")
 BRACKET_RULES = (
-    (r"(签字[（(])盖率([）)])", "$1盖章$2"),
-    (r"([一-鿿A-Za-z]{1,20})[\[〔](\d{4})[\]〕]((?U)\s*\d+(?U)\s*号)", "$1〔$2〕$3"),
-    (r"([一-鿿A-Za-z]{1,20}(?:监办|府办|办发|府发|函|字|文))[（(](\d{4})[）)]((?U)\s*\d+(?U)\s*号)", "$1〔$2〕$3"),
+    (rf"([{IDEOGRAPHS}A-Za-z]{{1,20}})[\[〔](\p{{Nd}}{{4}})[\]〕]([{WHITE}]*\p{{Nd}}+[{WHITE}]*号)", "$1〔$2〕$3"),
+    (rf"([{IDEOGRAPHS}A-Za-z]{{1,20}}(?:监办|府办|办发|府发|函|字|文))[（(](\p{{Nd}}{{4}})[）)]([{WHITE}]*\p{{Nd}}+[{WHITE}]*号)", "$1〔$2〕$3"),
 )
 # What match keys leave out, besides white space.
 MATCH_PUNCTUATION = ",.;:!?，。；：！？、（）()\\[\\]【】<>《》“”\"'‘’\\-—_＿/\\\\"
 # What splits a text into units of similarity.
 UNIT_BREAKS = "[\\n\\r\\t,;:!?，。；：！？、（）()【】\\[\\]<>《》]+"
 
-SPACES = "(?U)[\\s\\x1c-\\x1f]"
-CJK = "[\\u4e00-\\u9fff]"
+SPACES = f"[{WHITE}]"
+CJK = f"[{IDEOGRAPHS}]"
+_KEY_BREAKS = f"[{WHITE}{MATCH_PUNCTUATION}]+"
+_ASCII_KEY_BREAKS = r"""[\t-\r\x1c-\x20,.;:!?()\[\]<>"'\-_/\\]+"""
+#: What the bracket rules need: without it they have nothing to rewrite.
+_BRACKETED_YEAR = r"[\[〔（(]\p{Nd}{4}[\]〕）)]"
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with the value computed once however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
+def is_ascii(text: Column) -> Column:
+    """For such texts classes of Unicode characters need not be tried."""
+    return F.octet_length(text) == F.char_length(text)
 
 
 def strip(text: Column) -> Column:
     """Without Unicode white space at either end."""
-    return F.regexp_replace(text, f"^{SPACES}+|{SPACES}+$", "")
+    return F.btrim(text, F.lit(WHITE_CHARS))
+
+
+def one_spaced(text: Column) -> Column:
+    """Runs of white space as one space, none at the ends; single spaces are not touched."""
+    other = WHITE.replace(r"\x1c-\x20", r"\x1c-\x1f")
+    return strip(F.regexp_replace(text, f" [{WHITE}]+|[{other}][{WHITE}]*", " "))
 
 
 def correct(text: Column) -> Column:
-    """Known misreadings set right."""
-    for wrong, right in SEAL_WORDS:
-        text = F.replace(text, F.lit(wrong), F.lit(right))
-    for pattern, to in BRACKET_RULES:
-        text = F.regexp_replace(text, pattern, to)
-    return text
+    """Known misreadings set right. The rules are tried only where a text has what they need."""
+
+    def seals(t: Column) -> Column:
+        for wrong, right in SEAL_WORDS:
+            t = F.replace(t, F.lit(wrong), F.lit(right))
+        return F.regexp_replace(t, *SEAL_RULE)
+
+    def brackets(t: Column) -> Column:
+        for pattern, to in BRACKET_RULES:
+            t = F.regexp_replace(t, pattern, to)
+        return t
+
+    sealed = let(text, lambda t: F.when(t.contains("盖率"), seals(t)).otherwise(t))
+    return let(sealed, lambda t: F.when(t.rlike(_BRACKETED_YEAR), brackets(t)).otherwise(t))
 
 
 def fold(text: Column) -> Column:
@@ -49,7 +84,7 @@ def fold(text: Column) -> Column:
 
 def match_key(text: Column) -> Column:
     """What two texts are compared by: corrected, without white space and punctuation, folded. Null is empty."""
-    return fold(F.regexp_replace(correct(F.coalesce(text, F.lit(""))), f"(?U)[\\s\\x1c-\\x1f{MATCH_PUNCTUATION}]+", ""))
+    return let(correct(F.coalesce(text, F.lit(""))), lambda t: F.when(is_ascii(t), F.lower(F.regexp_replace(t, _ASCII_KEY_BREAKS, ""))).otherwise(fold(F.regexp_replace(t, _KEY_BREAKS, ""))))
 
 
 def canonical(text: Column) -> Column:
@@ -62,13 +97,12 @@ def canonical_key(text: Column) -> Column:
 
 def squeeze(text: Column) -> Column:
     """White space runs become one space, none between ideographs, none at the ends."""
-    one = strip(F.regexp_replace(F.coalesce(text, F.lit("")), f"{SPACES}+", " "))
-    return F.regexp_replace(one, f"(?<={CJK})(?U)\\s+(?={CJK})", "")
+    return let(one_spaced(F.coalesce(text, F.lit(""))), lambda t: F.when(is_ascii(t), t).otherwise(F.regexp_replace(t, f"(?<={CJK}) (?={CJK})", "")))
 
 
 def word_key(text: Column) -> Column:
     """Letters and digits only, folded."""
-    return fold(F.regexp_replace(squeeze(text), "(?U)[\\W_]+", ""))
+    return let(squeeze(text), lambda t: F.when(is_ascii(t), F.lower(F.regexp_replace(t, "[^A-Za-z0-9]+", ""))).otherwise(fold(F.regexp_replace(t, "(?U)[\\W_]+", ""))))
 
 
 def looks_like_table(text: Column) -> Column:
@@ -85,20 +119,42 @@ def strip_tags(text: Column) -> Column:
     return F.regexp_replace(text, "<[^>]+>", " ")
 
 
+# What ends a line, or a cell, in an HTML fragment.
+LINE_ENDS, CELL_ENDS = r"(?i)<\s*br\s*/?\s*>|</\s*tr\s*>", r"(?i)</\s*t[dh]\s*>"
+# Fixed value: where Python ends lines.
+LINE_BREAKS = "\r\n|[\n\r\\x0b\\x0c\\x1c-\\x1e\\x85\\u2028\\u2029]"
+# Fixed value: cells of a table.
+CELL = r"(?is)<t[dh]\b[^>]*>(.*?)</\s*t[dh]\s*>"
+
+
 def html_to_text(text: Column, entities=unescape) -> Column:
     """Plain lines of an HTML fragment: rows and breaks end lines, tags vanish, blank lines too."""
-    flat = F.regexp_replace(text, "(?i)<\\s*br\\s*/?\\s*>", "\n")
-    flat = F.regexp_replace(flat, "(?i)</\\s*tr\\s*>", "\n")
-    flat = strip_tags(F.regexp_replace(flat, "(?i)</\\s*t[dh]\\s*>", " "))
-    flat = entities(flat) if entities else flat
-    lines = F.transform(F.split(flat, "\r\n|[\n\r\\x0b\\x0c\\x1c-\\x1e\\x85\\u2028\\u2029]"), lambda x: strip(F.regexp_replace(x, f"{SPACES}+", " ")))
+    flat = strip_tags(F.regexp_replace(F.regexp_replace(text, LINE_ENDS, "\n"), CELL_ENDS, " "))
+    lines = F.transform(F.split(entities(flat) if entities else flat, LINE_BREAKS), one_spaced)
     return F.array_join(F.filter(lines, lambda x: x != ""), "\n")
 
 
-def html_cells(text: Column) -> Column:
-    """Distinct texts of the td and th cells, in order of first occurrence."""
-    inner = F.regexp_extract_all(text, F.lit("(?is)<t[dh]\\b[^>]*>(.*?)</\\s*t[dh]\\s*>"), F.lit(1))
-    return F.array_distinct(F.filter(F.transform(inner, lambda x: squeeze(strip_tags(x))), lambda x: x != ""))
+def table_texts(text: Column, entities=unescape) -> Column:
+    """Texts of the td and th cells of each row, in order; blank ones are empty, rows without cells vanish. Entities are decoded in all cells at once."""
+    cell, row = "\x01", "\x02"  # characters that no entity decodes to
+
+    def inner(r: Column) -> Column:
+        return F.transform(F.regexp_extract_all(r, F.lit(CELL), F.lit(1)), lambda x: F.regexp_replace(strip_tags(x), f"[{cell}{row}]", " "))
+
+    rows = F.filter(F.transform(F.split(text, r"(?i)</\s*tr\s*>"), inner), lambda r: F.size(r) > 0)
+    joined = F.array_join(F.transform(rows, lambda r: F.array_join(r, cell)), row)
+    decoded = F.transform(F.split(entities(joined) if entities else joined, row), lambda r: F.transform(F.split(r, cell), squeeze))
+    return F.when(F.size(rows) > 0, decoded).otherwise(F.array().cast("array<array<string>>"))
+
+
+def cell_texts(text: Column, entities=unescape) -> Column:
+    """Texts of the td and th cells of all rows, in order; blank ones are empty."""
+    return F.flatten(table_texts(text, entities))
+
+
+def html_cells(text: Column, entities=unescape) -> Column:
+    """Distinct texts of the td and th cells, in order of first occurrence."""
+    return F.array_distinct(F.filter(cell_texts(text, entities), lambda x: x != ""))
 
 
 def similarity_units(text: Column) -> Column:
@@ -109,50 +165,111 @@ def similarity_units(text: Column) -> Column:
     return F.array_union(parts, F.when(F.char_length(whole).between(4, 40), F.array(whole)).otherwise(F.array().cast("array<string>")))
 
 
+@F.pandas_udf(T.BooleanType())
+def alike(left: pd.Series, right: pd.Series) -> pd.Series:
+    """Whether the Ratcliff-Obershelp similarity of two texts is ``ALIKE`` at least; its upper bounds are tried first."""
+    known: dict[tuple[str, str], bool] = {}
+
+    def one(a: str | None, b: str | None) -> bool | None:
+        if a is None or b is None:
+            return None
+        if (a, b) not in known:
+            known[a, b] = texts_alike(a, b)
+        return known[a, b]
+
+    return pd.Series([one(a, b) for a, b in zip(left, right, strict=True)], dtype="object")
+
+
+def texts_alike(a: str, b: str) -> bool:
+    if 2 * min(len(a), len(b)) < ALIKE * (len(a) + len(b)):
+        return False
+    pair = difflib.SequenceMatcher(None, a, b)
+    return pair.quick_ratio() >= ALIKE and pair.ratio() >= ALIKE
+
+
 @F.pandas_udf(T.DoubleType())
 def sequence_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp similarity of two texts, 0 to 1."""
     return pd.Series([None if a is None or b is None else difflib.SequenceMatcher(None, a, b).ratio() for a, b in zip(left, right, strict=True)], dtype="float64")
 
 
-def one_holds_other(a: Column, b: Column, least: int = 12) -> Column:
+# The least similarity of near duplicates, and the least key that counts where another holds it.
+ALIKE, HELD = 0.62, 12
+
+
+def one_holds_other(a: Column, b: Column, least: int = HELD) -> Column:
     """Equal, or one of at least ``least`` characters is part of the other; never for empty keys."""
     part = (a == b) | ((F.char_length(a) >= least) & b.contains(a)) | ((F.char_length(b) >= least) & a.contains(b))
     return (a != "") & (b != "") & part
 
 
+def undecided(a: Column, b: Column) -> Column:
+    """Whether two match keys are neither near duplicates by containment nor too unlike in length: only these need their sequences compared."""
+    lengths = F.char_length(a) + F.char_length(b)
+    return (a != "") & (b != "") & ~one_holds_other(a, b) & (F.least(F.char_length(a), F.char_length(b)) * 2 >= lengths * ALIKE)
+
+
 def near_duplicates(a: Column, b: Column) -> Column:
-    """Of two match keys: one holds the other, or their sequences are alike. The cheap tests come first."""
-    return F.when((a == "") | (b == ""), F.lit(False)).when(one_holds_other(a, b), F.lit(True)).otherwise(sequence_ratio(a, b) >= 0.62)
+    """Of two match keys: one holds the other, or their sequences are alike. Python gets nulls for pairs that are decided without it."""
+    open_ = undecided(a, b)
+    return one_holds_other(a, b) | F.coalesce(alike(F.when(open_, a), F.when(open_, b)), F.lit(False))
+
+
+def keys_nearly_equal(a: str, b: str) -> bool:
+    """``near_duplicates`` for code that works a page at a time."""
+    short, long = sorted((a, b), key=len)
+    return bool(short) and (short == long or (len(short) >= HELD and short in long) or texts_alike(a, b))
 
 
 # Ornaments that are stripped from the ends of a text.
 ORNAMENTS = "·•●◆■★☆※*~`'\"|"
 
 
-@F.pandas_udf(T.StringType())
-def denoise(texts: pd.Series) -> pd.Series:
-    """Compatibility-normalised, printable only, white space collapsed, ornaments at the ends stripped."""
+def plain_words(text: str) -> str:
+    """P5: compatibility forms folded; words without what cannot be printed, one space apart, ornaments at the ends stripped."""
+    shown = (w if w.isprintable() else "".join(filter(str.isprintable, w)) for w in re.split("[ \n\t]+", unicodedata.normalize("NFKC", text)))
+    return " ".join(filter(None, shown)).strip(ORNAMENTS)
 
-    def one(text: str) -> str:
-        folded = unicodedata.normalize("NFKC", text)
-        shown = "".join(c for c in folded if c in "\n\t" or c.isprintable())
-        return " ".join(shown.split()).strip(ORNAMENTS)
 
-    return texts.map(one, na_action="ignore")
+@F.pandas_udf(T.StringType())
+def denoise(texts: pd.Series) -> pd.Series:
+    """``plain_words`` of each text."""
+    return texts.map(plain_words, na_action="ignore")
 
 
 def choose_text(*candidates: Column) -> Column:
     """The first that is not empty, cleaned; tables in HTML give nothing, other tags are stripped."""
     raw = strip(F.coalesce(*[F.when(c != "", c) for c in candidates], F.lit("")))
-    plain = F.when(raw.contains("<") & raw.contains(">"), html_to_text(raw, entities=None)).otherwise(raw)
+    plain = F.when(raw.contains("<") & raw.contains(">"), html_to_text(raw)).otherwise(raw)
     return F.when(looks_like_table(raw), F.lit("")).otherwise(canonical(plain))
 
 
-def safe_name(text: Column, default: str = "document") -> Column:
-    """Usable as a part of a file name."""
-    cleaned = F.regexp_replace(strip(F.coalesce(text, F.lit(""))), "[^A-Za-z0-9._\\u4e00-\\u9fff-]+", "_")
-    return F.coalesce(F.nullif(F.regexp_replace(cleaned, "^[._]+|[._]+$", ""), F.lit("")), F.lit(default))
+# What file names cannot have on some system.
+INVALID_IN_PATHS = r'[<>:"/\\|?*\x00-\x1f]+'
+
+
+def safe_part(text: Column, default: str = "unnamed") -> Column:
+    """Usable as a folder's or a file's name; letters of all scripts and inner spaces stay."""
+    return _safe(text, INVALID_IN_PATHS, " ._", default)
+
+
+def safe_stem(path: Column, default: str = "document") -> Column:
+    """``safe_part`` of a file name without its last suffix."""
+    return _safe(stem(path), INVALID_IN_PATHS, " ._", default)
+
+
+def safe_ascii(text: Column, default: str = "unknown") -> Column:
+    """Of ASCII letters, digits, points, lines and hyphens only."""
+    return _safe(text, "[^A-Za-z0-9_.-]+", "._", default)
+
+
+def safe_id(path: Column, default: str = "document") -> Column:
+    """``safe_ascii`` of a file's stem."""
+    return safe_ascii(F.coalesce(F.nullif(strip(stem(path)), F.lit("")), path), default)
+
+
+def _safe(text: Column, bad: str, ends: str, default: str) -> Column:
+    return F.coalesce(F.nullif(F.btrim(F.regexp_replace(F.coalesce(text, F.lit("")), bad, "_"), F.lit(ends)), F.lit("")), F.lit(default))
 
 
 def stem(path: Column) -> Column:

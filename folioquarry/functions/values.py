@@ -48,10 +48,10 @@ def text_or(value: Column, default: str | None = None) -> Column:
 
 
 def seconds_per_page(per_page: Column, elapsed: Column, pages: Column, rate: Column) -> Column:
-    """As given, else from elapsed time and pages, else from pages a second, else infinite."""
-    derived = F.when((pages > 0) & elapsed.isNotNull(), elapsed / pages)
-    inverse = F.when(rate > 0, 1.0 / rate)
-    return F.coalesce(F.when(per_page > 0, per_page), derived, inverse, F.lit(float("inf")))
+    """As given, 0 too; else from elapsed time and pages, else from pages a second, both to three decimals; else infinite."""
+    derived = F.when(pages != 0, F.bround(F.coalesce(elapsed, F.lit(0.0)) / pages, 3))
+    inverse = F.when(rate != 0, F.bround(F.lit(1.0) / rate, 3))
+    return F.coalesce(per_page, derived, inverse, F.lit(float("inf")))
 
 
 def trial_key(*parts: Column) -> Column:

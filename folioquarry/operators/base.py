@@ -7,6 +7,7 @@ bad document does not end a job; retryable errors are tried again in place.
 
 from __future__ import annotations
 
+import tempfile
 import time
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
@@ -122,6 +123,20 @@ def check_columns(df: DataFrame, needed: Iterable[str]) -> None:
         raise OperatorError(f"input lacks {missing}", code="SCHEMA_MISMATCH")
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written once in the shared checkpoint folder: rows keep what tasks have dealt them, whatever runs again.
+
+    A temporary folder is used only where ``spark.checkpoint.dir`` is unset and the master is local.
+    """
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        found = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not found and not context.master.startswith("local"):
+            raise OperatorError("set spark.checkpoint.dir to a folder that all executors share", code="NO_CHECKPOINT_DIR")
+        context.setCheckpointDir(found or "file://" + tempfile.mkdtemp(prefix="folioquarry-"))
+    return df.checkpoint()
+
+
 _registry: dict[tuple[str, str], type] = {}
 
 
@@ -162,21 +177,16 @@ class Uppercase(ArrowOperator):
 
 @register
 class NormalizeText(RowOperator):
-    """P5 as a row operator: (doc_id, text) with compatibility forms folded and ornaments stripped."""
+    """P5 as a row operator: (doc_id, text) with ``plain_words`` of the text; what is no text counts as empty."""
 
     name = "normalize_text"
     input_columns = ("doc_id", "text")
     output = "doc_id bigint, text string"
 
     def process_row(self, context: Context, row: dict[str, Any]) -> dict[str, Any]:
-        import unicodedata
-
-        from ..functions.text import ORNAMENTS
+        from ..functions.text import plain_words
 
-        if not isinstance(row["text"], str):
-            raise OperatorError("text is missing", code="INVALID_TEXT")
-        shown = "".join(c for c in unicodedata.normalize("NFKC", row["text"]) if c in "\n\t" or c.isprintable())
-        return {"doc_id": row["doc_id"], "text": " ".join(shown.split()).strip(ORNAMENTS)}
+        return row | {"text": plain_words(row["text"] if isinstance(row["text"], str) else "")}
 
 
 Extractor = Callable[[bytes | str, dict[str, Any]], list[dict[str, Any]]]

@@ -107,7 +107,9 @@ def dedupe_blocks(blocks: DataFrame, least: float = 0.5) -> DataFrame:
 
 
 def markdown(pages: DataFrame) -> DataFrame:
-    """One Markdown text per document: pages in order, each under its number."""
-    shown = pages.where(F.coalesce("text", F.lit("")) != "")
-    body = F.concat(F.lit("## Page "), (F.col("page_index") + 1).cast("string"), F.lit("\n\n"), F.col("text"))
-    return shown.groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_index", body.alias("b")))), lambda e: e["b"]), "\n\n").alias("markdown"))
+    """One Markdown text per document: its pages in order, each under its number if there are several, with a line feed at the end."""
+    page = F.struct("page_index", F.coalesce("text", F.lit("")).alias("text"))
+    documents = pages.groupBy("doc_id").agg(F.array_sort(F.collect_list(page)).alias("pages"))
+    title = lambda p: F.when(F.size("pages") > 1, F.concat(F.lit("# Page "), (p["page_index"] + 1).cast("string")))
+    chunks = F.flatten(F.transform("pages", lambda p: F.array_compact(F.array(title(p), F.when(p["text"] != "", p["text"])))))
+    return documents.select("doc_id", F.concat(T.strip(F.array_join(chunks, "\n\n")), F.lit("\n")).alias("markdown"))

@@ -11,9 +11,27 @@ from .reading import not_redundant
 from .spatial import PAGE, confirmed, first_match, greedy_match, near_region
 
 
-def refine_gate(enabled: Column, tables: Column, forced: Column, mode: Column) -> Column:
-    """refine if enabled, and there are tables, or it is forced, or the mode needs none."""
-    return F.coalesce(enabled & ((tables > 0) | forced | mode.isin("full_page", "ocr")), F.lit(False))
+# Modes that need no table, and who can refine.
+MODES_WITHOUT_TABLES = ("auto", "paddle3_auto", "paddle_auto", "ppocrv5", "pp_ocrv5", "paddleocr", "ocr", "paddleocr_vl", "paddleocrvl", "vl")
+PROVIDERS = ("paddleocr", "paddleocr_ppstructurev3")
+
+
+def refine_gate(enabled: Column, tables: Column, forced: Column, mode: Column, only_with_tables: Column | None = None) -> Column:
+    """whether a document is refined: it is enabled, and there are tables, or it is forced, or its mode (``auto`` unless given) or setting needs none."""
+    chosen = F.lower(F.trim(F.coalesce(F.nullif(F.trim(mode), F.lit("")), F.lit("auto"))))
+    needs = F.coalesce(only_with_tables, F.lit(True)) if only_with_tables is not None else F.lit(True)
+    anyway = F.coalesce(forced, F.lit(False)) | chosen.isin(*MODES_WITHOUT_TABLES) | ~needs
+    return F.coalesce(enabled, F.lit(False)) & (anyway | (F.coalesce(tables, F.lit(0)) > 0))
+
+
+def refine_outcome(gate: Column, enabled: Column, provider: Column, error: Column, fail_open: Column | None = None) -> Column:
+    """What becomes of a document's refinement: off, skipped, unsupported, warned (the error is noted and the pages stay), failed or merged."""
+    known = F.coalesce(F.nullif(F.trim(provider), F.lit("")), F.lit(PROVIDERS[0])).isin(*PROVIDERS)
+    open_ = F.coalesce(fail_open, F.lit(True)) if fail_open is not None else F.lit(True)
+    return (
+        F.when(~F.coalesce(enabled, F.lit(False)), F.lit("off")).when(~gate, F.lit("skipped")).when(~known, F.lit("unsupported"))
+        .when(error.isNull(), F.lit("merged")).when(open_, F.lit("warned")).otherwise(F.lit("failed"))
+    )
 
 
 def table_blocks(raw: DataFrame, candidates: DataFrame) -> DataFrame:
@@ -58,7 +76,7 @@ def fill_from_html(cells: DataFrame, html: DataFrame, *keys: str) -> DataFrame:
 
     ``cells``: keys, row_index, col_index, text; ``html``: keys, html. The order of the grid is rows, then columns.
     """
-    every = F.transform(F.regexp_extract_all("html", F.lit("(?is)<t[dh]\\b[^>]*>(.*?)</\\s*t[dh]\\s*>"), F.lit(1)), lambda x: T.squeeze(T.strip_tags(x)))
+    every = T.cell_texts(F.col("html"))
     body = [c for c in cells.columns if c not in keys]
     grid = cells.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("row_index", "col_index", *[c for c in body if c not in ("row_index", "col_index")]))).alias("cells"))
     both = grid.join(html.select(*keys, every.alias("texts")), list(keys), "left")
@@ -70,14 +88,16 @@ def fill_from_html(cells: DataFrame, html: DataFrame, *keys: str) -> DataFrame:
     return rows.select(*keys, *[F.col(f"c.{c}") for c in body if c != "text"], filled.alias("text"), source.alias("text_source"))
 
 
-def pipe_table(html: Column) -> Column:
+def pipe_table(html: Column, entities=T.unescape) -> Column:
     """An html table as a Markdown pipe table, the first row as its head; rows without cells vanish."""
-    rows = F.split(html, "(?i)</\\s*tr\\s*>")
-    inner = lambda r: F.transform(F.regexp_extract_all(r, F.lit("(?is)<t[dh]\\b[^>]*>(.*?)</\\s*t[dh]\\s*>"), F.lit(1)), lambda x: F.replace(T.squeeze(T.strip_tags(x)), F.lit("|"), F.lit("\\|")))
-    cells = F.filter(F.transform(rows, inner), lambda r: F.size(r) > 0)
-    lines = F.transform(cells, lambda r: F.concat(F.lit("| "), F.array_join(r, " | "), F.lit(" |")))
-    rule = F.concat(F.repeat(F.lit("| --- "), F.size(cells[0])), F.lit("|"))
-    return F.when(F.size(lines) > 0, F.array_join(F.concat(F.slice(lines, 1, 1), F.array(rule), F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0)))), "\n"))
+
+    def rendered_(rows: Column) -> Column:
+        line = lambda r: F.concat(F.lit("| "), F.array_join(F.transform(r, lambda x: F.replace(x, F.lit("|"), F.lit("\\|"))), " | "), F.lit(" |"))
+        rule = F.concat(F.repeat(F.lit("| --- "), F.size(rows[0])), F.lit("|"))
+        body = F.transform(F.slice(rows, 2, F.size(rows)), line)
+        return F.when(F.size(rows) > 0, F.array_join(F.concat(F.array(line(rows[0]), rule), body), "\n"))
+
+    return T.let(T.table_texts(html, entities), rendered_)
 
 
 def column_lines(ordered: DataFrame, page_middle: Column) -> DataFrame:
@@ -132,9 +152,13 @@ def correct_json(value: Column) -> Column:
     return F.try_parse_json(T.correct(F.to_json(value)))
 
 
-def rewrite_texts(files: DataFrame, exclude: str = "_middle\\.json$|_model\\.json$") -> DataFrame:
+# Artifacts that are read by machines and stay as they are.
+MACHINE_READ = r"(^|/)paddle_table_structure\.json$|\.field_coordinates\.json$|\.error\.json$"
+
+
+def rewrite_texts(files: DataFrame, exclude: str = MACHINE_READ) -> DataFrame:
     """(path, text) with readable artifacts corrected; paths that match ``exclude`` stay as they are."""
-    readable = F.col("path").rlike("\\.(md|json)$") & ~F.col("path").rlike(exclude)
+    readable = F.col("path").rlike("(?i)\\.(md|json)$") & ~F.col("path").rlike(exclude)
     return files.select("path", F.when(readable, T.correct(F.col("text"))).otherwise(F.col("text")).alias("text"))
 
 

@@ -5,11 +5,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .base import checkpointed
+
+#: Entries of a list of limits.
+MOST_LIMITS = 10_000
 # The columns of the batch CSV, in order.
 BATCH_COLUMNS = (
-    "doc_id", "input_path", "output_json", "success", "skipped", "error", "total_pages", "parsed_pages", "text_blocks", "table_blocks", "table_cells",
-    "field_match_count", "elapsed_seconds", "seconds_per_page", "coord_space", "layout_provider", "table_engine",
-)
+    "pdf_path", "success", "skipped", "json_path", "error_report", "error_type", "error_code", "error", "elapsed_seconds", "processing_seconds",
+    "queue_wait_seconds", "wall_elapsed_seconds", "page_count", "text_block_count", "table_block_count", "table_cell_count", "table_engine",
+    "paddle_table_mode", "input_type", "relative_input_path", "output_relative_dir", "converted_pdf_path", "page_screenshots_manifest", "field_keywords",
+    "field_match_count", "field_coordinates_path", "field_annotation_pdf_path",
+)
+
+
+def batch_rows(results: DataFrame) -> DataFrame:
+    """K4: results with exactly the columns of the batch CSV, in their order, as texts; what results lack is null, lists are JSON."""
+
+    def shown(name: str) -> Column:
+        if name not in results.columns:
+            return F.lit(None).cast("string").alias(name)
+        kind = results.schema[name].dataType.typeName()
+        return (F.to_json(name) if kind in ("array", "map", "struct") else F.col(name).cast("string")).alias(name)
+
+    return results.select(*[shown(c) for c in BATCH_COLUMNS])
 
 
 def per_page(elapsed: Column, pages: Column) -> Column:
@@ -36,7 +54,7 @@ def failures(results: DataFrame) -> DataFrame:
 def write_batch(results: DataFrame, path: str) -> None:
     """K3, K4, K5: report, CSV and failures below a folder."""
     batch_report(results).coalesce(1).write.mode("overwrite").json(f"{path}/report")
-    results.select(*[c for c in BATCH_COLUMNS if c in results.columns]).write.mode("overwrite").csv(f"{path}/batch", header=True)
+    batch_rows(results).write.mode("overwrite").csv(f"{path}/batch", header=True)
     failures(results).write.mode("overwrite").json(f"{path}/failed")
 
 
@@ -53,11 +71,9 @@ def pending(tasks: DataFrame, done: DataFrame, *keys: str, same: tuple[str, ...]
 
 
 def trial_status(code: Column, readable: Column, failed: Column, succeeded: Column) -> Column:
-    """F15"""
-    return (
-        F.when(code != 0, F.lit("failed")).when(~F.coalesce(readable, F.lit(False)), F.lit("no_report"))
-        .when(failed > 0, F.lit("failed")).when(F.coalesce(succeeded, F.lit(0)) == 0, F.lit("empty")).otherwise(F.lit("success"))
-    )
+    """success if the trial ended well, with a readable report, at least one success and no failure; else failed."""
+    good = (code == 0) & readable & (F.coalesce(failed, F.lit(0)) <= 0) & (F.coalesce(succeeded, F.lit(0)) > 0)
+    return F.when(F.coalesce(good, F.lit(False)), F.lit("success")).otherwise(F.lit("failed"))
 
 
 def best_trials(trials: DataFrame, *keys: str) -> DataFrame:
@@ -82,8 +98,12 @@ def open_values(planned: DataFrame, trials: DataFrame, key: str, value: str) ->
 
 
 def limit_grid(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Every pair of two lists of limits; both are the caller's short lists."""
-    return left.crossJoin(F.broadcast(right))
+    """Every pair of two lists of limits, the right one of at most ``MOST_LIMITS``; each row of the left is paired with all of the list."""
+    rows = right.limit(MOST_LIMITS + 1).collect()
+    if len(rows) > MOST_LIMITS:
+        raise ValueError(f"more than {MOST_LIMITS} limits")
+    limits = F.array(*[F.struct(*[F.lit(v).cast(right.schema[c].dataType).alias(c) for c, v in r.asDict().items()]) for r in rows])
+    return left.select("*", F.explode(limits).alias("_limit")).select(*left.columns, "_limit.*") if rows else left.crossJoin(right)
 
 
 def visible(devices: DataFrame, setting: str | None) -> DataFrame:
@@ -112,6 +132,17 @@ def document_rollup(pages: DataFrame) -> DataFrame:
 
 
 def chunks(df: DataFrame, order: list[str], size: int) -> DataFrame:
-    """Rows numbered in order of a unique key within each group's window of ``size``; meant for short lists."""
-    n = F.row_number().over(Window.orderBy(*order)) - 1
-    return df.withColumn("chunk", F.floor(n / size).cast("int"))
+    """Rows numbered in order of a unique key, ``size`` to a chunk.
+
+    Ranges are sorted and counted first, and each row's number is its place in its range after the ranges before it, so no
+    task sees more than a range.
+    """
+    dealt = checkpointed(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    sizes = {r["_range"]: r["count"] for r in dealt.groupBy("_range").count().collect()}  # a row per range, not per row
+    before, total = [], 0
+    for k in range(max(sizes, default=-1) + 1):
+        before.append(total)
+        total += sizes.get(k, 0)
+    start = F.element_at(F.array(*map(F.lit, before)), F.col("_range") + 1) if before else F.lit(0)
+    n = start + F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1
+    return dealt.withColumn("chunk", F.floor(n / size).cast("int")).drop("_range")

@@ -1,7 +1,7 @@
 """Keyword search with coordinates over text blocks and table cells.
 
-The match key of a text is computed once, before the join; keywords are a small list of the caller's,
-so they are broadcast and texts are neither shuffled nor multiplied by keywords without a match.
+The match key of a text is computed once; keywords are a small list of the caller's and part of the
+plan, so texts are neither shuffled nor multiplied by keywords without a match.
 """
 
 from __future__ import annotations
@@ -50,10 +50,18 @@ def source_rank(kind: Column) -> Column:
 
 
 def matches(rows: DataFrame, keywords: DataFrame) -> DataFrame:
-    """Rows by keyword where the key of the text holds the keyword's."""
-    keyed = rows.withColumn("text_key", T.match_key(F.col("text"))).where("text_key <> ''")
-    words = F.broadcast(keywords.select("keyword", F.col("key").alias("word_key")))
-    return keyed.join(words, F.col("text_key").contains(F.col("word_key"))).drop("word_key")
+    """Rows by keyword where the key of the text holds the keyword's. ``keywords`` are the caller's list, ``MOST_KEYWORDS`` at most.
+
+    A text's key is computed once and meets the list as an array in its own row: nothing is joined, and a text without a match
+    is not multiplied.
+    """
+    listed = [(r["keyword"], r["key"]) for r in keywords.select("keyword", "key").limit(MOST_KEYWORDS + 1).collect()]
+    if len(listed) > MOST_KEYWORDS:
+        raise ValueError(f"at most {MOST_KEYWORDS} keywords")
+    words = F.array(*[F.struct(F.lit(w).alias("keyword"), F.lit(k).alias("key")) for w, k in listed]).cast("array<struct<keyword: string, key: string>>")
+    found = lambda key: F.struct(key.alias("text_key"), F.transform(F.filter(words, lambda w: key.contains(w["key"])), lambda w: w["keyword"]).alias("keywords"))
+    keyed = rows.withColumn("_found", T.let(T.match_key(F.col("text")), found))
+    return keyed.select(*rows.columns, F.col("_found.text_key").alias("text_key"), F.explode("_found.keywords").alias("keyword"))
 
 
 def distinct_matches(found: DataFrame) -> DataFrame:

@@ -76,7 +76,7 @@ def greedy_match(tables: DataFrame, candidates: DataFrame, least: float = 0.70)
     that overlap enough enter the fold.
     """
     near = tables.alias("t").join(
-        candidates.alias("c"), same_page("t", "c") & (G.iou(F.col("t.box"), F.col("c.box")) >= least), "left"
+        candidates.alias("c"), same_page("t", "c") & G.touching(F.col("t.box"), F.col("c.box")) & (G.iou(F.col("t.box"), F.col("c.box")) >= least), "left"
     ).groupBy("t.doc_id", "t.page_index", "t.table_no").agg(F.array_sort(F.collect_list("c.candidate_no")).alias("options"))
     page = near.groupBy(*PAGE).agg(F.array_sort(F.collect_list(F.struct("table_no", "options"))).alias("tables"))
     start = F.struct(F.array().cast("array<int>").alias("used"), F.array().cast("array<struct<table_no: int, candidate_no: int>>").alias("out"))
@@ -115,27 +115,19 @@ def annotate(blocks: DataFrame, marks: DataFrame, least: float = 0.12) -> DataFr
 
 
 def confirmed(blocks: DataFrame, others: DataFrame, key: str = "line_no") -> DataFrame:
-    """Blocks of which an overlapping text on the page says nearly the same; the geometric test runs before the Python one."""
+    """Blocks of which an overlapping text on the page says nearly the same.
+
+    Pairs that meet on the page are decided by containment where they can be, in the JVM; of the rest, those of like length
+    go to Python, each two keys once.
+    """
     left = blocks.select(*PAGE, key, "box", T.canonical_key(F.col("text")).alias("own"))
     right = others.select(*PAGE, F.col("box").alias("other_box"), T.canonical_key(F.col("text")).alias("other"))
-    near = left.join(right, [*PAGE]).where((G.overlap(F.col("box"), F.col("other_box")) >= 0.05) & (F.col("own") != "") & (F.col("other") != ""))
-    return near.where(T.near_duplicates(F.col("own"), F.col("other"))).select(*PAGE, key).distinct()
-
-
-def may_replace(candidate: Column, existing: Column, candidate_confidence: Column, existing_confidence: Column, block_type: Column, whole_page: Column) -> Column:
-    """whether a candidate's text replaces a block's, tested in order."""
-    a, b = T.canonical_key(candidate), T.canonical_key(existing)
-    ratio = F.char_length(a) / F.greatest(F.lit(1), F.char_length(b))
-    longer = F.char_length(a) >= F.char_length(b) + 2
-    no, yes = F.lit(False), F.lit(True)
-    return (
-        F.when(F.lower(F.coalesce(block_type, F.lit(""))).isin("table_cell", "page_number"), no)
-        .when((a == "") | (b == "") | (T.canonical(candidate) == T.canonical(existing)), no)
-        .when((F.char_length(a) < F.char_length(b)) & b.contains(a), no)
-        .when(F.coalesce(whole_page, no) & (ratio < 0.9), no)
-        .when((ratio < 0.65) | (ratio > 1.8), no)
-        .when(candidate_confidence + 0.05 < existing_confidence, no)
-        .when(existing_confidence.isNull() & (candidate_confidence < 0.9), no)
-        .when(existing_confidence < 0.85, yes)
-        .otherwise(longer)
+    near = left.join(right, [*PAGE]).where(G.touching(F.col("box"), F.col("other_box")) & (G.overlap(F.col("box"), F.col("other_box")) >= 0.05))
+    own, other = F.col("own"), F.col("other")
+    sure = T.one_holds_other(own, other)
+    of_block = near.where(sure | T.undecided(own, other)).groupBy(*PAGE, key, "own").agg(
+        F.bool_or(sure).alias("sure"), F.collect_set(F.when(~sure, other)).alias("others")
     )
+    # blocks that are sure need no more; the others compare their text with few
+    rest = of_block.where("not sure").select(*PAGE, key, "own", F.explode("others").alias("other"))
+    return of_block.where("sure").select(*PAGE, key).unionByName(rest.where(T.alike(own, other)).select(*PAGE, key)).distinct()

@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 from ..operators import extract as X
 from ..operators import reading, report, search, tables
+from ..operators.fusion import merge_artifact_text
 from ..sources import layout_text as L
 
+__all__ = ["batch_plan", "document_plan", "field_search_plan", "merge_artifact_text", "pages_from_models"]
+
 
 def field_search_plan(spark: SparkSession, docs: DataFrame, keywords: list[str]) -> DataFrame:
     """C5 over documents: blocks and cells, searched and deduplicated."""
@@ -30,37 +33,6 @@ def document_plan(docs: DataFrame) -> DataFrame:
     return reading.page_text(reading.reading_order(merged))
 
 
-def merge_artifact_text(blocks: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Recognised texts merged into pages.
-
-    A candidate that overlaps a block (a quarter at least) with nearly the same text replaces its text if it may,
-    and is dropped otherwise; one that meets no such block is appended unless the page's texts make it redundant.
-    A candidate acts on the first block it matches, and of several for one block the first in order counts.
-    """
-    from ..functions import geometry as G
-    from ..functions import text as T
-    from ..operators.spatial import PAGE, may_replace
-
-    left = candidates.select(*PAGE, "ordinal", F.col("text").alias("c_text"), F.col("box").alias("c_box"), F.col("confidence").alias("c_conf"), T.canonical_key(F.col("text")).alias("c_key"))
-    right = blocks.select(*PAGE, "line_no", "text", "box", "confidence", T.canonical_key(F.col("text")).alias("key"))
-    near = left.join(right, [*PAGE]).where((G.overlap(F.col("c_box"), F.col("box")) >= 0.25) & (F.col("c_key") != "") & (F.col("key") != ""))
-    matched = near.where(T.near_duplicates(F.col("c_key"), F.col("key"))).groupBy(*PAGE, "ordinal").agg(
-        F.min_by(F.struct("line_no", "c_text", "c_conf", "text", "confidence"), "line_no").alias("m")
-    )
-    none = F.lit(None).cast("string")
-    better = matched.where(may_replace(F.col("m.c_text"), F.col("m.text"), F.col("m.c_conf"), F.col("m.confidence"), none, F.lit(False)))
-    chosen = better.groupBy(*PAGE, F.col("m.line_no").alias("line_no")).agg(F.min_by("m.c_text", "ordinal").alias("new_text"))
-    updated = blocks.join(chosen, [*PAGE, "line_no"], "left").select(
-        *PAGE, "line_no", F.coalesce("new_text", "text").alias("text"), "box", F.when(F.col("new_text").isNotNull(), F.lit("replaced")).otherwise("kept").alias("origin")
-    )
-    free = candidates.join(matched.select(*PAGE, "ordinal"), [*PAGE, "ordinal"], "left_anti")
-    had = updated.groupBy(*PAGE).agg(F.collect_list(T.canonical_key(F.col("text"))).alias("keys"))
-    fresh = free.join(had, [*PAGE], "left").where(
-        (T.canonical_key(F.col("text")) != "") & ~F.coalesce(F.exists("keys", lambda k: T.one_holds_other(T.canonical_key(F.col("text")), k)), F.lit(False))
-    )
-    return updated.unionByName(fresh.select(*PAGE, (-F.col("ordinal") - 1).alias("line_no"), "text", "box", F.lit("appended").alias("origin")))
-
-
 def pages_from_models(layout: DataFrame, lines: DataFrame, marks: DataFrame) -> DataFrame:
     """Blocks of pages from layout regions, OCR lines and seal or formula marks.
 

@@ -1,6 +1,9 @@
 """Every query by name, with the SQL that checks it where SQL can say the same."""
 
-from . import coerce, layout, pages, refinement, reports
+from . import coerce, contracts, layout, pages, readers, refinement, reports
 
-QUERIES = layout.QUERIES | pages.QUERIES | refinement.QUERIES | reports.QUERIES | coerce.QUERIES
-ORACLE_SQL = layout.ORACLE_SQL | pages.ORACLE_SQL | refinement.ORACLE_SQL | reports.ORACLE_SQL | coerce.ORACLE_SQL
+QUERIES: dict = {}
+ORACLE_SQL: dict = {}
+for module in (layout, pages, refinement, reports, coerce, readers, contracts):
+    QUERIES |= module.QUERIES
+    ORACLE_SQL |= module.ORACLE_SQL

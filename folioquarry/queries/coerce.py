@@ -48,17 +48,22 @@ def contract_violations(spark, sf_dir):
     return S.violations(orders.select("o_orderkey", "o_totalprice"), checks).select("o_orderkey", F.array_join("violations", ",").alias("violations"))
 
 
-@query("""WITH n AS (SELECT c_custkey, 'in/' || c_name || CASE c_custkey % 3 WHEN 0 THEN '.PDF' WHEN 1 THEN '.png' ELSE '.txt' END AS path FROM customer)
-SELECT c_custkey, regexp_replace(regexp_extract(path, '[^/]*$'), '\\.[^.]*$', '') AS stem, CASE c_custkey % 3 WHEN 0 THEN 'application/pdf' WHEN 1 THEN 'image/png' ELSE 'application/octet-stream' END AS media_type,
-  c_custkey % 3 < 2 AS supported, c_custkey % 3 = 1 AS image, 'out/' || regexp_replace(regexp_extract(path, '[^/]*$'), '\\.[^.]*$', '') AS target, 'new/' || regexp_extract(path, '[^/]*$') AS moved FROM n""".replace("\\\\", "\\"))
+@query(r"""WITH n AS (SELECT c_custkey, 'data/in/' || CASE c_custkey % 4 WHEN 0 THEN '' WHEN 1 THEN 'a b?c/' WHEN 2 THEN 'x/' || c_name || '/' ELSE replace(c_name, '#', '_') || '/' END AS folder, c_name,
+  CASE c_custkey % 3 WHEN 0 THEN '.PDF' WHEN 1 THEN '.png' ELSE '.txt' END AS ext FROM customer), p AS (SELECT *, folder || c_name || ext AS path FROM n)
+SELECT c_custkey, c_name AS stem, CASE c_custkey % 3 WHEN 0 THEN 'application/pdf' WHEN 1 THEN 'image/png' ELSE 'application/octet-stream' END AS media_type,
+  c_custkey % 3 < 2 AS supported, c_custkey % 3 = 1 AS image, CASE c_custkey % 4 WHEN 0 THEN 'out/in' WHEN 1 THEN 'out/a b_c' WHEN 2 THEN 'out/x' ELSE 'out/' || replace(c_name, '#', '_') END AS target,
+  'new/' || path[9:] AS moved, trim(regexp_replace(c_name, '[^A-Za-z0-9_.-]+', '_', 'g'), '._') AS doc_id, trim(regexp_replace(folder, '[<>:"/\|?*]+', '_', 'g'), ' ._') AS part FROM p""")
 def file_names(spark, sf_dir):
+    """T12, T13, T14, T15, K19 on paths made of names."""
     c = F.col("c_custkey")
-    path = F.concat(F.lit("in/"), F.col("c_name"), F.when(c % 3 == 0, ".PDF").when(c % 3 == 1, ".png").otherwise(".txt"))
-    named = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", path.alias("path"))
+    name = F.replace("c_name", F.lit("#"), F.lit("_"))
+    folder = F.concat(F.lit("data/in/"), F.when(c % 4 == 0, "").when(c % 4 == 1, "a b?c/").when(c % 4 == 2, F.concat(F.lit("x/"), F.col("c_name"), F.lit("/"))).otherwise(F.concat(name, F.lit("/"))))
+    path = F.concat(folder, F.col("c_name"), F.when(c % 3 == 0, ".PDF").when(c % 3 == 1, ".png").otherwise(".txt"))
+    named = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", path.alias("path"), folder.alias("folder"))
     p = F.col("path")
     return named.select(
         "c_custkey", T.stem(p).alias("stem"), T.media_type(p).alias("media_type"), files.is_supported(p).alias("supported"), files.is_image(p).alias("image"),
-        files.output_dir(p, "in", "out").alias("target"), T.moved(p, "in", "new").alias("moved"),
+        files.output_dir(p, "data/in", "out").alias("target"), T.moved(p, "data/in", "new").alias("moved"), T.safe_id(p).alias("doc_id"), T.safe_part(F.col("folder")).alias("part"),
     )
 
 

@@ -230,8 +230,8 @@ def page_text_in_order(spark, sf_dir):
     return reading.page_text_plain(L.blocks(_docs(spark, sf_dir)))
 
 
-@query(f"""WITH {FIXTURES}, p AS (SELECT doc_id, page_index, string_agg(text, chr(10) ORDER BY line_no) AS text FROM blocks GROUP BY 1, 2)
-SELECT doc_id, string_agg('## Page ' || (page_index + 1) || chr(10) || chr(10) || text, chr(10) || chr(10) ORDER BY page_index) AS markdown FROM p GROUP BY 1""")
+@query(f"""WITH {FIXTURES}, p AS (SELECT doc_id, page_index, string_agg(text, chr(10) ORDER BY line_no) AS text, count(*) OVER (PARTITION BY doc_id) AS pages FROM blocks GROUP BY 1, 2)
+SELECT doc_id, trim(string_agg(CASE WHEN pages > 1 THEN '# Page ' || (page_index + 1) || chr(10) || chr(10) ELSE '' END || text, chr(10) || chr(10) ORDER BY page_index), ' ' || chr(9) || chr(10) || chr(13)) || chr(10) AS markdown FROM p GROUP BY 1""")
 def markdown_documents(spark, sf_dir):
     return reading.markdown(reading.page_text_plain(L.blocks(_docs(spark, sf_dir))))
 

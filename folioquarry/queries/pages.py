@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import geometry as G
 from ..functions import text as T
 from ..operators import base, extract, spans, tables
 from ..operators.report import pending
@@ -28,12 +29,12 @@ def normalize_cell_text(spark, sf_dir):
 _LETTER = r"[\x{4e00}-\x{9fff}A-Za-z]"
 
 
-@query(rf"""WITH s AS (SELECT doc_id, substr(text, 1, 20) || ' 签字(盖率)' || ' 签字盖率 粤府办[' || (2000 + doc_id % 25) || '] ' || doc_id || '号 某函(2021)7号' AS t FROM documents),
+@query(rf"""WITH s AS (SELECT doc_id, text || ' 签字(盖率)' || ' 签字盖率 粤府办[' || (2000 + doc_id % 25) || '] ' || doc_id || '号 某函(2021)7号' AS t FROM documents),
 r AS (SELECT doc_id, replace(replace(replace(t, '（盖率）', '（盖章）'), '(盖率)', '(盖章)'), '签字盖率', '签字盖章') AS t FROM s)
 SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(t, '(签字[（(])盖率([）)])', '\1盖章\2', 'g'),
   '({_LETTER}{{1,20}})[\[〔](\d{{4}})[\]〕](\s*\d+\s*号)', '\1〔\2〕\3', 'g'), '({_LETTER}{{1,20}}(?:监办|府办|办发|府发|函|字|文))[（(](\d{{4}})[）)](\s*\d+\s*号)', '\1〔\2〕\3', 'g') AS corrected FROM r""")
 def ocr_correction(spark, sf_dir):
-    """T1 on whole texts; the SQL above cuts texts at 20 characters, so it is equal for shorter ones only."""
+    """T1 on whole texts, each with misreadings at its end."""
     docs = L.read_documents(spark, sf_dir)
     year = (F.lit(2000) + F.col("doc_id") % 25).cast("string")
     text = F.concat(F.col("text"), F.lit(" 签字(盖率)"), F.lit(" 签字盖率 粤府办["), year, F.lit("] "), F.col("doc_id").cast("string"), F.lit("号 某函(2021)7号"))
@@ -55,12 +56,12 @@ def html_to_text_with_entities(spark, sf_dir):
     return pages.select("page_id", T.html_to_text(F.col("html")).alias("plain"))
 
 
-@query("""WITH c AS (SELECT l_orderkey, l_linenumber, [l_returnflag, l_linestatus, CAST(l_partkey AS VARCHAR), l_returnflag] AS cells FROM lineitem)
+@query("""WITH c AS (SELECT l_orderkey, l_linenumber, [l_returnflag, l_linestatus, CAST(l_partkey AS VARCHAR), l_returnflag, l_linestatus || ' & ' || l_returnflag || 'é'] AS cells FROM lineitem)
 SELECT l_orderkey, l_linenumber, array_to_string(list_filter(cells, lambda x, i: x <> '' AND NOT list_contains(cells[1:i - 1], x)), '|') AS cells FROM c""")
 def html_cells(spark, sf_dir):
     items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     cell = lambda c: F.concat(F.lit("<td class='a'> "), F.col(c).cast("string"), F.lit(" </td>"))
-    row = F.concat(F.lit("<table><tr>"), cell("l_returnflag"), cell("l_linestatus"), cell("l_partkey"), cell("l_returnflag"), F.lit("</tr></table>"))
+    row = F.concat(F.lit("<table><tr>"), cell("l_returnflag"), cell("l_linestatus"), cell("l_partkey"), cell("l_returnflag"), F.lit("<TD>"), F.col("l_linestatus"), F.lit(" &amp;<br/>"), F.col("l_returnflag"), F.lit("&#xe9;</TD></tr></table>"))
     return items.select("l_orderkey", "l_linenumber", F.array_join(T.html_cells(row), "|").alias("cells"))
 
 
@@ -138,42 +139,59 @@ def recogniser_table_cells(spark, sf_dir):
     return J.recogniser_cells(J.recogniser_tables(rows), F.lit(100.0), F.lit(100.0)).select("doc_id", "page_index", "table_index", "cell_index", "cell_id", "text", "box.x", "confidence")
 
 
-@query("""SELECT doc_id, 0 AS page_index, 'head ' || doc_id || chr(10) || 'tail' AS text, 1 AS x, 2 AS y, 9 AS w, 4 AS h FROM documents""")
+def _nested(spark, sf_dir):
+    """Nested layout JSON of documents: a page for every two lines; blocks nested as deep as the line's number, with captions, or without a box of their own."""
+    lines = L.read_documents(spark, sf_dir).select("doc_id", F.posexplode(F.split("text", "\n")).alias("i", "t")).where(F.trim("t") != "")
+    i, quoted = F.col("i"), F.to_json(F.array("t"))
+    inner = F.substring(quoted, F.lit(2), F.length(quoted) - 2)
+    deep = F.concat(F.repeat(F.lit('{"blocks":['), i % 7), F.lit('{"lines":[{"bbox":['), (i * 2).cast("string"), F.lit(",1,"), (i * 2 + 9).cast("string"), F.lit(',6],"spans":[{"content":'), inner, F.lit("}]}]}"), F.repeat(F.lit("]}"), i % 7))
+    kind = F.when(i % 5 == 1, "table").otherwise("text")
+    place = F.when(i % 2 == 0, F.concat(F.lit('"bbox":['), i.cast("string"), F.lit(",2,"), (i + 30).cast("string"), F.lit(",12],"))).otherwise(F.lit('"lines":[{"bbox":[3,4,10,6]}],'))
+    html = F.when(i % 5 == 1, F.concat(F.lit('"any":[{"html":" <i>'), i.cast("string"), F.lit('</i> "}],'))).otherwise(F.lit(""))
+    caption = F.concat(F.lit('"table_caption":[{"text":"c'), i.cast("string"), F.lit('"}],"table_footnote":{"content":" f "},'))
+    block = F.concat(F.lit('{"type":"'), kind, F.lit('",'), place, html, caption, F.lit('"blocks":['), deep, F.lit("]}"))
+    page = lines.groupBy("doc_id", F.floor(i / 2).cast("int").alias("p")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", block.alias("b")))), lambda e: e["b"]), ",").alias("bs"))
+    json = F.concat(F.lit('{"page_idx":'), F.col("p").cast("string"), F.lit(',"page_size":[100,200],"'), F.when(F.col("p") % 2 == 0, "para_blocks").otherwise("preproc_blocks"), F.lit('":['), "bs", F.lit("]}"))
+    whole = page.groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p", json.alias("j")))), lambda e: e["j"]), ",").alias("pages"))
+    return J.nested_pages(whole.select("doc_id", F.concat(F.lit('{"pdf_info":['), "pages", F.lit("]}")).alias("json")))
+
+
+_NESTED = """WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS t, unnest(range(len(string_split(text, chr(10))))) AS i FROM documents),
+k AS (SELECT doc_id, CAST(i // 2 AS INT) AS page_index, i, trim(t, {0}) AS t, row_number() OVER (PARTITION BY doc_id, i // 2 ORDER BY i) - 1 AS n FROM l WHERE trim(t) <> '')
+SELECT doc_id, page_index, """.format("' ' || chr(9) || chr(11) || chr(12) || chr(13) || chr(28) || chr(29) || chr(30) || chr(31) || chr(133) || chr(160)")
+
+
+@query(_NESTED + """CASE WHEN t = '' THEN '' ELSE t || chr(10) END || 'c' || i || chr(10) || 'f' AS text, CASE WHEN i % 2 = 0 THEN CAST(i AS INT) ELSE 3 END AS x,
+  CASE WHEN i % 2 = 0 THEN 2 ELSE 4 END AS y, CASE WHEN i % 2 = 0 THEN 30 ELSE 7 END AS w, CASE WHEN i % 2 = 0 THEN 10 ELSE 2 END AS h, CASE WHEN i % 5 = 1 THEN 'table' ELSE 'text' END AS block_type FROM k""")
 def nested_layout_pages(spark, sf_dir):
-    """S4, S7, S8, A6 on nested layout JSON: a block without a box of its own, its texts in spans."""
-    text = F.concat(
-        F.lit('{"pdf_info":[{"page_size":[100,200],"preproc_blocks":[{"type":"text","lines":[{"bbox":[1,2,6,4],"spans":[{"content":"head '), F.col("doc_id").cast("string"),
-        F.lit('"}]},{"bbox":[3,4,10,6],"spans":[{"content":"tail"},{"content":" "}]}]},{"type":"table","bbox":[0,0,5,5],"blocks":[]}]}]}'),
-    )
-    rows = L.read_documents(spark, sf_dir).select("doc_id", text.alias("json"))
-    return J.page_text_blocks(J.nested_pages(rows)).select("doc_id", "page_index", "text", "bounding_box.x", "bounding_box.y", "bounding_box.w", "bounding_box.h")
+    """S4, S7, S8, A6 on nested layout JSON of whole documents."""
+    return J.page_text_blocks(_nested(spark, sf_dir)).select("doc_id", "page_index", "text", "bounding_box.x", "bounding_box.y", "bounding_box.w", "bounding_box.h", "block_type")
 
 
-@query("SELECT doc_id, 0 AS page_index, 'p0-mineru-t0' AS table_id, '<table>' || doc_id || '</table>' AS html, 5 AS w FROM documents")
+@query(_NESTED + """CAST(n AS INT) AS table_index, 'p' || page_index || '-mineru-t' || n AS table_id, '<i>' || i || '</i>' AS html, 'c' || i AS caption, 'f' AS footnote, CASE WHEN i % 2 = 0 THEN 30 ELSE 7 END AS w FROM k WHERE i % 5 = 1""")
 def nested_layout_tables(spark, sf_dir):
-    """The tables of nested layout JSON with the first html below them."""
-    text = F.concat(
-        F.lit('{"pdf_info":[{"para_blocks":[{"type":"title","bbox":[0,0,1,1]},{"type":"table","bbox":[0,0,5,5],"score":0.7,"blocks":[{"lines":[{"spans":[{"html":"<table>'),
-        F.col("doc_id").cast("string"), F.lit('</table>"}]}]}]}]}]}'),
-    )
-    rows = L.read_documents(spark, sf_dir).select("doc_id", text.alias("json"))
-    return J.page_tables(J.nested_pages(rows)).select("doc_id", "page_index", "table_id", "html", "bounding_box.w")
+    """S9, S10, S11 on nested layout JSON of whole documents."""
+    return J.page_tables(_nested(spark, sf_dir)).select("doc_id", "page_index", "table_index", "table_id", "html", "caption", "footnote", "bounding_box.w")
 
 
-@query()
+@query("""WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents), l AS (SELECT doc_id, unnest(ls) AS t, CAST(unnest(range(len(ls))) AS INT) AS i FROM d),
+k AS (SELECT doc_id, i, regexp_replace(t, '[^a-z]', '', 'g') AS t FROM l), w AS (SELECT doc_id, i, t[1:4] AS a, t[5:8] AS b, t[9:] AS c FROM k WHERE length(t) >= 10 AND t[1:4] <> t[5:8])
+SELECT doc_id, i AS page_index, 0 AS cell_no, CASE WHEN i % 3 = 2 THEN a ELSE a || b || c END AS text, 0 AS x, 0 AS y, CASE WHEN i % 3 = 2 THEN 60 WHEN i % 3 = 1 THEN 130 ELSE 60 END AS w, CASE i % 3 WHEN 2 THEN 16 WHEN 1 THEN 34 ELSE 52 END AS h, i % 3 <> 2 AS merged FROM w
+UNION ALL SELECT doc_id, i, 1, 'OTHER', 300, 0, 60, 16, false FROM w UNION ALL SELECT doc_id, i, 2, b, 900, 900, 60, 16, false FROM w WHERE i % 3 = 2 UNION ALL SELECT doc_id, i, 3, c, 0, 36, 60, 16, false FROM w WHERE i % 3 = 2""")
 def wrapped_cells(spark, sf_dir):
-    """J16, D12 on tables of one page each: two cells whose texts make up one html cell."""
-    docs = L.read_documents(spark, sf_dir).select("doc_id")
-    cell = lambda n, t, x, y: F.struct(
-        F.lit(n).alias("cell_no"), t.alias("text"), F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.lit(60).alias("w"), F.lit(16).alias("h")).alias("box"),
-        F.lit(n // 2).alias("row_index"), F.lit(n % 2).alias("col_index"),
+    """Every line of the documents cut into three cells, one below the other, or two side by side, or too far apart to be one html cell."""
+    lines = L.read_documents(spark, sf_dir).select("doc_id", F.posexplode(F.split("text", "\n")).alias("i", "t"))
+    t = F.regexp_replace("t", "[^a-z]", "")
+    cut = lines.select("doc_id", F.col("i").alias("page_index"), t.alias("t")).where((F.length("t") >= 10) & (F.substring("t", 1, 4) != F.substring("t", 5, 4)))
+    i, word = F.col("page_index"), F.col("t")
+    cell = lambda n, text, x, y: F.struct(
+        F.lit(n).alias("cell_no"), text.alias("text"), G.box(x, y, F.lit(60), F.lit(16)).alias("box"), F.lit(n // 2).alias("row_index"), F.lit(n % 2).alias("col_index"),
     )
-    d = F.col("doc_id").cast("string")
-    given = F.array(cell(0, F.concat(F.lit("part"), d), 0, 0), cell(1, F.lit("other"), 200, 0), cell(2, F.lit("wrapped"), 0, 18))
-    cells = docs.select("doc_id", F.lit(0).alias("page_index"), F.lit(0).alias("table_no"), F.explode(given).alias("c")).select("doc_id", "page_index", "table_no", "c.*")
-    html = docs.select("doc_id", F.lit(0).alias("page_index"), F.lit(0).alias("table_no"), F.concat(F.lit("<td>part"), d, F.lit("wrapped</td><td>other</td>")).alias("html"))
-    return tables.merge_wrapped(cells, html).select("doc_id", "cell_no", "text", "box.x", "box.y", "box.w", "box.h", "merged")
-
-
-ORACLE_SQL["wrapped_cells"] = """SELECT doc_id, 0 AS cell_no, 'part' || doc_id || 'wrapped' AS text, 0 AS x, 0 AS y, 60 AS w, 34 AS h, true AS merged FROM documents
-UNION ALL SELECT doc_id, 1, 'other', 200, 0, 60, 16, false FROM documents"""
+    at = lambda *v: F.when(i % 3 == 0, v[0]).when(i % 3 == 1, v[1]).otherwise(v[2])
+    given = F.array(
+        cell(0, F.substring(word, 1, 4), F.lit(0), F.lit(0)), cell(1, F.lit("OTHER"), F.lit(300), F.lit(0)),
+        cell(2, F.substring(word, 5, 4), at(0, 70, 900), at(18, 0, 900)), cell(3, F.substring(word, F.lit(9), F.length(word)), F.lit(0), at(36, 18, 36)),
+    )
+    cells = cut.select("doc_id", "page_index", F.lit(0).alias("table_no"), F.explode(given).alias("c")).select("doc_id", "page_index", "table_no", "c.*")
+    html = cut.select("doc_id", "page_index", F.lit(0).alias("table_no"), F.concat(F.lit("<td>"), word, F.lit("</td><td>OTHER</td>")).alias("html"))
+    return tables.merge_wrapped(cells, html).select("doc_id", "page_index", "cell_no", "text", "box.x", "box.y", "box.w", "box.h", "merged")

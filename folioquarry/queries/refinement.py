@@ -67,21 +67,29 @@ def screenshot_manifest(spark, sf_dir):
     return refine.screenshot_manifest(docs, "out", 144)
 
 
-@query("""SELECT doc_id, CASE WHEN doc_id % 2 = 0 AND (doc_id % 3 > 0 OR doc_id % 5 = 0 OR doc_id % 7 = 0) THEN true ELSE false END AS refine FROM documents""")
+@query("""WITH d AS (SELECT doc_id, lang IS NOT NULL AS enabled, n_chars % 3 AS tables, source LIKE '%a%' AS forced,
+  CASE doc_id % 4 WHEN 0 THEN NULL WHEN 1 THEN ' OCR ' WHEN 2 THEN 'crops' ELSE 'vl' END AS mode, n_chars % 5 > 0 AS needs, n_chars % 7 = 0 AS broken, doc_id % 9 AS p FROM documents),
+g AS (SELECT *, enabled AND (coalesce(tables, 0) > 0 OR coalesce(forced, false) OR coalesce(mode, 'auto') <> 'crops' OR NOT coalesce(needs, true)) AS refine FROM d)
+SELECT doc_id, refine, CASE WHEN NOT enabled THEN 'off' WHEN NOT refine THEN 'skipped' WHEN p = 0 THEN 'unsupported' WHEN NOT coalesce(broken, false) THEN 'merged' WHEN p % 2 = 0 THEN 'warned' ELSE 'failed' END AS outcome FROM g""")
 def refine_gate(spark, sf_dir):
+    """F20, C2 on options made of the documents' columns."""
     d = F.col("doc_id")
-    mode = F.when(d % 7 == 0, "full_page").otherwise("crops")
-    return _docs(spark, sf_dir).select("doc_id", refine.refine_gate(d % 2 == 0, d % 3, d % 5 == 0, mode).alias("refine"))
+    mode = F.when(d % 4 == 0, None).when(d % 4 == 1, " OCR ").when(d % 4 == 2, "crops").otherwise("vl")
+    provider = F.when(d % 9 == 0, "other").when(d % 9 < 5, "paddleocr")
+    enabled = F.col("lang").isNotNull()
+    gate = refine.refine_gate(enabled, F.col("n_chars") % 3, F.col("source").contains("a"), mode, F.col("n_chars") % 5 > 0)
+    error = F.when(F.col("n_chars") % 7 == 0, "broken")
+    return _docs(spark, sf_dir).select("doc_id", gate.alias("refine"), refine.refine_outcome(gate, enabled, provider, error, d % 9 % 2 == 0).alias("outcome"))
 
 
 @query(f"""WITH {FIXTURES}, r AS (SELECT DISTINCT doc_id, page_index FROM blocks WHERE line_no >= 40), p AS (SELECT doc_id, page_index FROM r ANTI JOIN tables USING (doc_id, page_index))
 SELECT doc_id, page_index, line_no, text, 'own' AS origin FROM blocks ANTI JOIN p USING (doc_id, page_index)
-UNION ALL SELECT doc_id, page_index, line_no, upper(text), 'recognised' FROM blocks WHERE line_no >= 40 AND (doc_id, page_index) IN (SELECT (doc_id, page_index) FROM p)""")
+UNION ALL SELECT doc_id, page_index, line_no, '[' || text || ']', 'recognised' FROM blocks WHERE line_no >= 40 AND (doc_id, page_index) IN (SELECT (doc_id, page_index) FROM p)""")
 def replaced_texts(spark, sf_dir):
     """Texts are recognised on all pages but the first here."""
     docs = _docs(spark, sf_dir)
     of = L.blocks(docs).select(*PAGE, "line_no", "text")
-    again = of.where("page_index > 0").withColumn("text", F.upper("text"))
+    again = of.where("page_index > 0").withColumn("text", F.concat(F.lit("["), "text", F.lit("]")))
     return refine.replace_texts(of, again, L.tables(docs)).select(*PAGE, "line_no", "text", "origin")
 
 

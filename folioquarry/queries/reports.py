@@ -75,18 +75,18 @@ def open_benchmark_values(spark, sf_dir):
     return report.open_values(planned, trials, "event_type", "n").select("event_type", "n")
 
 
-@query("""WITH f AS (SELECT c_custkey, 'in/' || CASE WHEN c_custkey % 4 = 0 THEN 'deep/' ELSE '' END || lpad(CAST(c_custkey % 500 AS VARCHAR), 3, '0') || CASE c_custkey % 3 WHEN 0 THEN '.pdf' WHEN 1 THEN '.PNG' ELSE '.tiff' END AS path FROM customer),
-r AS (SELECT lpad(regexp_extract(path, '([0-9]+)\\.', 1), 3, '0') AS file_no, path, CASE WHEN path LIKE '%.pdf' THEN 1 WHEN path LIKE '%.PNG' THEN 4 ELSE 7 END AS rank, len(string_split(path, '/')) AS depth FROM f),
-b AS (SELECT *, row_number() OVER (PARTITION BY file_no ORDER BY rank, depth, path) AS n FROM r),
+@query("""WITH f AS (SELECT c_custkey, 'in/' || CASE WHEN c_custkey % 4 = 0 THEN 'deep/' ELSE '' END || lpad(CAST(c_custkey % 500 AS VARCHAR), 3, '0') || CASE c_custkey % 3 WHEN 0 THEN '.pdf' WHEN 1 THEN '.PNG' ELSE '.docx' END AS path FROM customer),
+r AS (SELECT lpad(regexp_extract(path, '([0-9]+)[.]', 1), 3, '0') AS file_no, path, CASE WHEN path LIKE '%.docx' THEN 2 WHEN path LIKE '%deep%' THEN 1 ELSE 0 END AS tier, CASE WHEN path LIKE '%.pdf' THEN 1 WHEN path LIKE '%.PNG' THEN 4 ELSE 0 END AS place FROM f),
+b AS (SELECT *, row_number() OVER (PARTITION BY file_no ORDER BY tier, place, path) AS n FROM r),
 w AS (SELECT lpad(CAST(i AS VARCHAR), CAST(greatest(3, length(CAST(i AS VARCHAR))) AS INT), '0') AS file_no FROM (SELECT unnest(range(600)) AS i))
-SELECT w.file_no, b.path FROM w LEFT JOIN b ON b.file_no = w.file_no AND b.n = 1""".replace("\\\\.", "\\."))
+SELECT w.file_no, b.path FROM w LEFT JOIN b ON b.file_no = w.file_no AND b.n = 1""")
 def find_input_files(spark, sf_dir):
     c = F.col("c_custkey")
-    end = F.when(c % 3 == 0, ".pdf").when(c % 3 == 1, ".PNG").otherwise(".tiff")
+    end = F.when(c % 3 == 0, ".pdf").when(c % 3 == 1, ".PNG").otherwise(".docx")
     path = F.concat(F.lit("in/"), F.when(c % 4 == 0, "deep/").otherwise(""), F.lpad((c % 500).cast("string"), 3, "0"), end)
     listed = spark.read.parquet(f"{sf_dir}/customer.parquet").select(path.alias("path"))
     wanted = spark.range(600).select(files.padded_number(F.col("id")).alias("file_no"))
-    return files.find_inputs(wanted, listed)
+    return files.find_inputs(wanted, listed, "in")
 
 
 @query("""SELECT CAST(s_suppkey AS INT) AS index, s_name AS uuid, 24000 AS total_mib, CAST(s_suppkey % 30000 AS INT) AS used_mib, greatest(0, 24000 - CAST(s_suppkey % 30000 AS INT)) AS free_mib FROM supplier WHERE s_suppkey % 5 <> 0""")
@@ -96,11 +96,21 @@ def gpu_inventory(spark, sf_dir):
     return files.gpu_inventory(spark.read.parquet(f"{sf_dir}/supplier.parquet").select(line.alias("line")))
 
 
-@query("""SELECT event_id, CASE WHEN event_id % 4 = 0 THEN value WHEN event_id % 4 = 1 THEN round(value / (event_id % 5 + 1), 6) WHEN event_id % 4 = 2 THEN 0.5::DOUBLE ELSE 1e308 END AS spp FROM events WHERE value > 0""")
+@query("""SELECT event_id, CASE WHEN event_id % 4 = 0 THEN CASE WHEN event_id % 8 = 0 THEN 0.0::DOUBLE ELSE value END WHEN event_id % 4 = 1 THEN round_even(value / CASE WHEN event_id % 8 = 1 THEN 3 ELSE 7 END, 3)
+  WHEN event_id % 4 = 2 THEN round_even(1.0::DOUBLE / (event_id % 7 + 1), 3) ELSE 1e308 END AS spp FROM events""")
 def seconds_per_page(spark, sf_dir):
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").where("value > 0")
-    n = F.col("event_id") % 4
+    """Given (0 too), from time and pages, from pages a second, or nothing known."""
+    e = F.col("event_id")
+    n = e % 4
     spp = V.seconds_per_page(
-        F.when(n == 0, F.col("value")), F.when(n == 1, F.col("value")), F.when(n == 1, F.col("event_id") % 5 + 1), F.when(n == 2, F.lit(2.0))
+        F.when(n == 0, F.when(e % 8 == 0, 0.0).otherwise(F.col("value"))), F.when(n == 1, F.col("value")), F.when(n == 1, F.when(e % 8 == 1, 3).otherwise(7)), F.when(n == 2, (e % 7 + 1).cast("double")),
     )
-    return events.select("event_id", F.when(n == 1, F.round(spp, 6)).otherwise(F.least(spp, F.lit(1e308))).alias("spp"))
+    return spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", F.least(spp, F.lit(1e308)).alias("spp"))
+
+
+@query("""SELECT event_id, CASE WHEN event_id % 6 = 0 OR event_id % 5 = 0 OR event_id % 7 > 2 OR event_id % 11 = 0 THEN 'failed' ELSE 'success' END AS status FROM events""")
+def trial_statuses(spark, sf_dir):
+    """F15"""
+    e = F.col("event_id")
+    code, readable = F.when(e % 6 == 0, 1).otherwise(0), F.when(e % 5 != 0, F.lit(True))
+    return spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", report.trial_status(code, readable, F.greatest(F.lit(0), e % 7 - 2), F.when(e % 11 != 0, e)).alias("status"))

@@ -5,16 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import padded_number, stem, suffix
+from ..functions.text import padded_number, safe_part, safe_stem, stem, suffix
 
 # What can be extracted from.
 IMAGE_SUFFIXES = ("jpg", "jpeg", "png", "bmp", "tif", "tiff")
 SUFFIXES = ("pdf", *IMAGE_SUFFIXES)
-# Artifacts by the end of their names.
+# Artifacts by the end of their names, and folders whose names say nothing.
 ARTIFACT_KINDS = (
-    ("_middle.json", "middle_json"), ("_content_list.json", "content_list"), ("_model.json", "model_json"), (".md", "markdown"),
-    ("_layout.pdf", "layout_pdf"), ("_span.pdf", "span_pdf"), ("_origin.pdf", "origin_pdf"),
+    ("_middle.json", "middle_json"), ("_content_list.json", "content_list_json"), ("_content_list_v2.json", "content_list_v2_json"), ("_model.json", "model_json"),
+    (".md", "markdown"), ("_layout.pdf", "layout_pdf"), ("_span.pdf", "span_pdf"), ("_origin.pdf", "origin_pdf"),
 )
+GENERIC_FOLDERS = ("input", "inputs")
 
 
 def is_supported(path: Column) -> Column:
@@ -48,7 +49,7 @@ def path_problem(path: Column, exists: Column, is_file: Column) -> Column:
 def local_path(uri: Column) -> Column:
     """The path of a file URI or of a plain path; null for other schemes."""
     scheme = F.lower(F.regexp_extract(uri, "^([A-Za-z][A-Za-z0-9+.-]+):", 1))
-    return F.when(scheme == "file", F.url_decode(F.regexp_replace(uri, "^(?i)file:(//[^/]*)?", ""))).when(scheme == "", uri)
+    return F.when(scheme == "file", F.url_decode(F.replace(F.regexp_replace(uri, "^(?i)file:(//[^/]*)?", ""), F.lit("+"), F.lit("%2B")))).when(scheme == "", uri)
 
 
 def artifact_kind(path: Column) -> Column:
@@ -64,18 +65,32 @@ def artifacts(files: DataFrame) -> DataFrame:
     return files.select(artifact_kind(F.col("path")).alias("kind"), F.col("path").alias("uri")).where("kind is not null")
 
 
-def exactly_one(found: DataFrame, *keys: str) -> DataFrame:
-    """One row per key; a key with more raises an error. Counting is pre-aggregated."""
+def exactly_one(found: DataFrame, *keys: str, wanted: DataFrame | None = None) -> DataFrame:
+    """One row per key; a key with more raises an error, and so does one of ``wanted`` with none. Counting is pre-aggregated."""
     body = [c for c in found.columns if c not in keys]
     one = found.groupBy(*keys).agg(F.count("*").alias("n"), *[F.min(c).alias(c) for c in body])
-    return one.where(F.when(F.col("n") > 1, F.raise_error(F.lit("AMBIGUOUS_ARTIFACT"))).isNull()).drop("n")
+    if wanted is not None:
+        one = wanted.select(*keys).distinct().join(one, list(keys), "left")
+    problem = F.when(F.col("n") > 1, F.raise_error(F.lit("AMBIGUOUS_ARTIFACT"))).when(F.col("n").isNull(), F.raise_error(F.lit("NO_ARTIFACT")))
+    return one.where(problem.isNull()).drop("n")
 
 
 def output_dir(path: Column, root: str, target: str) -> Column:
-    """Where the output of an input goes: folders below the root are kept, generic file names take the folder's."""
-    inside = F.when(path.startswith(root.rstrip("/") + "/"), F.substring(path, len(root.rstrip("/")) + 2, 1 << 20)).otherwise(F.element_at(F.split(path, "/"), -1))
-    folders = F.regexp_replace(inside, "[^/]*$", "")
-    return F.concat(F.lit(target.rstrip("/") + "/"), folders, stem(inside))
+    """Where the output of an input goes: below the target, in the folders that it has below the root.
+
+    A file directly in the root goes to a folder of the root's name, unless that is generic. A last folder that is named as the
+    file's stem is left out, as the file's own folder is named so anyway. Names are made safe.
+    """
+    base, out = root.rstrip("/"), target.rstrip("/")
+    inside = F.when(path.startswith(base + "/"), F.substring(path, len(base) + 2, 1 << 20)).otherwise(F.element_at(F.split(path, "/"), -1))
+    name = safe_stem(path)
+    parts = F.split(inside, "/")
+    folders = F.transform(F.filter(F.slice(parts, 1, F.size(parts) - 1), lambda x: (x != "") & (x != ".")), lambda x: safe_part(x))
+    own = safe_part(F.lit(base.rsplit("/", 1)[-1]))
+    of_root = F.lit(None).cast("string") if base.rsplit("/", 1)[-1].strip().lower() in GENERIC_FOLDERS else F.when(own != name, own)
+    last = F.try_element_at(folders, F.lit(-1))
+    below = F.when(last == name, F.slice(folders, 1, F.size(folders) - 1)).otherwise(folders)
+    return F.when(F.size(folders) == 0, F.concat_ws("/", F.lit(out), of_root)).otherwise(F.concat_ws("/", F.lit(out), F.nullif(F.array_join(below, "/"), F.lit(""))))
 
 
 def keyword_rows(sheet: DataFrame, number: str, prefix: str) -> DataFrame:
@@ -88,11 +103,17 @@ def keyword_rows(sheet: DataFrame, number: str, prefix: str) -> DataFrame:
     return long.groupBy("file_no").agg(F.array_sort(F.collect_list(entry)).getField("k").alias("keywords"))
 
 
-def find_inputs(wanted: DataFrame, files: DataFrame, suffixes: tuple[str, ...] = SUFFIXES) -> DataFrame:
-    """For each file_no the file of that stem: by order of suffix, shallow before deep, first by path."""
-    rank = F.array_position(F.array(*map(F.lit, suffixes)), suffix(F.col("path")))
-    named = files.select(padded_number(stem(F.col("path"))).alias("file_no"), "path", rank.alias("rank"), F.size(F.split("path", "/")).alias("depth")).where("rank > 0")
-    best = named.groupBy("file_no").agg(F.min(F.struct("rank", "depth", "path")).getField("path").alias("path"))
+def find_inputs(wanted: DataFrame, files: DataFrame, root: str = "", suffixes: tuple[str, ...] = SUFFIXES) -> DataFrame:
+    """For each file_no its file: one of a known suffix directly in the root, else one further below, else one of any suffix.
+
+    Of several the first by order of suffixes, then by path. ``root`` is the folder that paths start with.
+    """
+    base = root.rstrip("/") + "/" if root else ""
+    place = F.array_position(F.array(*map(F.lit, suffixes)), suffix(F.col("path")))
+    direct = ~F.substring(F.col("path"), len(base) + 1, 1 << 20).contains("/")
+    tier = F.when(place == 0, 2).otherwise(F.when(direct, 0).otherwise(1))
+    named = files.select(padded_number(stem(F.col("path"))).alias("file_no"), F.struct(tier.alias("tier"), place.alias("place"), "path").alias("found"))
+    best = named.groupBy("file_no").agg(F.min("found").getField("path").alias("path"))
     return wanted.join(best, "file_no", "left")
 
 

@@ -95,7 +95,7 @@ def first_html(payload) -> str | None:
     return None
 
 
-_BELOW = StructType([StructField("texts", ArrayType(StringType())), StructField("html", StringType())])
+_BELOW = StructType([StructField("texts", ArrayType(StringType())), *[StructField(n, StringType()) for n in ("html", "caption", "footnote")]])
 
 
 @F.arrow_udf(ArrayType(ArrayType(_BELOW)))
@@ -113,10 +113,14 @@ def below_blocks(texts: pa.Array) -> pa.Array:
         for page in found if isinstance(found, list) else []:
             kinds = [page.get(k) for k in ("para_blocks", "preproc_blocks")] if isinstance(page, dict) else []
             blocks = next((b for b in kinds if isinstance(b, list)), [])
-            out.append([{"texts": [clean(t) for t in fragments(b)], "html": clean(first_html(b))} for b in blocks])
+            out.append([of_block(b) for b in blocks])
         return out
 
-    kind = pa.list_(pa.list_(pa.struct([("texts", pa.list_(pa.string())), ("html", pa.string())])))
+    def of_block(b) -> dict:
+        part = lambda key: clean("\n".join(fragments(b.get(key) if isinstance(b, dict) else None)))
+        return {"texts": [clean(t) for t in fragments(b)], "html": clean(first_html(b)), "caption": part("table_caption"), "footnote": part("table_footnote")}
+
+    kind = pa.list_(pa.list_(pa.struct([("texts", pa.list_(pa.string())), *[(n, pa.string()) for n in ("html", "caption", "footnote")]])))
     return pa.array([pages(t) for t in texts.to_pylist()], kind)
 
 
@@ -153,15 +157,15 @@ def page_text_blocks(pages: DataFrame) -> DataFrame:
 
 
 def page_tables(pages: DataFrame) -> DataFrame:
-    """The pages' blocks of type table, with box and html."""
+    """The pages' blocks of type table, with box, html, caption and footnote; numbered among all blocks of their page."""
     keep = [c for c in pages.columns if c not in ("blocks", "below")]
-    raw = F.filter(F.arrays_zip("blocks", "below"), lambda x: get(x["blocks"], "type") == "table")
-    rows = pages.select(*keep, F.posexplode(raw).alias("table_index", "x"))
+    rows = pages.select(*keep, F.posexplode(F.arrays_zip("blocks", "below")).alias("table_index", "x"))
     b = F.col("x.blocks")
     place = F.coalesce(G.from_corners(get(b, "bbox", NUMBERS)), G.from_corners(children_box(b)))
-    return rows.select(
+    return rows.where(get(b, "type") == "table").select(
         *keep, "table_index", F.format_string("p%d-mineru-t%d", "page_index", "table_index").alias("table_id"), place.alias("bounding_box"),
-        F.col("x.below.html").alias("html"), V.confidence(get(b, "score", "double")).alias("confidence"), V.as_int(get(b, "index")).alias("raw_index"),
+        F.col("x.below.html").alias("html"), F.col("x.below.caption").alias("caption"), F.col("x.below.footnote").alias("footnote"),
+        V.confidence(get(b, "score", "double")).alias("confidence"), V.as_int(get(b, "index")).alias("raw_index"),
     ).where("bounding_box is not null")
 
 
@@ -238,15 +242,78 @@ def recogniser_cells(tables: DataFrame, target_width: Column | None = None, targ
 
 
 def structure_cells(df: DataFrame, column: str = "json") -> DataFrame:
-    """The cells of a table-structure result, moved from the crop into the page (keys must include page_index, crop_x, crop_y, table_index)."""
+    """The cells of a table-structure result, moved and scaled from the crop into the page, with confidence and html; their texts are empty.
+
+    Keys must include page_index, table_index and ``box``, the table's in the page; with image_width and image_height, the crop's
+    size, cells are scaled to the box. Texts come from ``spatial.fill_cells``.
+    """
     keep = [c for c in df.columns if c != column]
     raw = unwrap(F.col(column))
-    boxes = F.coalesce(get(raw, "bbox", "array<array<double>>"), get(raw, "cell_box_list", "array<array<double>>"))
-    rows = df.select(*keep, F.posexplode(boxes).alias("cell_index", "corners"))
+    boxes = get(raw, "bbox", "array<array<double>>")
+    boxes = F.when(F.size(boxes) > 0, boxes).otherwise(get(raw, "cell_box_list", "array<array<double>>"))
+    html = F.coalesce(V.text_or(get(raw, "pred_html")), T.html_of(get(raw, "structure", TEXTS)))
+    one = F.lit(1.0)
+    sized = {"image_width", "image_height"} <= set(keep)
+    scale = lambda side, size: F.when((F.col("image_width") > 0) & (F.col("image_height") > 0), F.col(f"box.{side}") / F.col(size)).otherwise(one) if sized else one
+    sure = V.confidence(get(raw, "structure_score", "double"))
+    rows = df.where("box is not null").select(*keep, html.alias("html"), sure.alias("confidence"), F.posexplode(boxes).alias("cell_index", "corners"))
+    place = G.from_any(F.col("corners"), scale_x=scale("w", "image_width"), scale_y=scale("h", "image_height"), offset_x=F.col("box.x").cast("double"), offset_y=F.col("box.y").cast("double"))
     return rows.select(
-        *keep, "cell_index", F.format_string("p%d-t%d-c%d", "page_index", "table_index", "cell_index").alias("cell_id"),
-        G.from_any(F.col("corners"), offset_x=F.col("crop_x"), offset_y=F.col("crop_y")).alias("box"),
-    ).where("box is not null")
+        *[c for c in keep if c != "box"], "cell_index", F.format_string("p%d-t%d-c%d", "page_index", "table_index", "cell_index").alias("cell_id"), F.lit("").alias("text"), place.alias("cell_box"), "confidence", "html",
+    ).where("cell_box is not null").withColumnRenamed("cell_box", "box")
+
+
+def page_scale(page: Column, target_width: Column | None, target_height: Column | None) -> tuple[Column, Column]:
+    """From a page's own size to a target's; 1 where either is unknown."""
+    size = lambda name: F.coalesce(get(page, name, "double"), get(page, f"source_{name}", "double"))
+    one = F.lit(1.0)
+    return (
+        G.scale_factor(target_width, size("width")) if target_width is not None else one,
+        G.scale_factor(target_height, size("height")) if target_height is not None else one,
+    )
+
+
+def block_text(block: Column) -> Column:
+    """T9 of a raw block."""
+    return T.choose_text(*[get(block, name) for name in ("block_content", "pred_html", "html", "text", "rec_text")])
+
+
+def text_candidates(df: DataFrame, column: str = "json", target_width: Column | None = None, target_height: Column | None = None) -> DataFrame:
+    """The texts of a layout artifact: its pages' blocks, their whole-page recognition, and the results of table crops, as one list.
+
+    (keys, page_index, origin, ordinal, text, bounding_box, block_type, confidence); blank texts and rows without a box are left out.
+    """
+    keep = [c for c in df.columns if c != column]
+    raw = df.select(*keep, F.posexplode(get(F.col(column), "pages", ITEMS)).alias("position", "raw")).withColumn("page", unwrap(F.col("raw")))
+    fx, fy = page_scale(F.col("page"), target_width, target_height)
+    height = F.coalesce(get(F.col("page"), "height", "double"), get(F.col("page"), "source_height", "double"))
+    pages = raw.select(*keep, V.page_index(get(F.col("page"), "page_index", "int"), F.col("position")).alias("page_index"), "page", fx.alias("fx"), fy.alias("fy"), height.alias("height"))
+    b, o, r = F.col("b"), get(F.col("page"), "overall_ocr_res", "variant"), F.col("r")
+    label = F.coalesce(V.text_or(get(b, "block_label")), F.lit("text"))
+    blocks = pages.select(*keep, "page_index", "fx", "fy", F.posexplode(get(F.col("page"), "parsing_res_list", ITEMS)).alias("ordinal", "b")).select(
+        *keep, "page_index", F.lit("parsing_res_list").alias("origin"), "ordinal", block_text(b).alias("text"),
+        G.from_corners(F.coalesce(get(b, "block_bbox", NUMBERS), get(b, "bbox", NUMBERS)), F.col("fx"), F.col("fy"), order="swap").alias("bounding_box"),
+        F.concat(F.lit("paddle_"), label).alias("block_type"), F.coalesce(get(b, "score", "double"), get(b, "confidence", "double")).alias("confidence"),
+    )
+    polygons = F.coalesce(get(o, "dt_polys", "array<array<array<double>>>"), get(o, "rec_polys", "array<array<array<double>>>"))
+    around = F.transform(polygons, lambda p: F.array(*[f(F.transform(p, _axis(i))) for f in (F.array_min, F.array_max) for i in (0, 1)]))
+    zipped = F.arrays_zip(get(o, "rec_texts", TEXTS).alias("text"), F.coalesce(get(o, "rec_boxes", "array<array<double>>"), around).alias("corners"), get(o, "rec_scores", NUMBERS).alias("score"))
+    whole = pages.select(*keep, "page_index", "fx", "fy", "height", F.posexplode(zipped).alias("ordinal", "c")).select(
+        *keep, "page_index", "ordinal", T.canonical(F.col("c.text")).alias("text"), G.from_corners(F.col("c.corners"), F.col("fx"), F.col("fy"), order="swap").alias("bounding_box"), F.col("c.score").alias("confidence"), "height",
+    )
+    numbered = F.col("text").rlike("^[0-9]{1,4}$") & G.page_margin(F.col("bounding_box"), F.col("height"))
+    whole = whole.select(*keep, "page_index", F.lit("overall_ocr_res").alias("origin"), "ordinal", "text", "bounding_box", F.when(numbered, F.lit("page_number")).otherwise(F.lit("paddle_ocr_text")).alias("block_type"), "confidence")
+    crops = df.select(*keep, F.posexplode(get(F.col(column), "raw_results", ITEMS)).alias("ordinal", "r")).select(
+        *keep, V.as_int(get(r, "candidate.page_index")).alias("page_index"), F.lit("raw_results").alias("origin"), "ordinal", block_text(unwrap(get(r, "result", "variant"))).alias("text"),
+        F.coalesce(G.from_corners(get(r, "candidate.bbox", NUMBERS), order="swap"), G.rounded(*[get(r, f"candidate.bbox.{n}", "double") for n in "xywh"])).alias("bounding_box"),
+        F.lit("paddle_table").alias("block_type"), get(r, "result.structure_score", "double").alias("confidence"),
+    )
+    every = blocks.unionByName(whole).unionByName(crops)
+    return every.where("page_index is not null and text <> '' and bounding_box is not null")
+
+
+def _axis(i: int):
+    return lambda q: q[i]
 
 
 def ocr_lines(df: DataFrame, column: str = "json") -> DataFrame:
@@ -266,16 +333,16 @@ def ocr_lines(df: DataFrame, column: str = "json") -> DataFrame:
 
 
 def layout_regions(df: DataFrame, column: str = "json", labels: tuple[str, ...] | None = None) -> DataFrame:
-    """The labelled regions of layout pages; of some labels only, if given."""
+    """The labelled regions of layout pages; of some labels only, if given."""
     keep = [c for c in df.columns if c != column]
     pages = df.select(*keep, F.posexplode(must_be_list(F.col(column), "INVALID_LAYOUT_PAGES")).alias("position", "raw")).withColumn("page", unwrap(F.col("raw")))
-    regions = F.coalesce(get(F.col("page"), "parsing_res_list", ITEMS), get(F.col("page"), "raw_results", ITEMS))
+    regions = get(F.col("page"), "parsing_res_list", ITEMS)
     rows = pages.select(*keep, V.page_index(get(F.col("page"), "page_index", "int"), F.col("position")).alias("page_index"), F.posexplode(regions).alias("ordinal", "b"))
     b = F.col("b")
     label = F.lower(T.strip(F.coalesce(get(b, "block_label"), get(b, "label"), F.lit("text"))))
     found = rows.select(
         *keep, "page_index", "ordinal", label.alias("label"), G.from_corners(F.coalesce(get(b, "block_bbox", NUMBERS), get(b, "bbox", NUMBERS)), order="swap").alias("bounding_box"),
-        T.choose_text(get(b, "block_content"), get(b, "pred_html"), get(b, "html"), get(b, "text"), get(b, "rec_text")).alias("text"),
+        block_text(b).alias("text"),
         F.coalesce(get(b, "score", "double"), get(b, "confidence", "double")).alias("confidence"),
     ).where("bounding_box is not null")
     return found.where(F.col("label").isin(*labels)) if labels else found

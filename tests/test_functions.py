@@ -78,6 +78,9 @@ def test_html(spark):
     text = "<p>a&amp;b<br/>c</p><table><tr><td>1</td><TH x=1> 2 <b>3</b></th></tr><tr><td>1</td></tr></table>"
     assert column(spark, T.html_to_text(F.col("t")), [(text,)], "t string") == [html.unescape("a&amp;b\nc 1 2 3\n1")]
     assert column(spark, T.html_cells(F.col("t")), [(text,)], "t string") == [["1", "2 3"]]
+    cells = "<tr><td>a &amp; b</td><td> a&nbsp;&#38; b </td><td>&lt;i&gt;</td><td></td></tr>"
+    assert column(spark, T.html_cells(F.col("t")), [(cells,), ("none",), (None,)], "t string") == [["a & b", "<i>"], [], []]
+    assert column(spark, T.table_texts(F.col("t")), [(cells + "<tr></tr><tr><td></td></tr>",)], "t string") == [[["a & b", "a & b", "<i>", ""], [""]]]
     assert column(spark, T.looks_like_table(F.col("t")), [(text,), ("tablet <b>",), (None,)], "t string") == [True, False, False]
 
 
@@ -104,5 +107,9 @@ def test_coercion(spark):
 def test_names(spark):
     paths = [("a/b/Plan 1.PDF",), ("x.tar.gz",), ("none",), ("..hidden..",)]
     assert column(spark, T.stem(F.col("p")), paths, "p string") == ["Plan 1", "x.tar", "none", "..hidden."]
-    assert column(spark, T.safe_name(F.col("p")), [("a b/c",), ("???",), (None,)], "p string") == ["a_b_c", "document", "document"]
+    texts = [("a b/c",), ("???",), (None,), (" .x:y. ",), ("甲 乙",)]
+    assert column(spark, T.safe_part(F.col("p")), texts, "p string") == ["a b_c", "unnamed", "unnamed", "x_y", "甲 乙"]
+    assert column(spark, T.safe_ascii(F.col("p")), texts, "p string") == ["a_b_c", "unknown", "unknown", "x_y", "unknown"]
+    assert column(spark, T.safe_stem(F.col("p")), [("d/a b.pdf",), ("???.pdf",), ("d/甲 乙.png",)], "p string") == ["a b", "document", "甲 乙"]
+    assert column(spark, T.safe_id(F.col("p")), [("d/a b.pdf",), ("???.pdf",), ("d/甲.png",)], "p string") == ["a_b", "document", "document"]
     assert column(spark, T.padded_number(F.col("p")), [("7",), ("12.0",), ("1234",), ("x1",)], "p string") == ["007", "012", "1234", "x1"]

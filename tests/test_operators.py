@@ -201,10 +201,118 @@ def test_tables_merge(spark, sf_dir):
     got = QUERIES["merged_artifact_text"](spark, sf_dir)
     assert {r.origin for r in got.select("origin").distinct().collect()} <= {"kept", "replaced", "appended"}
     box = F.struct("x", "y", "w", "h")
-    again = got.select("doc_id", "page_index", "line_no", "text", box.alias("box"))
+    again = got.where("text <> ''").select("doc_id", "page_index", "line_no", "text", box.alias("box"))
     assert tables.new_blocks(again, again).isEmpty()
 
 
+def test_chunks_number_all_rows(spark):
+    rows = spark.range(0, 1000, 1, 7).withColumn("k", (F.col("id") * 37) % 1000)
+    got = {r.k: r.chunk for r in report.chunks(rows, ["k"], 64).collect()}
+    assert got == {k: k // 64 for k in range(1000)}
+
+
+def test_batch_rows_have_the_fixed_columns(spark):
+    results = spark.createDataFrame([("a.pdf", True, ["x", "y"], 3)], "pdf_path string, success boolean, field_keywords array<string>, other int")
+    row = report.batch_rows(results).first().asDict()
+    assert tuple(row) == report.BATCH_COLUMNS and len(row) == 27
+    assert (row["pdf_path"], row["success"], row["field_keywords"], row["error"]) == ("a.pdf", "true", '["x","y"]', None)
+
+
+def test_normalised_texts(spark):
+    docs = spark.createDataFrame([(1, "*  Ａ１\u3000b\u200b\r\nc ~"), (2, None), (3, "")], "doc_id long, text string")
+    assert {r.doc_id: r.text for r in base.get_operator("normalize_text")().transform(docs).collect()} == {1: " A1 b c ", 2: "", 3: ""}
+
+
+def wrapped_by_force(cells, targets):
+    """Cells (text, box) and html targets, by plain search."""
+    def follows(a, b):
+        (ax, ay, aw, ah), (bx, by, bw, bh) = a, b
+        share = lambda p, q, r, s: max(0, min(p + q, r + s) - max(p, r)) / max(1, min(q, s))
+        reach, gap, down = max(48, ah * 2.5, bh * 2.5), bx - ax - aw, max(0, by - ay - ah)
+        beside = share(ay, ah, by, bh) >= 0.45 and -max(6, min(aw, bw) * 0.5) <= gap <= reach
+        near = share(ax, aw, bx, bw) >= 0.35 or abs(bx + bw / 2 - ax - aw / 2) <= max(48, aw * 2.5, bw * 2.5)
+        return beside or (by >= ay - max(4, ah * 0.25) and down <= reach and near)
+
+    texts, used, out = {t for t, _ in cells}, set(), {}
+    for target in targets:
+        if len(target) < 4 or target in texts:
+            continue
+        for start, (text, _) in enumerate(cells):
+            if start in used or not text or text == target or not target.startswith(text):
+                continue
+            walk, read = [start], text
+            while read != target:
+                here = cells[walk[-1]][1]
+                options = [
+                    (max(0, b[1] - here[1] - here[3]), abs(b[0] + b[2] / 2 - here[0] - here[2] / 2), i) for i, (t, b) in enumerate(cells)
+                    if i not in used and i not in walk and t and target[len(read) :].startswith(t) and follows(here, b)
+                ]
+                if not options:
+                    break
+                walk.append(min(options)[2])
+                read += cells[walk[-1]][0]
+            if read == target:
+                out[walk[0]] = (target, walk)
+                used.update(walk)
+                break
+    gone = {i for _, walk in out.values() for i in walk[1:]}
+    return {i: (out[i][0] if i in out else t) for i, (t, _) in enumerate(cells) if i not in gone}
+
+
+def test_wrapped_cells_by_force(spark):
+    import random
+
+    r = random.Random(12)
+    cells, html, expected = [], [], {}
+    for table in range(60):
+        pieces = [("".join(r.choice("ab") for _ in range(r.randint(0, 3))), (r.randint(0, 200), r.randint(0, 120), r.randint(10, 60), r.randint(8, 20))) for _ in range(r.randint(1, 12))]
+        targets = ["".join(r.choice("ab") for _ in range(r.randint(2, 7))) for _ in range(6)] + ["".join(t for t, _ in r.sample(pieces, min(len(pieces), 3))) for _ in range(3)]
+        targets = list(dict.fromkeys(t for t in targets if t))
+        cells += [(table, 0, 0, n, t, box, n // 3, n % 3) for n, (t, box) in enumerate(pieces)]
+        html.append((table, 0, 0, "<table><tr>" + "".join(f"<td>{t}</td>" for t in targets) + "</tr></table>"))
+        expected[table] = wrapped_by_force(pieces, targets)
+    keys, box = "doc_id long, page_index int, table_no int", "box struct<x: int, y: int, w: int, h: int>"
+    got = tables.merge_wrapped(
+        spark.createDataFrame(cells, f"{keys}, cell_no int, text string, {box}, row_index int, col_index int").repartition(3), spark.createDataFrame(html, f"{keys}, html string")
+    ).collect()
+    assert {t: {r.cell_no: r.text for r in got if r.doc_id == t} for t in expected} == expected
+    assert any(r.merged for r in got)
+
+
+def test_wrapped_cells_of_split_texts(spark):
+    """Texts over two lines and over a grid of four, as recognisers split them; a space between ideographs in the html does not matter."""
+    rows = [("入", (79, 167, 19, 18)), ("党", (104, 166, 19, 21)), ("参加工", (194, 166, 45, 18)), ("1995.05", (137, 175, 47, 16)), ("1995.07", (251, 175, 47, 15)), ("时", (78, 181, 30, 20)), ("间", (103, 181, 19, 19)), ("作时间", (194, 181, 45, 20))]
+    keys, box = "doc_id long, page_index int, table_no int", "box struct<x: int, y: int, w: int, h: int>"
+    cells = spark.createDataFrame([(1, 0, 0, n, t, b, n // 5, n % 5) for n, (t, b) in enumerate(rows)], f"{keys}, cell_no int, text string, {box}, row_index int, col_index int")
+    html = spark.createDataFrame([(1, 0, 0, "<table><tr><td>入 党 时 间</td><td>1995.05</td><td>参加工 作时间</td><td>1995.07</td></tr></table>")], f"{keys}, html string")
+    got = {r.text: (r.merged, tuple(r.box), r.row_index, r.col_index) for r in tables.merge_wrapped(cells, html).collect()}
+    assert got == {"入党时间": (True, (78, 166, 45, 35), 0, 0), "参加工作时间": (True, (194, 166, 45, 35), 0, 2), "1995.05": (False, (137, 175, 47, 16), 0, 3), "1995.07": (False, (251, 175, 47, 15), 0, 4)}
+
+
+def test_merged_texts_page_by_page(spark):
+    """Replacement of the one like block, several like blocks, joined blocks, texts already said, whole-page texts, and texts appended before."""
+    from folioquarry.operators.fusion import merge_artifact_text
+
+    box = "box struct<x: int, y: int, w: int, h: int>"
+    at = lambda y: (0, y, 100, 20)
+    blocks = [
+        (1, 0, 0, "The quick brown fox jmps", at(0), 0.7, "text"), (1, 0, 1, "Twice the same words here", at(100), 0.7, "text"), (1, 0, 2, "Twice the same words hero", at(102), 0.7, "text"),
+        (1, 0, 3, "left half of it", at(200), 0.7, "text"), (1, 0, 4, "right half of it", (0, 210, 100, 20), 0.7, "text"), (1, 0, 5, "A cell text", at(300), 0.5, "table_cell"), (2, 0, 0, " untouched ", at(0), None, "text"),
+    ]
+    texts = [
+        (1, 0, 0, "The quick brown fox jumps", at(1), 0.9, False), (1, 0, 1, "Twice the same words herd", at(101), 0.99, False), (1, 0, 2, "left half of it right half of it", (0, 200, 100, 30), 0.9, False),
+        (1, 0, 3, "A cell texts", at(300), 0.99, False), (1, 0, 4, "Entirely new words", at(500), 0.9, False), (1, 0, 5, "entirely new words!", at(700), 0.9, False), (1, 0, 6, "Only from the whole page", at(800), 0.9, True), (3, 0, 0, "no blocks", at(0), None, False),
+    ]
+    got = merge_artifact_text(
+        spark.createDataFrame(blocks, f"doc_id long, page_index int, line_no int, text string, {box}, confidence double, block_type string"),
+        spark.createDataFrame(texts, f"doc_id long, page_index int, ordinal int, text string, {box}, confidence double, whole_page boolean"),
+    ).collect()
+    said = {(r.doc_id, r.line_no): (r.text, r.origin, r.original_text, r.box.y, r.confidence) for r in got}
+    assert said[1, 0] == ("The quick brown fox jumps", "replaced", "The quick brown fox jmps", 1, 0.9)
+    assert {k: v[0] for k, v in said.items() if v[1] == "kept"} == {(1, n): blocks[n][3] for n in range(1, 6)} | {(2, 0): " untouched "}
+    assert {k: v[0] for k, v in said.items() if v[1] == "appended"} == {(1, -5): "Entirely new words", (3, -1): "no blocks"}
+
+
 def test_search_stream_equals_batch(spark, sf_dir, tmp_path):
     from folioquarry.operators import search
     from folioquarry.plans import field_search_plan

@@ -48,8 +48,9 @@ def test_seals(spark):
 
 
 def test_texts_of_artifacts(spark):
-    files = spark.createDataFrame([("a.md", "签字盖率"), ("a_middle.json", "签字盖率"), ("a.txt", "签字盖率")], "path string, text string")
-    assert {r.path: r.text for r in refine.rewrite_texts(files).collect()} == {"a.md": "签字盖章", "a_middle.json": "签字盖率", "a.txt": "签字盖率"}
+    names = {"a.md": True, "a_middle.json": True, "a.txt": False, "d/paddle_table_structure.json": False, "a.field_coordinates.json": False, "a.error.json": False}
+    files = spark.createDataFrame([(n, "签字盖率") for n in names], "path string, text string")
+    assert {r.path: r.text == "签字盖章" for r in refine.rewrite_texts(files).collect()} == names
     value = F.parse_json(F.lit('{"a": ["签字盖率", {"b": "(盖率)"}], "n": 1}'))
     assert spark.range(1).select(F.to_json(refine.correct_json(value))).first()[0] == '{"a":["签字盖章",{"b":"(盖章)"}],"n":1}'
     assert spark.range(1).select(refine.xml_safe(F.lit("a\x00b\tc\x1f"))).first()[0] == "ab\tc"
