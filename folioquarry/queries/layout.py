@@ -208,7 +208,15 @@ def pdf_rectangles(spark, sf_dir):
     return of.select(*PAGE, "line_no", F.col("r.x0").alias("px0"), F.col("r.y0").alias("py0"), F.col("r.x1").alias("px1"))
 
 
-@query()
+#: Blocks of pages in lines, one after another: (doc_id, page_index, line, text, x, y) in s.
+_IN_LINES = f"""WITH RECURSIVE {FIXTURES}, b AS (SELECT doc_id, page_index, text, CAST(x AS DOUBLE) AS x, CAST(y AS DOUBLE) AS y, row_number() OVER (PARTITION BY doc_id, page_index ORDER BY y, x, text) AS k FROM blocks),
+s AS (SELECT doc_id, page_index, k, text, x, y, 0 AS line, y AS total, 1.0::DOUBLE AS n FROM b WHERE k = 1 UNION ALL
+  SELECT b.doc_id, b.page_index, b.k, b.text, b.x, b.y, CASE WHEN abs(b.y - total / n) > 12 THEN line + 1 ELSE line END, CASE WHEN abs(b.y - total / n) > 12 THEN b.y ELSE total + b.y END, CASE WHEN abs(b.y - total / n) > 12 THEN 1.0::DOUBLE ELSE n + 1 END
+  FROM s JOIN b ON b.doc_id = s.doc_id AND b.page_index = s.page_index AND b.k = s.k + 1),
+placed AS (SELECT doc_id, page_index, line, CAST(row_number() OVER (PARTITION BY doc_id, page_index ORDER BY line, x, y, text) - 1 AS INT) AS place, text, x, y FROM s)"""
+
+
+@query(_IN_LINES + " SELECT * FROM placed")
 def reading_order(spark, sf_dir):
     return reading.reading_order(L.blocks(_docs(spark, sf_dir)))
 
@@ -236,7 +244,22 @@ def markdown_documents(spark, sf_dir):
     return reading.markdown(reading.page_text_plain(L.blocks(_docs(spark, sf_dir))))
 
 
-@query()
+def _clusters(name: str, value: str, within: float) -> str:
+    """Centres of clusters of a page's sorted values, as lists, in DuckDB."""
+    return f"""{name}v AS (SELECT doc_id, page_index, {value} AS v, row_number() OVER (PARTITION BY doc_id, page_index ORDER BY {value}) AS k FROM cells),
+{name}s AS (SELECT doc_id, page_index, k, [v] AS centers, v AS total, 1.0::DOUBLE AS n FROM {name}v WHERE k = 1 UNION ALL
+  SELECT a.doc_id, a.page_index, a.k, CASE WHEN abs(a.v - total / n) > {within} THEN list_append(centers, a.v) ELSE list_append(centers[1:len(centers) - 1], (total + a.v) / (n + 1)) END,
+  CASE WHEN abs(a.v - total / n) > {within} THEN a.v ELSE total + a.v END, CASE WHEN abs(a.v - total / n) > {within} THEN 1.0::DOUBLE ELSE n + 1 END FROM {name}s s JOIN {name}v a ON a.doc_id = s.doc_id AND a.page_index = s.page_index AND a.k = s.k + 1),
+{name} AS (SELECT doc_id, page_index, arg_max(centers, k) AS centers FROM {name}s GROUP BY 1, 2)"""
+
+
+def _nearest(centers: str, value: str) -> str:
+    far = f"list_transform({centers}, lambda c: abs(c - ({value})))"
+    return f"CAST(list_position({far}, list_min({far})) - 1 AS INT)"
+
+
+@query(f"""WITH RECURSIVE {FIXTURES}, {_clusters("down", "y + 8.0::DOUBLE", 9.6)}, {_clusters("across", "x + 60.0::DOUBLE", 72.0)}
+SELECT c.doc_id, c.page_index, text, x, y, w, h, {_nearest("d.centers", "y + 8.0::DOUBLE")} AS row_index, {_nearest("a.centers", "x + 60.0::DOUBLE")} AS col_index FROM cells c JOIN down d USING (doc_id, page_index) JOIN across a USING (doc_id, page_index)""")
 def grid_index(spark, sf_dir):
     of = L.cells(_docs(spark, sf_dir)).withColumn("table_no", F.lit(0))
     return tables.grid(of).select(*PAGE, "text", *SIDES, "row_index", "col_index")
@@ -246,21 +269,43 @@ def _shifted(df: DataFrame, by: int) -> DataFrame:
     return df.withColumn("box", G.box(F.col("box.x") + by, F.col("box.y") + 1, F.col("box.w"), F.col("box.h")))
 
 
-@query()
+_COMMON = "greatest(0, least({0}.x + {0}.w, {1}.x + {1}.w) - greatest({0}.x, {1}.x)) * greatest(0, least({0}.y + {0}.h, {1}.y + {1}.h) - greatest({0}.y, {1}.y))"
+
+
+@query(f"""WITH RECURSIVE {FIXTURES}, m AS (SELECT doc_id, page_index, line_no, x + 5 AS x, y + 1 AS y, w, h FROM blocks),
+o AS (SELECT t.doc_id, t.page_index, t.line_no AS table_no, coalesce(list(c.line_no ORDER BY c.line_no) FILTER (c.line_no IS NOT NULL), []) AS options FROM blocks t LEFT JOIN m c ON c.doc_id = t.doc_id AND c.page_index = t.page_index
+  AND {_COMMON.format("t", "c")} > 0 AND {_COMMON.format("t", "c")} / (t.w * t.h + c.w * c.h - {_COMMON.format("t", "c")})::DOUBLE >= 0.7::DOUBLE GROUP BY 1, 2, 3),
+k AS (SELECT *, row_number() OVER (PARTITION BY doc_id, page_index ORDER BY table_no) AS k FROM o),
+s AS (SELECT doc_id, page_index, k, table_no, options[1] AS chosen, CASE WHEN len(options) > 0 THEN [options[1]] ELSE [] END AS used FROM k WHERE k = 1 UNION ALL
+  SELECT n.doc_id, n.page_index, n.k, n.table_no, list_filter(n.options, lambda c: NOT list_contains(used, c))[1], list_concat(used, list_filter(n.options, lambda c: NOT list_contains(used, c))[1:1]) FROM s JOIN k n ON n.doc_id = s.doc_id AND n.page_index = s.page_index AND n.k = s.k + 1)
+SELECT doc_id, page_index, table_no, chosen AS candidate_no FROM s""")
 def greedy_iou_match(spark, sf_dir):
     docs = _docs(spark, sf_dir)
     of = L.blocks(docs)
     return spatial.greedy_match(of.withColumnRenamed("line_no", "table_no"), _shifted(of, 5).withColumnRenamed("line_no", "candidate_no"))
 
 
-@query()
+@query(f"""WITH RECURSIVE {FIXTURES}, a AS (SELECT doc_id, page_index, line_no, text, x, y, w, h FROM blocks UNION ALL SELECT doc_id, page_index, line_no + 100000, text, x + 3, y + 1, w, h FROM blocks),
+b AS (SELECT *, replace(lower(regexp_replace({ONE.format("text")}, '[^\\p{{L}}\\p{{N}}]+', '', 'g')), 'ß', 'ss') AS key FROM a),
+k AS (SELECT *, row_number() OVER (PARTITION BY doc_id, page_index, key ORDER BY y, x, text, line_no) AS k FROM b WHERE key <> ''),
+s AS (SELECT doc_id, page_index, key, k, line_no, text, x, y, w, h, true AS kept, [{{'x': x, 'y': y, 'w': w, 'h': h}}] AS had FROM k WHERE k = 1 UNION ALL
+  SELECT n.doc_id, n.page_index, n.key, n.k, n.line_no, n.text, n.x, n.y, n.w, n.h, len(list_filter(had, lambda q: {_COMMON.format("n", "q")} / least(greatest(1, n.w * n.h), greatest(1, q.w * q.h))::DOUBLE >= 0.5::DOUBLE)) = 0,
+  CASE WHEN len(list_filter(had, lambda q: {_COMMON.format("n", "q")} / least(greatest(1, n.w * n.h), greatest(1, q.w * q.h))::DOUBLE >= 0.5::DOUBLE)) = 0 THEN list_append(had, {{'x': n.x, 'y': n.y, 'w': n.w, 'h': n.h}}) ELSE had END
+  FROM s JOIN k n ON n.doc_id = s.doc_id AND n.page_index = s.page_index AND n.key = s.key AND n.k = s.k + 1)
+SELECT doc_id, page_index, line_no, text, x, y, w, h FROM s WHERE kept""".replace("\\\\", "\\"))
 def dedupe_overlapping_blocks(spark, sf_dir):
     of = L.blocks(_docs(spark, sf_dir))
     again = _shifted(of, 3).withColumn("line_no", F.col("line_no") + 100000)
     return reading.dedupe_blocks(of.unionByName(again)).select(*PAGE, "line_no", "text", *SIDES)
 
 
-@query()
+@query(f"""WITH {FIXTURES}, {_REGIONS}, m AS (SELECT r.doc_id, r.page_index, r.ordinal, r.x, r.y, r.w, r.h, min(b.line_no) AS onto FROM (SELECT doc_id, page_index, ordinal, x, y, 400 AS w, h FROM regions) r LEFT JOIN blocks b ON b.doc_id = r.doc_id AND b.page_index = r.page_index
+  AND {_COMMON.format("b", "r")} / least(greatest(1, b.w * b.h), greatest(1, r.w * r.h))::DOUBLE >= 0.12::DOUBLE GROUP BY 1, 2, 3, 4, 5, 6, 7),
+f AS (SELECT a.doc_id, a.page_index, b.ordinal, a.ordinal AS first FROM m a JOIN m b ON a.doc_id = b.doc_id AND a.page_index = b.page_index AND a.ordinal < b.ordinal WHERE a.onto IS NULL AND b.onto IS NULL
+  AND {_COMMON.format("a", "b")} / least(greatest(1, a.w * a.h), greatest(1, b.w * b.h))::DOUBLE >= 0.12::DOUBLE)
+SELECT b.doc_id, b.page_index, b.line_no, b.text, b.x, b.y, b.w, b.h, coalesce(string_agg(m.ordinal, ',' ORDER BY m.ordinal), '') AS marks FROM blocks b LEFT JOIN m ON m.doc_id = b.doc_id AND m.page_index = b.page_index AND m.onto = b.line_no GROUP BY 1, 2, 3, 4, 5, 6, 7, 8
+UNION ALL SELECT m.doc_id, m.page_index, -m.ordinal - 1, 'seal', m.x, m.y, m.w, m.h, coalesce((SELECT string_agg(f.ordinal, ',' ORDER BY f.ordinal) FROM f WHERE f.doc_id = m.doc_id AND f.page_index = m.page_index AND f.first = m.ordinal), '')
+FROM m WHERE m.onto IS NULL AND NOT EXISTS (SELECT 1 FROM f WHERE f.doc_id = m.doc_id AND f.page_index = m.page_index AND f.ordinal = m.ordinal)""")
 def annotated_blocks(spark, sf_dir):
     docs = _docs(spark, sf_dir)
     marks = _regions(docs).withColumn("text", F.lit("seal"))

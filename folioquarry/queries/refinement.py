@@ -10,6 +10,7 @@ from ..operators.spatial import PAGE
 from ..plans import pages_from_models
 from ..sources import layout_json as J
 from ..sources import layout_text as L
+from .layout import _IN_LINES
 from .registry import FIXTURES, Registry
 
 query = Registry()
@@ -109,7 +110,8 @@ def polygon_lines(spark, sf_dir):
     return J.ocr_lines(rows).select("doc_id", "page_index", "ordinal", "text", "bounding_box.x", "bounding_box.w")
 
 
-@query()
+@query(_IN_LINES + """, halves AS (SELECT doc_id, page_index, line, x >= 300 AS half, string_agg(text, ' ' ORDER BY place) AS text FROM placed GROUP BY 1, 2, 3, 4)
+SELECT doc_id, page_index, line, string_agg(text, ' | ' ORDER BY half) AS text FROM halves GROUP BY 1, 2, 3""")
 def two_column_lines(spark, sf_dir):
     return refine.column_lines(reading.reading_order(L.blocks(_docs(spark, sf_dir))), F.lit(300.0))
 

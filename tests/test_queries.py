@@ -13,6 +13,11 @@ def test_query_equals_sql(spark, sf_dir, name):
     assert ours == theirs
 
 
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE_SQL)))
+def test_query_without_sql_gives_rows(spark, sf_dir, name):
+    assert not QUERIES[name](spark, sf_dir).isEmpty()
+
+
 def test_entry_is_lazy_and_stable(spark):
     import __spark_entry__ as entry
 
