@@ -9,6 +9,7 @@ repeated as often as they are taken; encoding adds the pieces of every text.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,14 +22,19 @@ from folioquarry.llm.op06_mixing import mix
 from folioquarry.llm.op10_line_dedup import dedup_lines
 
 
+def _filtered(docs: DataFrame, work: Callable[[DataFrame], DataFrame], *added: str) -> DataFrame:
+    """``work(docs)`` with the columns of ``docs`` only; own columns named as those that it adds are kept apart meanwhile."""
+    apart = {c: f"_own_{c}" for c in added if c in docs.columns}
+    out = work(docs.withColumnsRenamed(apart)).drop(*added)
+    return out.withColumnsRenamed({v: k for k, v in apart.items()}).select(*docs.columns)
+
+
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = identify(docs, learn(docs))
-    return found.where(F.col("lang_pred") != UNDETERMINED).select(*docs.columns)
+    return _filtered(docs, lambda d: identify(d, learn(d)).where(F.col("lang_pred") != UNDETERMINED), "lang_pred", "score")
 
 
 def dedup_line_runs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cleaned = dedup_lines(docs)
-    return cleaned.where((F.col("removed_lines") == 0) | F.col("text").rlike(WORD)).select(*docs.columns)
+    return _filtered(docs, lambda d: dedup_lines(d).where((F.col("removed_lines") == 0) | F.col("text").rlike(WORD)), "removed_lines")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
