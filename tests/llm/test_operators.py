@@ -19,6 +19,7 @@ from folioquarry.llm.oracles import ORACLE_SQL
 from folioquarry.llm.queries import QUERIES
 
 from ..compare import against_sql
+from . import force
 from .helpers import WORD, awkward, clashing, documents
 
 OPERATORS = {
@@ -56,6 +57,30 @@ def test_language_held_out_accuracy(spark, sf_dir):
     assert out.where("score < 0 or score > 1").isEmpty()
 
 
+def test_language_by_force(spark, sf_dir):
+    """Every prediction from the fitted machines, by plain Python: the family first, then the language in it."""
+    docs = common.documents(spark, sf_dir)
+    model = op01_language.learn(docs)
+    assert len(model.languages) > 1 and any(len(d.labels) > 1 for d in model.languages.values())
+    rows = op01_language.identify(docs, model).select("text", "lang_pred", "score").collect()
+    rows += op01_language.identify(documents(spark, awkward()), model).select("text", "lang_pred", "score").collect()
+    for r in rows:
+        name, score = force.language(model, r.text)
+        assert r.lang_pred == name and r.score == pytest.approx(score, abs=1e-9)
+
+
+def test_languages_within_a_family(spark):
+    """A label of a family is only chosen among its own, ties and the empty label included; too many labels are refused."""
+    words = {"en": "the and of house water", "de": "der und von haus wasser", "fr": "le et de maison eau", "": "zz qq xx zq xq"}
+    rows = [(i, f"{words[lang]} {i % 7} {words[lang].split()[i % 5]}", lang, None) for i, lang in enumerate(list(words) * 30)]
+    docs = documents(spark, rows)
+    model = op01_language.learn(docs)
+    assert sorted(model.languages) == ["", "germanic", "romance"] and model.languages["germanic"].labels == ["de", "en"]
+    assert all(r.lang_pred == r.lang for r in op01_language.identify(docs, model).collect())
+    with pytest.raises(ValueError, match="more than 3 labels"):
+        op01_language.learn(docs, most_labels=3)
+
+
 def test_language_undetermined_and_untaught(spark):
     docs = documents(spark, awkward())
     out = {r.doc_id: r for r in op01_language.language_rows(docs).collect()}
@@ -64,30 +89,6 @@ def test_language_undetermined_and_untaught(spark):
     assert {r.lang_pred for r in none.collect()} == {"und"}
 
 
-def links_by_force(rows, k, percent):
-    sets = {}
-    for i, text, *_ in rows:
-        if i is None:
-            continue
-        w = WORD.findall((text or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")))
-        sets[i] = {tuple(w[j : j + k]) for j in range(len(w) - k + 1)} if len(w) >= k else ({tuple(w)} if w else set())
-    parent = {i: i for i in sets}
-
-    def root(x):
-        while parent[x] != x:
-            x = parent[x]
-        return x
-
-    ids = sorted(sets)
-    for a in ids:
-        for b in ids:
-            if a < b and sets[a] and sets[b]:
-                both = len(sets[a] & sets[b])
-                if 100 * both >= percent * len(sets[a] | sets[b]):
-                    parent[max(root(a), root(b))] = min(root(a), root(b))
-    return {i: (len(sets[i]), root(i)) for i in ids}
-
-
 @pytest.mark.parametrize("k,percent", [(3, 90), (5, 80)])
 def test_jaccard_by_force(spark, monkeypatch, k, percent):
     monkeypatch.setattr(op02_jaccard, "BLOCK", 4)
@@ -104,7 +105,7 @@ def test_jaccard_by_force(spark, monkeypatch, k, percent):
     for step in range(15):  # each like the next, the ends unlike
         rows.append((len(rows) + 10, " ".join(chain[: 200 - 4 * step]), None, None))
     got = {x.doc_id: (x.n_shingles, x.component_id) for x in op02_jaccard.jaccard_components(documents(spark, rows).repartition(3), k, percent).collect()}
-    assert got == links_by_force(rows, k, percent)
+    assert got == force.components(rows, k, percent)
 
 
 def test_jaccard_of_sparse_groups_by_force(spark, monkeypatch):
@@ -122,7 +123,7 @@ def test_jaccard_of_sparse_groups_by_force(spark, monkeypatch):
     ids = r.sample(range(10_000), len(rows))
     rows = [(i, *row[1:]) for i, row in zip(ids, rows, strict=True)]
     got = {x.doc_id: (x.n_shingles, x.component_id) for x in op02_jaccard.jaccard_components(documents(spark, rows), 1, 90).collect()}
-    assert got == links_by_force(rows, 1, 90)
+    assert got == force.components(rows, 1, 90)
 
 
 def test_components_of_a_path(spark):
@@ -243,6 +244,24 @@ def test_near_fingerprints_by_force(spark):
     assert got == {(a, b, bin((a ^ b) & mask).count("1")) for a in every for b in every if a < b and bin((a ^ b) & mask).count("1") <= 3}
 
 
+def test_secondary_operators_on_awkward_rows(spark, tmp_path):
+    """What the queries do not run: repeats, nulls, empty tables and further columns with names of working ones."""
+    docs = documents(spark, awkward())
+    for operator in (op06_mixing.mix, op02_jaccard.first_of_components, lambda d: op05_sentencepiece.decode(op05_sentencepiece.encode(d))):
+        out = operator(docs)
+        assert {r.doc_id for r in out.select("doc_id").collect()} <= {r[0] for r in awkward()}
+        more = operator(clashing(docs))
+        names = [c for c in clashing(docs).columns if c != "ids"]
+        assert set(names) <= set(more.columns) and more.where("size <> 'mine' or rank <> 'mine' or n <> 'mine' or text_hash <> 'mine' or row <> 'mine'").isEmpty()
+        key = lambda df: sorted((str(r.doc_id), str(r.text)) for r in df.select("doc_id", "text").collect())
+        assert key(more) == key(out)
+        assert operator(docs.where("false")).isEmpty()
+    kept = op02_jaccard.first_of_components(docs).select("doc_id").collect()
+    assert Counter(r.doc_id for r in kept) == Counter({None: 1, 1: 1, 2: 1, 3: 1, 4: 2, 5: 1, 6: 1, 7: 1, 8: 1})
+    op08_sharding.write_shards(clashing(docs), "doc_id", str(tmp_path / "shards"))
+    assert spark.read.parquet(str(tmp_path / "shards")).count() == docs.count()
+
+
 def test_encoding_equals_the_library(spark, monkeypatch):
     import sentencepiece
 
@@ -311,6 +330,7 @@ def test_mixing_totals(spark):
         assert abs(taken[s] - target[s]) <= 60
     again = op06_mixing.mix_plan(documents(spark, rows[::-1]).repartition(5)).collect()
     assert {(x.doc_id, x.times) for x in out} == {(x.doc_id, x.times) for x in again}
+    assert {x.doc_id: x.times for x in out} == force.mixture(rows)
     mixed = op06_mixing.mix(documents(spark, rows))
     assert {r.doc_id: r["count"] for r in mixed.groupBy("doc_id").count().collect()} == {x.doc_id: x.times for x in out if x.times}
 

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from folioquarry.llm import common, op02_jaccard, op06_mixing, op10_line_dedup
 from folioquarry.llm.common import WORD
 
+from . import force
+from .helpers import WORD as WORDS
+
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -43,6 +46,54 @@ def test_run_equals_stages(spark, sf_dir):
     assert sorted(r[0] for r in ran.select(key).collect()) == sorted(r[0] for r in docs.select(key).collect())
 
 
+def test_pipeline_by_force(spark, tmp_path):
+    """Every row of the pipeline, by plain Python versions of its stages."""
+    import random
+    from collections import Counter
+
+    import sentencepiece
+
+    from folioquarry.llm import op05_sentencepiece
+
+    r = random.Random(21)
+    words = {"en": "the of and house water stone river under light over".split(), "de": "der und von haus wasser stein fluss unter licht weit".split(), "fr": "le et de maison eau pierre fleuve sous clair loin".split()}
+    passage = [" ".join(f"passage{k}x{j}" for j in range(18)) for k in range(6)]
+    rows = []
+    for i in range(70):
+        lang = r.choice(list(words))
+        lines = [" ".join(r.choice(words[lang]) + r.choice(["", "s", "en"]) for _ in range(r.randint(8, 25))) for _ in range(r.randint(3, 8))]
+        if i % 4 == 0:
+            at = r.randint(0, 2)
+            lines[1:1] = passage[at : at + r.randint(2, 4)]
+        rows.append((i * 3, "\n".join(lines), lang if i % 5 else None, r.choice(["web", "books", None, "news", "web"])))
+    rows += [(500 + i, rows[i][1].replace("water", "waters", 1), rows[i][2], rows[i][3]) for i in range(0, 30, 3)]
+    rows += [(600, "12 34 !!", "en", "web"), (601, None, "en", "web"), (602, "\n".join(passage), "en", "books"), (603, rows[5][1], None, "news"), (604, "", None, "web")]
+    documents_ = spark.createDataFrame([(i, t, lang, s, None if t is None else len(t)) for i, t, lang, s in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    documents_.repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+
+    left = [row for row in rows if row[1] is not None and any(c.isalpha() for c in row[1])]
+    edited = force.without_repeats(left)
+    left = [(i, edited[i][0], lang, s) for i, _, lang, s in left if not edited[i][1] or WORDS.search(edited[i][0])]
+    groups = force.components(left, 5, 80)
+    left = [row for row in left if groups[row[0]][1] == row[0]]
+    times = force.mixture(left)
+    sp = sentencepiece.SentencePieceProcessor(model_file=op05_sentencepiece.MODEL_PATH)
+    expected = Counter({(i, text, lang, s, tuple(sp.encode(text))): times[i] for i, text, lang, s in left if times[i]})
+    got = Counter((x.doc_id, x.text, x.lang, x.source, tuple(x.ids)) for x in corpus_pipeline.run(spark, str(tmp_path)).collect())
+    assert len(expected) > 40 and any(e[1] for e in edited.values()) and len(groups) > len(left)
+    assert got == expected
+
+
+def test_clashing_columns(spark, tmp_path):
+    """Stages keep further columns, whatever their names."""
+    from .helpers import awkward, clashing, documents
+
+    docs = clashing(documents(spark, awkward()))
+    for name, stage in corpus_pipeline.STAGES:
+        docs = common.written(stage(spark, docs, str(tmp_path)))
+        assert docs.where("size <> 'mine' or rank <> 'mine' or score <> 'mine' or removed_lines <> 'mine' or t <> 'mine'").isEmpty(), name
+
+
 def test_empty_documents(spark, tmp_path):
     from .helpers import documents
 
