@@ -30,7 +30,7 @@ LANES, PER_LONG, RUN_BITS = 16, 4, 14
 ONES = 0x0001000100010001
 SEPARATORS = r"[\x20\x09-\x0D]+"
 #: Bytes of text that a range of ids should hold, and the most ranges; see ``next_document``.
-RANGE_BYTES, MOST_RANGES = 8 << 20, 20_000
+RANGE_BYTES, MOST_RANGES = 8 << 20, 100_000
 #: Query op4 searches the neighbours of every row whose id this divides.
 SEARCHED = 100
 
