@@ -7,9 +7,12 @@ bad document does not end a job; retryable errors are tried again in place.
 
 from __future__ import annotations
 
+import signal
 import tempfile
+import threading
 import time
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -49,13 +52,63 @@ def _schema(kind: str | StructType) -> StructType:
     return kind if isinstance(kind, StructType) else StructType.fromDDL(kind)
 
 
-class RowOperator:
-    """``fn(context, row)`` gives None, a dict or several; ``output`` is their schema. Further columns of the input are not kept."""
+@contextmanager
+def deadline(seconds: float | None) -> Iterator[None]:
+    """An ``OperatorError`` of code TIMEOUT, worth trying again, once the block has run for so long. None, or a thread that is not the main one, has no deadline."""
+    if seconds is None or threading.current_thread() is not threading.main_thread():
+        yield
+        return
+
+    def late(*_: Any) -> None:
+        raise OperatorError(f"took more than {seconds} seconds", code="TIMEOUT", retryable=True)
+
+    before = signal.signal(signal.SIGALRM, late)
+    signal.setitimer(signal.ITIMER_REAL, seconds)
+    try:
+        yield
+    finally:
+        signal.setitimer(signal.ITIMER_REAL, 0)
+        signal.signal(signal.SIGALRM, before)
+
+
+class Hooks:
+    """What a task calls around the rows of an operator; subclasses do what they want with it. An error in a hook ends the task."""
+
+    def started(self, context: Context) -> None: ...
+
+    def ended(self, context: Context, rows: int) -> None: ...
+
+    def failed(self, context: Context, error: Exception) -> None: ...
+
+
+class _Configured:
+    """Operators are built from a mapping of their options, and tell which path they take."""
+
+    @classmethod
+    def from_config(cls, config: dict[str, Any] | None = None):
+        try:
+            return cls(**(config or {}))
+        except TypeError as e:
+            raise OperatorError(f"{cls.__name__}: {e}", code="INVALID_OPERATOR_OPTION", details=dict(config or {})) from e
+
+    @classmethod
+    def works_by(cls) -> str:
+        return "batch" if hasattr(cls, "process_batch") else "row"
+
+
+class RowOperator(_Configured):
+    """``fn(context, row)`` gives None, a dict or several; ``output`` is their schema. Further columns of the input are not kept.
+
+    ``input_types`` (DDL) has the types that columns must have; ``timeout_seconds`` is what a row may take; ``hooks`` are called by each task.
+    """
 
     name, version = "row", "1"
     input_columns: tuple[str, ...] = ()
+    input_types: str | None = None
     output: str | StructType = ""
     retry = Retry(attempts=1)
+    timeout_seconds: float | None = None
+    hooks: Hooks = Hooks()
 
     def process_row(self, context: Context, row: dict[str, Any]) -> dict[str, Any] | Iterable[dict[str, Any]] | None:
         raise NotImplementedError
@@ -65,17 +118,21 @@ class RowOperator:
         import pyarrow as pa
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        check_columns(df, self.input_columns)
+        check_columns(df, self.input_columns, self.input_types)
         schema = _schema(self.output)
         if errors:
             schema = StructType([*schema.fields, StructField("error", ERROR)])
         arrow = to_arrow_schema(schema)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            done = 0
+            self.hooks.started(context)
             for batch in batches:
                 out = [r for row in batch.to_pylist() for r in self._rows(context, row, errors)]
+                done += batch.num_rows
                 if out:
                     yield pa.RecordBatch.from_pylist(out, schema=arrow)
+            self.hooks.ended(context, done)
 
         return df.mapInArrow(run, schema)
 
@@ -83,24 +140,27 @@ class RowOperator:
         wait = self.retry.wait_seconds
         for attempt in range(1, self.retry.attempts + 1):
             try:
-                found = self.process_row(context, row)
+                with deadline(self.timeout_seconds):
+                    found = self.process_row(context, row)
                 return [] if found is None else [found] if isinstance(found, dict) else list(found)
             except OperatorError as e:
                 if e.retryable and attempt < self.retry.attempts:
                     time.sleep(wait)
                     wait *= self.retry.factor
                     continue
+                self.hooks.failed(context, e)
                 if not errors:
                     raise
                 return [{**{c: row.get(c) for c in self.input_columns}, "error": {"code": e.code, "message": str(e), "retryable": str(e.retryable).lower()}}]
             except Exception as e:
+                self.hooks.failed(context, e)
                 if not errors:
                     raise
                 return [{**{c: row.get(c) for c in self.input_columns}, "error": {"code": "UNEXPECTED", "message": f"{type(e).__name__}: {e}", "retryable": "false"}}]
         return []
 
 
-class ArrowOperator:
+class ArrowOperator(_Configured):
     """``process_batch(context, batch)`` gives a batch of the ``output`` schema, or of the input's where that is unset."""
 
     name, version = "arrow", "1"
@@ -116,11 +176,37 @@ class ArrowOperator:
         return df.mapInArrow(lambda batches: (work(context, b) for b in batches), _schema(self.output) if self.output else df.schema)
 
 
-def check_columns(df: DataFrame, needed: Iterable[str]) -> None:
-    """Fails before anything runs if a column is missing."""
+def check_columns(df: DataFrame, needed: Iterable[str], types: str | None = None) -> None:
+    """Fails before anything runs if a column is missing or of another type than declared (DDL)."""
     missing = [c for c in needed if c not in df.columns]
     if missing:
         raise OperatorError(f"input lacks {missing}", code="SCHEMA_MISMATCH")
+    for f in _schema(types).fields if types else []:
+        if f.name not in df.columns or df.schema[f.name].dataType != f.dataType:
+            raise OperatorError(f"{f.name} must be {f.dataType.simpleString()}", code="SCHEMA_MISMATCH")
+
+
+def arrow_batches(rows: Iterable[dict[str, Any]], schema: str | StructType, size: int = 1024) -> Iterator:
+    """Rows as Arrow batches of at most ``size``."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    if size <= 0:
+        raise OperatorError("batch size must be positive", code="INVALID_OPERATOR_OPTION")
+    kind, some = to_arrow_schema(_schema(schema)), []
+    for row in rows:
+        some.append(row)
+        if len(some) == size:
+            yield pa.RecordBatch.from_pylist(some, schema=kind)
+            some = []
+    if some:
+        yield pa.RecordBatch.from_pylist(some, schema=kind)
+
+
+def rows_of(batches: Iterable) -> Iterator[dict[str, Any]]:
+    """The rows of Arrow batches."""
+    for batch in batches:
+        yield from batch.to_pylist()
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

@@ -179,3 +179,21 @@ def trials_in_order(trials: DataFrame, *keys: str) -> DataFrame:
 def in_input_order(results: DataFrame, inputs: DataFrame, key: str, ordinal: str) -> DataFrame:
     """Results with the ordinal of their input, in its order, however they were worked."""
     return results.join(inputs.select(key, ordinal), key).orderBy(ordinal)
+
+
+def markdown_targets(markdown: DataFrame, artifacts: DataFrame, folders: DataFrame) -> DataFrame:
+    """(doc_id, path, text, added): where each document's Markdown goes: its Markdown artifacts, or a new file in its folder; blank texts go nowhere.
+
+    ``markdown``: doc_id, markdown; ``artifacts``: doc_id, kind, uri; ``folders``: doc_id, artifact_dir, output_stem.
+    """
+    texts = markdown.where(T.strip(F.coalesce("markdown", F.lit(""))) != "").select("doc_id", F.col("markdown").alias("text"))
+    had = artifacts.where((F.col("kind") == "markdown") & V.text_or(F.col("uri")).isNotNull()).select("doc_id", F.col("uri").alias("path")).distinct()
+    kept = texts.join(had, "doc_id").select("doc_id", "path", "text", F.lit(False).alias("added"))
+    new = texts.join(had, "doc_id", "left_anti").join(folders, "doc_id")
+    return kept.unionByName(new.select("doc_id", F.concat(F.regexp_replace("artifact_dir", "/+$", ""), F.lit("/"), "output_stem", F.lit(".md")).alias("path"), "text", F.lit(True).alias("added")))
+
+
+def text_of_page(block_texts: Column, fragments: Column) -> Column:
+    """Q6: a page's text from its blocks' texts, or from whatever texts lie below it where no block has one; null if there is none."""
+    joined = lambda a: F.nullif(F.array_join(F.filter(F.coalesce(a, F.array().cast("array<string>")), lambda t: T.strip(t) != ""), "\n"), F.lit(""))
+    return F.coalesce(joined(block_texts), joined(fragments))

@@ -70,6 +70,31 @@ def pending(tasks: DataFrame, done: DataFrame, *keys: str, same: tuple[str, ...]
     return tasks.alias("t").join(usable.alias("d"), on, "left_anti")
 
 
+def reusable(results: DataFrame, tasks: DataFrame, files: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Earlier results that a task can take over, with their counts.
+
+    The result's JSON is readable and has a list of pages; if the task asks for keywords, they are those of the result, and its
+    coordinates and its annotated file are still there. ``results``: key, json, field_keywords, field_coordinates_path,
+    field_annotation_pdf_path; ``tasks``: key, field_keywords; ``files``: path.
+    """
+    items = lambda v, path: F.try_variant_get(v, f"$.{path}", "array<variant>")
+    count = lambda v, path: F.greatest(F.lit(0), F.coalesce(F.size(items(v, path)), F.lit(0)))
+    total = lambda of: F.aggregate(of, F.lit(0), lambda a, x: a + x)
+    none = F.array().cast("array<string>")
+    read = results.withColumn("_pages", items(F.try_parse_json("json"), "pages")).where("_pages is not null")
+    asked = tasks.select(key, F.coalesce("field_keywords", none).alias("_asked"))
+    there = files.select("path").distinct()
+    both = read.join(asked, key)
+    for column in ("field_coordinates_path", "field_annotation_pdf_path"):
+        both = both.join(there.select(F.col("path").alias(column), F.lit(True).alias(f"_{column}")), column, "left")
+    same = (F.coalesce("field_keywords", none) == F.col("_asked")) & F.coalesce("_field_coordinates_path", F.lit(False)) & F.coalesce("_field_annotation_pdf_path", F.lit(False))
+    tables = F.flatten(F.transform("_pages", lambda p: F.coalesce(items(p, "table_blocks"), F.array().cast("array<variant>"))))
+    return both.where((F.size("_asked") == 0) | same).select(
+        key, F.lit(True).alias("success"), F.lit(True).alias("skipped"), F.size("_pages").alias("page_count"), total(F.transform("_pages", lambda p: count(p, "text_blocks"))).alias("text_block_count"),
+        F.size(tables).alias("table_block_count"), total(F.transform(tables, lambda t: count(t, "cells"))).alias("table_cell_count"),
+    )
+
+
 def trial_status(code: Column, readable: Column, failed: Column, succeeded: Column) -> Column:
     """success if the trial ended well, with a readable report, at least one success and no failure; else failed."""
     good = (code == 0) & readable & (F.coalesce(failed, F.lit(0)) <= 0) & (F.coalesce(succeeded, F.lit(0)) > 0)

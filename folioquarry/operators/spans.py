@@ -11,6 +11,14 @@ from .spatial import PAGE
 RISK_TYPES = {"id": "identity", "identity": "identity", "phone": "contact", "contact": "contact", "email": "contact", "secret": "credential", "password": "credential", "credential": "credential"}
 
 
+#: Words of a lexicon that are broadcast; a longer one is joined without.
+MOST_WORDS = 100_000
+
+
+def _listed(words: DataFrame) -> DataFrame:
+    return F.broadcast(words) if words.limit(MOST_WORDS + 1).count() <= MOST_WORDS else words
+
+
 def lexicon(spark: SparkSession, words: dict[str, str]) -> DataFrame:
     """(word, risk_type) of the caller's list."""
     return spark.createDataFrame([(w, r) for w, r in words.items()], "word string, risk_type string")
@@ -32,7 +40,7 @@ def job_documents(jobs: DataFrame) -> DataFrame:
 
 def gate(pages: DataFrame, words: DataFrame) -> DataFrame:
     """Pages that hold any word of the lexicon at all, before anything costly runs on them."""
-    return pages.join(F.broadcast(words), F.col("text").contains(F.col("word")), "left_semi")
+    return pages.join(_listed(words), F.col("text").contains(F.col("word")), "left_semi")
 
 
 def lexicon_spans(pages: DataFrame, words: DataFrame) -> DataFrame:
@@ -41,7 +49,7 @@ def lexicon_spans(pages: DataFrame, words: DataFrame) -> DataFrame:
     The lexicon is the caller's and is broadcast; a page is joined only to words that it holds, and the
     positions come from the lengths of the pieces between occurrences.
     """
-    hits = pages.select(*PAGE, "text").join(F.broadcast(words.where("word <> ''")), F.col("text").contains(F.col("word")))
+    hits = pages.select(*PAGE, "text").join(_listed(words.where("word <> ''")), F.col("text").contains(F.col("word")))
     pieces = F.split("text", F.concat(F.lit("\\Q"), F.col("word"), F.lit("\\E")), -1)
     lengths = F.transform(pieces, lambda p: F.char_length(p))
     n = F.char_length("word")

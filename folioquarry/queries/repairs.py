@@ -219,3 +219,19 @@ def trials_in_order(spark, sf_dir):
     numbered = chunks(trials, ["event_type", "n"], 1).withColumn("key", F.concat_ws("|", "event_type", "n"))
     shuffled = D.trials_in_order(trials, "event_type", "n").select("event_type", "n", F.concat_ws("|", "event_type", "n").alias("key"))
     return D.in_input_order(shuffled, numbered, "key", "chunk").select("event_type", "n", (F.col("chunk") + 1).alias("place"))
+
+
+@query("""WITH d AS (SELECT doc_id, unnest(CASE WHEN doc_id % 3 = 0 THEN ['a/' || doc_id || '.md', 'b/' || doc_id || '.md'] ELSE ['out/' || doc_id || '/s.md'] END) AS path FROM documents WHERE doc_id % 5 > 0)
+SELECT doc_id, path, 'text ' || doc_id AS text, doc_id % 3 > 0 AS added, CASE WHEN doc_id % 2 = 0 THEN 'a' || chr(10) || 'b' WHEN doc_id % 4 = 1 THEN 'f' END AS page_text FROM d""")
+def markdown_targets(spark, sf_dir):
+    """Where Markdown goes, and page texts by preference."""
+    d = F.col("doc_id")
+    n = d.cast("string")
+    docs = _docs(spark, sf_dir).select("doc_id")
+    texts = docs.select("doc_id", F.when(d % 5 > 0, F.concat(F.lit("text "), n)).otherwise(" ").alias("markdown"))
+    ref = lambda kind, uri: F.struct(F.lit(kind).alias("kind"), uri.alias("uri"))
+    refs = F.array(ref("markdown", F.concat(F.lit("a/"), n, F.lit(".md"))), ref("markdown", F.concat(F.lit("b/"), n, F.lit(".md"))), ref("model_json", n), ref("markdown", F.lit(" ")))
+    artifacts = docs.where(d % 3 == 0).select("doc_id", F.explode(refs).alias("r")).select("doc_id", "r.*")
+    folders = docs.select("doc_id", F.concat(F.lit("out/"), n, F.lit("/")).alias("artifact_dir"), F.lit("s").alias("output_stem"))
+    page = D.text_of_page(F.when(d % 2 == 0, F.array(F.lit("a"), F.lit(" "), F.lit("b"))).otherwise(F.array(F.lit(" "))), F.when(d % 4 == 1, F.array(F.lit("f"))))
+    return D.markdown_targets(texts, artifacts, folders).select("doc_id", "path", "text", "added", page.alias("page_text"))

@@ -114,3 +114,21 @@ def trial_statuses(spark, sf_dir):
     e = F.col("event_id")
     code, readable = F.when(e % 6 == 0, 1).otherwise(0), F.when(e % 5 != 0, F.lit(True))
     return spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", report.trial_status(code, readable, F.greatest(F.lit(0), e % 7 - 2), F.when(e % 11 != 0, e)).alias("status"))
+
+
+@query("""WITH d AS (SELECT doc_id, len(string_split(text, chr(10))) AS n FROM documents)
+SELECT doc_id, true AS success, true AS skipped, 2 AS page_count, CAST(n % 4 + 1 AS INT) AS text_block_count, 1 AS table_block_count, CAST(n % 3 AS INT) AS table_cell_count FROM d WHERE doc_id % 7 > 1 AND (doc_id % 5 = 0 OR doc_id % 3 > 0 AND doc_id % 11 > 0)""")
+def reusable_results(spark, sf_dir):
+    """Results with counts from their JSON; some unreadable, without pages, of other keywords, or with a file gone."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    d, n = F.col("doc_id"), F.size(F.split("text", "\n"))
+    blocks = lambda k: F.concat(F.lit("["), F.array_join(F.array_repeat(F.lit("{}"), k), ","), F.lit("]"))
+    good = F.concat(F.lit('{"pages":[{"text_blocks":'), blocks(n % 4), F.lit(',"table_blocks":[{"cells":'), blocks(n % 3), F.lit('}]},{"text_blocks":[1]}]}'))
+    words = F.array(F.lit("a"), F.concat(F.lit("w"), (d % 2).cast("string")))
+    path = lambda end: F.concat(F.lit("out/"), d.cast("string"), F.lit(end))
+    results = docs.select(
+        "doc_id", F.when(d % 7 == 0, "{").when(d % 7 == 1, '{"pages":3}').otherwise(good).alias("json"), words.alias("field_keywords"), path(".json").alias("field_coordinates_path"), path(".pdf").alias("field_annotation_pdf_path"),
+    )
+    tasks = docs.select("doc_id", F.when(d % 5 > 0, F.when(d % 3 == 0, F.array(F.lit("a"))).otherwise(words)).alias("field_keywords"))
+    listed = docs.select(path(".json").alias("path")).union(docs.where(d % 11 > 0).select(path(".pdf")))
+    return report.reusable(results, tasks, listed)

@@ -148,6 +148,42 @@ def test_operator_rows_and_errors(spark):
         base.get_operator("uppercase")().transform(docs.select("doc_id"))
 
 
+def test_deadlines_types_and_hooks(spark, tmp_path):
+    import time
+
+    class Noted(base.Hooks):
+        def __init__(self, path):
+            self.path = path
+
+        def ended(self, context, rows):
+            (self.path / f"ended-{rows}-{context.run_id}").touch()
+
+        def failed(self, context, error):
+            (self.path / f"failed-{error.code}").touch()
+
+    class Slow(base.RowOperator):
+        input_columns, input_types, output, timeout_seconds = ("n",), "n bigint", "n bigint", 0.2
+
+        def __init__(self, path, seconds=5):
+            self.hooks, self.seconds = Noted(path), seconds
+
+        def process_row(self, context, row):
+            time.sleep(self.seconds if row["n"] else 0)
+            return row
+
+    rows = spark.range(2).toDF("n").coalesce(1)
+    got = {r.n: r.error.code if r.error else None for r in Slow.from_config({"path": tmp_path}).transform(rows, base.Context(run_id="r"), errors=True).collect()}
+    assert got == {0: None, 1: "TIMEOUT"}
+    assert {p.name for p in tmp_path.iterdir()} == {"ended-2-r", "failed-TIMEOUT"}
+    with pytest.raises(base.OperatorError, match="n must be bigint"):
+        Slow(tmp_path).transform(rows.selectExpr("CAST(n AS INT) AS n"))
+    with pytest.raises(base.OperatorError, match="Slow"):
+        Slow.from_config({"other": 1})
+    assert (Slow.works_by(), base.get_operator("uppercase").works_by()) == ("row", "batch")
+    batches = list(base.arrow_batches(({"n": i} for i in range(5)), "n bigint", 2))
+    assert [b.num_rows for b in batches] == [2, 2, 1] and [r["n"] for r in base.rows_of(batches)] == list(range(5))
+
+
 def test_retry(spark, tmp_path):
     class Flaky(base.RowOperator):
         input_columns, output, retry = ("n",), "n bigint, tries bigint", base.Retry(attempts=3, wait_seconds=0.0)
