@@ -126,9 +126,9 @@ def scan_licenses(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
         raise ValueError(f"more than {MOST_KNOWN} known digests")
     table = docs.sparkSession.createDataFrame(rows, "known_digest string, license_id string")
     of = F.create_map(*[F.lit(x) for row in rows for x in row]) if rows else F.create_map().cast("map<string, string>")
-    lines = canonical_lines(F.col("text"))
-    named = F.array_compact(F.transform(lines, lambda x: F.try_element_at(of, F.sha2(x, 256))))
-    hashed = docs.select("doc_id", F.sha2(F.array_join(lines, " "), 256).alias("digest"), named.alias("named"))
+    named = F.array_compact(F.transform("lines", lambda x: F.try_element_at(of, F.sha2(x, 256))))
+    canonical = docs.select("doc_id", canonical_lines(F.col("text")).alias("lines"))  # a step of its own, so that lines are made once
+    hashed = canonical.select("doc_id", F.sha2(F.array_join("lines", " "), 256).alias("digest"), named.alias("named"))
     joined = hashed.join(F.broadcast(table), F.col("digest") == F.col("known_digest"), "left")
     return joined.select(
         "doc_id", "digest", "license_id", F.array_join(F.array_sort(F.array_distinct("named")), ",").alias("notices"), F.size("named").cast("bigint").alias("n_notices"),
