@@ -50,7 +50,7 @@ REMEMBERED = 200_000
 #: Ids (two longs at most) up to which a list of documents may be broadcast; beyond it the join shuffles.
 BROADCAST_IDS = 500_000
 #: Queries of a block that go to one task; a block with more is replicated.
-ASKERS = 400
+ASKERS = 200
 
 
 def size_classes(percent: int, up_to: int) -> np.ndarray:
