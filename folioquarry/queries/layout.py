@@ -11,7 +11,7 @@ from ..operators import reading, search, spatial, tables
 from ..operators.spatial import PAGE
 from ..plans import field_search_plan, merge_artifact_text
 from ..sources import layout_text as L
-from .registry import FIXTURES, KEY, ONE, Registry
+from .registry import BLANKS, FIXTURES, KEY, ONE, Registry, not_redundant
 
 query = Registry()
 QUERIES, ORACLE_SQL = query.queries, query.sql
@@ -221,7 +221,8 @@ def reading_order(spark, sf_dir):
     return reading.reading_order(L.blocks(_docs(spark, sf_dir)))
 
 
-@query()
+@query(_IN_LINES + f""", o AS (SELECT doc_id, page_index, CAST(place + 1 AS BIGINT) AS n, trim(text, {BLANKS}) AS t FROM placed), {not_redundant("kept", "o", "doc_id, page_index")}
+SELECT doc_id, page_index, CASE WHEN len(out) > 0 THEN array_to_string(out, chr(10)) END AS text FROM kept""")
 def redundancy_filter(spark, sf_dir):
     return reading.page_text(reading.reading_order(L.blocks(_docs(spark, sf_dir))))
 

@@ -11,7 +11,7 @@ from ..plans import pages_from_models
 from ..sources import layout_json as J
 from ..sources import layout_text as L
 from .layout import _IN_LINES
-from .registry import FIXTURES, Registry
+from .registry import BLANKS, FIXTURES, ONE, Registry, not_redundant
 
 query = Registry()
 QUERIES, ORACLE_SQL = query.queries, query.sql
@@ -116,13 +116,23 @@ def two_column_lines(spark, sf_dir):
     return refine.column_lines(reading.reading_order(L.blocks(_docs(spark, sf_dir))), F.lit(300.0))
 
 
-@query()
+@query(f"""WITH RECURSIVE {FIXTURES}, o AS (SELECT doc_id, page_index, row_index, trim(text, {BLANKS}) AS t, col_index, x FROM cells WHERE trim(text, {BLANKS}) <> ''),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, page_index, row_index ORDER BY col_index, x, t) AS n FROM o), {not_redundant("inrow", "r", "doc_id, page_index, row_index")},
+l AS (SELECT doc_id, page_index, array_to_string(out, ' ') AS t, row_number() OVER (PARTITION BY doc_id, page_index ORDER BY row_index) AS n FROM inrow WHERE len(out) > 0), {not_redundant("intable", "l", "doc_id, page_index")}
+SELECT doc_id, page_index, array_to_string(out, chr(10)) AS text FROM intable""")
 def table_text_without_repeats(spark, sf_dir):
     return refine.table_text_distinct(L.cells(_docs(spark, sf_dir)))
 
 
-@query()
+_IN_FIRST = "x + w / 2.0::DOUBLE <= 5000 AND y + 8.0::DOUBLE <= 100"
+
+
+@query(f"""WITH {FIXTURES}, p AS (SELECT DISTINCT doc_id, page_index FROM blocks), t AS (SELECT doc_id, page_index, string_agg({ONE.format("text")}, chr(10) ORDER BY y, x, line_no) AS found FROM blocks WHERE {_IN_FIRST} GROUP BY 1, 2),
+a AS (SELECT p.doc_id, p.page_index, 0 AS line_no, coalesce(found, 'region text') AS text, 0 AS x, 0 AS y, 5000 AS w, 100 AS h, 1 AS n_marks FROM p LEFT JOIN t USING (doc_id, page_index)
+  UNION ALL SELECT doc_id, page_index, 2, 'region text', 0, 9000, 5000, 10, 0 FROM p UNION ALL SELECT doc_id, page_index, line_no + 1000000, text, x, y, w, h, 0 FROM blocks WHERE NOT ({_IN_FIRST}))
+SELECT * FROM a WHERE regexp_matches(text, '[\\p{{L}}\\p{{N}}]')""".replace("\\\\", "\\"))
 def pages_of_three_models(spark, sf_dir):
+    """S20, C9; no two blocks of the fixture that overlap say the same, so the SQL need not look for such."""
     docs = _docs(spark, sf_dir)
     lines = L.blocks(docs).withColumn("confidence", F.lit(0.9))
     page = lines.select(*PAGE).distinct()

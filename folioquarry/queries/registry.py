@@ -38,3 +38,21 @@ tables AS (SELECT doc_id, page_index, min(x) AS x, min(y) AS y, max(x + w) - min
 KEY = r"""replace(lower(regexp_replace({0}, '[\s,.;:!?，。；：！？、（）()\[\]【】<>《》“”"''‘’\-—_＿/\\]+', '', 'g')), 'ß', 'ss')"""
 #: White space collapsed and trimmed, in DuckDB.
 ONE = r"trim(regexp_replace({0}, '\s+', ' ', 'g'))"
+
+
+def not_redundant(name: str, rows: str, by: str) -> str:
+    """CTEs, in DuckDB, of the texts (t, numbered n from 1 within ``by``) that those kept so far do not make redundant; ``name`` has them as a list, out."""
+    units = f"list_filter(list_transform(string_split_regex(t, '[\\n\\r\\t,;:!?，。；：！？、（）()【】\\[\\]<>《》]+'), lambda u: {KEY.format('u')}), lambda u: length(u) >= 4)"
+    on = " AND ".join(f"i.{c.strip()} = s.{c.strip()}" for c in by.split(","))
+    held = "i.key = k OR length(i.key) >= 12 AND contains(k, i.key) OR length(k) >= 12 AND contains(i.key, k)"
+    gone = f"(i.key = '' OR len(list_filter(s.keys, lambda k: {held})) > 0 OR len(i.units) > 0 AND len(s.units) > 0 AND len(list_intersect(list_distinct(i.units), s.units)) / len(list_distinct(i.units))::DOUBLE >= 0.82::DOUBLE)"
+    mine = ", ".join(f"i.{c.strip()}" for c in by.split(","))
+    return f"""{name}i AS (SELECT {by}, n, t, {KEY.format("t")} AS key, list_distinct(list_concat({units}, CASE WHEN length({KEY.format("t")}) BETWEEN 4 AND 40 THEN [{KEY.format("t")}] ELSE [] END)) AS units FROM {rows}),
+{name}s AS (SELECT DISTINCT {by}, CAST(0 AS BIGINT) AS n, CAST([] AS VARCHAR[]) AS keys, CAST([] AS VARCHAR[]) AS units, CAST([] AS VARCHAR[]) AS out FROM {name}i UNION ALL
+  SELECT {mine}, i.n, CASE WHEN {gone} THEN s.keys ELSE list_append(s.keys, i.key) END, CASE WHEN {gone} THEN s.units ELSE list_distinct(list_concat(s.units, i.units)) END, CASE WHEN {gone} THEN s.out ELSE list_append(s.out, i.t) END
+  FROM {name}s s JOIN {name}i i ON {on} AND i.n = s.n + 1),
+{name} AS (SELECT {by}, arg_max(out, n) AS out FROM {name}s GROUP BY {by})"""
+
+
+#: What T.strip takes off an ASCII text, in DuckDB.
+BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(28) || chr(29) || chr(30) || chr(31) || chr(133) || chr(160)"
