@@ -76,10 +76,16 @@ def page_text_by_key(blocks: DataFrame, tables: DataFrame | None = None) -> Data
     rows = blocks.select(*PAGE, F.lit(0).alias("kind"), "box", T.squeeze(F.col("text")).alias("text"))
     if tables is not None:
         rows = rows.unionByName(tables.select(*PAGE, F.lit(1).alias("kind"), "box", T.squeeze(F.col("text")).alias("text")))
-    keyed = rows.withColumn("key", T.word_key(F.col("text"))).where("key <> ''")
-    first = keyed.groupBy(*PAGE, "key").agg(F.min(F.struct("kind", F.col("box.y").alias("y"), F.col("box.x").alias("x"), "text")).alias("m"))
-    entry = F.struct("m.y", "m.x", "m.text")
-    return first.groupBy(*PAGE).agg(F.array_join(F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["text"]), "\n").alias("text"))
+    entry = F.struct("kind", F.col("box.y").alias("y"), F.col("box.x").alias("x"), "text", "key")
+    # a page's rows are few, so that repeats are told within its array, and no row is sorted for it
+    pages = rows.withColumn("key", T.word_key(F.col("text"))).groupBy(*PAGE).agg(F.array_sort(F.collect_list(F.when(F.col("key") != "", entry))).alias("items"))
+
+    def first_of_each(items: Column) -> Column:
+        keys = F.transform(items, lambda e: e["key"])
+        return T.let(keys, lambda ks: F.filter(items, lambda e, i: F.array_position(ks, e["key"]) == i + 1))
+
+    placed = F.array_sort(F.transform(T.let(F.col("items"), first_of_each), lambda e: F.struct(e["y"].alias("y"), e["x"].alias("x"), e["text"].alias("text"))))
+    return pages.where(F.size("items") > 0).select(*PAGE, F.array_join(F.transform(placed, lambda e: e["text"]), "\n").alias("text"))
 
 
 def page_text_plain(blocks: DataFrame, ordinal: str = "line_no") -> DataFrame:
