@@ -149,7 +149,10 @@ def table_texts(text: Column, entities=unescape) -> Column:
 
 def cell_texts(text: Column, entities=unescape) -> Column:
     """Texts of the td and th cells of all rows, in order; blank ones are empty."""
-    return F.flatten(table_texts(text, entities))
+    cell, end = "\x01", "\x02"  # characters that no entity decodes to; the end tells no cell from one blank cell
+    inner = F.transform(F.regexp_extract_all(text, F.lit(CELL), F.lit(1)), lambda x: F.regexp_replace(strip_tags(x), f"[{cell}{end}]", " "))
+    joined = F.array_join(F.concat(F.coalesce(inner, F.array().cast("array<string>")), F.array(F.lit(end))), cell)
+    return let(F.split(entities(joined) if entities else joined, cell), lambda a: F.transform(F.slice(a, 1, F.size(a) - 1), squeeze))
 
 
 def html_cells(text: Column, entities=unescape) -> Column:
