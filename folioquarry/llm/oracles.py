@@ -87,16 +87,18 @@ d AS (SELECT doc_id, CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 12) AS
 SELECT doc_id, CAST(slot AS INT) AS slot, 'shard-' || lpad(owner, 4, '0') AS shard FROM d JOIN t USING (slot)"""
 
 
-_JACCARD = f"""
+def _jaccard(k: int, percent: int, more: str = "") -> str:
+    shingle = " || ' ' || ".join(["w[i]", *(f"w[i + {j}]" for j in range(1, k))])
+    return f"""
 WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{W}') AS w FROM documents),
-s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE
-  list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM d),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {k} THEN [array_to_string(w, ' ')] ELSE
+  list_distinct(list_transform(range(1, len(w) - {k - 2}), lambda i: {shingle})) END AS s FROM d),
 t AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
-p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM t a JOIN t b ON a.g = b.g AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n) GROUP BY 1, 2),
-l AS (SELECT a, b FROM p JOIN s x ON x.doc_id = a JOIN s y ON y.doc_id = b WHERE 100 * common >= 90 * (len(x.s) + len(y.s) - common)),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM t a JOIN t b ON a.g = b.g AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= {percent} * greatest(a.n, b.n) GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN s x ON x.doc_id = a JOIN s y ON y.doc_id = b WHERE 100 * common >= {percent} * (len(x.s) + len(y.s) - common)),
 e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
 r AS (SELECT doc_id AS node, doc_id AS seen FROM d UNION SELECT r.node, e.b FROM r JOIN e ON e.a = r.seen)
-SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, c.component_id FROM s JOIN (SELECT node, min(seen) AS component_id FROM r GROUP BY 1) c ON c.node = s.doc_id"""
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, c.component_id{more} FROM s JOIN (SELECT node, min(seen) AS component_id FROM r GROUP BY 1) c ON c.node = s.doc_id"""
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _QUALITY = rf"""
@@ -136,12 +138,73 @@ k AS (SELECT l.*, EXISTS (SELECT 1 FROM g WHERE g.doc_id = l.doc_id AND l.nth BE
 SELECT d.doc_id, coalesce(removed, 0) AS removed_lines, coalesce(sha, sha256('')) AS text_sha256 FROM documents d LEFT JOIN (
   SELECT doc_id, count(*) FILTER (gone AND regexp_matches(line, '{W}')) AS removed, sha256(coalesce(string_agg(line, chr(10) ORDER BY nth) FILTER (NOT gone), '')) AS sha FROM k GROUP BY 1) x USING (doc_id)"""
 
+
+def _clusters(dims: int = 64, k: int = 16, rounds: int = 3, scale: int = 64) -> str:
+    """Every vector against every centroid, in every round."""
+    nearest = """a{n} AS MATERIALIZED (SELECT r, min({{'d': d, 'c': c}}) AS best FROM (
+  SELECT r, c, list_sum(list_transform(range(1, {past}), lambda i: (v.x[i] - m{n}.x[i]) * (v.x[i] - m{n}.x[i]))) AS d FROM v, m{n}) GROUP BY r)"""
+    mean = """s{n} AS (SELECT best.c AS c, i, sum(x[i]) AS s, count(*) AS n FROM a{n} JOIN v USING (r), range(1, {past}) t(i) GROUP BY 1, 2),
+m{next} AS MATERIALIZED (SELECT c, coalesce((SELECT list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) FROM s{n} WHERE s{n}.c = m{n}.c), m{n}.x) AS x FROM m{n})"""
+    steps = [t.format(n=n, next=n + 1, past=dims + 1) for n in range(rounds) for t in (nearest, mean)]
+    return f"""
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda e: CAST(floor({scale} * CAST(e AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+  WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+m0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h) - 1 AS c, x FROM (SELECT sha256('1:' || vec_id) AS h, x FROM v ORDER BY h LIMIT {k})),
+{", ".join(steps)},
+{nearest.format(n=rounds, past=dims + 1)}
+SELECT vec_id, CAST(best.c AS INT) AS cluster, CAST(best.d AS BIGINT) AS distance, CAST(sum(best.d) OVER (PARTITION BY best.c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(best.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(m.x, ',')) AS centroid_sha256
+FROM a{rounds} JOIN v USING (r) JOIN m{rounds} m ON m.c = best.c"""
+
+
+#: CRC-32 of a text of ASCII characters; the polynomial, bits reversed.
+_CRC = "xor(list_reduce(list_transform(string_split({0}, ''), lambda x: CAST(ascii(x) AS BIGINT)), lambda c, b: list_reduce(range(8), lambda d, _: CASE WHEN d % 2 = 1 THEN xor(d // 2, 3988292384) ELSE d // 2 END, xor(c, b)), 4294967295), 4294967295)"
+_GO = "{{'c': {0}.c + {1}, 'e': {0}.e || '{2}'}}"
+_FAR = "1000000000000"
+_BLANKS = r"[\x20\x09-\x0D]"
+#: The cheapest edits that lead to each of four states, turn by turn.
+_REPAIR = rf"""
+WITH RECURSIVE o AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+f AS (SELECT *, {_CRC.format("k")} % 20 AS fate FROM o),
+g AS (SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role, CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+  unnest(range(CASE fate WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM f),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i, left(role, 1) AS ini FROM g),
+t AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+  WHEN right(regexp_replace(text, '{_BLANKS}+$', ''), 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+  coalesce(lag(ini) OVER w || ini NOT IN ('su', 'ua', 'au'), false) AS illegal FROM n WINDOW w AS (PARTITION BY conv_id ORDER BY i)),
+z AS (SELECT DISTINCT conv_id FROM conversations),
+walk AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, {{'c': CAST(0 AS BIGINT), 'e': ''}} AS n, {{'c': CAST({_FAR} AS BIGINT), 'e': ''}} AS s, {{'c': CAST(3 AS BIGINT), 'e': 'I'}} AS u, {{'c': CAST(6 AS BIGINT), 'e': 'IJ'}} AS a FROM z
+  UNION ALL SELECT conv_id, i, n, s, u, least(a, {_GO.format("u", 3, "J")}) FROM (
+    SELECT conv_id, i, n, s, least(u, {_GO.format("least(n, s, a)", 3, "I")}) AS u, a FROM (
+      SELECT conv_id, i, {_GO.format("n", 4, "D")} AS n, least({_GO.format("s", 4, "D")}, {_GO.format("n", "keep_s", "K")}) AS s,
+        least({_GO.format("u", 4, "D")}, {_GO.format("b", "keep_u", "K")}, {_GO.format("b", "more + 3", "R")}) AS u,
+        least({_GO.format("a", 4, "D")}, {_GO.format("u", "keep_a", "K")}, {_GO.format("u", "more + 3", "S")}) AS a
+      FROM (SELECT *, CASE WHEN ini = 's' THEN more ELSE {_FAR} END AS keep_s, CASE WHEN ini = 'u' THEN more ELSE {_FAR} END AS keep_u, CASE WHEN ini = 'a' THEN more ELSE {_FAR} END AS keep_a
+        FROM (SELECT walk.conv_id, t.i, n, s, u, a, least(n, s, a) AS b, ini, CASE fault WHEN 'truncated' THEN 3 WHEN '' THEN 0 ELSE {_FAR} END AS more
+          FROM walk JOIN t ON t.conv_id IS NOT DISTINCT FROM walk.conv_id AND t.i = walk.i + 1))))),
+best AS (SELECT conv_id, least(n, a) AS b FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) AS last FROM walk) WHERE last = 1),
+e AS (SELECT conv_id, unnest(string_split(b.e, '')) AS e, unnest(range(1, len(b.e) + 1)) AS place FROM best WHERE b.e <> ''),
+p AS (SELECT *, count(*) FILTER (e IN ('D', 'K', 'R', 'S')) OVER (PARTITION BY conv_id ORDER BY place) AS i FROM e),
+r AS (SELECT p.conv_id, place, CASE e WHEN 'I' THEN 'user:' WHEN 'J' THEN 'assistant:' WHEN 'R' THEN 'user:' || text WHEN 'S' THEN 'assistant:' || text ELSE role || ':' || text END AS line
+  FROM p JOIN t ON t.conv_id IS NOT DISTINCT FROM p.conv_id AND t.i = greatest(p.i, 1) WHERE e <> 'D'),
+d AS (SELECT conv_id, sha256(string_agg(line, chr(10) ORDER BY place)) AS sha FROM r GROUP BY 1),
+c AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+  count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (illegal) AS illegal FROM t GROUP BY 1)
+SELECT z.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  b.c AS cost, translate(b.e, 'JS', 'IR') AS audit, coalesce(sha, sha256('')) AS repaired_sha256
+FROM z JOIN best ON best.conv_id IS NOT DISTINCT FROM z.conv_id LEFT JOIN c ON c.conv_id IS NOT DISTINCT FROM z.conv_id LEFT JOIN d ON d.conv_id IS NOT DISTINCT FROM z.conv_id"""
+
 ORACLE_SQL: dict[str, str] = {
-    "op2_jaccard_join": _JACCARD,
+    "op2_jaccard_join": _jaccard(3, 90),
     "op3_secret_scan": _secrets(),
     "op6_mixing": _MIX,
     "op7_license_scan": _licenses(),
     "op8_sharding": _shards(),
     "op9_quality_rules": _QUALITY,
     "op10_line_dedup": _LINES,
+    "op11_centroid_clustering": _clusters(),
+    "op12_conversation_repair": _REPAIR,
+    "op13_minhash_dedup": _jaccard(4, 80, ", s.doc_id = c.component_id AS kept"),
 }

@@ -16,6 +16,9 @@ from .op07_licenses import scan_licenses
 from .op08_sharding import assign_shards
 from .op09_quality import quality_rows
 from .op10_line_dedup import dedup_lines
+from .op11_clustering import clustered_rows
+from .op12_conversations import repaired_rows
+from .op13_minhash import near_duplicates
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,7 +64,20 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "removed_lines", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustered_rows(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repaired_rows(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op13_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir), words=4, percent=80)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_jaccard_join, op3_secret_scan, op4_simhash, op5_sentencepiece,
     op6_mixing, op7_license_scan, op8_sharding, op9_quality_rules, op10_line_dedup,
+    op11_centroid_clustering, op12_conversation_repair, op13_minhash_dedup,
 )}
