@@ -5,12 +5,15 @@ set in place of one for each permutation. An empty bin takes the value of the fi
 for all documents (optimal densification), so that sets of few shingles have sketches of equal bins as often as they are similar. Bands of ``ROWS`` bins are hashed to
 buckets: two sets of similarity s share one of the ``BANDS`` buckets with probability 1 - (1 - s^5)^32, which is 0.999997 at 0.8.
 
+Odd sketch. Each shingle flips one of ``BITS`` bits. In the difference of two such sketches the shingles in common cancel, so it has at most as many
+bits as the sets differ in shingles: a pair with more than a link allows is none, without error, and for sets of a few hundred shingles little else is left.
+
 Stars. All that share a bucket are candidates, but pairs are never listed: each member of a bucket is paired with its hub,
-the member of least hash. Pairs whose sketches agree in less than half of the bins (nine standard deviations below 0.8), or whose
-sizes cannot link, are left; the others are confirmed on their full sets.
+the member of least hash. Pairs whose sketches agree in less than three fifths of the bins (five standard deviations or more below 0.8, as simulated for sets of
+5 to 1000 shingles), or whose sizes cannot link, are left; the others are confirmed on their full sets.
 
 The rest. Two members of a bucket may link though neither links to the hub. Buckets that hold documents of several components go on to a next
-round with eight expected hubs, then 64, and so on: the members whose hash is below a threshold that grows to the whole range. A member is compared only with
+round with eight expected hubs, then 512, and so on: the members whose hash is below a threshold that grows to the whole range. A member is compared only with
 hubs that it is not connected to, by sketches held in a task, and what is left is confirmed. After the last round every two documents of a bucket are compared or connected,
 so components are those of all candidate pairs. In a group of near copies, most members find their component in the first rounds.
 
@@ -37,10 +40,13 @@ from .wordhash import byte_rows, mix
 
 ROWS, BANDS = 5, 32
 BINS = ROWS * BANDS
+#: Bits of the odd sketch.
+BITS = 1024
+WIDTH = BINS + BITS // 8
 #: Bins in which the sketches of a pair must agree before its sets are compared.
-AGREEING = BINS // 2
+AGREEING = 3 * BINS // 5
 #: Expected hubs of a bucket in the second round, and how many times more each further round has.
-HUBS, GROWTH = 8, 8
+HUBS, GROWTH = 8, 64
 #: Members of a bucket, or partners of a hub, that go to one task.
 ASKERS = 2000
 PARTNERS = 200
@@ -77,8 +83,22 @@ def buckets(values: np.ndarray) -> np.ndarray:
     return h
 
 
+def odd_sketch(tokens: np.ndarray) -> np.ndarray:
+    """The parity of the shingles that fall to each bit, packed in bytes."""
+    bits = mix(tokens ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(BITS)
+    return np.packbits((np.bincount(bits.astype(np.int64), minlength=BITS) & 1).astype(np.uint8))
+
+
+def open_pairs(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs may link, by their sketches (rows of ``WIDTH`` bytes) and sizes."""
+    total = size_a + size_b
+    apart = np.bitwise_count(a[..., BINS:] ^ b[..., BINS:]).sum(axis=-1, dtype=np.int64)
+    agreeing = (a[..., :BINS] == b[..., :BINS]).sum(axis=-1)
+    return (100 * np.minimum(size_a, size_b) >= percent * np.maximum(size_a, size_b)) & (apart * (100 + percent) <= total * (100 - percent)) & (agreeing >= AGREEING)
+
+
 def _sketches(words: int):
-    """(doc_id, text_hash, text) -> size, digest, buckets and the low bytes of the sketch."""
+    """(doc_id, text_hash, text) -> size, digest, buckets, and the low bytes of the sketch with the odd sketch."""
 
     def run(batches):
         import pyarrow as pa
@@ -93,7 +113,7 @@ def _sketches(words: int):
                 hi.append(a)
                 lo.append(b)
                 bands.append(buckets(values).view(np.int64) if len(tokens) else None)
-                bytes_.append(mix(values).astype(np.uint8).tobytes() if len(tokens) else None)
+                bytes_.append(mix(values).astype(np.uint8).tobytes() + odd_sketch(tokens).tobytes() if len(tokens) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(hi, pa.int64()), pa.array(lo, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(bytes_, pa.binary())],
                 names=["doc_id", "text_hash", "n", "hi", "lo", "buckets", "sketch"],
@@ -110,8 +130,7 @@ def _alike(percent: int):
 
         for batch in batches:
             own, other = (_bytes(batch.column(k)) for k in (2, 5))
-            sizes = np.stack([batch.column(1).to_numpy(), batch.column(4).to_numpy()])
-            ok = ((own == other).sum(axis=1) >= AGREEING) & (100 * sizes.min(axis=0) >= percent * sizes.max(axis=0))
+            ok = open_pairs(own, other, batch.column(1).to_numpy(), batch.column(4).to_numpy(), percent)
             mask = pa.array(ok)
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(3).filter(mask)], names=["a", "b"])
 
@@ -120,7 +139,7 @@ def _alike(percent: int):
 
 def _bytes(column) -> np.ndarray:
     """Sketches as rows of bytes."""
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(-1, BINS)
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(-1, WIDTH)
 
 
 def _compared(percent: int):
@@ -148,9 +167,9 @@ def _compared(percent: int):
                 for one, first, of, size, low in held:
                     # every row that comes after the hub, and is not connected to it
                     later = (order[lo:hi] > first) | ((order[lo:hi] == first) & (ids[lo:hi] > one))
-                    at = np.flatnonzero(later & (component[lo:hi] != of) & (100 * np.minimum(n[lo:hi], size) >= percent * np.maximum(n[lo:hi], size))) + lo
+                    at = np.flatnonzero(later & (component[lo:hi] != of)) + lo
                     if len(at):
-                        at = at[(bytes_[at] == low).sum(axis=1) >= AGREEING]
+                        at = at[open_pairs(bytes_[at], low, n[at], size, percent)]
                         a.append(ids[at])
                         b.append(np.full(len(at), one))
             if a:
