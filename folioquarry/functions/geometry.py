@@ -58,6 +58,22 @@ def from_any(value: Column, **scales) -> Box:
     return F.when(F.size(value) >= 8, from_polygon(value, **scales)).otherwise(from_corners(value, order="swap", **scales))
 
 
+def from_open(value: Column, scale_x=1.0, scale_y=1.0, offset_x=0.0, offset_y=0.0) -> Box:
+    """Box of an open value (VARIANT): an object with x, y, w and h, a flat list of corners or of a polygon, or a list of points; null if it is none of these.
+
+    Points without two numbers are left out.
+    """
+    part = lambda name: F.try_variant_get(value, f"$.{name}", "double")
+    x, y, w, h = (part(n) for n in "xywh")
+    known = x.isNotNull() & y.isNotNull() & w.isNotNull() & h.isNotNull()
+    of_map = rounded(x * scale_x + offset_x, y * scale_y + offset_y, w * scale_x, h * scale_y)
+    flat = F.try_variant_get(value, "$", "array<double>")
+    of = lambda p: F.transform(F.try_variant_get(p, "$", "array<variant>"), lambda n: F.try_variant_get(n, "$", "double"))
+    points = F.filter(F.transform(F.try_variant_get(value, "$", "array<variant>"), of), lambda p: F.get(p, F.lit(0)).isNotNull() & F.get(p, F.lit(1)).isNotNull())
+    scales = {"scale_x": scale_x, "scale_y": scale_y, "offset_x": offset_x, "offset_y": offset_y}
+    return F.when(known, of_map).when((F.size(flat) >= 4) & F.forall(flat, lambda n: n.isNotNull()), from_any(flat, **scales)).when(F.size(points) > 0, from_points(points, **scales))
+
+
 def scale_factor(target: Column, source: Column) -> Column:
     """target / source, 1 where either is missing or 0."""
     return F.when((source > 0) & (target > 0), target / source).otherwise(F.lit(1.0))

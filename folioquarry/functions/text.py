@@ -9,7 +9,7 @@ import unicodedata
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -115,6 +115,62 @@ def unescape(texts: pd.Series) -> pd.Series:
     return texts.map(html.unescape, na_action="ignore")
 
 
+# The entities that the JVM decodes by name; the ampersand comes last, as what it leaves is not decoded again.
+NAMED = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", "\xa0"), ("&amp;", "&"))
+# Numbers of plain characters below the surrogates, decimal or hexadecimal, that mean themselves.
+_NUMBER = r"^(?:x0{0,4}([0-9A-Fa-f]{2,4})|0{0,4}([0-9]{2,5}));"
+
+
+def _code(part: Column) -> Column:
+    """The code at the beginning of what follows ``&#``; null if it is none that the JVM decodes."""
+    hexadecimal, decimal = F.regexp_extract(part, _NUMBER, 1), F.regexp_extract(part, _NUMBER, 2)
+    code = F.when(hexadecimal != "", F.conv(hexadecimal, 16, 10)).when(decimal != "", decimal).cast("int")
+    return F.when(code.between(32, 126) | code.between(160, 0xD7FF), code)
+
+
+def needs_python(text: Column) -> Column:
+    """Whether a text may hold entities that ``decoded`` leaves: names that are not among ``NAMED``, or codes that do not mean themselves."""
+    rest = text
+    for name, _ in NAMED:
+        rest = F.replace(rest, F.lit(name), F.lit(""))
+    strange = F.exists(F.slice(F.split(rest, "&#", -1), 2, 1 << 30), lambda p: _code(p).isNull())
+    return F.coalesce(text.contains("&") & (strange | F.replace(rest, F.lit("&#"), F.lit("")).rlike("&[A-Za-z]")), F.lit(False))
+
+
+def decoded(text: Column) -> Column:
+    """A text with the entities decoded that the JVM knows; right where not ``needs_python``."""
+
+    def char(part: Column) -> Column:
+        code = _code(part)
+        shown = F.decode(F.unhex(F.lpad(F.hex(code), 4, "0")), "UTF-16BE")
+        return F.concat(F.coalesce(shown, F.lit("&#")), F.when(code.isNotNull(), F.regexp_replace(part, _NUMBER, "")).otherwise(part))
+
+    # numbers are decoded between the names, as what one leaves is not decoded by the other: ampersands wait as a character that texts do not hold
+    plain = text
+    for name, to in NAMED:
+        plain = F.replace(plain, F.lit(name), F.lit("\x04" if to == "&" else to))
+    numbered = let(F.split(plain, "&#", -1), lambda ps: F.concat(ps[0], F.array_join(F.transform(F.slice(ps, 2, 1 << 30), char), "")))
+    return F.when(text.contains("&"), F.replace(F.when(text.contains("&#"), numbered).otherwise(plain), F.lit("\x04"), F.lit("&"))).otherwise(text)
+
+
+def with_decoded(rows: DataFrame, column: str) -> DataFrame:
+    """``rows`` with the entities of a column decoded: in the JVM, but for rows that need Python's table of names, which alone go there."""
+    name = f"`{column}`"
+    keep = [F.col(f"`{c}`") for c in rows.columns]
+    here = rows.where(~needs_python(F.col(name))).select(*[decoded(F.col(name)).alias(column) if c == column else k for c, k in zip(rows.columns, keep, strict=True)])
+    there = rows.where(needs_python(F.col(name)))
+    at = rows.columns.index(column)
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            texts = pa.array([None if t is None else html.unescape(t) for t in batch.column(at).to_pylist()], pa.string())
+            yield batch.set_column(at, batch.schema.names[at], texts)
+
+    return here.unionByName(there.mapInArrow(run, there.schema))
+
+
 def strip_tags(text: Column) -> Column:
     return F.regexp_replace(text, "<[^>]+>", " ")
 
@@ -160,6 +216,16 @@ def html_cells(text: Column, entities=unescape) -> Column:
     return F.array_distinct(F.filter(cell_texts(text, entities), lambda x: x != ""))
 
 
+def with_html_cells(rows: DataFrame, column: str, out: str) -> DataFrame:
+    """``rows`` with ``html_cells`` of a column as ``out``; only rows with unusual entities go to Python."""
+    cell, end = "\x01", "\x02"
+    inner = F.transform(F.regexp_extract_all(F.col(column), F.lit(CELL), F.lit(1)), lambda x: F.regexp_replace(strip_tags(x), f"[{cell}{end}]", " "))
+    joined = F.array_join(F.concat(F.coalesce(inner, F.array().cast("array<string>")), F.array(F.lit(end))), cell)
+    texts = lambda a: F.array_distinct(F.filter(F.transform(F.slice(a, 1, F.size(a) - 1), squeeze), lambda x: x != ""))
+    whole = with_decoded(rows.withColumn(out, joined), out)
+    return whole.withColumn(out, let(F.split(out, cell), texts))
+
+
 def similarity_units(text: Column) -> Column:
     """Keys of the parts of a text, four characters at least; the whole too if it is short."""
     own = canonical(text)
@@ -323,6 +389,19 @@ def padded_number(value: Column, width: int = 3) -> Column:
     return F.when(plain.rlike("^\\d+$") & (F.length(plain) < width), F.lpad(plain, width, "0")).otherwise(plain)
 
 
+def value_text(value: Column, kind: T.DataType) -> Column:
+    """What a sheet's value reads as: days as ISO days, times without the time of midnight, whole floats without a fraction, texts one-spaced; null is empty."""
+    if isinstance(kind, T.DateType):
+        shown = F.date_format(value, "yyyy-MM-dd")
+    elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        shown = F.when(value == F.date_trunc("day", value), F.date_format(value, "yyyy-MM-dd")).otherwise(F.date_format(value, "yyyy-MM-dd HH:mm:ss"))
+    elif isinstance(kind, (T.FloatType, T.DoubleType)):
+        shown = F.when((value == F.floor(value)) & (F.abs(value) < 1e18), F.floor(value).cast("string")).otherwise(value.cast("string"))
+    else:
+        shown = one_spaced(value.cast("string"))
+    return F.coalesce(shown, F.lit(""))
+
+
 def log_tail(text: Column, most: int = 2000) -> Column:
     return F.when(F.char_length(text) > most, F.right(text, F.lit(most))).otherwise(text)
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import geometry as G
 from ..functions import text as T
 from ..functions import values as V
+from ..functions.jsontree import map_strings
 from .base import Context, OperatorError
 from .spatial import PAGE
 
@@ -112,15 +113,19 @@ def document_results(pages: DataFrame, documents: DataFrame) -> DataFrame:
 
 
 def relocated(value: Column, relocations: list[tuple[str, str]]) -> Column:
-    """Open JSON (VARIANT) in which every text that is a path below an old folder names the new one; the first folder that fits decides."""
-    text = F.to_json(value)
-    quoted = lambda s: s.replace("\\", "\\\\").replace('"', '\\"')
-    # one pass, so that what was rewritten is not looked at again; longer folders are tried in the order given
-    for k, (old, _) in enumerate(relocations):
-        text = F.regexp_replace(text, f'"\\Q{quoted(old.rstrip("/"))}\\E(?=["/])', f'"\x01{k}\x02')
-    for k, (_, new) in enumerate(relocations):
-        text = F.replace(text, F.lit(f"\x01{k}\x02"), F.lit(quoted(new.rstrip("/"))))
-    return F.parse_json(text)
+    """Open JSON (VARIANT) in which every string that is an old folder, or a path below it, names the new one; the first folder that fits decides.
+
+    Keys, and strings that only mention a path, stay.
+    """
+
+    def moved(path: Column) -> Column:
+        out = path
+        for old, new in reversed(relocations):
+            old, new = old.rstrip("/"), new.rstrip("/")
+            out = F.when((path == old) | path.startswith(old + "/"), F.concat(F.lit(new), F.substring(path, F.lit(len(old) + 1), F.char_length(path)))).otherwise(out)
+        return out
+
+    return map_strings(value, moved)
 
 
 def keyword_list(text: Column) -> Column:

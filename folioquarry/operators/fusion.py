@@ -51,9 +51,10 @@ def replaces(text: dict[str, Any], block: dict[str, Any]) -> bool:
 
 @dataclass
 class Page:
-    """The blocks of a page and what it says, as texts are merged into it."""
+    """The blocks of a page and what it says, as texts are merged into it; ``text`` is the key and the units of its text as a whole."""
 
     blocks: list[dict[str, Any]]
+    text: dict[str, Any] | None = None
     keys: list[str] = field(default_factory=list)
     units: set[str] = field(default_factory=set)
 
@@ -61,6 +62,8 @@ class Page:
         for b in self.blocks:
             b |= {"origin": "kept", "original_text": None}
             self.know(b)
+        if self.text:
+            self.know(self.text)
 
     def know(self, said: dict[str, Any]) -> None:
         if said["key"]:
@@ -96,7 +99,7 @@ def _folded(batches: Iterator) -> Iterator:
     for batch in batches:
         rows: list[dict[str, Any]] = []
         for p in batch.to_pylist():
-            page = Page(p["blocks"] or [])
+            page = Page(p["blocks"] or [], p["page"])
             for text in p["texts"]:
                 page.merge(text)
             rows += [{"doc_id": p["doc_id"], "page_index": p["page_index"], **{c: b[c] for c in ("line_no", "text", "box", "confidence", "origin", "original_text")}} for b in page.blocks]
@@ -106,11 +109,12 @@ def _folded(batches: Iterator) -> Iterator:
         yield pa.RecordBatch.from_pylist(rows, schema=kind)
 
 
-def merge_artifact_text(blocks: DataFrame, candidates: DataFrame) -> DataFrame:
+def merge_artifact_text(blocks: DataFrame, candidates: DataFrame, pages: DataFrame | None = None) -> DataFrame:
     """(doc_id, page_index, line_no, text, box, confidence, origin, original_text): pages with recognised texts merged in.
 
     ``blocks``: keys, line_no, text, box, confidence and, if there is one, block_type; ``candidates``: keys, ordinal, text, box,
     confidence and, if there is one, whole_page, which tells texts of the whole page's recognition: these replace but are never appended.
+    A page's text (``pages``: keys, text; where there is none, its blocks' texts as lines) is among what was said, so a text that spans blocks is not new.
     Blocks appended have negative numbers. Pages without recognised texts pass by the fold.
     """
     has = lambda df, name, default: F.col(name) if name in df.columns else default
@@ -124,7 +128,14 @@ def merge_artifact_text(blocks: DataFrame, candidates: DataFrame) -> DataFrame:
     of_page = F.coalesce(has(candidates, "whole_page", F.lit(False)), F.lit(False)).alias("whole_page")
     texts = candidates.groupBy(*PAGE).agg(entry("ordinal", T.strip(F.coalesce("text", F.lit(""))), F.lit(None).cast("string").alias("kind"), of_page).alias("texts"))
     own = blocks.join(candidates.select(*PAGE).distinct(), [*PAGE], "left_semi").groupBy(*PAGE).agg(entry("line_no", F.col("text"), kind).alias("blocks"))
-    folded = texts.join(own, [*PAGE], "left").select("doc_id", "page_index", "blocks", "texts").mapInArrow(_folded, MERGED)
+    both = texts.join(own, [*PAGE], "left")
+    whole = F.array_join(F.transform("blocks", lambda b: b["text"]), "\n")
+    if pages is not None:
+        both = both.join(pages.select(*PAGE, F.col("text").alias("_page")), [*PAGE], "left")
+        whole = F.coalesce("_page", whole)
+    both = both.withColumn("_page", whole)
+    page = F.when(T.strip(F.col("_page")) != "", F.struct(T.canonical_key(F.col("_page")).alias("key"), T.similarity_units(F.col("_page")).alias("units")))
+    folded = both.select("doc_id", "page_index", "blocks", "texts", page.alias("page")).mapInArrow(_folded, MERGED)
     none = F.lit(None).cast("string").alias("original_text")
     others = blocks.join(candidates.select(*PAGE).distinct(), [*PAGE], "left_anti")
     return folded.unionByName(others.select(*PAGE, F.col("line_no").cast("int").alias("line_no"), "text", F.col("box").cast(_BOX).alias("box"), F.col("confidence").cast("double").alias("confidence"), F.lit("kept").alias("origin"), none))

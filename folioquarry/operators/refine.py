@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions import values as V
+from ..functions.jsontree import map_strings
 from .reading import not_redundant
 from .spatial import PAGE, confirmed, first_match, greedy_match, near_region
 
@@ -108,12 +109,18 @@ def column_lines(ordered: DataFrame, page_middle: Column) -> DataFrame:
 
 
 def table_text_distinct(cells: DataFrame, *keys: str) -> DataFrame:
-    """A10: rows of a table as lines, without cells that their row and rows that the table make redundant; cells by column, then x."""
+    """A10: rows of a table as lines, without cells that their row and rows that the table make redundant; cells by column, then x.
+
+    Cells with a text but without a row are rows 0, 1, 2 and so on, in order of cell_no if there is one, else of place; a row of that number takes them in.
+    """
     keys = keys or PAGE
     own = T.canonical(F.col("text"))
-    shown = cells.select(*keys, "row_index", F.coalesce("col_index", F.lit(10_000)).alias("c"), F.col("box.x").alias("x"), own.alias("text")).where("text <> ''")
+    place = F.struct("cell_no") if "cell_no" in cells.columns else F.struct("box.y", "box.x")
+    shown = cells.withColumn("text", own).where("text <> ''").select(*keys, "row_index", F.coalesce("col_index", F.lit(10_000)).alias("c"), F.col("box.x").alias("x"), "text", place.alias("place"))
+    loose = shown.where("row_index is null").withColumn("row_index", F.row_number().over(Window.partitionBy(*keys).orderBy("place", "text")) - 1)
+    numbered = shown.where("row_index is not null").select(*keys, "row_index", "c", "x", "text").unionByName(loose.select(*keys, "row_index", "c", "x", "text"))
     unit = lambda t: (T.match_key(t).alias("key"), T.similarity_units(t).alias("units"))
-    rows = shown.groupBy(*keys, "row_index").agg(F.array_sort(F.collect_list(F.struct("c", "x", "text", *unit(F.col("text"))))).alias("items"))
+    rows = numbered.groupBy(*keys, "row_index").agg(F.array_sort(F.collect_list(F.struct("c", "x", "text", *unit(F.col("text"))))).alias("items"))
     lines = rows.select(*keys, "row_index", F.array_join(not_redundant(F.col("items")), " ").alias("text")).where("text <> ''")
     whole = lines.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("row_index", "text", *unit(F.col("text"))))).alias("items"))
     return whole.select(*keys, F.array_join(not_redundant(F.col("items")), "\n").alias("text"))
@@ -148,8 +155,8 @@ def screenshot_manifest(documents: DataFrame, folder: str, dpi: int) -> DataFram
 
 
 def correct_json(value: Column) -> Column:
-    """A VARIANT with the text correction applied to all of its strings; the rules touch no character of JSON's own syntax but those inside strings."""
-    return F.try_parse_json(T.correct(F.to_json(value)))
+    """A VARIANT with the text correction applied to all of its strings, at any depth; keys and everything else stay."""
+    return map_strings(value, T.correct)
 
 
 # Artifacts that are read by machines and stay as they are.

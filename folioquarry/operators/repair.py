@@ -6,7 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
+from ..functions import markdown as M
 from ..functions import text as T
+from .reading import reading_order
+from .refine import column_lines
 from .spatial import PAGE, same_page
 
 # A serial number that holds a day, headers of columns of days, and of columns of pictures.
@@ -14,8 +17,6 @@ SERIAL_DAY = r"[A-Za-z][0-9]?(20[0-9]{2})(0[1-9]|1[0-2])(0[1-9]|[12][0-9]|3[01])
 DAY_HEADERS, PICTURE_HEADERS = "(时间|日期)$", ("人像信息", "签字信息")
 # A whole day, and what is left of one that was cut.
 WHOLE_DAY, CUT_DAY = r"^[0-9]{4}年[0-9]{1,2}月[0-9]{1,2}日$", r"^[0-9年月日]*$"
-# Fixed value: the title of the section of seals.
-SEAL_TITLE = "印章："
 # Fixed value: how much higher than wide a fragment of vertical writing is.
 UPRIGHT = 2
 
@@ -46,23 +47,25 @@ def repaired_days(cells: DataFrame, pages: DataFrame, *keys: str) -> DataFrame:
 
 
 def repaired_pipes(markdown: Column) -> Column:
-    """Pipe tables of a Markdown text whose cut days, in columns headed as such, are those of its serial number."""
-    cells = lambda line: F.transform(F.split(F.regexp_replace(line, r"^\|\s*|\s*\|$", ""), r"\s*\|\s*", -1), T.strip)
-    lines = F.split(markdown, "\n", -1)
+    """Pipe tables of a Markdown text whose cut days, in columns headed as such, are those of its serial number. Rows without such a day, and all other text, stay as they are."""
 
-    def of_table(lines: Column, day: Column) -> Column:
-        def step(acc: Column, line: Column) -> Column:
-            piped = line.rlike(r"^\|.*\|$")
-            head = F.when(~piped, F.array().cast("array<string>")).when(F.size(acc["head"]) == 0, cells(line)).otherwise(acc["head"])
-            dated = lambda c, i: F.when(F.coalesce(F.get(head, i).rlike(DAY_HEADERS), F.lit(False)) & is_cut_day(c), day).otherwise(c)
-            fixed = F.concat(F.lit("| "), F.array_join(F.transform(cells(line), dated), " | "), F.lit(" |"))
-            body = piped & (F.size(acc["head"]) > 0) & ~line.rlike(r"^[|\s:-]+$")
-            return F.struct(head.alias("head"), F.array_append(acc["out"], F.when(body, fixed).otherwise(line)).alias("out"))
+    def of_table(table: Column, day: Column) -> Column:
+        def rows(lines: Column) -> Column:
+            def one(line: Column, i: Column, head: Column) -> Column:
+                cells = M.cells_of(line)
+                dated = lambda c, j: F.when(F.coalesce(F.get(head, j).rlike(DAY_HEADERS), F.lit(False)) & is_cut_day(c), day).otherwise(c)
+                fixed = T.let(cells, lambda cs: F.struct(cs.alias("old"), F.transform(cs, dated).alias("new")))
+                end = F.when(line.endswith("\n"), F.lit("\n")).otherwise(F.lit(""))
+                return F.when(i < 2, line).otherwise(T.let(fixed, lambda v: F.when(v["old"] == v["new"], line).otherwise(F.concat(M.row_of(v["new"]), end))))
 
-        start = F.struct(F.array().cast("array<string>").alias("head"), F.array().cast("array<string>").alias("out"))
-        return F.array_join(F.aggregate(lines, start, step, lambda acc: acc["out"]), "\n")
+            return T.let(M.cells_of(F.get(lines, F.lit(0))), lambda head: F.array_join(F.transform(lines, lambda x, i: one(x, i, head)), ""))
 
-    return T.let(F.struct(lines.alias("lines"), serial_day(markdown).alias("day")), lambda v: F.when(v["day"].isNull(), F.array_join(v["lines"], "\n")).otherwise(of_table(v["lines"], v["day"])))
+        return T.let(M.lines_of(table), rows)
+
+    return T.let(
+        F.struct(markdown.alias("text"), serial_day(markdown).alias("day")),
+        lambda v: F.when(v["day"].isNull(), v["text"]).otherwise(M.edited(v["text"], pipe=lambda table: of_table(table, v["day"]))),
+    )
 
 
 def covering(first: DataFrame, second: DataFrame, html: DataFrame, *keys: str) -> DataFrame:
@@ -170,15 +173,60 @@ def separate_footers(markdown: Column) -> Column:
 def with_seals(markdown: Column, layout_texts: Column, images: Column, recognised: Column) -> Column:
     """A Markdown text with one section of seals at its end, of the recognised texts, or of the layout's where none were recognised.
 
-    An earlier section goes, and so do the pictures of seals and the lines that the layout read off them; running it again changes nothing.
+    Where there is something to show, a section that closes the text already (``markdown.segments``) goes, and so do the pictures of
+    seals and the lines that the layout read off them; running it again changes nothing. The title elsewhere in the text is text, and
+    without anything to show the text stays as it is.
     """
     none = F.array().cast("array<string>")
     clean = lambda a: F.filter(F.transform(F.coalesce(a, none), T.strip), lambda t: t != "")
-    own, found = clean(layout_texts), clean(recognised)
-    body = F.regexp_replace(F.coalesce(markdown, F.lit("")), rf"(?s)(^|\n){SEAL_TITLE}\s*\n.*$", "")
-    pictures = F.transform(clean(images), lambda p: F.concat(F.lit("![]("), p, F.lit(")")))
-    lines = F.filter(F.split(body, "\n", -1), lambda x: ~F.array_contains(own, T.strip(x)) & ~F.array_contains(pictures, T.strip(x)) & ~F.array_contains(found, T.strip(x)))
-    kept = T.strip(F.regexp_replace(F.array_join(lines, "\n"), r"\n{3,}", "\n\n"))
-    shown = F.array_distinct(F.when(F.size(found) > 0, found).otherwise(own))
-    section = F.concat(F.lit(SEAL_TITLE + "\n\n"), F.array_join(shown, "\n"))
-    return F.concat(F.when(F.size(shown) == 0, kept).when(kept == "", section).otherwise(F.concat_ws("\n\n", kept, section)), F.lit("\n"))
+
+    def closed(v: Column) -> Column:
+        drop = F.concat(v["own"], v["found"], F.transform(v["images"], lambda p: F.concat(F.lit("![]("), p, F.lit(")"))))
+        shown = F.array_distinct(F.when(F.size(v["found"]) > 0, v["found"]).otherwise(v["own"]))
+        body = F.when(F.size(shown) > 0, M.joined(F.filter(M.segments(v["text"]), lambda s: s["kind"] != "seal"))).otherwise(v["text"])
+        lines = F.filter(F.split(body, "\n", -1), lambda x: ~F.array_contains(drop, T.strip(x)))
+        kept = T.strip(F.regexp_replace(F.array_join(lines, "\n"), r"\n{3,}", "\n\n"))
+        section = F.concat(F.lit(M.SEAL_TITLE + "\n\n"), F.array_join(shown, "\n"))
+        whole = T.let(kept, lambda k: F.when(k == "", section).otherwise(F.concat_ws("\n\n", k, section)))
+        rest = F.concat(kept, F.lit("\n"))
+        return F.when(F.size(shown) > 0, F.concat(whole, F.lit("\n"))).when(F.size(v["images"]) > 0, rest).otherwise(v["text"])
+
+    given = F.struct(F.coalesce(markdown, F.lit("")).alias("text"), clean(layout_texts).alias("own"), clean(recognised).alias("found"), clean(images).alias("images"))
+    return T.let(given, closed)
+
+
+# Modes whose recognised blocks replace a document's text, and the type of blocks read off seals.
+TWO_COLUMN_MODES, SEAL_MODES, SEAL_BLOCK = ("ppocrv5",), ("seal_vl_crops_ppocrv5",), "seal_text"
+
+
+def rebuilt_markdown(documents: DataFrame, blocks: DataFrame, cells: DataFrame | None = None) -> DataFrame:
+    """(doc_id, markdown): documents' Markdown made anew from what was recognised, by the mode of the recognition.
+
+    ``documents``: doc_id, markdown, mode; ``blocks``: keys, block_type, text, box; ``cells``: keys, table_no, row_index, col_index, text, box.
+    In modes of whole pages the lines of the blocks, halves joined, become the text; in modes of seals the blocks do, seals in the closing section; in other modes
+    the text's pipe tables become those of the cells, in order of page and table. Documents of which nothing was recognised keep their text.
+    """
+    one_of = documents.select("doc_id", "mode", "markdown")
+    plain = blocks.join(one_of.select("doc_id", "mode"), "doc_id").where(T.strip(F.coalesce("text", F.lit(""))) != "")
+    body = plain.where(F.col("mode").isin(*TWO_COLUMN_MODES) | (F.col("mode").isin(*SEAL_MODES) & (F.coalesce("block_type", F.lit("")) != SEAL_BLOCK)))
+    middle = body.groupBy(*PAGE).agg(((F.min("box.x") + F.max(F.col("box.x") + F.col("box.w"))) / 2).alias("middle"))
+    lines = column_lines(reading_order(body).join(middle, [*PAGE]), F.col("middle"))
+    entry = F.struct("page_index", "line", "text")
+    read = lines.groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(entry)), lambda e: T.strip(e["text"])), "\n\n").alias("read"))
+    seal = plain.where(F.col("mode").isin(*SEAL_MODES) & (F.col("block_type") == SEAL_BLOCK))
+    place = F.struct("page_index", F.col("box.y").alias("y"), F.col("box.x").alias("x"), T.strip(F.col("text")).alias("text"))
+    seals = seal.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(place)), lambda e: e["text"]).alias("seals"))
+    out = one_of.join(read, "doc_id", "left").join(seals, "doc_id", "left")
+    if cells is not None:
+        table = pipe_rows(cells, *PAGE, "table_no")
+        made = table.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("page_index", "table_no", "markdown"))), lambda e: e["markdown"]).alias("tables"))
+        out = out.join(made, "doc_id", "left")
+    else:
+        out = out.withColumn("tables", F.lit(None).cast("array<string>"))
+    none = F.array().cast("array<string>")
+    anew = F.coalesce(F.concat("read", F.lit("\n")), F.lit(""))
+    by_blocks = F.when(F.col("mode").isin(*SEAL_MODES), with_seals(anew, none, none, F.col("seals"))).otherwise(anew)
+    whole = F.col("read").isNotNull() | F.col("seals").isNotNull()
+    text = F.coalesce("markdown", F.lit(""))
+    by_cells = F.when(F.col("tables").isNotNull(), M.rebuilt_tables(separate_footers(text), F.col("tables"))).otherwise(text)
+    return out.select("doc_id", F.when(whole, by_blocks).when(F.col("mode").isin(*TWO_COLUMN_MODES, *SEAL_MODES), text).otherwise(by_cells).alias("markdown"))

@@ -1,7 +1,7 @@
 """Keyword search with coordinates over text blocks and table cells.
 
-The match key of a text is computed once; keywords are a small list of the caller's and part of the
-plan, so texts are neither shuffled nor multiplied by keywords without a match.
+The match key of a text is computed once; keywords are a list of the caller's, few as part of the plan and many in one
+automaton, so texts are neither shuffled nor multiplied by keywords without a match.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from ..functions import text as T
+from . import patterns
 
 #: Most keywords of one search; the caller's list, not data.
 MOST_KEYWORDS = 10_000
@@ -52,12 +53,16 @@ def source_rank(kind: Column) -> Column:
 def matches(rows: DataFrame, keywords: DataFrame) -> DataFrame:
     """Rows by keyword where the key of the text holds the keyword's. ``keywords`` are the caller's list, ``MOST_KEYWORDS`` at most.
 
-    A text's key is computed once and meets the list as an array in its own row: nothing is joined, and a text without a match
-    is not multiplied.
+    A text's key is computed once. Few keywords meet it as an array in its own row; many are found by one automaton in one pass. Either way
+    texts are not joined to keywords, and a text without a match is not multiplied.
     """
     listed = [(r["keyword"], r["key"]) for r in keywords.select("keyword", "key").limit(MOST_KEYWORDS + 1).collect()]
     if len(listed) > MOST_KEYWORDS:
         raise ValueError(f"at most {MOST_KEYWORDS} keywords")
+    if len(listed) > patterns.PLAIN:
+        keyed = rows.withColumn("text_key", T.match_key(F.col("text")))
+        found = patterns.held(keyed, keywords, word="key", text="text_key").withColumnRenamed("word", "key")
+        return found.join(F.broadcast(keywords.select("key", "keyword")), "key").select(*rows.columns, "text_key", "keyword")
     words = F.array(*[F.struct(F.lit(w).alias("keyword"), F.lit(k).alias("key")) for w, k in listed]).cast("array<struct<keyword: string, key: string>>")
     found = lambda key: F.struct(key.alias("text_key"), F.transform(F.filter(words, lambda w: key.contains(w["key"])), lambda w: w["keyword"]).alias("keywords"))
     keyed = rows.withColumn("_found", T.let(T.match_key(F.col("text")), found))

@@ -5,20 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import patterns
 from .spatial import PAGE
 
 # Names of risk types, brought to one.
 RISK_TYPES = {"id": "identity", "identity": "identity", "phone": "contact", "contact": "contact", "email": "contact", "secret": "credential", "password": "credential", "credential": "credential"}
 
 
-#: Words of a lexicon that are broadcast; a longer one is joined without.
-MOST_WORDS = 100_000
-
-
-def _listed(words: DataFrame) -> DataFrame:
-    return F.broadcast(words) if words.limit(MOST_WORDS + 1).count() <= MOST_WORDS else words
-
-
 def lexicon(spark: SparkSession, words: dict[str, str]) -> DataFrame:
     """(word, risk_type) of the caller's list."""
     return spark.createDataFrame([(w, r) for w, r in words.items()], "word string, risk_type string")
@@ -40,27 +33,31 @@ def job_documents(jobs: DataFrame) -> DataFrame:
 
 def gate(pages: DataFrame, words: DataFrame) -> DataFrame:
     """Pages that hold any word of the lexicon at all, before anything costly runs on them."""
-    return pages.join(_listed(words), F.col("text").contains(F.col("word")), "left_semi")
+    return patterns.holding(pages, words)
 
 
 def lexicon_spans(pages: DataFrame, words: DataFrame) -> DataFrame:
-    """Every occurrence of a word in a page's text: character range (end exclusive), quote and type.
+    """R2: every occurrence of a word in a page's text: character range (end exclusive), quote and risk type; a word of several types has a row for each.
+
+    The occurrences come from one pass over the texts; types are then joined to them by the word.
+    """
+    found = patterns.occurrences(pages.select(*PAGE, "text"), words).drop("text")
+    typed = found.join(words.where("word <> ''").select("word", "risk_type"), "word")
+    return typed.select(*PAGE, F.col("word").alias("quote"), "risk_type", "char_start", "char_end")
+
+
+def rule_hits(pages: DataFrame, rules: DataFrame) -> DataFrame:
+    """The hits of a rules table (``files.read_rules``: rule_id, rule_tag, word and, if there is one, agent_id) in pages' texts.
 
-    The lexicon is the caller's and is broadcast; a page is joined only to words that it holds, and the
-    positions come from the lengths of the pieces between occurrences.
+    (doc_id, page_index, matched_text, category, rule_id, agent_id, hit_origin, char_start, char_end): the category is the rule's tag, the agent the
+    one that the rule names; the origin of a word of a list is ``lexicon``. A word of several rules hits for each of them.
     """
-    hits = pages.select(*PAGE, "text").join(_listed(words.where("word <> ''")), F.col("text").contains(F.col("word")))
-    pieces = F.split("text", F.concat(F.lit("\\Q"), F.col("word"), F.lit("\\E")), -1)
-    lengths = F.transform(pieces, lambda p: F.char_length(p))
-    n = F.char_length("word")
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
-    found = F.aggregate(
-        F.slice(lengths, 1, F.size(lengths) - 1), start,
-        lambda acc, size: F.struct((acc["at"] + size + n).alias("at"), F.array_append(acc["starts"], acc["at"] + size).alias("starts")),
-        lambda acc: acc["starts"],
+    found = patterns.occurrences(pages.select(*PAGE, "text"), rules).drop("text")
+    agent = F.col("agent_id").cast("string") if "agent_id" in rules.columns else F.lit(None).cast("string")
+    named = rules.where("word <> ''").select("word", "rule_id", F.col("rule_tag").alias("category"), agent.alias("agent_id")).distinct()
+    return found.join(named, "word").select(
+        *PAGE, F.col("word").alias("matched_text"), "category", "rule_id", "agent_id", F.lit("lexicon").alias("hit_origin"), "char_start", "char_end"
     )
-    spans = hits.select(*PAGE, "word", "risk_type", n.alias("n"), F.explode(found).alias("char_start"))
-    return spans.select(*PAGE, F.col("word").alias("quote"), "risk_type", "char_start", (F.col("char_start") + F.col("n")).alias("char_end"))
 
 
 def document_result(spans: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from ..operators import reading, report, search, tables
 from ..operators.fusion import merge_artifact_text
 from ..sources import layout_text as L
 
-__all__ = ["batch_plan", "document_plan", "field_search_plan", "merge_artifact_text", "pages_from_models"]
+__all__ = ["batch_plan", "document_plan", "document_results_plan", "field_search_plan", "merge_artifact_text", "pages_from_models", "read_results", "run_documents"]
 
 
 def field_search_plan(spark: SparkSession, docs: DataFrame, keywords: list[str]) -> DataFrame:
@@ -51,3 +53,86 @@ def pages_from_models(layout: DataFrame, lines: DataFrame, marks: DataFrame) ->
     blocks = own.select(*PAGE, F.col("cell_no").alias("line_no"), F.coalesce("found", T.squeeze(F.col("text"))).alias("text"), "box").where("text <> \'\'")
     free = outside(lines, regions.select(*PAGE, "box"), G.center_inside).select(*PAGE, (F.col("line_no") + 1_000_000).cast("int").alias("line_no"), "text", "box")
     return annotate(reading.dedupe_blocks(blocks.unionByName(free)), marks)
+
+
+def document_results_plan(docs: DataFrame, keywords: DataFrame | None = None, recognised: DataFrame | None = None, cells: DataFrame | None = None, tables_: DataFrame | None = None) -> DataFrame:
+    """C11: one result per document (doc_id, error_code, page_count, block_count, cell_count, markdown, match_count, result), by all steps of a single-document run.
+
+    Pages are extracted (failed documents keep their error and nothing else), recognised texts are merged into their blocks (C3), all texts are
+    corrected (T1), blocks in tables give way to cells (C1), page texts are composed anew in reading order (O2, A11, C4), Markdown is rendered (K11), keywords are located
+    (C5), and a tree of pages with their blocks is put together (P7, K1). ``docs``: doc_id, text; ``recognised`` as candidates of ``merge_artifact_text``; ``cells`` and
+    ``tables_``: cells and boxes of tables by page.
+    """
+    from ..functions import text as T
+    from ..operators.spatial import PAGE
+
+    pages = X.extract(docs)
+    good = pages.where("error IS NULL")
+    own = good.select(*PAGE, F.explode("blocks").alias("b")).select(*PAGE, "b.line_no", "b.text", "b.box", F.lit(None).cast("double").alias("confidence"))
+    blocks = own if recognised is None else merge_artifact_text(own, recognised)
+    blocks = blocks.select(*PAGE, "line_no", T.correct(F.col("text")).alias("text"), "box")
+    if tables_ is not None and cells is not None:
+        fixed = cells.withColumn("text", T.correct(F.col("text")))
+        merged = tables.merge_refined(blocks, tables_, fixed)
+    else:
+        fixed, merged = None, blocks.withColumn("kind", F.lit(0))
+    texts = reading.page_text(reading.reading_order(merged))
+    entry = F.struct("kind", "line_no", "text", "box")
+    held = merged.groupBy(*PAGE).agg(F.array_sort(F.collect_list(entry), lambda a, b: F.when(a["kind"] == b["kind"], a["line_no"] - b["line_no"]).otherwise(a["kind"] - b["kind"])).alias("blocks"))
+    page = good.select(*PAGE).join(texts, [*PAGE], "left").join(held, [*PAGE], "left")
+    tree = page.groupBy("doc_id").agg(
+        F.array_sort(F.collect_list(F.struct("page_index", "text", "blocks")), lambda a, b: a["page_index"] - b["page_index"]).alias("pages"),
+        F.count("*").alias("page_count"), F.coalesce(F.sum(F.when(F.col("blocks").isNotNull(), F.size("blocks"))), F.lit(0)).alias("block_count"),
+        F.coalesce(F.sum(F.size(F.filter("blocks", lambda b: b["kind"] == 2))), F.lit(0)).alias("cell_count"),
+    )
+    written = reading.markdown(page.select(*PAGE, "text"))
+    if keywords is not None:
+        found = search.field_search(blocks, fixed if fixed is not None else blocks.limit(0).select(*PAGE, "text", "box"), keywords)
+        counts = found.groupBy("doc_id").agg(F.count("*").alias("match_count"))
+    else:
+        counts = docs.select("doc_id").limit(0).withColumn("match_count", F.lit(0).cast("bigint"))
+    failed = pages.where("error IS NOT NULL").groupBy("doc_id").agg(F.min("error.code").alias("error_code"))
+    every = docs.select("doc_id").join(failed, "doc_id", "left").join(tree, "doc_id", "left").join(written, "doc_id", "left").join(counts, "doc_id", "left")
+    ok = F.col("error_code").isNull()
+    number = lambda c: F.coalesce(F.when(ok, F.col(c)), F.lit(0)).cast("bigint").alias(c)
+    return every.select(
+        "doc_id", "error_code", number("page_count"), number("block_count"), number("cell_count"), F.when(ok, F.col("markdown")).alias("markdown"), number("match_count"),
+        F.when(ok, F.to_json(F.struct("doc_id", "page_count", "pages"))).alias("result"),
+    )
+
+
+def run_documents(docs: DataFrame, path: str, plan=document_results_plan, rounds: int = 8) -> list[str]:
+    """Results of the documents that ``path`` lacks, written round by round; returns the rounds written.
+
+    A round is a slice of the documents by a hash of their id. Its results are written first, then the ids that they are of: only these
+    commit them, so a run that ends half way leaves results that nobody reads, and the next run works the documents again whose ids were not written. Documents that
+    failed are committed with their error; delete their round's ids to have them tried again.
+    """
+    spark = docs.sparkSession
+    done, written = committed(spark, path), []
+    for k in range(rounds):
+        part = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(rounds)) == k)
+        todo = part if done is None else report.pending(part, done, "doc_id")
+        if todo.isEmpty():
+            continue
+        name = uuid.uuid4().hex
+        plan(todo).write.parquet(f"{path}/results/round={name}")
+        spark.read.parquet(f"{path}/results/round={name}").select("doc_id").write.parquet(f"{path}/ledger/round={name}")
+        written.append(name)
+    return written
+
+
+def committed(spark: SparkSession, path: str) -> DataFrame | None:
+    """(doc_id, round) of the documents whose results count; None if nothing was ever committed."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/ledger")
+    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+        return None
+    return spark.read.schema("doc_id bigint, round string").parquet(f"{path}/ledger")
+
+
+def read_results(spark: SparkSession, path: str) -> DataFrame:
+    """The results of ``run_documents`` that were committed."""
+    done = committed(spark, path)
+    if done is None:
+        raise FileNotFoundError(f"{path} holds no committed results")
+    return spark.read.parquet(f"{path}/results").join(done, ["doc_id", "round"], "left_semi").drop("round")

@@ -66,7 +66,8 @@ def html_cells(spark, sf_dir):
     items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     cell = lambda c: F.concat(F.lit("<td class='a'> "), F.col(c).cast("string"), F.lit(" </td>"))
     row = F.concat(F.lit("<table><tr>"), cell("l_returnflag"), cell("l_linestatus"), cell("l_partkey"), cell("l_returnflag"), F.lit("<TD>"), F.col("l_linestatus"), F.lit(" &amp;<br/>"), F.col("l_returnflag"), F.lit("&#xe9;</TD></tr></table>"))
-    return items.select("l_orderkey", "l_linenumber", F.array_join(T.html_cells(row), "|").alias("cells"))
+    found = T.with_html_cells(items.select("l_orderkey", "l_linenumber", row.alias("html")), "html", "cells")
+    return found.select("l_orderkey", "l_linenumber", F.array_join("cells", "|").alias("cells"))
 
 
 @query("SELECT doc_id, upper(text) AS text FROM documents")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import padded_number, safe_part, safe_stem, stem, suffix
+from ..functions.text import padded_number, safe_part, safe_stem, suffix, value_text
 
 # What can be extracted from.
 IMAGE_SUFFIXES = ("jpg", "jpeg", "png", "bmp", "tif", "tiff")
@@ -96,7 +96,8 @@ def output_dir(path: Column, root: str, target: str) -> Column:
 def keyword_rows(sheet: DataFrame, number: str, prefix: str) -> DataFrame:
     """Wide to long: (file_no, keywords) with the values of the columns whose names start with ``prefix``, blanks dropped."""
     columns = [c for c in sheet.columns if c.startswith(prefix)]
-    long = sheet.select(padded_number(F.col(number)).alias("file_no"), *[F.col(c).cast("string") for c in columns]).unpivot(["file_no"], columns, "position", "keyword")
+    shown = [value_text(F.col(c), sheet.schema[c].dataType).alias(c) for c in columns]
+    long = sheet.select(padded_number(F.col(number)).alias("file_no"), *shown).unpivot(["file_no"], columns, "position", "keyword")
     long = long.where(F.trim("keyword") != "")
     order = F.create_map(*[F.lit(x) for i, c in enumerate(columns) for x in (c, i)])
     entry = F.struct(order[F.col("position")].alias("i"), F.trim("keyword").alias("k"))
@@ -104,17 +105,29 @@ def keyword_rows(sheet: DataFrame, number: str, prefix: str) -> DataFrame:
 
 
 def find_inputs(wanted: DataFrame, files: DataFrame, root: str = "", suffixes: tuple[str, ...] = SUFFIXES) -> DataFrame:
-    """For each file_no its file: one of a known suffix directly in the root, else one further below, else one of any suffix.
+    """For each file_no its file, names being taken exactly as they are written.
 
-    Of several the first by order of suffixes, then by path. ``root`` is the folder that paths start with.
+    A file_no with a suffix is a file's name: that in the root, else the first further below, and nothing else. One without is a name to which a
+    known suffix is put: in the root, else further below, by order of suffixes; else the first file whose name begins with it and a point. The
+    first is that of the least path, folder by folder. ``root`` is the folder that paths start with.
     """
     base = root.rstrip("/") + "/" if root else ""
-    place = F.array_position(F.array(*map(F.lit, suffixes)), suffix(F.col("path")))
-    direct = ~F.substring(F.col("path"), len(base) + 1, 1 << 20).contains("/")
-    tier = F.when(place == 0, 2).otherwise(F.when(direct, 0).otherwise(1))
-    named = files.select(padded_number(stem(F.col("path"))).alias("file_no"), F.struct(tier.alias("tier"), place.alias("place"), "path").alias("found"))
-    best = named.groupBy("file_no").agg(F.min("found").getField("path").alias("path"))
-    return wanted.join(best, "file_no", "left")
+    below = F.substring(F.col("path"), len(base) + 1, 1 << 20)
+    name = F.element_at(F.split("path", "/"), -1)
+    begin = F.regexp_extract(name, r"^(.[^.]*)", 1)
+    place = F.array_position(F.array(*map(F.lit, suffixes)), F.substring(name, F.char_length(begin) + 2, F.char_length(name)))
+    listed = files.select("path", F.split("path", "/").alias("parts"), name.alias("name"), begin.alias("begin"), (~below.contains("/")).alias("direct"), place.alias("place"))
+
+    def found(tier: Column, order: Column, key: str) -> DataFrame:
+        best = F.min(F.struct(tier.alias("tier"), order.alias("place"), "parts", "path")).getField("path").alias("path")
+        return listed.groupBy(F.col(key).alias("key")).agg(best)
+
+    whole = found(F.when(F.col("direct"), 0).otherwise(1), F.lit(0), "name").withColumn("named", F.lit(True))
+    known = F.when(F.col("place") == 0, 2).when(F.col("direct"), 0).otherwise(1)
+    begun = found(known, F.col("place"), "begin").withColumn("named", F.lit(False))
+    has_suffix = F.col("file_no").rlike(r"^.+\.[^.]+$")
+    asked = wanted.withColumn("named", F.coalesce(has_suffix, F.lit(False))).withColumn("key", F.col("file_no"))
+    return asked.join(whole.unionByName(begun), ["key", "named"], "left").select(*[F.col(f"`{c}`") for c in wanted.columns], "path")
 
 
 def gpu_inventory(lines: DataFrame, column: str = "line") -> DataFrame:

@@ -19,7 +19,7 @@ def test_fragments_and_vertical_writing(spark):
 
 
 def test_upside_down_tables(spark):
-    texts = ["姓名", "身份证号码", "结果", "何伟", "510602197808294054", "成功"]
+    texts = ["姓名", "身份证号码", "结果", "甲某", "A-0001", "成功"]
     turned = [(120, 80, 60, 40), (60, 80, 60, 40), (0, 80, 60, 40), (120, 0, 60, 40), (60, 0, 60, 40), (0, 0, 60, 40)]
     straight = [(0, 0, 60, 40), (60, 0, 60, 40), (120, 0, 60, 40), (0, 40, 60, 80), (60, 40, 60, 80), (120, 40, 60, 80)]
     rows = [(1, 0, i, t, b) for i, (t, b) in enumerate(zip(texts, turned, strict=True))] + [(2, 0, i, t, b) for i, (t, b) in enumerate(zip(texts, straight, strict=True))] + [(3, 0, 0, "one", (5, 5, 5, 5))]
@@ -32,15 +32,15 @@ def test_upside_down_tables(spark):
 
 def test_suspicious_cells(spark):
     cells = spark.createDataFrame([(1, 0, 0, "", (0, 40, 60, 80)), (1, 0, 1, "X", (120, 40, 60, 80)), (1, 0, 2, "Ok", (60, 40, 60, 80)), (1, 0, 3, None, (300, 0, 9, 9))], f"{KEYS}, cell_no int, text string, {BOX}")
-    lines = spark.createDataFrame([(1, 0, 0, "何伟", (5, 45, 50, 35)), (1, 0, 1, "成功", (125, 45, 50, 35)), (1, 0, 2, "no", (65, 45, 50, 35))], f"{KEYS}, line_no int, text string, {BOX}")
+    lines = spark.createDataFrame([(1, 0, 0, "甲某", (5, 45, 50, 35)), (1, 0, 1, "成功", (125, 45, 50, 35)), (1, 0, 2, "no", (65, 45, 50, 35))], f"{KEYS}, line_no int, text string, {BOX}")
     got = {r.cell_no: (r.text, r.page_text_fallback) for r in repair.filled_from_page(cells, lines).collect()}
-    assert got == {0: ("何伟", True), 1: ("成功", True), 2: ("Ok", False), 3: (None, False)}
+    assert got == {0: ("甲某", True), 1: ("成功", True), 2: ("Ok", False), 3: (None, False)}
 
 
 def test_days_of_serial_numbers(spark):
     one = lambda t: spark.range(1).select(repair.serial_day(F.lit(t).cast("string"))).first()[0]
     assert one("业务流水号:510604Y3202505140001") == "2025年5月14日"
-    assert [one(t) for t in ("510626199209193753", "Y3202513140001", "", None)] == [None] * 4
+    assert [one(t) for t in ("A20251399990001", "Y3202513140001", "", None)] == [None] * 4
     text = "流水号:510604Y3202505140001\n\n| 姓名 | 实名认证时间 | 结果 |\n| --- | --- | --- |\n| 向 |  |  |\n| 向 | 2日 | 成功 |\nafter | no"
     got = spark.range(1).select(repair.repaired_pipes(F.lit(text))).first()[0]
     assert got.count("2025年5月14日") == 2 and "| 向 | 2025年5月14日 |  |" in got and got.endswith("after | no")
@@ -56,6 +56,24 @@ def test_seals_come_last(spark):
     assert made("印章：\n\nold\n", texts("x")) == "印章：\n\nx\n"
 
 
+def test_seal_titles_within_a_text_are_text(spark):
+    """Only a section that closes the text is replaced, and only by one."""
+    texts = lambda *t: F.array(*map(F.lit, t)).cast("array<string>")
+    made = lambda t, own, found: spark.range(1).select(repair.with_seals(F.lit(t), texts(*own), texts(), texts(*found))).first()[0]
+    form = "甲方盖章\n印章：\n日期 2024\n第二条 正文\n\n印章：\n\n表格\n\n末尾"
+    assert made(form, [], []) == form
+    assert made(form, ["公司"], []) == form + "\n\n印章：\n\n公司\n"
+    assert made(form + "\n\n印章：\n\n旧\n旧二\n", [], ["新"]) == form + "\n\n印章：\n\n新\n"
+    assert made("正文\n\n印章：\n\n旧\n", [], []) == "正文\n\n印章：\n\n旧\n"
+    assert made("", [], ["新"]) == "印章：\n\n新\n" and made(None, [], []) == ""
+
+
+def test_days_beside_escaped_pipes(spark):
+    text = "510604Y3202505140001\n| 名 | a\\|b | 日期 |\n| --- | --- | --- |\n| x | c\\|d |  |\n| y | e | 2021年1月2日 |\n\nz | w |  |\n"
+    got = spark.range(1).select(repair.repaired_pipes(F.lit(text))).first()[0]
+    assert got == text.replace("| x | c\\|d |  |", "| x | c\\|d | 2025年5月14日 |")
+
+
 def test_options_that_are_no_numbers():
     import pytest
 
