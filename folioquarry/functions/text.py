@@ -249,8 +249,22 @@ def alike(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series([one(a, b) for a, b in zip(left, right, strict=True)], dtype="object")
 
 
+def common_length(a: str, b: str) -> int:
+    """The length of the longest common subsequence; what a sequence matcher matches is one, so never more than this. Bits of a number stand for the characters of ``a``."""
+    places: dict[str, int] = {}
+    for i, c in enumerate(a):
+        places[c] = places.get(c, 0) | (1 << i)
+    full = free = (1 << len(a)) - 1
+    for c in b:
+        if met := free & places.get(c, 0):
+            free = ((free + met) | (free - met)) & full
+    return len(a) - free.bit_count()
+
+
 def texts_alike(a: str, b: str) -> bool:
-    if 2 * min(len(a), len(b)) < ALIKE * (len(a) + len(b)):
+    """Whether the similarity of two texts is ``ALIKE`` at least, its upper bounds first: from lengths, from the longest common subsequence, from counts of characters."""
+    least = ALIKE * (len(a) + len(b))
+    if 2 * min(len(a), len(b)) < least or 2 * common_length(a, b) < least - 1e-9:
         return False
     pair = difflib.SequenceMatcher(None, a, b)
     return pair.quick_ratio() >= ALIKE and pair.ratio() >= ALIKE

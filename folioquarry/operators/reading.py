@@ -14,6 +14,28 @@ from ..functions import text as T
 from .spatial import PAGE
 
 TOLERANCE = 12.0
+#: Items of an inner fold: what a fold adds to its result is copied with the rest of it, so that of long pages only the parts are.
+PART = 256
+
+
+def fold_rows(items: Column, state: Column, step, row: str) -> Column:
+    """The rows that a fold makes, one for each item: ``step(state, item)`` is (next state, row). ``row`` is the type of a row.
+
+    Parts of the items are folded each into an array of its own, so the work is linear in the items.
+    """
+    none, parts = F.array().cast(f"array<{row}>"), F.array().cast(f"array<array<{row}>>")
+
+    def inner(acc: Column, item: Column) -> Column:
+        after, made = step(acc["state"], item)
+        return F.struct(after.alias("state"), F.array_append(acc["rows"], made).alias("rows"))
+
+    def outer(acc: Column, k: Column) -> Column:
+        part = F.aggregate(F.slice(items, k * PART + 1, F.lit(PART)), F.struct(acc["state"].alias("state"), none.alias("rows")), inner)
+        return T.let(part, lambda p: F.struct(p["state"].alias("state"), F.array_append(acc["parts"], p["rows"]).alias("parts")))
+
+    count = F.ceil(F.size(items) / PART).cast("int")
+    numbers = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
+    return F.flatten(F.aggregate(numbers, F.struct(state.alias("state"), parts.alias("parts")), outer, lambda acc: acc["parts"]))
 
 
 def reading_order(blocks: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
@@ -24,19 +46,15 @@ def reading_order(blocks: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
     """
     entry = F.struct(F.col("box.y").cast("double").alias("y"), F.col("box.x").cast("double").alias("x"), "text")
     pages = blocks.groupBy(*PAGE).agg(F.array_sort(F.collect_list(entry)).alias("items"))
-    placed = "array<struct<line: int, x: double, y: double, text: string>>"
-    start = F.struct(F.lit(-1).alias("line"), F.lit(0.0).alias("total"), F.lit(0.0).alias("n"), F.array().cast(placed).alias("out"))
+    start = F.struct(F.lit(-1).alias("line"), F.lit(0.0).alias("total"), F.lit(0.0).alias("n"))
 
-    def step(acc: Column, b: Column) -> Column:
+    def step(acc: Column, b: Column) -> tuple[Column, Column]:
         new = (acc["n"] == 0) | (F.abs(b["y"] - acc["total"] / acc["n"]) > tolerance)
         line = F.when(new, acc["line"] + 1).otherwise(acc["line"])
-        item = F.struct(line.alias("line"), b["x"].alias("x"), b["y"].alias("y"), b["text"].alias("text"))
-        return F.struct(
-            line.alias("line"), F.when(new, b["y"]).otherwise(acc["total"] + b["y"]).alias("total"),
-            F.when(new, F.lit(1.0)).otherwise(acc["n"] + 1.0).alias("n"), F.array_append(acc["out"], item).alias("out"),
-        )
+        after = F.struct(line.alias("line"), F.when(new, b["y"]).otherwise(acc["total"] + b["y"]).alias("total"), F.when(new, F.lit(1.0)).otherwise(acc["n"] + 1.0).alias("n"))
+        return after, F.struct(line.alias("line"), b["x"].alias("x"), b["y"].alias("y"), b["text"].alias("text"))
 
-    folded = F.array_sort(F.aggregate("items", start, step, lambda acc: acc["out"]))
+    folded = F.array_sort(fold_rows(F.col("items"), start, step, "struct<line: int, x: double, y: double, text: string>"))
     rows = pages.select(*PAGE, F.posexplode(folded).alias("place", "b"))
     return rows.select(*PAGE, "b.line", "place", "b.text", "b.x", "b.y")
 

@@ -3,6 +3,10 @@
 The page is always an equality key, so these are hash or sort-merge joins with a geometric condition,
 never cross joins; a page's rows are few, whatever the corpus. "First match" is a minimum over an ordinal, which
 is pre-aggregated, rather than a sort of all matches.
+
+Crowded pages. Where pages may have many thousands of boxes, ``by_tile`` makes tiles a key too: each box is dealt to the tiles that it covers, of a
+size that fits its own, and to those of the larger sizes, and two boxes meet in the first tile that they share at the larger of their sizes. A page then costs as much as it has pairs that are
+near each other. It holds for tests that only boxes pass that touch, or, with ``reach``, come as near as that.
 """
 
 from __future__ import annotations
@@ -27,21 +31,63 @@ def at_least(measure: Callable[[Column, Column], Column], least: float) -> Test:
     return lambda a, b: measure(a, b) >= least
 
 
+#: Sides of the smallest tiles, how many times larger those of the next level are, and levels. A box is of the first level whose tiles are half as wide as it at least.
+TILE, LARGER, LEVELS = 64, 8, 4
+
+
+def _tiles(box: Column, reach: float) -> tuple[Column, Column]:
+    """The level of a box, and its tiles (level, tx, ty) from that level up."""
+    x, y = box["x"] - reach, box["y"] - reach
+    w, h = F.greatest(box["w"], F.lit(0)) + 2 * reach, F.greatest(box["h"], F.lit(0)) + 2 * reach
+    side = lambda k: TILE * LARGER**k
+    level = F.lit(LEVELS - 1)
+    for k in reversed(range(LEVELS - 1)):
+        level = F.when(F.greatest(w, h) <= 2 * side(k), F.lit(k)).otherwise(level)
+    of = lambda at, size, k: F.sequence(F.floor(at / side(k)).cast("int"), F.floor((at + size) / side(k)).cast("int"))
+    covered = lambda k: F.flatten(F.transform(of(x, w, k), lambda tx: F.transform(of(y, h, k), lambda ty: F.struct(F.lit(k).alias("level"), tx.alias("tx"), ty.alias("ty")))))
+    none = F.array().cast("array<struct<level: int, tx: int, ty: int>>")
+    return level, F.concat(*[F.when(level <= k, covered(k)).otherwise(none) for k in range(LEVELS)])
+
+
+def by_tile(left: DataFrame, right: DataFrame, test: Test, reach: float = 0.0) -> DataFrame:
+    """``pairs`` with tiles as a key; columns are l.* and r.*, structs of the rows of either side. Boxless rows pair with nothing."""
+
+    def dealt(rows: DataFrame, side: str, reach: float) -> DataFrame:
+        level, tiles = _tiles(F.col("box"), reach)
+        row = F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias(side)
+        own = rows.where("box IS NOT NULL").select(row, *PAGE, level.alias("own"), tiles.alias("tiles"))
+        return own.select(side, *PAGE, "own", F.explode("tiles").alias("t"), F.col("tiles").alias("all")).select(
+            side, F.col("doc_id").alias("_doc"), F.col("page_index").alias("_page"), F.col("own").alias(f"{side}_own"), "t.level", "t.tx", "t.ty",
+            F.array_min(F.transform(F.filter("all", lambda a: a["level"] == F.col("t.level")), lambda a: a["tx"])).alias(f"{side}_tx"),
+            F.array_min(F.transform(F.filter("all", lambda a: a["level"] == F.col("t.level")), lambda a: a["ty"])).alias(f"{side}_ty"),
+        )
+
+    met = dealt(left, "l", reach).join(dealt(right, "r", 0.0), ["_doc", "_page", "level", "tx", "ty"])
+    once = (F.col("level") == F.greatest("l_own", "r_own")) & (F.col("tx") == F.greatest("l_tx", "r_tx")) & (F.col("ty") == F.greatest("l_ty", "r_ty"))
+    return met.where(once & test(F.col("l.box"), F.col("r.box"))).select("l", "r")
+
+
 def pairs(left: DataFrame, right: DataFrame, test: Test) -> DataFrame:
     """All pairs on a page that pass; columns are l.* and r.* under aliases l and r."""
     return left.alias("l").join(right.alias("r"), same_page("l", "r") & test(F.col("l.box"), F.col("r.box")))
 
 
-def outside(blocks: DataFrame, regions: DataFrame, test: Test = G.center_inside, exempt: Column | None = None) -> DataFrame:
-    """Blocks that pass the test with no region of their page; exempt and boxless blocks always stay."""
+def outside(blocks: DataFrame, regions: DataFrame, test: Test = G.center_inside, exempt: Column | None = None, crowded: bool = False, key: str = "line_no") -> DataFrame:
+    """Blocks that pass the test with no region of their page; exempt and boxless blocks always stay. On ``crowded`` pages, whose blocks ``key`` numbers, tiles are a key too."""
+    if crowded:
+        near = by_tile(blocks.select(*PAGE, key, "box") if exempt is None else blocks.alias("b").where(~F.coalesce(exempt, F.lit(False))).select(*PAGE, key, "box"), regions.select(*PAGE, "box"), test)
+        return blocks.join(near.select("l.doc_id", "l.page_index", f"l.{key}").distinct(), [*PAGE, key], "left_anti")
     hit = same_page("b", "r") & test(F.col("b.box"), F.col("r.box")) & F.col("b.box").isNotNull() & F.col("r.box").isNotNull()
     if exempt is not None:
         hit = hit & ~F.coalesce(exempt, F.lit(False))
     return blocks.alias("b").join(regions.alias("r"), hit, "left_anti")
 
 
-def first_match(blocks: DataFrame, regions: DataFrame, test: Test, ordinal: str = "ordinal", key: str = "line_no") -> DataFrame:
-    """(doc_id, page_index, key, region) of blocks with a region, the first by its ordinal."""
+def first_match(blocks: DataFrame, regions: DataFrame, test: Test, ordinal: str = "ordinal", key: str = "line_no", crowded: bool = False, reach: float = 0.0) -> DataFrame:
+    """(doc_id, page_index, key, region) of blocks with a region, the first by its ordinal. On ``crowded`` pages tiles are a key too; ``reach`` is how far apart boxes may pass the test."""
+    if crowded:
+        near = by_tile(blocks.select(*PAGE, key, "box"), regions.select(*PAGE, ordinal, "box"), test, reach)
+        return near.groupBy("l.doc_id", "l.page_index", f"l.{key}").agg(F.min(f"r.{ordinal}").alias("region"))
     found = blocks.alias("b").join(regions.alias("r"), same_page("b", "r") & test(F.col("b.box"), F.col("r.box")))
     return found.groupBy("b.doc_id", "b.page_index", f"b.{key}").agg(F.min(f"r.{ordinal}").alias("region"))
 
@@ -51,14 +97,17 @@ def near_region(a: Column, b: Column) -> Column:
     return (G.overlap(a, b) >= 0.05) | (G.center_distance(a, b) <= 1.4)
 
 
-def fill_cells(cells: DataFrame, blocks: DataFrame) -> DataFrame:
+def fill_cells(cells: DataFrame, blocks: DataFrame, crowded: bool = False) -> DataFrame:
     """(doc_id, page_index, cell_no, text, n_blocks, confidence) of cells that hold block centres.
 
     A block goes to the first cell (by cell_no) around its centre; a cell's text is its blocks' from top to
     bottom, then left to right. Which cell a block goes to does not depend on other blocks, so a minimum decides.
     """
     usable = blocks.where(T.strip(F.col("text")) != "")
-    hits = usable.alias("b").join(cells.alias("c"), same_page("b", "c") & G.center_inside(F.col("b.box"), F.col("c.box")))
+    if crowded:
+        hits = by_tile(usable.select(*PAGE, "line_no", "text", "box", "confidence"), cells.select(*PAGE, "cell_no", "box"), G.center_inside).select(F.col("l").alias("b"), F.col("r").alias("c"))
+    else:
+        hits = usable.alias("b").join(cells.alias("c"), same_page("b", "c") & G.center_inside(F.col("b.box"), F.col("c.box")))
     owner = hits.groupBy("b.doc_id", "b.page_index", "b.line_no").agg(
         F.min("c.cell_no").alias("cell_no"), F.first("b.text").alias("text"), F.first("b.box").alias("box"), F.first("b.confidence").alias("confidence")
     )

@@ -122,10 +122,12 @@ def cell_text_fill(spark, sf_dir):
     return filled.withColumn("confidence", F.round("confidence", 6))
 
 
-@query(f"""WITH {FIXTURES}, {_REGIONS}
-SELECT b.doc_id, b.page_index, b.line_no, min(r.ordinal) AS region FROM blocks b JOIN regions r ON r.doc_id = b.doc_id AND r.page_index = b.page_index WHERE
+_NEAR = """SELECT b.doc_id, b.page_index, b.line_no, min(r.ordinal) AS region FROM blocks b JOIN regions r ON r.doc_id = b.doc_id AND r.page_index = b.page_index WHERE
   greatest(0, least(b.x + b.w, r.x + r.w) - greatest(b.x, r.x)) * greatest(0, least(b.y + b.h, r.y + r.h) - greatest(b.y, r.y)) >= 0.05::DOUBLE * least(greatest(1, b.w * b.h), greatest(1, r.w * r.h))
-  OR abs(b.x + b.w / 2.0::DOUBLE - r.x - r.w / 2.0::DOUBLE) + abs(b.y + b.h / 2.0::DOUBLE - r.y - r.h / 2.0::DOUBLE) <= 1.4::DOUBLE * greatest(1, b.w, b.h, r.w, r.h) GROUP BY 1, 2, 3""")
+  OR abs(b.x + b.w / 2.0::DOUBLE - r.x - r.w / 2.0::DOUBLE) + abs(b.y + b.h / 2.0::DOUBLE - r.y - r.h / 2.0::DOUBLE) <= 1.4::DOUBLE * greatest(1, b.w, b.h, r.w, r.h) GROUP BY 1, 2, 3"""
+
+
+@query(f"WITH {FIXTURES}, {_REGIONS} {_NEAR}")
 def seal_region_match(spark, sf_dir):
     docs = _docs(spark, sf_dir)
     return spatial.first_match(L.blocks(docs), _regions(docs), spatial.near_region)

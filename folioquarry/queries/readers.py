@@ -10,7 +10,7 @@ from ..functions import values as V
 from ..sources import files
 from ..sources import layout_json as J
 from ..sources import layout_text as L
-from .registry import Registry
+from .registry import BLANKS, Registry
 
 query = Registry()
 QUERIES, ORACLE_SQL = query.queries, query.sql
@@ -28,12 +28,12 @@ def _json(template: str, **values) -> Column:
 
 
 def _lines(spark, sf_dir) -> DataFrame:
-    """(doc_id, i, n): a row for each line of the documents, and its length."""
+    """(doc_id, i, line, n): a row for each line of the documents, and its length."""
     docs = L.read_documents(spark, sf_dir)
-    return docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("i", "line")).select("doc_id", "i", F.char_length("line").alias("n"))
+    return docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("i", "line")).select("doc_id", "i", "line", F.char_length("line").alias("n"))
 
 
-_LINES = "l AS (SELECT doc_id, CAST(unnest(range(len(string_split(text, chr(10))))) AS INT) AS i, unnest(list_transform(string_split(text, chr(10)), lambda x: length(x))) AS n FROM documents)"
+_LINES = "l AS (SELECT doc_id, CAST(unnest(range(len(string_split(text, chr(10))))) AS INT) AS i, unnest(string_split(text, chr(10))) AS line, unnest(list_transform(string_split(text, chr(10)), lambda x: length(x))) AS n FROM documents)"
 
 
 def _payloads(spark, sf_dir, entry: Column, around: tuple[str, str]) -> DataFrame:
@@ -103,13 +103,13 @@ def layout_label_regions(spark, sf_dir):
     return found.select("doc_id", "page_index", "ordinal", "label", "text", "bounding_box.x")
 
 
-@query(f"""WITH {_LINES} SELECT doc_id, i % 3 AS page_index, count(*) AS n_blocks, string_agg('t' || i, ',' ORDER BY i) AS texts FROM l WHERE i % 7 <> 0 GROUP BY 1, 2""")
+@query(f"""WITH {_LINES} SELECT doc_id, i % 3 AS page_index, count(*) AS n_blocks, string_agg(trim(line, {BLANKS}), chr(10) ORDER BY i) AS texts FROM l WHERE trim(line, {BLANKS}) <> '' GROUP BY 1, 2""")
 def blocks_by_page(spark, sf_dir):
-    """Flat blocks grouped by page, in the order of the list."""
+    """Flat blocks of all lines, grouped by page, in the order of the list."""
     i = F.col("i")
-    entry = _json('{"type":"text","text":"<t>","bbox":[0,0,9,9],"page_idx":<p>}', t=F.when(i % 7 == 0, " ").otherwise(F.concat(F.lit("t"), i.cast("string"))), p=i % 3)
+    entry = F.to_json(F.struct(F.lit("text").alias("type"), F.col("line").alias("text"), F.array(*map(F.lit, (0, 0, 9, 9))).alias("bbox"), (i % 3).alias("page_idx")))
     found = J.by_page(J.flat_blocks(_payloads(spark, sf_dir, entry, ("[", "]"))), "doc_id")
-    return found.select("doc_id", "page_index", F.size("blocks").cast("bigint").alias("n_blocks"), F.array_join(F.transform("blocks", lambda b: b["text"]), ",").alias("texts"))
+    return found.select("doc_id", "page_index", F.size("blocks").cast("bigint").alias("n_blocks"), F.array_join(F.transform("blocks", lambda b: b["text"]), "\n").alias("texts"))
 
 
 @query("""SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN '/data/a b/' || c_custkey || '+1.pdf' WHEN 1 THEN '/plain/' || c_custkey || '.pdf' WHEN 3 THEN '/z' || c_custkey WHEN 4 THEN 'rel/é.png' END AS path,

@@ -10,8 +10,8 @@ from ..operators.spatial import PAGE
 from ..plans import pages_from_models
 from ..sources import layout_json as J
 from ..sources import layout_text as L
-from .layout import _IN_LINES
-from .registry import BLANKS, FIXTURES, ONE, Registry, not_redundant
+from .layout import _IN_LINES, _NEAR, _REGIONS, _regions
+from .registry import BLANKS, FIXTURES, KEY, ONE, Registry, not_redundant
 
 query = Registry()
 QUERIES, ORACLE_SQL = query.queries, query.sql
@@ -102,11 +102,14 @@ def page_table_counts(spark, sf_dir):
     return refine.page_counts(tables)
 
 
-@query("""SELECT doc_id, 0 AS page_index, k AS ordinal, 'line ' || k AS text, 10 * k + 1 AS x, 5 AS w FROM documents, (VALUES (0), (1)) v(k)""")
+@query(f"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, CAST(unnest(range(len(string_split(text, chr(10))))) AS INT) AS i FROM documents)
+SELECT doc_id, 0 AS page_index, i AS ordinal, {ONE.format("line")} AS text, 10 * i + 1 AS x, 5 AS w FROM l WHERE {ONE.format("line")} <> ''""")
 def polygon_lines(spark, sf_dir):
-    """S18, Z11 on OCR arrays with polygons in place of boxes."""
-    text = '[{"res":{"rec_texts":["line 0"," line  1 ",""],"rec_polys":[[[1,0],[6,1],[6,9],[1,8]],[[11,0],[16,0],[16,9],[11,9]],[[0,0],[1,1],[1,1],[0,1]]],"rec_scores":[0.5]}}]'
-    rows = J.parsed(_docs(spark, sf_dir).select("doc_id", F.lit(text).alias("json")))
+    """All lines of the documents as OCR arrays with polygons in place of boxes, and too few scores."""
+    at = lambda i: F.array(F.array(10 * i + 1, F.lit(0)), F.array(10 * i + 6, F.lit(1)), F.array(10 * i + 6, F.lit(9)), F.array(10 * i + 1, F.lit(8)))
+    lines = F.split("text", "\n")
+    page = F.struct(F.struct(lines.alias("rec_texts"), F.transform(lines, lambda x, i: at(i)).alias("rec_polys"), F.array(F.lit(0.5)).alias("rec_scores")).alias("res"))
+    rows = J.parsed(_docs(spark, sf_dir).where("text IS NOT NULL").select("doc_id", F.to_json(F.array(page)).alias("json")))
     return J.ocr_lines(rows).select("doc_id", "page_index", "ordinal", "text", "bounding_box.x", "bounding_box.w")
 
 
@@ -141,3 +144,37 @@ def pages_of_three_models(spark, sf_dir):
     layout = page.select(*PAGE, F.explode(F.array(region(0, "text", 0, 100), region(1, "table", 200, 50), region(2, "text", 9000, 10))).alias("r")).select(*PAGE, "r.*")
     marks = page.select(*PAGE, F.lit(0).alias("ordinal"), F.lit("seal").alias("text"), place(40, 30).alias("box"))
     return pages_from_models(layout, lines, marks).select(*PAGE, "line_no", "text", *SIDES, F.size("marks").alias("n_marks"))
+
+
+@query("""SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN 'd/a.md' WHEN 1 THEN 'd/a.JSON' WHEN 2 THEN 'd/paddle_table_structure.json' WHEN 3 THEN 'd/a.error.json' ELSE 'd/a.txt' END AS path,
+  sha256(text || CASE WHEN doc_id % 5 < 2 THEN ' 签字盖章' ELSE ' 签字盖率' END) AS text_sha256 FROM documents WHERE text IS NOT NULL""")
+def rewritten_artifacts(spark, sf_dir):
+    """Whole texts as artifacts, the readable ones corrected."""
+    d = F.col("doc_id") % 5
+    path = F.when(d == 0, "d/a.md").when(d == 1, "d/a.JSON").when(d == 2, "d/paddle_table_structure.json").when(d == 3, "d/a.error.json").otherwise("d/a.txt")
+    files = _docs(spark, sf_dir).where("text IS NOT NULL").select(path.alias("path"), F.concat("text", F.lit(" 签字盖率"), F.lit("#"), F.col("doc_id").cast("string")).alias("text"))
+    done = refine.rewrite_texts(files.select("path", "text"))
+    parts = F.split("text", "#", -1)
+    return done.select(F.element_at(parts, -1).cast("bigint").alias("doc_id"), "path", F.sha2(F.regexp_replace("text", "#[0-9]+$", ""), 256).alias("text_sha256"))
+
+
+@query(f"""WITH {FIXTURES}, p AS (SELECT DISTINCT doc_id, page_index FROM tables), k AS (SELECT b.*, t.doc_id IS NOT NULL AS has FROM blocks b LEFT JOIN p t USING (doc_id, page_index)),
+o AS (SELECT * FROM k b WHERE NOT (has AND line_no % 3 = 0) AND NOT EXISTS (SELECT 1 FROM tables t WHERE t.doc_id = b.doc_id AND t.page_index = b.page_index AND b.x + b.w / 2.0::DOUBLE BETWEEN t.x AND t.x + t.w AND b.y + b.h / 2.0::DOUBLE BETWEEN t.y AND t.y + t.h))
+SELECT doc_id, page_index, 0 AS kind, line_no, text FROM o UNION ALL SELECT doc_id, page_index, 2, row_index * 1000 + col_index, text FROM cells WHERE trim(text, {BLANKS}) <> ''""")
+def fallback_blocks_dropped(spark, sf_dir):
+    """On pages with tables, blocks of a fallback (every third line) go, wherever they lie."""
+    from ..operators.tables import merge_refined
+
+    docs = _docs(spark, sf_dir)
+    of = L.blocks(docs).withColumn("source", F.when(F.col("line_no") % 3 == 0, "mineru_ocr_table_fallback").otherwise("own"))
+    return merge_refined(of, L.tables(docs), L.cells(docs)).select(*PAGE, "kind", "line_no", "text")
+
+
+@query(f"""WITH {FIXTURES}, {_REGIONS}, near AS ({_NEAR}), k AS (SELECT *, {KEY.format("text")} AS key FROM blocks)
+SELECT b.doc_id, b.page_index, b.line_no, n.region, b.doc_id % 2 = 0 AND key <> '' AS confirmed, n.region IS NULL OR b.doc_id % 2 = 0 AND key <> '' AS render_text FROM k b LEFT JOIN near n USING (doc_id, page_index, line_no)""")
+def annotated_seals(spark, sf_dir):
+    """Blocks with the seal region that they belong to; on every second document a recognised text says the same, elsewhere only signs."""
+    docs = _docs(spark, sf_dir)
+    of = L.blocks(docs)
+    texts = of.select(*PAGE, F.when(F.col("doc_id") % 2 == 0, F.col("text")).otherwise("§§§§§§§§§§§§").alias("text"), "box")
+    return refine.annotate_seals(of, _regions(docs), texts).select(*PAGE, "line_no", "region", "confirmed", "render_text")

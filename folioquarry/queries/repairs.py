@@ -12,7 +12,7 @@ from ..operators.base import Context
 from ..operators.spatial import PAGE
 from ..sources import layout_text as L
 from .layout import _INSIDE, _REGIONS, _regions
-from .registry import FIXTURES, Registry
+from .registry import BLANKS, FIXTURES, Registry
 
 query = Registry()
 QUERIES, ORACLE_SQL = query.queries, query.sql
@@ -41,14 +41,18 @@ def repaired_days(spark, sf_dir):
     return repair.repaired_days(docs.select(*PAGE, F.explode("cells").alias("c")).select(*PAGE, "c.*"), pages, *PAGE).select("doc_id", "row_index", "col_index", "text", "repaired")
 
 
-@query(f"""SELECT doc_id, '| name | 日期 |' || chr(10) || '| --- | --- |' || chr(10) || '| a' || doc_id || ' | ' || {_DAY} || '年' || (doc_id % 12 + 1) || '月' || (doc_id % 28 + 1) || '日 |' || chr(10) || '| b | 2021年1月2日 |' || chr(10) || 'after' AS markdown FROM documents""")
+_NUMBERED = "lpad(CAST(doc_id % 12 + 1 AS VARCHAR), 2, '0') || lpad(CAST(doc_id % 28 + 1 AS VARCHAR), 2, '0')"
+
+
+@query(f"""SELECT doc_id, sha256('510604Y3' || {_DAY} || {_NUMBERED} || '0001' || chr(10) || '| name | a\\|b | 日期 |' || chr(10) || '| --- | --- | --- |' || chr(10) || '| a | c\\|d | ' || {_DAY} || '年' || (doc_id % 12 + 1) || '月' || (doc_id % 28 + 1) || '日 |'
+  || chr(10) || '| b | e | 2021年1月2日 |' || chr(10) || chr(10) || text || chr(10) || 'x | y |  |') AS markdown_sha256 FROM documents WHERE text IS NOT NULL""".replace("\\\\", "\\"))
 def repaired_pipes(spark, sf_dir):
-    """Days in pipe tables, from a serial number elsewhere in the text (cut off here after the repair)."""
+    """Days in pipe tables with escaped pipes, from a serial number; whole texts around them, and rows of pipes that are no table, stay."""
     d = F.col("doc_id")
     serial = F.concat(F.lit("510604Y3"), (d % 6 + 2020).cast("string"), F.lpad((d % 12 + 1).cast("string"), 2, "0"), F.lpad((d % 28 + 1).cast("string"), 2, "0"), F.lit("0001"))
-    text = F.concat(F.lit("| name | 日期 |\n| --- | --- |\n| a"), d.cast("string"), F.lit(" | 2日 |\n| b | 2021年1月2日 |\nafter\n"), serial)
-    fixed = _docs(spark, sf_dir).select("doc_id", repair.repaired_pipes(text).alias("m"))
-    return fixed.select("doc_id", F.regexp_replace("m", "\n[^\n]*$", "").alias("markdown"))
+    table = "\n| name | a\\|b | 日期 |\n| --- | --- | --- |\n| a | c\\|d | 2日 |\n| b | e | 2021年1月2日 |\n\n"
+    text = F.concat(serial, F.lit(table), F.col("text"), F.lit("\nx | y |  |"))
+    return _docs(spark, sf_dir).where("text IS NOT NULL").select("doc_id", F.sha2(repair.repaired_pipes(text), 256).alias("markdown_sha256"))
 
 
 @query("""WITH r AS (SELECT l_orderkey, l_linenumber, '| ' || l_linenumber || ' | ' || l_returnflag || ' |  | a\\|' || l_linestatus || ' |' AS line FROM (SELECT l_orderkey, l_linenumber, min(l_returnflag) AS l_returnflag, min(l_linestatus) AS l_linestatus FROM lineitem GROUP BY 1, 2))
@@ -109,20 +113,22 @@ def covering_cells(spark, sf_dir):
     return repair.covering(cells.where("col_index % 2 = 0 OR doc_id % 2 = 0"), cells, html, *PAGE).select(*PAGE, "row_index", "col_index", "fallback")
 
 
-@query("""SELECT doc_id, 'body ' || doc_id || chr(10) || chr(10) || 'footer' || CASE WHEN doc_id % 4 < 3 THEN chr(10) || chr(10) || '印章：' || chr(10) || chr(10) || CASE doc_id % 4 WHEN 0 THEN 'code ' || doc_id ELSE 'seal ' || doc_id END ELSE '' END || chr(10) AS markdown, true AS stable,
-  '| a | b |' || chr(10) || chr(10) || 'http://f' || doc_id AS footer FROM documents""")
+@query(f"""WITH d AS (SELECT doc_id, 'body ' || doc_id || chr(10) || '印章：' || chr(10) || '日期' || chr(10) || chr(10) || text || chr(10) || chr(10) || 'footer' AS t FROM documents WHERE text IS NOT NULL),
+k AS (SELECT doc_id, trim(regexp_replace(t, '\n{{3,}}', chr(10) || chr(10), 'g'), {BLANKS}) AS t FROM d)
+SELECT doc_id, sha256(t || CASE doc_id % 4 WHEN 0 THEN chr(10) || chr(10) || '印章：' || chr(10) || chr(10) || 'code ' || doc_id WHEN 3 THEN '' ELSE chr(10) || chr(10) || '印章：' || chr(10) || chr(10) || 'seal ' || doc_id END || chr(10)) AS markdown_sha256, true AS stable,
+  '| a | b |' || chr(10) || chr(10) || 'http://f' || doc_id AS footer FROM k""".replace("\\n", "\n"))
 def seal_sections(spark, sf_dir):
-    """One section of seals at the end, however often it is made, and footers apart from pipe rows."""
+    """One section of seals after whole texts, however often it is made, the title elsewhere being text; and footers apart from pipe rows."""
     d = F.col("doc_id")
     n = d.cast("string")
     seal, code = F.concat(F.lit("seal "), n), F.concat(F.lit("code "), n)
-    old = F.when(d % 2 == 0, "\n印章：\n\nold\n").otherwise("")
-    text = F.concat(F.lit("body "), n, F.lit("\n\n![](images/seal.jpg)  \n"), F.when(d % 4 < 3, seal).otherwise(""), F.lit("\n\nfooter\n"), old)
+    old = F.when(d % 2 == 0, "\n印章：\n\nold\nolder\n").otherwise("")
+    text = F.concat(F.lit("body "), n, F.lit("\n印章：\n日期\n\n![](images/seal.jpg)  \n"), F.when(d % 4 < 3, F.concat(seal, F.lit("\n"))).otherwise(""), F.col("text"), F.lit("\n\nfooter\n"), old)
     none = F.array().cast("array<string>")
     given = F.when(d % 4 < 3, F.array(seal)).otherwise(none), F.array(F.lit("images/seal.jpg")), F.when(d % 4 == 0, F.array(code, F.lit(" "))).otherwise(none)
-    once = _docs(spark, sf_dir).select("doc_id", repair.with_seals(text, *given).alias("markdown"))
-    again = once.select("doc_id", "markdown", (repair.with_seals(F.col("markdown"), *given) == F.col("markdown")).alias("stable"))
-    return again.select("doc_id", "markdown", "stable", repair.separate_footers(F.concat(F.lit("| a | b |http://f"), n)).alias("footer"))
+    once = _docs(spark, sf_dir).where("text IS NOT NULL").select("doc_id", repair.with_seals(text, *given).alias("markdown"))
+    again = once.select("doc_id", F.sha2("markdown", 256).alias("markdown_sha256"), (repair.with_seals(F.col("markdown"), *given) == F.col("markdown")).alias("stable"))
+    return again.select("doc_id", "markdown_sha256", "stable", repair.separate_footers(F.concat(F.lit("| a | b |http://f"), n)).alias("footer"))
 
 
 @query(f"""WITH {FIXTURES}, p AS (SELECT doc_id, page_index, string_agg(text, chr(10) ORDER BY line_no) AS text FROM blocks GROUP BY 1, 2)

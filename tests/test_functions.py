@@ -113,3 +113,34 @@ def test_names(spark):
     assert column(spark, T.safe_stem(F.col("p")), [("d/a b.pdf",), ("???.pdf",), ("d/甲 乙.png",)], "p string") == ["a b", "document", "甲 乙"]
     assert column(spark, T.safe_id(F.col("p")), [("d/a b.pdf",), ("???.pdf",), ("d/甲.png",)], "p string") == ["a_b", "document", "document"]
     assert column(spark, T.padded_number(F.col("p")), [("7",), ("12.0",), ("1234",), ("x1",)], "p string") == ["007", "012", "1234", "x1"]
+
+
+def test_common_length_bounds_the_matcher():
+    import difflib
+    import random
+
+    r = random.Random(1)
+    for _ in range(300):
+        a, b = ("".join(r.choice("abcdeé ") for _ in range(r.randint(0, 260))) for _ in range(2))
+        table = [0] * (len(b) + 1)
+        for x in a:
+            last = 0
+            for j, y in enumerate(b):
+                last, table[j + 1] = table[j + 1], last + 1 if x == y else max(table[j + 1], table[j])
+        assert T.common_length(a, b) == table[-1]
+        ratio = difflib.SequenceMatcher(None, a, b).ratio()
+        assert ratio <= 2 * table[-1] / max(1, len(a) + len(b)) + 1e-12 or not (a or b)
+        assert T.texts_alike(a, b) == (ratio >= T.ALIKE) or not (a or b)
+
+
+def test_entities_decoded_in_the_jvm(spark):
+    import html
+    import random
+
+    r = random.Random(2)
+    pieces = ["&amp;", "&lt;", "&#65;", "&#xe9;", "&#x65e5;", "&eacute;", "&amp", "&#128;", "&#0;", "x", ";", "&", "#", "&#x1F600;", "&nbsp;", "&#99999999;", "&quot;", "lt;", "65;", "é"]
+    texts = ["".join(r.choice(pieces) for _ in range(r.randint(0, 7))) for _ in range(600)] + [None, ""]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = {x.i: x.t for x in T.with_decoded(rows, "t").collect()}
+    assert got == {i: None if t is None else html.unescape(t) for i, t in enumerate(texts)}
+    assert 20 < rows.where(T.needs_python(F.col("t"))).count() < 560

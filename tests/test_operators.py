@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from folioquarry import schemas as S
+from folioquarry.functions import geometry as G
 from folioquarry.operators import base, extract, reading, report, spatial, tables
 from folioquarry.queries import QUERIES
 from folioquarry.sources import files, layout_json as J, layout_text as L
@@ -397,3 +398,36 @@ def test_nested_layout_to_any_depth(spark):
     assert [r.text for r in J.page_text_blocks(pages).orderBy("ordinal").collect()] == ["caption\nfoot", "first\nin line\ndirect", "bottom\ntitle\nnote"]
     assert [r.html for r in J.page_tables(pages).orderBy("table_index").collect()] == ["<b>deep</b>", "<i>1</i>"]
     assert [r.text for r in J.page_text_blocks(J.nested_pages(J.parsed(rows))).orderBy("ordinal").collect()][2] == "bottom\ntitle\nnote"
+
+
+def test_tiles_give_the_pairs_of_pages(spark):
+    """Boxes of all sizes, on tile borders, without extent, beyond the page: the same rows with tiles as without."""
+    import random
+
+    r = random.Random(3)
+    side = lambda: r.choice([0, 1, 5, 63, 64, 65, 130, 600, 5000, 90_000])
+    place = lambda: r.choice([-100, 0, 63, 64, 128, 512, r.randint(0, 3000), r.randint(0, 50_000)])
+    kind = "doc_id long, page_index int, line_no int, text string, confidence double, box struct<x: int, y: int, w: int, h: int>"
+    rows = [(i % 3, i % 2, i, f"t{i}" if i % 7 else " ", 0.5, (place(), place(), side(), side()) if i % 11 else None) for i in range(160)]
+    blocks = spark.createDataFrame(rows, kind)
+    regions = spark.createDataFrame([(d, p, n, t, c, (place(), place(), side(), side())) for d, p, n, t, c, _ in rows[:60]], kind).withColumnRenamed("line_no", "ordinal")
+    out = lambda df: sorted(map(str, df.collect()))
+    for test in (G.touching, G.center_inside, lambda a, b: G.overlap(a, b) >= 0.2):
+        plain = spatial.pairs(blocks, regions, test).select("l.line_no", "r.ordinal")
+        assert out(spatial.by_tile(blocks, regions, test).select("l.line_no", "r.ordinal")) == out(plain) and plain.count() > 20
+    assert out(spatial.outside(blocks, regions, crowded=True)) == out(spatial.outside(blocks, regions))
+    near = lambda a, b: G.center_inside(a, b) | (F.abs(a["x"] - b["x"]) + F.abs(a["y"] - b["y"]) <= 40)
+    assert out(spatial.first_match(blocks, regions, near, crowded=True, reach=41)) == out(spatial.first_match(blocks, regions, near))
+    cells = regions.withColumnRenamed("ordinal", "cell_no")
+    assert out(spatial.fill_cells(cells, blocks, crowded=True)) == out(spatial.fill_cells(cells, blocks))
+
+
+def test_a_crowded_page(spark):
+    """A page of 40,000 boxes: pairs by tiles, and reading order, in time that grows with the boxes."""
+    grid = spark.range(40_000).select(F.lit(1).cast("long").alias("doc_id"), F.lit(0).alias("page_index"), F.col("id").cast("int").alias("line_no"), F.concat(F.lit("t"), F.col("id").cast("string")).alias("text"),
+        F.struct((F.col("id") % 200 * 50).cast("int").alias("x"), (F.floor(F.col("id") / 200) * 30).cast("int").alias("y"), F.lit(40).alias("w"), F.lit(20).alias("h")).alias("box"))
+    cells = grid.where("line_no % 4 = 0").withColumnRenamed("line_no", "ordinal")
+    found = spatial.first_match(grid, cells, G.center_inside, crowded=True)
+    assert found.count() == 10_000 and found.where("line_no <> region").isEmpty()
+    ordered = reading.reading_order(grid)
+    assert ordered.count() == 40_000 and ordered.agg(F.max("line")).first()[0] == 199 and ordered.where("place <> 200 * line + cast(x / 50 as int)").isEmpty()
