@@ -9,6 +9,7 @@ from ..functions import geometry as G
 from ..functions import text as T
 from ..functions import values as V
 from ..sources import files
+from ..sources.files import read_table
 from .registry import Registry
 
 query = Registry()
@@ -20,7 +21,7 @@ _RAW = """r AS (SELECT o_orderkey, CASE o_orderkey % 6 WHEN 0 THEN '0.25' WHEN 1
 def _raw(spark, sf_dir):
     k = F.col("o_orderkey") % 6
     v = F.when(k == 0, "0.25").when(k == 1, "7").when(k == 2, "abc").when(k == 3, "-1").when(k == 4, "yes").otherwise(" Off ")
-    return spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", v.alias("v"))
+    return read_table(spark, f"{sf_dir}/orders.parquet").select("o_orderkey", v.alias("v"))
 
 
 @query(f"""WITH {_RAW} SELECT o_orderkey, try_cast(v AS DOUBLE) AS number, CASE WHEN try_cast(v AS DOUBLE) BETWEEN 0 AND 1 THEN try_cast(v AS DOUBLE) END AS confidence,
@@ -44,7 +45,7 @@ def contract_violations(spark, sf_dir):
         "V1": S.one_payload(uri, inline), "V2": S.ordered(F.lit(4), (k % 10).cast("int")), "V5": S.placed(F.lit(1), F.when(k % 7 != 0, "pdf_points")),
         "V7": S.actor_known(F.when(k % 5 == 0, "user").otherwise("rule"), F.when(k % 4 == 0, "u1")), "V10": S.in_range(F.col("o_totalprice"), 0, 200000),
     }
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    orders = read_table(spark, f"{sf_dir}/orders.parquet")
     return S.violations(orders.select("o_orderkey", "o_totalprice"), checks).select("o_orderkey", F.array_join("violations", ",").alias("violations"))
 
 
@@ -59,7 +60,7 @@ def file_names(spark, sf_dir):
     name = F.replace("c_name", F.lit("#"), F.lit("_"))
     folder = F.concat(F.lit("data/in/"), F.when(c % 4 == 0, "").when(c % 4 == 1, "a b?c/").when(c % 4 == 2, F.concat(F.lit("x/"), F.col("c_name"), F.lit("/"))).otherwise(F.concat(name, F.lit("/"))))
     path = F.concat(folder, F.col("c_name"), F.when(c % 3 == 0, ".PDF").when(c % 3 == 1, ".png").otherwise(".txt"))
-    named = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", path.alias("path"), folder.alias("folder"))
+    named = read_table(spark, f"{sf_dir}/customer.parquet").select("c_custkey", path.alias("path"), folder.alias("folder"))
     p = F.col("path")
     return named.select(
         "c_custkey", T.stem(p).alias("stem"), T.media_type(p).alias("media_type"), files.is_supported(p).alias("supported"), files.is_image(p).alias("image"),
@@ -73,7 +74,7 @@ SELECT l_orderkey, l_linenumber, CAST(round_even(c[1], 0) AS INT) AS x, CAST(rou
 def boxes_from_corners(spark, sf_dir):
     q, n = F.col("l_quantity").cast("double"), F.col("l_linenumber").cast("double")
     corners = F.array(q, n, q + 10.5, n - 2.0)
-    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_linenumber", corners.alias("c"))
+    items = read_table(spark, f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_linenumber", corners.alias("c"))
     swapped, clipped = G.from_corners(F.col("c"), order="swap"), G.from_corners(F.col("c"))
     return items.select("l_orderkey", "l_linenumber", swapped.alias("b"), clipped.getField("h").alias("clipped_h")).select("l_orderkey", "l_linenumber", "b.x", "b.y", "b.w", "b.h", "clipped_h")
 
@@ -81,5 +82,5 @@ def boxes_from_corners(spark, sf_dir):
 @query("""SELECT c_custkey, 'k=' || c_custkey AS kept, '***' AS secret FROM customer""")
 def redacted_options(spark, sf_dir):
     options = F.create_map(F.lit("plain"), F.concat(F.lit("k="), F.col("c_custkey").cast("string")), F.lit("api_key"), F.col("c_name"))
-    of = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", T.redact(options).alias("o"))
+    of = read_table(spark, f"{sf_dir}/customer.parquet").select("c_custkey", T.redact(options).alias("o"))
     return of.select("c_custkey", F.col("o")["plain"].alias("kept"), F.col("o")["api_key"].alias("secret"))

@@ -12,6 +12,7 @@ from ..functions import values as V
 from ..operators import extract, refine, report, search, spans, spatial, tables
 from ..operators.spatial import PAGE
 from ..sources import layout_text as L
+from ..sources.files import read_table
 from .registry import FIXTURES, KEY, ONE, Registry
 
 query = Registry()
@@ -32,7 +33,7 @@ def contract_violations_of_jobs(spark, sf_dir):
     provenance = F.when(k % 3 > 0, F.struct((k % 2).cast("int").alias("page_index")))
     own = F.struct(F.lit("a").alias("archive_id"), k.alias("doc_id"))
     others = F.array(own, F.struct(F.lit("a").alias("archive_id"), F.when(k % 11 == 0, k + 1).otherwise(k).alias("doc_id")))
-    rows = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", F.lit("a").alias("archive_id"), k.alias("doc_id"))
+    rows = read_table(spark, f"{sf_dir}/orders.parquet").select("o_orderkey", F.lit("a").alias("archive_id"), k.alias("doc_id"))
     checks = {
         "V3": S.paths_given(paths), "V4": S.uri_valid(uri), "V6": S.page_agrees(provenance, F.lit(0)),
         "V8": S.confirmed_whole(F.when(k % 7 < 3, "u"), F.when(k % 7 < 2, F.lit("2024-01-01").cast("timestamp"))), "V9": S.spans_belong(others, "archive_id", "doc_id"),
@@ -104,7 +105,7 @@ def visible_devices(spark, sf_dir):
 @query("SELECT DISTINCT event_type, CAST(event_id % 20 AS INT) AS n FROM events WHERE value > 150")
 def failed_keys(spark, sf_dir):
     """F16"""
-    trials = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_type", (F.col("event_id") % 20).cast("int").alias("n"), (F.col("value") <= 150).alias("success"))
+    trials = read_table(spark, f"{sf_dir}/events.parquet").select("event_type", (F.col("event_id") % 20).cast("int").alias("n"), (F.col("value") <= 150).alias("success"))
     return report.has_failure(trials, "event_type", "n")
 
 
@@ -113,7 +114,7 @@ SELECT 'arch' AS archive_id, CAST(o_orderkey AS VARCHAR) AS job_id, ordinal, fil
 def job_documents(spark, sf_dir):
     """Documents of jobs, and names of risk types brought to one."""
     k = F.col("o_orderkey")
-    jobs = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+    jobs = read_table(spark, f"{sf_dir}/orders.parquet").select(
         F.lit("arch").alias("archive_id"), k.cast("string").alias("job_id"), F.lit("u").alias("triggered_by_user_id"), F.array(F.concat(F.lit("a"), k.cast("string")), F.lit(" "), F.lit("c")).alias("source_paths")
     )
     name = F.element_at(F.array(*map(F.lit, [" ID ", "Phone", "secret", "weather"])), (F.col("job_id").cast("bigint") % 4 + 1).cast("int"))
@@ -161,7 +162,7 @@ def json_corrections(spark, sf_dir):
 @query("""WITH t AS (SELECT c_custkey, row_number() OVER (ORDER BY c_name, c_custkey) - 1 AS n FROM customer) SELECT c_custkey, CAST(n // 64 AS INT) AS chunk, n BETWEEN 10 AND 29 AS in_window FROM t""")
 def task_windows(spark, sf_dir):
     """Tasks numbered in chunks of 64, and a window of twenty of them."""
-    tasks = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_name")
+    tasks = read_table(spark, f"{sf_dir}/customer.parquet").select("c_custkey", "c_name")
     window = refine.page_of_tasks(tasks, 10, 20, "c_name", "c_custkey").select("c_custkey").withColumn("in_window", F.lit(True))
     return report.chunks(tasks, ["c_name", "c_custkey"], 64).join(window, "c_custkey", "left").select("c_custkey", "chunk", F.coalesce("in_window", F.lit(False)).alias("in_window"))
 
@@ -169,7 +170,7 @@ def task_windows(spark, sf_dir):
 @query("""SELECT 'in/' || event_id AS pdf_path, CASE WHEN event_type = 'error' THEN 'false' ELSE 'true' END AS success, '["' || event_type || '"]' AS field_keywords, CAST(event_id % 5 AS VARCHAR) AS page_count, CAST(NULL AS VARCHAR) AS json_path FROM events""")
 def batch_csv_rows(spark, sf_dir):
     """K4: the fixed columns of a batch, as texts; five of them shown."""
-    results = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+    results = read_table(spark, f"{sf_dir}/events.parquet").select(
         F.concat(F.lit("in/"), F.col("event_id").cast("string")).alias("pdf_path"), (F.col("event_type") != "error").alias("success"), F.array("event_type").alias("field_keywords"), (F.col("event_id") % 5).alias("page_count"), "value",
     )
     return report.batch_rows(results).select("pdf_path", "success", "field_keywords", "page_count", "json_path")

@@ -11,6 +11,7 @@ from ..operators import documents as D
 from ..operators import refine, repair
 from ..sources import layout_text as L
 from ..sources import pictures
+from ..sources.files import read_table
 from .layout import _IN_LINES
 from .registry import BLANKS, ONE, Registry
 
@@ -122,7 +123,7 @@ def picture_sizes(spark, sf_dir):
 UNION ALL SELECT l_orderkey, l_linenumber, NULL, NULL, NULL, NULL FROM lineitem WHERE l_linenumber % 5 = 4""")
 def open_boxes(spark, sf_dir):
     """Boxes given as an object, as corners, as a polygon and as points; and one that is none."""
-    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    items = read_table(spark, f"{sf_dir}/lineitem.parquet")
     x, y, n = F.col("l_partkey") % 1000, F.col("l_suppkey") % 500, F.col("l_linenumber")
     x1, y1 = x + n * 10, y + 8
     text = (
@@ -137,6 +138,6 @@ def json_safe_rows(spark, sf_dir):
     """Events with numbers that are not finite, times, days and numbers as keys, as JSON holds them."""
     e = F.col("event_id")
     value = F.when(e % 5 == 0, float("nan")).when(e % 5 == 1, float("-inf")).otherwise(F.col("value"))
-    rows = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", F.struct(F.array(value).alias("v"), F.col("ts").alias("t"), F.to_date("ts").alias("d"), F.create_map(e, F.lit(1)).alias("m")).alias("s"))
+    rows = read_table(spark, f"{sf_dir}/events.parquet").select("event_id", F.struct(F.array(value).alias("v"), F.col("ts").alias("t"), F.to_date("ts").alias("d"), F.create_map(e, F.lit(1)).alias("m")).alias("s"))
     safe = jsontree.safe_rows(rows)
     return safe.select("event_id", F.col("s.v")[0].alias("value"), F.col("s.t").alias("ts"), F.col("s.d").alias("day"), F.map_keys("s.m")[0].alias("key"))

@@ -10,6 +10,7 @@ from ..operators import base, extract, spans, tables
 from ..operators.report import pending
 from ..sources import layout_json as J
 from ..sources import layout_text as L
+from ..sources.files import read_table
 from .registry import FIXTURES, KEY, ONE, Registry
 
 query = Registry()
@@ -46,7 +47,7 @@ _FLAT = r"""regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(
 
 @query(rf"""SELECT page_id, array_to_string(list_filter(list_transform(string_split({_FLAT}, chr(10)), lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))), lambda x: x <> ''), chr(10)) AS plain FROM pages""")
 def html_to_text(spark, sf_dir):
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    pages = read_table(spark, f"{sf_dir}/pages.parquet")
     return pages.select("page_id", T.html_to_text(F.col("html"), entities=None).alias("plain"))
 
 
@@ -56,14 +57,14 @@ _DECODED = rf"regexp_replace(replace(replace(replace({_FLAT}, '&middot;', '·'),
 @query(rf"""SELECT page_id, array_to_string(list_filter(list_transform(string_split({_DECODED}, chr(10)), lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))), lambda x: x <> ''), chr(10)) AS plain FROM pages""")
 def html_to_text_with_entities(spark, sf_dir):
     """T6; the SQL knows the entities that the pages hold."""
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    pages = read_table(spark, f"{sf_dir}/pages.parquet")
     return pages.select("page_id", T.html_to_text(F.col("html")).alias("plain"))
 
 
 @query("""WITH c AS (SELECT l_orderkey, l_linenumber, [l_returnflag, l_linestatus, CAST(l_partkey AS VARCHAR), l_returnflag, l_linestatus || ' & ' || l_returnflag || 'é'] AS cells FROM lineitem)
 SELECT l_orderkey, l_linenumber, array_to_string(list_filter(cells, lambda x, i: x <> '' AND NOT list_contains(cells[1:i - 1], x)), '|') AS cells FROM c""")
 def html_cells(spark, sf_dir):
-    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    items = read_table(spark, f"{sf_dir}/lineitem.parquet")
     cell = lambda c: F.concat(F.lit("<td class='a'> "), F.col(c).cast("string"), F.lit(" </td>"))
     row = F.concat(F.lit("<table><tr>"), cell("l_returnflag"), cell("l_linestatus"), cell("l_partkey"), cell("l_returnflag"), F.lit("<TD>"), F.col("l_linestatus"), F.lit(" &amp;<br/>"), F.col("l_returnflag"), F.lit("&#xe9;</TD></tr></table>"))
     found = T.with_html_cells(items.select("l_orderkey", "l_linenumber", row.alias("html")), "html", "cells")

@@ -10,6 +10,7 @@ from ..functions import values as V
 from ..sources import files
 from ..sources import layout_json as J
 from ..sources import layout_text as L
+from ..sources.files import read_table
 from .registry import BLANKS, Registry
 
 query = Registry()
@@ -123,7 +124,7 @@ def local_paths(spark, sf_dir):
         F.when(c % 5 == 0, F.concat(F.lit("file:///data/a%20b/"), k, F.lit("+1.pdf"))).when(c % 5 == 1, F.concat(F.lit("/plain/"), k, F.lit(".pdf")))
         .when(c % 5 == 2, F.lit("s3://bucket/x")).when(c % 5 == 3, F.concat(F.lit("FILE://host/z"), k)).otherwise(F.lit("rel/é.png"))
     )
-    named = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_name", uri.alias("uri"))
+    named = read_table(spark, f"{sf_dir}/customer.parquet").select("c_custkey", "c_name", uri.alias("uri"))
     return named.select(
         "c_custkey", files.local_path(F.col("uri")).alias("path"), files.path_problem(F.col("uri"), c % 3 != 0, c % 7 != 0).alias("problem"),
         V.text_or(F.when(c % 4 == 0, "  ").otherwise(F.col("c_name")), "none").alias("name"), V.trial_key(F.lit("e"), F.when(c % 4 != 0, c)).alias("trial"),
@@ -153,4 +154,4 @@ def first_paths(spark, sf_dir):
     """One file of each path in any case, the first in order of path."""
     c = F.col("c_custkey")
     path = F.concat(F.lit("in/"), F.floor(c / 3).cast("string"), F.lit(".pdf"))
-    return files.first_paths(spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.when(c % 3 == 0, F.upper(path)).otherwise(path).alias("path")), 50)
+    return files.first_paths(read_table(spark, f"{sf_dir}/customer.parquet").select(F.when(c % 3 == 0, F.upper(path)).otherwise(path).alias("path")), 50)

@@ -10,6 +10,7 @@ from ..operators.spatial import PAGE
 from ..plans import pages_from_models
 from ..sources import layout_json as J
 from ..sources import layout_text as L
+from ..sources.files import read_table
 from .layout import _IN_LINES, _NEAR, _REGIONS, _regions
 from .registry import BLANKS, FIXTURES, KEY, ONE, Registry, not_redundant
 
@@ -36,7 +37,7 @@ def table_fallbacks(spark, sf_dir):
 
 @query("""SELECT l_orderkey, l_linenumber, '| ' || l_returnflag || ' | ' || l_linestatus || ' |' || chr(10) || '| --- | --- |' || chr(10) || '| ' || l_partkey || ' | a\\|b |' AS pipes FROM lineitem""".replace("\\\\", "\\"))
 def pipe_tables(spark, sf_dir):
-    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    items = read_table(spark, f"{sf_dir}/lineitem.parquet")
     table = F.concat(
         F.lit("<table><tr><th>"), F.col("l_returnflag"), F.lit("</th><th> "), F.col("l_linestatus"), F.lit("</th></tr><tr></tr>\n<tr><td><b>"), F.col("l_partkey").cast("string"),
         F.lit("</b></td><td>a|b</td></tr></table>"),

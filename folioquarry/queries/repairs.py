@@ -11,6 +11,7 @@ from ..operators import reading, repair
 from ..operators.base import Context
 from ..operators.spatial import PAGE
 from ..sources import layout_text as L
+from ..sources.files import read_table
 from .layout import _INSIDE, _REGIONS, _regions
 from .registry import BLANKS, FIXTURES, Registry
 
@@ -59,7 +60,7 @@ def repaired_pipes(spark, sf_dir):
 SELECT l_orderkey, '| n | 角色 | 签字信息 | s |' || chr(10) || '| --- | --- | --- | --- |' || chr(10) || string_agg(line, chr(10) ORDER BY l_linenumber) AS markdown FROM r GROUP BY 1""".replace("\\\\", "\\"))
 def pipe_tables_of_cells(spark, sf_dir):
     """Pipe tables of orders' cells whose column numbers collide, the column of signatures blanked."""
-    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_returnflag").alias("l_returnflag"), F.min("l_linestatus").alias("l_linestatus"))
+    items = read_table(spark, f"{sf_dir}/lineitem.parquet").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_returnflag").alias("l_returnflag"), F.min("l_linestatus").alias("l_linestatus"))
     cell = lambda c, x, t: F.struct(F.lit(c).alias("col_index"), t.cast("string").alias("text"), G.box(F.lit(x), F.lit(0), F.lit(9), F.lit(9)).alias("box"))
     body = items.select("l_orderkey", F.col("l_linenumber").cast("int").alias("row_index"), F.explode(F.array(
         cell(0, 0, F.col("l_linenumber")), cell(2, 90, F.concat(F.lit("a|"), F.col("l_linestatus"))), cell(1, 50, F.lit("7")), cell(1, 20, F.col("l_returnflag")),
@@ -155,7 +156,7 @@ def run_options(spark, sf_dir):
         F.when(c % 7 == 0, F.struct(F.lit("output_dir").alias("k"), F.concat(F.lit("out/"), k).alias("v"))), F.when(c % 7 == 1, F.struct(F.lit("failure_record_dir").alias("k"), F.lit("rec").alias("v"))),
     ))
     context = Context(trace_id="t:1".replace(":", "-"), config_version="v9")
-    of = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", D.options_of(F.map_from_entries(pairs), "paddle", context).alias("o"))
+    of = read_table(spark, f"{sf_dir}/customer.parquet").select("c_custkey", D.options_of(F.map_from_entries(pairs), "paddle", context).alias("o"))
     o, s = F.col("o"), D.safety(F.col("o"), recommended=2)
     return of.select(
         "c_custkey", o["lang"].alias("lang"), o["enable_table_cell_refine"].alias("refine"), s["timeout_seconds"].alias("timeout_seconds"), s["requested_concurrency"].alias("requested_concurrency"),
@@ -166,7 +167,7 @@ def run_options(spark, sf_dir):
 @query("""SELECT 'mineru' AS archive_id, 'p_' || c_custkey AS doc_id, 'in/p ' || c_custkey || '.jpg' AS file_uri, 'image/jpeg' AS mime_type FROM customer""")
 def documents_of_paths(spark, sf_dir):
     """Documents from bare paths."""
-    paths = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.concat(F.lit("in/p "), F.col("c_custkey").cast("string"), F.lit(".jpg")).alias("path"))
+    paths = read_table(spark, f"{sf_dir}/customer.parquet").select(F.concat(F.lit("in/p "), F.col("c_custkey").cast("string"), F.lit(".jpg")).alias("path"))
     return D.documents_of(paths).select("archive_id", "doc_id", "file_uri", "mime_type")
 
 
@@ -197,7 +198,7 @@ def json_helpers(spark, sf_dir):
     k = c.cast("string")
     text = F.when(c % 5 == 0, F.concat(F.lit('["a'), k, F.lit('"," ","b"]'))).when(c % 5 == 1, '"x, y z"').when(c % 5 == 2, "q，r").when(c % 5 == 3, "[bad").otherwise(F.lit(None))
     value = F.parse_json(F.concat(F.lit('{"a": "/old/auto/'), k, F.lit('", "b": ["/old/auto", "/older/x", "/old/y"], "c": '), k, F.lit("}")))
-    of = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", F.when(c % 2 == 0, "i.png").otherwise(" ").alias("image_uri"))
+    of = read_table(spark, f"{sf_dir}/customer.parquet").select("c_custkey", F.when(c % 2 == 0, "i.png").otherwise(" ").alias("image_uri"))
     images = D.with_image(of).select("c_custkey", F.lit(True).alias("has_image"))
     meta = D.without_html(F.create_map(F.lit("html"), F.lit("h"), F.lit("kept"), F.lit("k")))
     return of.join(images, "c_custkey", "left").select(
@@ -221,7 +222,7 @@ def trials_in_order(spark, sf_dir):
     """Trials by their key, and results in the order of their inputs."""
     from ..operators.report import chunks
 
-    trials = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_type", (F.col("event_id") % 10).cast("int").alias("n")).distinct()
+    trials = read_table(spark, f"{sf_dir}/events.parquet").select("event_type", (F.col("event_id") % 10).cast("int").alias("n")).distinct()
     numbered = chunks(trials, ["event_type", "n"], 1).withColumn("key", F.concat_ws("|", "event_type", "n"))
     shuffled = D.trials_in_order(trials, "event_type", "n").select("event_type", "n", F.concat_ws("|", "event_type", "n").alias("key"))
     return D.in_input_order(shuffled, numbered, "key", "chunk").select("event_type", "n", (F.col("chunk") + 1).alias("place"))

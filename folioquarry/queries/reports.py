@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import values as V
 from ..operators import report
 from ..sources import files
+from ..sources.files import read_table
 from .registry import Registry
 
 query = Registry()
@@ -14,7 +15,7 @@ QUERIES, ORACLE_SQL = query.queries, query.sql
 
 
 def _events(spark, sf_dir):
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = read_table(spark, f"{sf_dir}/events.parquet")
     return events.select(
         "event_id", "event_type", (F.col("event_type") != "error").alias("success"), (F.col("event_id") % 11 == 0).alias("skipped"), (F.col("event_id") % 5).alias("pages"),
         (F.col("event_id") % 3).alias("matches"), F.round("value", 3).alias("elapsed"),
@@ -68,7 +69,7 @@ def keyword_unpivot(spark, sf_dir):
 f AS (SELECT event_type, min(n) AS stop FROM e WHERE NOT success GROUP BY 1), g AS (SELECT event_type, n FROM (SELECT DISTINCT event_type FROM events), (SELECT unnest(range(1000)) AS n))
 SELECT g.event_type, CAST(g.n AS INT) AS n FROM g LEFT JOIN f USING (event_type) ANTI JOIN t ON t.event_type = g.event_type AND t.n = g.n WHERE stop IS NULL OR g.n < stop""")
 def open_benchmark_values(spark, sf_dir):
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = read_table(spark, f"{sf_dir}/events.parquet")
     n = F.least(F.lit(999), F.floor("value")).cast("int")
     trials = events.select("event_type", n.alias("n"), (F.col("value") <= 120).alias("success"))
     planned = report.limit_grid(events.select("event_type").distinct(), spark.range(1000).select(F.col("id").cast("int").alias("n")))
@@ -84,7 +85,7 @@ def find_input_files(spark, sf_dir):
     c = F.col("c_custkey")
     end = F.when(c % 3 == 0, ".pdf").when(c % 3 == 1, ".PNG").otherwise(".docx")
     path = F.concat(F.lit("in/"), F.when(c % 4 == 0, "deep/").otherwise(""), F.lpad((c % 500).cast("string"), 3, "0"), end)
-    listed = spark.read.parquet(f"{sf_dir}/customer.parquet").select(path.alias("path"))
+    listed = read_table(spark, f"{sf_dir}/customer.parquet").select(path.alias("path"))
     wanted = spark.range(600).select(files.padded_number(F.col("id")).alias("file_no"))
     return files.find_inputs(wanted, listed, "in")
 
@@ -105,7 +106,7 @@ def seconds_per_page(spark, sf_dir):
     spp = V.seconds_per_page(
         F.when(n == 0, F.when(e % 8 == 0, 0.0).otherwise(F.col("value"))), F.when(n == 1, F.col("value")), F.when(n == 1, F.when(e % 8 == 1, 3).otherwise(7)), F.when(n == 2, (e % 7 + 1).cast("double")),
     )
-    return spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", F.least(spp, F.lit(1e308)).alias("spp"))
+    return read_table(spark, f"{sf_dir}/events.parquet").select("event_id", F.least(spp, F.lit(1e308)).alias("spp"))
 
 
 @query("""SELECT event_id, CASE WHEN event_id % 6 = 0 OR event_id % 5 = 0 OR event_id % 7 > 2 OR event_id % 11 = 0 THEN 'failed' ELSE 'success' END AS status FROM events""")
@@ -113,7 +114,7 @@ def trial_statuses(spark, sf_dir):
     """F15"""
     e = F.col("event_id")
     code, readable = F.when(e % 6 == 0, 1).otherwise(0), F.when(e % 5 != 0, F.lit(True))
-    return spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", report.trial_status(code, readable, F.greatest(F.lit(0), e % 7 - 2), F.when(e % 11 != 0, e)).alias("status"))
+    return read_table(spark, f"{sf_dir}/events.parquet").select("event_id", report.trial_status(code, readable, F.greatest(F.lit(0), e % 7 - 2), F.when(e % 11 != 0, e)).alias("status"))
 
 
 @query("""WITH d AS (SELECT doc_id, len(string_split(text, chr(10))) AS n FROM documents)

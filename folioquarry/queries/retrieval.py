@@ -9,6 +9,7 @@ from ..operators import answers, retrieval, search, spans
 from ..operators.reading import page_text_plain
 from ..operators.spatial import PAGE
 from ..sources import layout_text as L
+from ..sources.files import read_table
 from .registry import FIXTURES, KEY, Registry
 
 query = Registry()
@@ -85,7 +86,7 @@ w AS (SELECT *, sum(cost) OVER (ORDER BY priority, fingerprint) AS running, (SEL
 SELECT conv_id, turn, CASE WHEN running <= total // 3 THEN 'cache' ELSE 'deferred' END AS origin, CASE WHEN running <= total // 3 THEN CAST(length(text) AS VARCHAR) END AS answer FROM i JOIN w USING (fingerprint)""".replace("\\\\", "\\"))
 def budgeted_answers(spark, sf_dir):
     """The turns of all conversations, first turns first, up to a third of all words; then again with what was answered, for nothing."""
-    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", F.coalesce("text", F.lit("")).alias("text"))
+    turns = read_table(spark, f"{sf_dir}/conversations.parquet").select("conv_id", "turn", F.coalesce("text", F.lit("")).alias("text"))
     inputs = turns.withColumn("cost", F.size(F.regexp_extract_all("text", F.lit(r"[^ \t\n\x0c\r]+"), F.lit(0)))).withColumn("priority", F.least("turn", F.lit(2)).cast("int"))
     total = answers.open_requests(inputs, None, _MODEL).agg(F.sum("cost")).first()[0] or 0
     _, cache = answers.serve(inputs, None, _MODEL, budget=total // 3)

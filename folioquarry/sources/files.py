@@ -18,6 +18,23 @@ ARTIFACT_KINDS = (
 GENERIC_FOLDERS = ("input", "inputs")
 
 
+#: Bytes of a table up to which its rows are dealt over all cores where its files are fewer than these.
+SMALL_TABLE = 256 << 20
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet table. A small one in few files, which few tasks would read and work, is dealt over all cores once it is read; others are read as they lie."""
+    table = spark.read.parquet(path)
+    found, cores = table._jdf.inputFiles(), spark.sparkContext.defaultParallelism
+    if len(found) >= cores:
+        return table
+    size = 0
+    for f in found:
+        at = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(f))
+        size += at.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(at).getLen()
+    return table.repartition(cores) if size <= SMALL_TABLE else table
+
+
 def is_supported(path: Column) -> Column:
     """S2"""
     return suffix(path).isin(*SUFFIXES)

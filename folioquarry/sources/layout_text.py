@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.geometry import box, union_box
+from .files import read_table
 
 LINES_A_PAGE = 40
 
@@ -37,4 +38,4 @@ def tables(docs: DataFrame) -> DataFrame:
 
 
 def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return read_table(spark, f"{sf_dir}/documents.parquet")
