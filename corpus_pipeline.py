@@ -4,6 +4,11 @@ Language ID drops documents in which no language can be told; line dedup deletes
 repeated line runs and the documents that this leaves without words; the n-gram Jaccard join keeps
 one document of each group of near duplicates; mixing takes sources to their target weights, rows
 repeated as often as they are taken; encoding adds the pieces of every text.
+
+Defined results, of ``run`` and of each stage as its operator has them: rows with a null or empty text, or one without letters, have no language and go; null sources are a source, and null
+labels are not learned from; rows without an id are never near duplicates of others, and are mixed like all; of repeated rows of one id all stay until they are mixed; ties
+go to the least id, and among rows of one id to their contents; texts of any length are worked whole; an empty table gives no rows, with the same columns; extra columns are handed on,
+those named as a stage's own columns too (only the last stage's ``ids`` replaces one).
 """
 
 from __future__ import annotations
@@ -30,22 +35,27 @@ def _filtered(docs: DataFrame, work: Callable[[DataFrame], DataFrame], *added: s
 
 
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which a language can be told, as they are."""
     return _filtered(docs, lambda d: identify(d, learn(d)).where(F.col("lang_pred") != UNDETERMINED), "lang_pred", "score")
 
 
 def dedup_line_runs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without later copies of line runs; documents that lost all of their words go, others without words stay."""
     return _filtered(docs, lambda d: dedup_lines(d).where((F.col("removed_lines") == 0) | F.col("text").rlike(WORD)), "removed_lines")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates; documents without words, or without an id, stay."""
     return first_of_components(docs, words=5, percent=80)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every row as often as its source's target takes it, which may be not at all."""
     return mix(docs)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every row with the pieces of its text; a null text has none."""
     return encode(docs)
 
 
