@@ -8,14 +8,13 @@ buckets: two sets of similarity s share one of the ``BANDS`` buckets with probab
 Odd sketch. Each shingle flips one of ``BITS`` bits. In the difference of two such sketches the shingles in common cancel, so it has at most as many
 bits as the sets differ in shingles: a pair with more than a link allows is none, without error, and for sets of a few hundred shingles little else is left.
 
-Stars. All that share a bucket are candidates, but pairs are never listed: each member of a bucket is paired with its hub,
-the member of least hash. Pairs whose sketches agree in less than three fifths of the bins (five standard deviations or more below 0.8, as simulated for sets of
-5 to 1000 shingles), or whose sizes cannot link, are left; the others are confirmed on their full sets.
+Stars. All that share a bucket are candidates, but pairs are never listed. The members of least hash, eight expected, are the bucket's hubs; every other member is paired
+with the first hub, in order of hash, that its sketches leave open: one pair a member and bucket at most. Open are pairs whose sketches agree in three fifths of the bins (five standard deviations or more below 0.8,
+as simulated for sets of 5 to 1000 shingles), whose odd sketches and whose sizes could link. They are confirmed on their full sets.
 
-The rest. Two members of a bucket may link though neither links to the hub. Buckets that hold documents of several components go on to a next
-round with eight expected hubs, then 512, and so on: the members whose hash is below a threshold that grows to the whole range. A member is compared only with
-hubs that it is not connected to, by sketches held in a task, and what is left is confirmed. After the last round every two documents of a bucket are compared or connected,
-so components are those of all candidate pairs. In a group of near copies, most members find their component in the first rounds.
+The rest. Two members of a bucket may link though neither links to a hub. Buckets that hold documents of several components go on: their members are compared, by sketches held in a task, with the 4096 members of least
+hash (expected) that they are not connected to, and, in larger buckets, with further ones, up to all; what is open is confirmed. So every two documents of a bucket are compared or connected, and
+components are those of all candidate pairs. In a group of near copies most members find their component by the stars.
 
 Skew. Equal sets are one node. Bucket members are counted, and hubs found, by aggregates that begin before the shuffle; the queries of a bucket
 are dealt to several tasks, each with the hubs of the round, and so are the partners of one hub. Sets are held one at a time, except a hub's.
@@ -45,10 +44,10 @@ BITS = 1024
 WIDTH = BINS + BITS // 8
 #: Bins in which the sketches of a pair must agree before its sets are compared.
 AGREEING = 3 * BINS // 5
-#: Expected hubs of a bucket in the second round, and how many times more each further round has.
-HUBS, GROWTH = 8, 64
+#: Expected hubs of a star; expected members of a bucket that are compared with all in the round after it, and how many times more in each further round.
+STARS, HUBS, GROWTH = 8, 4096, 64
 #: Members of a bucket, or partners of a hub, that go to one task.
-ASKERS = 2000
+ASKERS = 1000
 PARTNERS = 200
 
 
@@ -122,30 +121,15 @@ def _sketches(words: int):
     return run
 
 
-def _alike(percent: int):
-    """Rows (doc_id, n, sketch, hub, hub_n, hub_sketch) -> pairs (doc_id, hub) that their sketches and sizes leave open."""
-
-    def run(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            own, other = (_bytes(batch.column(k)) for k in (2, 5))
-            ok = open_pairs(own, other, batch.column(1).to_numpy(), batch.column(4).to_numpy(), percent)
-            mask = pa.array(ok)
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(3).filter(mask)], names=["a", "b"])
-
-    return run
-
-
 def _bytes(column) -> np.ndarray:
     """Sketches as rows of bytes."""
     return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(-1, WIDTH)
 
 
-def _compared(percent: int):
+def _compared(percent: int, first_only: bool):
     """Rows (bucket, copy, hub, doc_id, order, component, n, sketch) of a bucket's copy, hubs first, in order -> pairs still apart that the sketches leave open.
 
-    A row is compared with the hubs that come before it in order, which have all been read by then.
+    A row is compared with the hubs that come before it in order, which have all been read by then; with ``first_only`` it is paired with the first open one.
     """
 
     def run(batches):
@@ -164,14 +148,17 @@ def _compared(percent: int):
                     key, held = keys[lo].copy(), []
                 for i in np.flatnonzero(hub[lo:hi]) + lo:
                     held.append((ids[i], order[i], component[i], n[i], bytes_[i].copy()))
+                free = np.ones(hi - lo, dtype=bool)
                 for one, first, of, size, low in held:
                     # every row that comes after the hub, and is not connected to it
                     later = (order[lo:hi] > first) | ((order[lo:hi] == first) & (ids[lo:hi] > one))
-                    at = np.flatnonzero(later & (component[lo:hi] != of)) + lo
+                    at = np.flatnonzero(free & later & (component[lo:hi] != of)) + lo
                     if len(at):
                         at = at[open_pairs(bytes_[at], low, n[at], size, percent)]
                         a.append(ids[at])
                         b.append(np.full(len(at), one))
+                        if first_only:
+                            free[at - lo] = False
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
 
@@ -212,36 +199,34 @@ def _near_duplicates(docs: DataFrame, words: int, percent: int) -> DataFrame:
     copies = small(rows.where("first <> doc_id").select("doc_id", "text_hash").distinct(), BROADCAST_IDS)
     node = sketches.where("n > 0 AND doc_id IS NOT NULL").join(copies, ["doc_id", "text_hash"], "left_anti")
     members = node.select(F.explode("buckets").alias("bucket"), "doc_id")
-    hubs = members.groupBy("bucket").agg(F.count("*").alias("members"), F.min_by("doc_id", _order()).alias("hub"))
-    shared = written(members.join(hubs.where("members > 1"), "bucket"))
+    several = members.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
+    shared = written(members.join(several, "bucket"))
     own = node.select("doc_id", "n", "sketch")
-    star = shared.where("doc_id <> hub").select("doc_id", "hub").distinct()
-    hub = small(written(own.join(star.select(F.col("hub").alias("doc_id")).distinct(), "doc_id", "left_semi").toDF("hub", "hub_n", "hub_sketch")))
-    open_ = star.join(own, "doc_id").join(hub, "hub").select("doc_id", "n", "sketch", "hub", "hub_n", "hub_sketch")
-    pairs = written(mapped(open_, _alike(percent), "a bigint, b bigint").distinct())
     near = small(written(shared.select("doc_id").distinct()), BROADCAST_IDS)
     tokens = written(mapped(texts.join(copies, ["doc_id", "text_hash"], "left_anti").join(near, "doc_id", "left_semi").select("doc_id", "text"), _tokens(words), "doc_id bigint, tokens binary"))
-    links = written(_confirmed(pairs, tokens, percent))
+
+    def open_(some: DataFrame, begin: int, end: int, first_only: bool) -> DataFrame:
+        """Open pairs of rows (bucket, doc_id, members, component) with those of their bucket whose share of the order is from ``begin`` to ``end`` members."""
+        share = F.col("order").cast("double") / float(1 << 63) * F.col("members")
+        placed = some.withColumn("order", _order()).withColumn("share", share).where(F.col("share") >= begin).join(own, "doc_id")
+        is_hub, tasks = F.col("share") < end, F.ceil(F.col("members") / ASKERS).cast("int")
+        copy = F.explode(F.when(is_hub, F.sequence(F.lit(0), tasks - 1)).otherwise(F.array(F.pmod(F.xxhash64("doc_id"), tasks).cast("int"))))
+        asking = placed.withColumns({"hub": is_hub, "copy": copy}).select("bucket", "copy", "hub", "doc_id", "order", "component", "n", "sketch")
+        asking = asking.repartition("bucket", "copy").sortWithinPartitions("bucket", "copy", F.col("hub").desc(), "order", "doc_id")
+        return written(mapped(asking, _compared(percent, first_only), "a bigint, b bigint").distinct())
+
+    links = written(_confirmed(open_(shared.withColumn("component", F.col("doc_id")), 0, STARS, True), tokens, percent))
     most = shared.agg(F.max("members")).first()[0] or 0
     begin, end = 0, HUBS
-    while most > 2 and begin < most:
+    while begin < most:
         of = components(links).withColumnRenamed("node", "doc_id")
-        placed = shared.select("bucket", "doc_id", "members").join(of, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+        placed = shared.join(of, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
         apart = placed.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.any_value("members").alias("m"))
-        apart = written(apart.where(F.col("a") != F.col("b")).where(F.col("m") > max(begin, 2)).select("bucket"))
+        # in smaller buckets all have met all others: two members in their star, and more in the rounds before
+        apart = written(apart.where(F.col("a") != F.col("b")).where(F.col("m") > max(begin, min(STARS, 2))).select("bucket"))
         if apart.isEmpty():
             break
-        share = _order().cast("double") / float(1 << 63) * F.col("members")
-        # members whose hash is below those of earlier rounds have been hubs: they have met all others
-        still = placed.join(small(apart), "bucket").withColumn("share", share).where(F.col("share") >= begin).drop("share")
-        still = still.join(own, "doc_id").withColumn("order", _order())
-        is_hub = F.col("order").cast("double") / float(1 << 63) * F.col("members") < end
-        tasks = F.ceil(F.col("members") / ASKERS).cast("int")
-        asking = still.withColumns({"hub": is_hub, "copy": F.explode(F.when(is_hub, F.sequence(F.lit(0), tasks - 1)).otherwise(F.array(F.pmod(F.xxhash64("doc_id"), tasks).cast("int"))))})
-        asking = asking.select("bucket", "copy", "hub", "doc_id", "order", "component", "n", "sketch")
-        asking = asking.repartition("bucket", "copy").sortWithinPartitions("bucket", "copy", F.col("hub").desc(), "order", "doc_id")
-        pairs = written(mapped(asking, _compared(percent), "a bigint, b bigint").distinct())
-        links = written(links.unionByName(_confirmed(pairs, tokens, percent)))
+        links = written(links.unionByName(_confirmed(open_(placed.join(small(apart), "bucket"), begin, end, False), tokens, percent)))
         begin, end = end, end * GROWTH
     edges = links.select("a", "b").union(rows.where("first <> doc_id").select("first", "doc_id"))
     found = components(edges)
