@@ -10,8 +10,11 @@ Defined results: null texts and texts without a letter are ``und`` with score 0;
 ids are not learned from but are predicted; repeated rows get a row each; without any labelled text
 every prediction is ``und``; with one language only, that language with score 1; of labels that win as many
 duels the surer one is taken, then the first by code point; an empty table gives no rows; a text of any length
-is read whole, in blocks; further columns are kept, but ``lang_pred`` and ``score`` are replaced. More labels than
-``most_labels`` are refused: each costs the driver ``per_language`` vectors and tasks a machine per pair of its family.
+is read whole, in blocks; further columns are kept, but ``lang_pred`` and ``score`` are replaced.
+
+Many labels. ``MOST_TEXTS`` bounds the texts of all labels together, so more labels have fewer each. Where there are more than ``MOST_FAMILIES`` families, those of one
+label are gathered into as many groups as the root of their number, around labels that are far from each other, and a group is a family. Of more labels than ``most_labels`` those
+of most texts are learned, the first by code point among equals; the others are predicted as what they are nearest to. Nothing is refused.
 """
 
 from __future__ import annotations
@@ -27,7 +30,9 @@ from .common import mapped, written
 from .wordhash import SEPARATOR, blocks, byte_rows, word_hashes
 
 DIMENSIONS = 1 << 12
-PER_LANGUAGE, MOST_LABELS = 400, 64
+PER_LANGUAGE, MOST_LABELS, MOST_TEXTS = 400, 256, 25_600
+#: Families above which labels without a known family are gathered into groups.
+MOST_FAMILIES = 32
 #: The constant feature of the machines, and the scale at which vectors are sent.
 BIAS, SCALE = 0.3, 65_535
 UNDETERMINED = "und"
@@ -137,6 +142,23 @@ class Duels:
         return self.labels[best], float(least[best])
 
 
+def families_of(x: np.ndarray, langs: np.ndarray) -> np.ndarray:
+    """The family of each row: that of its label, or, where there are too many families, that of the group of like labels that its label is in."""
+    names = sorted(set(langs))
+    family = {lang: FAMILY_OF.get(lang, lang) for lang in names}
+    alone = [lang for lang in names if list(family.values()).count(family[lang]) == 1]
+    if len(set(family.values())) > MOST_FAMILIES:
+        means = np.array([x[langs == lang].mean(axis=0) for lang in alone])
+        means /= np.linalg.norm(means, axis=1, keepdims=True)
+        likeness = means @ means.T
+        heads = [0]
+        while len(heads) < round(len(alone) ** 0.5):  # the label that is least like the heads so far, the first of equals
+            heads.append(int(likeness[heads].max(axis=0).argmin()))
+        nearest = likeness[heads].argmax(axis=0)
+        family |= {lang: f"like {alone[heads[k]]}" for lang, k in zip(alone, nearest, strict=True)}
+    return np.array([family[lang] for lang in langs])
+
+
 @dataclass
 class LanguageModel:
     families: Duels | None
@@ -147,7 +169,7 @@ class LanguageModel:
         if not labels:
             return cls(None, {})
         langs, rows = np.array(labels), np.arange(len(labels))
-        family = np.array([FAMILY_OF.get(lang, lang) for lang in labels])
+        family = families_of(x, langs)
         return cls(Duels.fit(x, family, rows), {f: Duels.fit(x, langs[family == f], rows[family == f]) for f in sorted(set(family))})
 
     def predict(self, data: np.ndarray | None) -> tuple[str, float]:
@@ -173,13 +195,12 @@ def _vectors(batches):
 
 
 def learn(docs: DataFrame, per_language: int = PER_LANGUAGE, most_labels: int = MOST_LABELS) -> LanguageModel:
-    """Fits on at most ``per_language`` texts of each label, those least by a hash of id and text."""
+    """Fits on at most ``per_language`` texts of each of the ``most_labels`` labels of most texts, those least by a hash of id and text."""
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().limit(most_labels + 1).collect()}
-    if len(counts) > most_labels:
-        raise ValueError(f"more than {most_labels} labels to learn; clean them, or raise most_labels")
+    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(most_labels).collect()}
     if not counts:
         return LanguageModel.fit(np.empty((0, DIMENSIONS)), [])
+    per_language = max(1, min(per_language, MOST_TEXTS // len(counts)))
     # a share by hash of about three times what is wanted keeps the ranking small; no sort of all rows
     share = F.lit(0.0)
     for lang, n in counts.items():
