@@ -153,7 +153,7 @@ def repair(turns: DataFrame) -> DataFrame:
     repaired = F.concat(
         F.flatten(F.transform("turns", lambda t, i: _edited(t, F.get("edits", i)))), _inserted(F.regexp_extract("best.edits", "[IJ]*$", 0))
     )
-    gaps = F.coalesce(F.least(F.col("high") - F.col("low") + 1 - F.col("numbers"), F.lit(LONGEST)), F.lit(0)).cast("bigint")
+    gaps = F.least(F.coalesce(F.col("high") - F.col("low") + 1 - F.col("numbers"), F.lit(0)), F.lit(LONGEST)).cast("bigint")
     return each.select("conv_id", gaps.alias("gaps"), *counts, F.col("best.cost").alias("cost"), F.translate("best.edits", "JS", "IR").alias("audit"), repaired.alias("turns"))
 
 
