@@ -17,6 +17,9 @@ def components(edges: DataFrame) -> DataFrame:
     neighbours are gathered: minima are written first, so few of them are broadcast, and where they are many
     both sides of the join are dealt anew and Spark splits the edges of a node that has too many.
     Each round is written, so a lost executor costs one round at most.
+
+    Edges from a node to itself, repeated edges and their direction change nothing; nodes without an edge to another are not in the result; edges with a
+    null end are left out; no edges give no rows; further columns are not read.
     """
     with scratch(edges.sparkSession):
         stars = written(_stars(edges), keep=True)

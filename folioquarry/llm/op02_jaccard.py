@@ -342,7 +342,10 @@ def _components(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
 
 def first_of_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document, the least id, of each component; documents without words and null ids stay."""
+    """``docs`` with one document, the least id, of each component; documents without words and null ids stay.
+
+    Rows that share the least id all stay, equal ones too; all columns are kept, whatever their names; texts count whole; an empty table gives no rows.
+    """
     columns = docs.columns
     others = small(written(jaccard_components(docs, words, percent).where("component_id <> doc_id").select("doc_id").distinct()))
     return docs.join(others, "doc_id", "left_anti").select(*columns)

@@ -105,6 +105,7 @@ def within(queries: DataFrame, prints: DataFrame, radius: int = 3, spare: int =
 
     Both have a column ``fp`` of distinct values. A pair is reported once, by the first table that it agrees
     in; ``greater`` leaves only fp > q. A side of few rows is broadcast, else both are dealt by table and key.
+    Null fingerprints match nothing; values that are not distinct give a row for each; empty sides give no rows; further columns are not read.
     """
     blocks = radius + spare
     edge = [round(64 * i / blocks) for i in range(blocks + 1)]
@@ -127,14 +128,17 @@ def near_pairs(prints: DataFrame, radius: int = 3, spare: int = 3) -> DataFrame:
     """Pairs (a < b, distance) of distinct fingerprints in column ``fp`` within ``radius`` bits.
 
     Identical fingerprints are one node: join ``prints`` on ``fp`` for the documents of each, rather than
-    expanding them into pairs.
+    expanding them into pairs. Null fingerprints, an empty table and a single value give no pairs; further columns, whatever their names, are not read.
     """
     own = prints.select("fp").distinct().where("fp is not null")
     return within(own, own, radius, spare, greater=True).select(F.col("q").alias("a"), F.col("fp").alias("b"), "distance")
 
 
 def near_counts(prints: DataFrame, asked: Column, radius: int = 3, spare: int = 3) -> DataFrame:
-    """(fp, n_near) for the fingerprints of rows that are ``asked``: how many rows lie within ``radius`` bits, the fingerprint's own included."""
+    """(fp, n_near) for the fingerprints of rows that are ``asked``: how many rows lie within ``radius`` bits, the fingerprint's own included.
+
+    Rows of one fingerprint count each; null fingerprints, and tables without rows or without any that is asked, give no rows.
+    """
     own = prints.groupBy("fp").agg(F.count("*").alias("rows"))
     queries = small(written(prints.where(asked).select("fp").distinct()), 10_000)
     found = within(queries, own.select("fp"), radius, spare)

@@ -471,7 +471,10 @@ def encode(docs: DataFrame, model_path: str = MODEL_PATH, giant: int = GIANT, ch
 
 
 def decode(encoded: DataFrame, model_path: str = MODEL_PATH) -> DataFrame:
-    """``encoded`` with ``text`` from ``ids``."""
+    """``encoded`` with ``text`` from ``ids``; null ids give a null text, empty ones an empty text, and ``text``, if there is one, is replaced.
+
+    Rows are decoded one by one, of any length, so repeated rows stay as many as they are and an empty table gives no rows; all other columns are kept.
+    """
     spark = encoded.sparkSession
     model = model_bytes(spark, model_path)
     kept = [c for c in encoded.columns if c not in ("ids", "text")]

@@ -67,5 +67,8 @@ def assign_shards(df: DataFrame, key: str, shards=SHARDS, size: int = TABLE_SIZE
 
 
 def write_shards(df: DataFrame, key: str, path: str, shards=SHARDS, size: int = TABLE_SIZE) -> None:
-    """Writes one folder per shard; rows of a shard are spread over the tasks that hold them."""
+    """Writes one folder per shard; rows of a shard are spread over the tasks that hold them.
+
+    All columns are kept but ``shard`` and ``slot``, which are those of ``assign_shards``; keys that are null or repeated are placed as it says, and an empty table writes no folder.
+    """
     assign_shards(df, key, shards, size).drop("slot").write.partitionBy("shard").parquet(path)
