@@ -112,6 +112,29 @@ def document_results(pages: DataFrame, documents: DataFrame) -> DataFrame:
     return joined.select("doc_id", "source_pdf", F.element_at(F.split("source_pdf", "/"), -1).alias("source_file_name"), F.size("pages").alias("page_count"), "pages")
 
 
+def run_results(pages: DataFrame, documents: DataFrame, artifacts: DataFrame | None = None, context: Context = Context()) -> DataFrame:
+    """The results of single-document runs, a row per document: ids of the run, pages, and what the first page tells of all.
+
+    ``pages``: doc_id, page_index and whatever a page holds; of these the first page's coord_space, layout_provider and image (width, height), if there are such columns, are the
+    document's. ``artifacts``: doc_id, kind, uri, one of each; a document without pages has none of its own facts. With table refinement the options are those of
+    ``options_of(engine="paddle")``; the shape is the same.
+    """
+    first = lambda c: F.min_by(c, "page_index").alias(c)
+    known = [c for c in ("coord_space", "layout_provider", "width", "height") if c in pages.columns]
+    held = F.struct("page_index", *[c for c in pages.columns if c not in ("doc_id", "page_index")])
+    own = pages.groupBy("doc_id").agg(
+        F.count("*").alias("page_count"), *[first(c) for c in known], F.array_sort(F.collect_list(held), lambda a, b: a["page_index"] - b["page_index"]).alias("pages"),
+    )
+    out = run_ids(documents.select("doc_id", F.col("file_uri").alias("pdf_path")), context).join(own, "doc_id", "left").withColumn("page_count", F.coalesce("page_count", F.lit(0)))
+    if "coord_space" in known:
+        out = out.withColumn("coord_space", F.coalesce("coord_space", F.lit("mineru_layout")))
+    none = F.array().cast("array<struct<kind: string, uri: string>>")
+    if artifacts is None:
+        return out.withColumn("artifacts", none)
+    listed = artifacts.select("doc_id", "kind", "uri").distinct().groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("kind", "uri"))).alias("artifacts"))
+    return out.join(listed, "doc_id", "left").withColumn("artifacts", F.coalesce("artifacts", none))
+
+
 def relocated(value: Column, relocations: list[tuple[str, str]]) -> Column:
     """Open JSON (VARIANT) in which every string that is an old folder, or a path below it, names the new one; the first folder that fits decides.
 

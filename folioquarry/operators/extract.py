@@ -31,6 +31,15 @@ def plain_text_parser(content: bytes | str, options: dict[str, Any]) -> list[dic
 
 
 PARSERS: dict[str, Extractor] = {"plain_text": plain_text_parser}
+#: Page rows of parsers that have a schema of their own, by name.
+SCHEMAS: dict[str, str] = {}
+
+
+def register_parser(name: str, parser: Extractor, schema: str = PAGE_ROWS) -> None:
+    """A parser by name, with the schema (DDL) of the rows that it gives, doc_id first. Its module must be importable by the workers."""
+    if not schema.replace(" ", "").startswith("doc_idbigint"):
+        raise OperatorError("a parser's schema begins with doc_id bigint", code="INVALID_OPERATOR_OPTION")
+    PARSERS[name], SCHEMAS[name] = parser, schema
 
 
 @register
@@ -43,16 +52,21 @@ class ExtractPages(RowOperator):
     retry = Retry(attempts=3)
 
     def __init__(self, parser: str = "plain_text", options: dict[str, Any] | None = None) -> None:
+        if parser not in PARSERS:
+            raise OperatorError(f"no parser {parser}", code="INVALID_OPERATOR_OPTION")
         self.parser, self.options = parser, dict(options or {})
+        self.parse, self.output = PARSERS[parser], SCHEMAS.get(parser, PAGE_ROWS)
 
     def process_row(self, context: Context, row: dict[str, Any]):
         if not isinstance(row["text"], str) or not row["text"].strip():
             raise OperatorError("document has no content", code="EMPTY_DOCUMENT")
-        return [{"doc_id": row["doc_id"], **page} for page in PARSERS[self.parser](row["text"], self.options)]
+        return [{"doc_id": row["doc_id"], **page} for page in self.parse(row["text"], self.options)]
 
 
 def extract(docs: DataFrame, parser: str = "plain_text", options: dict[str, Any] | None = None, partitions: int | None = None) -> DataFrame:
     """Page rows with an ``error`` struct on documents that failed. ``partitions`` is the concurrency, where a parser needs one."""
+    if partitions is not None and (isinstance(partitions, bool) or partitions < 1):  # V12
+        raise OperatorError("concurrency must be a positive number", code="INVALID_OPERATOR_OPTION")
     rows = docs.select("doc_id", "text")
     rows = rows.repartition(partitions) if partitions else rows
     return ExtractPages(parser, options).transform(rows, errors=True)

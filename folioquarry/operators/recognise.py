@@ -228,6 +228,16 @@ def refine(documents: DataFrame, blocks: DataFrame, candidates: DataFrame, pages
     return Refined(outcomes, of, tables.merge_refined(blocks, of, cells, emit_cells=options.emit_cells, replace=options.replace))
 
 
+def write_artifacts(refined: Refined, path: str) -> DataFrame:
+    """The artifacts as JSON lines below ``path``, in one folder a run, and (doc_id, kind, uri, table_count, cell_count, content_type) that refer to them."""
+    made = artifact(refined)
+    made.write.mode("errorifexists").parquet(path)
+    v = F.parse_json("json")
+    count = lambda name: F.try_variant_get(v, f"$.{name}", "bigint").alias(name)
+    read = made.sparkSession.read.parquet(path)
+    return read.select("doc_id", F.lit("paddle_table_json").alias("kind"), F.concat(F.lit(path.rstrip("/") + "#"), F.col("doc_id").cast("string")).alias("uri"), count("table_count"), count("cell_count"), F.lit("application/json").alias("content_type"))
+
+
 def artifact(refined: Refined) -> DataFrame:
     """Z3: one JSON per document with a recognised table: normalised tables by page, and what the readers said, in order."""
     table = F.struct("table_no", "box", "html", "cells")

@@ -109,6 +109,39 @@ def best_trials(trials: DataFrame, *keys: str) -> DataFrame:
     return best.select(*keys, *[f"b.{c}" for c in body])
 
 
+def workbook(trials: DataFrame, key: str) -> DataFrame:
+    """The rows of a benchmark's sheets: every key's best trial in the sheet ``summary``, and all trials of a key, in order of time, in a sheet of its name."""
+    best = best_trials(trials, key).withColumn("sheet", F.lit("summary"))
+    body = [c for c in trials.columns if c != key]
+    every = trials.withColumn("sheet", F.lower(F.col(key).cast("string"))).select("sheet", key, *body).unionByName(best.select("sheet", key, *body))
+    place = F.row_number().over(Window.partitionBy("sheet").orderBy("elapsed", "seconds_per_page", key, *[c for c in body if c not in ("elapsed", "seconds_per_page")]))
+    return every.select("sheet", place.alias("place"), key, *body)
+
+
+def save_state(trials: DataFrame, path: str) -> str:
+    """A benchmark's state, whole or not at all: written under a new name, which the file ``current`` then takes over in one rename; returns the name."""
+    import uuid
+
+    spark, name = trials.sparkSession, uuid.uuid4().hex
+    trials.write.parquet(f"{path}/{name}")
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    new, current = hadoop.Path(f"{path}/{name}.current"), hadoop.Path(f"{path}/current")
+    files = current.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = files.create(new, True)
+    out.write(bytearray(name, "ascii"))
+    out.close()
+    if files.exists(current):
+        files.delete(current, False)
+    files.rename(new, current)
+    return name
+
+
+def load_state(spark, path: str) -> DataFrame:
+    """The state that was saved last."""
+    name = spark.read.text(f"{path}/current").first()[0]
+    return spark.read.parquet(f"{path}/{name}")
+
+
 def has_failure(trials: DataFrame, *keys: str) -> DataFrame:
     """F16: distinct keys with a failed trial."""
     return trials.where(~F.col("success")).select(*keys).distinct()

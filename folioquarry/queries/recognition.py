@@ -10,7 +10,7 @@ from ..operators.search import keyword_table
 from ..operators.spatial import PAGE
 from ..plans import document_results_plan
 from ..sources import layout_text as L
-from .registry import FIXTURES, KEY, Registry
+from .registry import BLANKS, FIXTURES, Registry
 
 query = Registry()
 QUERIES, ORACLE_SQL = query.queries, query.sql
@@ -79,3 +79,37 @@ def whole_documents(spark, sf_dir):
     found = document_results_plan(docs, keyword_table(spark, list(_PROBES)), cells=L.cells(docs), tables_=L.tables(docs))
     pages = F.try_variant_get(F.parse_json("result"), "$.pages", "array<variant>")
     return found.select("doc_id", "error_code", "page_count", "block_count", "cell_count", "match_count", F.char_length("markdown").alias("markdown_chars"), F.size(pages).alias("pages_in_result"))
+
+
+@query(f"""WITH {FIXTURES}, p AS (SELECT doc_id, page_index, CAST(max(x + w) AS INT) AS width FROM blocks GROUP BY 1, 2), f AS (SELECT doc_id, arg_min(width, page_index) AS width, count(*) AS page_count FROM p GROUP BY 1)
+SELECT d.doc_id, 't' AS trace_id, 'r' AS run_id, coalesce(page_count, 0) AS page_count, CASE WHEN page_count IS NULL OR d.doc_id % 2 = 0 THEN 'mineru_layout' ELSE 'pixels' END AS coord_space,
+  CASE WHEN page_count IS NOT NULL THEN 'model ' || coalesce(d.lang, 'none') END AS layout_provider, f.width, CASE WHEN d.doc_id % 3 = 0 THEN '' ELSE 'markdown:out/' || d.doc_id || '.md' END AS artifacts FROM documents d LEFT JOIN f USING (doc_id)""")
+def run_results(spark, sf_dir):
+    """Results of single-document runs, with what the first page tells."""
+    from ..operators.base import Context
+    from ..operators.documents import run_results as results
+
+    docs = L.read_documents(spark, sf_dir)
+    space = F.when(F.col("doc_id") % 2 == 1, "pixels")
+    pages = L.blocks(docs).groupBy(*PAGE).agg(F.max(F.col("box.x") + F.col("box.w")).alias("width"), F.count("*").alias("n_blocks"))
+    pages = pages.join(docs.select("doc_id", F.concat(F.lit("model "), F.coalesce("lang", F.lit("none"))).alias("layout_provider")), "doc_id").withColumn("coord_space", space)
+    name = F.concat(F.lit("out/"), F.col("doc_id").cast("string"), F.lit(".md"))
+    artifacts = docs.where("doc_id % 3 > 0").select("doc_id", F.lit("markdown").alias("kind"), name.alias("uri"))
+    found = results(pages, docs.select("doc_id", F.lit("x.pdf").alias("file_uri")), artifacts.unionByName(artifacts), Context(trace_id="t", run_id="r"))
+    shown = F.array_join(F.transform("artifacts", lambda a: F.concat(a["kind"], F.lit(":"), a["uri"])), ",")
+    return found.select("doc_id", "trace_id", "run_id", "page_count", "coord_space", "layout_provider", "width", shown.alias("artifacts"))
+
+
+@query(f"""WITH {FIXTURES}, p AS (SELECT DISTINCT doc_id, page_index FROM blocks), o AS (SELECT * FROM blocks b WHERE NOT EXISTS (SELECT 1 FROM tables t WHERE t.doc_id = b.doc_id AND t.page_index = b.page_index AND {_IN_TABLE})),
+m AS (SELECT doc_id, page_index, 0 AS kind, line_no, text FROM o UNION ALL SELECT doc_id, page_index, 2, row_index * 1000 + col_index, text FROM cells),
+s AS (SELECT doc_id, page_index, string_agg(trim(text, {BLANKS}), chr(10) ORDER BY kind, line_no, text) AS text FROM m WHERE trim(text, {BLANKS}) <> '' GROUP BY 1, 2), t AS (SELECT doc_id, page_index, 1 AS n FROM tables)
+SELECT doc_id, page_index, sha256(coalesce(text, '')) AS text_sha256, CAST(coalesce(n, 0) AS INT) AS n_tables FROM (SELECT DISTINCT doc_id, page_index FROM m) LEFT JOIN s USING (doc_id, page_index) LEFT JOIN t USING (doc_id, page_index)""")
+def merged_page_texts(spark, sf_dir):
+    """The texts of pages anew after their tables were merged, beside the tables."""
+    from ..operators import tables
+
+    docs = L.read_documents(spark, sf_dir)
+    merged = tables.merge_refined(L.blocks(docs), L.tables(docs), L.cells(docs))
+    own = L.tables(docs).withColumn("table_no", F.lit(0))
+    pages = tables.with_tables(tables.merged_texts(merged), own)
+    return pages.select(*PAGE, F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"), F.size("tables").alias("n_tables"))

@@ -133,3 +133,14 @@ def reusable_results(spark, sf_dir):
     tasks = docs.select("doc_id", F.when(d % 5 > 0, F.when(d % 3 == 0, F.array(F.lit("a"))).otherwise(words)).alias("field_keywords"))
     listed = docs.select(path(".json").alias("path")).union(docs.where(d % 11 > 0).select(path(".pdf")))
     return report.reusable(results, tasks, listed)
+
+
+@query(f"""WITH {_EVENTS}, t AS (SELECT event_type, event_id, success, elapsed, CASE WHEN pages > 0 THEN round(elapsed / pages, 6) ELSE 1e9 END AS seconds_per_page FROM e),
+b AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY elapsed, seconds_per_page, event_id) AS n FROM t WHERE success),
+s AS (SELECT 'summary' AS sheet, event_type, event_id, success, elapsed, seconds_per_page FROM b WHERE n = 1 UNION ALL SELECT lower(event_type), event_type, event_id, success, elapsed, seconds_per_page FROM t)
+SELECT sheet, CAST(row_number() OVER (PARTITION BY sheet ORDER BY elapsed, seconds_per_page, event_type, event_id) AS INT) AS place, event_type, event_id, success, elapsed, seconds_per_page FROM s""")
+def benchmark_workbook(spark, sf_dir):
+    """The sheets of a benchmark of event types."""
+    of = _events(spark, sf_dir)
+    spp = F.when(F.col("pages") > 0, F.round(F.col("elapsed") / F.col("pages"), 6)).otherwise(F.lit(1e9))
+    return report.workbook(of.select("event_type", "event_id", "success", "elapsed", spp.alias("seconds_per_page")), "event_type")

@@ -173,3 +173,13 @@ def test_texts_that_the_page_says_are_not_appended(spark):
     assert sorted(r.text for r in got if r.origin == "appended") == ["altogether different words"]
     page = spark.createDataFrame([(1, 0, "altogether different words")], "doc_id long, page_index int, text string")
     assert not [r for r in merge_artifact_text(blocks, texts, page).collect() if r.text == "altogether different words"]
+
+
+def test_artifacts_are_written_and_referred_to(spark, tmp_path):
+    docs = spark.createDataFrame([(1, None), (2, None)], "doc_id long, mode string")
+    blocks = spark.createDataFrame([(d, 0, 0, "a | b", (10, 0, 100, 16)) for d in (1, 2)], f"doc_id long, page_index int, line_no int, text string, {BOX}")
+    none = spark.createDataFrame([], f"doc_id long, page_index int, candidate_no int, {BOX}, html string, content binary")
+    pages = spark.createDataFrame([(1, 0, b"a | b\nc | d"), (2, 0, b"prose")], "doc_id long, page_index int, content binary")
+    refined = R.refine(docs, blocks, none, pages, R.Options(), R.TextReader(), R.TextReader())
+    refs = R.write_artifacts(refined, f"file://{tmp_path}/artifacts").collect()
+    assert [(r.doc_id, r.kind, r.table_count, r.cell_count, r.uri.endswith("artifacts#1")) for r in refs] == [(1, "paddle_table_json", 1, 4, True)]
