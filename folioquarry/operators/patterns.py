@@ -16,10 +16,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .base import in_batches
+
 #: Words of a list that are sought by expressions of the JVM; longer lists by an automaton.
 PLAIN = 24
 #: Words, and their characters, that go to a worker at once.
 SLICE, SLICE_CHARS = 100_000, 4_000_000
+#: Hits, and bytes of the texts repeated with them, that leave a worker at once.
+HITS, HIT_BYTES = 8192, 4 << 20
 
 _built: dict[int, tuple[list[str], object]] = {}
 
@@ -59,69 +63,74 @@ def _holds_any(text: str, words: list[str]) -> Column:
     return hit
 
 
-def _each_slice(rows: DataFrame, words: DataFrame, word: str, text: str, more: T.StructType, plain: Callable[[list[str]], Column] | None, work) -> DataFrame:
-    """The union, over slices of the list, of ``rows`` with the columns ``more``, by expression where ``plain`` gives one for a short list, else by automaton."""
-    schema = T.StructType([*rows.schema.fields, *more.fields])
+def _each_slice(rows: DataFrame, words: DataFrame, word: str, text: str, more: T.StructType, plain: Callable[[list[str]], Column] | None, work, keep_text: bool = True) -> DataFrame:
+    """The union, over slices of the list, of ``rows`` with the columns ``more``, by expression where ``plain`` gives one for a short list, else by automaton.
+
+    Without ``keep_text`` the text is left out, and is not repeated for each hit on the way from the worker.
+    """
+    left = [c for c in rows.columns if keep_text or c != text]
+    schema = T.StructType([*[f for f in rows.schema.fields if f.name in left], *more.fields])
     out = None
     at = rows.columns.index(text)
     for some in slices(words, word):
         if len(some) <= PLAIN and plain:
-            found = rows.withColumn("_hit", F.explode(plain(some))).select(*[F.col(f"`{c}`") for c in rows.columns], "_hit.*")
+            found = rows.withColumn("_hit", F.explode(plain(some))).select(*[F.col(f"`{c}`") for c in left], "_hit.*")
         else:
             # of a short list, only texts that hold a word leave the JVM
             near = rows.where(_holds_any(text, some)) if len(some) <= PLAIN else rows
-            found = near.mapInArrow(_batches(work, some, at), schema)
+            found = in_batches(near, _batches(work, some, at, keep_text, more), schema)
         out = found if out is None else out.unionByName(found)
     if out is None:
-        out = rows.where("false").select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in more.fields])
+        out = rows.where("false").select(*[F.col(f"`{c}`") for c in left], *[F.lit(None).cast(f.dataType).alias(f.name) for f in more.fields])
     return out
 
 
-def _batches(work, words: list[str], at: int):
+def _batches(work, words: list[str], at: int, keep_text: bool, more: T.StructType):
     def run(batches):
         import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_schema
 
-        machine = automaton(words)
+        machine, kinds = automaton(words), to_arrow_schema(more)
         for batch in batches:
-            rows, columns = work(machine, words, batch.column(at).to_pylist())
-            if rows:
-                kept = batch.take(pa.array(rows, pa.int64()))
-                yield pa.RecordBatch.from_arrays([*kept.columns, *columns.values()], names=[*kept.schema.names, *columns])
+            left = batch if keep_text else batch.select([n for i, n in enumerate(batch.schema.names) if i != at])
+
+            def made(rows, hits, left=left):
+                kept = left.take(pa.array(rows, pa.int64()))
+                columns = [pa.array(c, f.type) for c, f in zip(zip(*hits, strict=True), kinds, strict=True)]
+                return pa.RecordBatch.from_arrays([*kept.columns, *columns], names=[*kept.schema.names, *kinds.names])
+
+            rows, hits, size = [], [], 0
+            for row, text in enumerate(batch.column(at).to_pylist()):
+                for hit in work(machine, words, text) if text else ():
+                    rows.append(row)
+                    hits.append(hit)
+                    size += 4 * len(text) if keep_text else 0
+                    if len(hits) >= HITS or size >= HIT_BYTES:
+                        yield made(rows, hits)
+                        rows, hits, size = [], [], 0
+            if hits:
+                yield made(rows, hits)
 
     return run
 
 
-def _occurrences(machine, words: list[str], texts: list[str | None]):
-    import pyarrow as pa
-
-    rows, which, starts, ends = [], [], [], []
-    for row, text in enumerate(texts):
-        free: dict[int, int] = {}
-        for last, (i, n) in machine.iter(text) if text else ():
-            start = last - n + 1
-            if start >= free.get(i, 0):
-                free[i] = last + 1
-                rows.append(row)
-                which.append(words[i])
-                starts.append(start)
-                ends.append(last + 1)
-    return rows, {"word": pa.array(which, pa.string()), "char_start": pa.array(starts, pa.int32()), "char_end": pa.array(ends, pa.int32())}
-
+def _occurrences(machine, words: list[str], text: str) -> Iterator[tuple[str, int, int]]:
+    free: dict[int, int] = {}
+    for last, (i, n) in machine.iter(text):
+        start = last - n + 1
+        if start >= free.get(i, 0):
+            free[i] = last + 1
+            yield words[i], start, last + 1
 
-def _held(machine, words: list[str], texts: list[str | None]):
-    import pyarrow as pa
 
-    rows, which = [], []
-    for row, text in enumerate(texts):
-        for i in sorted({i for _, (i, _) in machine.iter(text)}) if text else ():
-            rows.append(row)
-            which.append(words[i])
-    return rows, {"word": pa.array(which, pa.string())}
+def _held(machine, words: list[str], text: str) -> Iterator[tuple[str]]:
+    for i in sorted({i for _, (i, _) in machine.iter(text)}):
+        yield (words[i],)
 
 
-def occurrences(rows: DataFrame, words: DataFrame, word: str = "word", text: str = "text") -> DataFrame:
-    """``rows`` with (word, char_start, char_end), a row for each occurrence of a word of the list in the text."""
-    return _each_slice(rows, words, word, text, T.StructType.fromDDL("word string, char_start int, char_end int"), None, _occurrences)
+def occurrences(rows: DataFrame, words: DataFrame, word: str = "word", text: str = "text", keep_text: bool = True) -> DataFrame:
+    """``rows``, without their text if that is not to be kept, with (word, char_start, char_end), a row for each occurrence of a word of the list in the text."""
+    return _each_slice(rows, words, word, text, T.StructType.fromDDL("word string, char_start int, char_end int"), None, _occurrences, keep_text)
 
 
 def held(rows: DataFrame, words: DataFrame, word: str = "word", text: str = "text") -> DataFrame:
@@ -140,7 +149,7 @@ def holding(rows: DataFrame, words: DataFrame, word: str = "word", text: str = "
     at = rows.columns.index(text)
     flagged = rows.withColumn("_any", F.lit(False))
     for some in lists:
-        flagged = flagged.mapInArrow(_flags(some, at), flagged.schema)
+        flagged = in_batches(flagged, _flags(some, at), flagged.schema)
     return flagged.where("_any").drop("_any")
 
 

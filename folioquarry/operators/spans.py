@@ -41,7 +41,7 @@ def lexicon_spans(pages: DataFrame, words: DataFrame) -> DataFrame:
 
     The occurrences come from one pass over the texts; types are then joined to them by the word.
     """
-    found = patterns.occurrences(pages.select(*PAGE, "text"), words).drop("text")
+    found = patterns.occurrences(pages.select(*PAGE, "text"), words, keep_text=False)
     typed = found.join(words.where("word <> ''").select("word", "risk_type"), "word")
     return typed.select(*PAGE, F.col("word").alias("quote"), "risk_type", "char_start", "char_end")
 
@@ -52,7 +52,7 @@ def rule_hits(pages: DataFrame, rules: DataFrame) -> DataFrame:
     (doc_id, page_index, matched_text, category, rule_id, agent_id, hit_origin, char_start, char_end): the category is the rule's tag, the agent the
     one that the rule names; the origin of a word of a list is ``lexicon``. A word of several rules hits for each of them.
     """
-    found = patterns.occurrences(pages.select(*PAGE, "text"), rules).drop("text")
+    found = patterns.occurrences(pages.select(*PAGE, "text"), rules, keep_text=False)
     agent = F.col("agent_id").cast("string") if "agent_id" in rules.columns else F.lit(None).cast("string")
     named = rules.where("word <> ''").select("word", "rule_id", F.col("rule_tag").alias("category"), agent.alias("agent_id")).distinct()
     return found.join(named, "word").select(
