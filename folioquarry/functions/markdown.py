@@ -104,11 +104,11 @@ def row_of(cells: Column) -> Column:
 
 
 def spaced_apart(parts: Column, is_block: Callable[[Column], Column]) -> Column:
-    """The text of segments with an empty line on both sides of those that must stand alone."""
+    """The text of segments with an empty line on both sides of those that must stand alone; between two of these there is one, which the first brings."""
 
     def one(s: Column, i: Column) -> Column:
         before, after = F.get(parts, i - 1)["text"], F.get(parts, i + 1)["text"]
-        lead = F.when(before.isNull() | before.rlike(r"(^|\n)[ \t]*\n\z"), F.lit("")).when(before.endswith("\n"), F.lit("\n")).otherwise(F.lit("\n\n"))
+        lead = F.when(is_block(F.get(parts, i - 1)), F.lit("")).when(before.isNull() | before.rlike(r"(^|\n)[ \t]*\n\z"), F.lit("")).when(before.endswith("\n"), F.lit("\n")).otherwise(F.lit("\n\n"))
         last = after.isNull() | (T.strip(F.coalesce(after, F.lit(""))) == "")
         tail = F.when(last | after.rlike(r"^[ \t]*\n[ \t]*\n"), F.lit("")).when(after.rlike(r"^[ \t]*\n"), F.lit("\n")).otherwise(F.lit("\n\n"))
         return F.when(is_block(s), F.concat(lead, F.regexp_replace(s["text"], r"\n+\z", ""), tail)).otherwise(s["text"])
