@@ -118,9 +118,10 @@ def dedupe_blocks(blocks: DataFrame, least: float = 0.5) -> DataFrame:
 
     Only blocks of one key can meet, so the fold runs over a page's blocks of one key.
     """
-    keyed = blocks.withColumn("key", T.word_key(F.col("text"))).where("key <> ''")
+    keyed = blocks.withColumn("key", T.word_key(F.col("text")))
     entry = F.struct(F.col("box.y").alias("y"), F.col("box.x").alias("x"), "text", "line_no", "box")
-    same = keyed.groupBy(*PAGE, "key").agg(F.array_sort(F.collect_list(entry)).alias("items"))
+    # blocks without a key give no entry; a filter by the key would be pushed down and compute it again
+    same = keyed.groupBy(*PAGE, "key").agg(F.array_sort(F.collect_list(F.when(F.col("key") != "", entry))).alias("items"))
     kind = "array<struct<y: int, x: int, text: string, line_no: int, box: struct<x: int, y: int, w: int, h: int>>>"
 
     def step(acc: Column, b: Column) -> Column:
