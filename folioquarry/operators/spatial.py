@@ -97,11 +97,11 @@ def near_region(a: Column, b: Column) -> Column:
     return (G.overlap(a, b) >= 0.05) | (G.center_distance(a, b) <= 1.4)
 
 
-def fill_cells(cells: DataFrame, blocks: DataFrame, crowded: bool = False) -> DataFrame:
+def fill_cells(cells: DataFrame, blocks: DataFrame, crowded: bool = False, shown: Callable[[Column], Column] = lambda text: text) -> DataFrame:
     """(doc_id, page_index, cell_no, text, n_blocks, confidence) of cells that hold block centres.
 
     A block goes to the first cell (by cell_no) around its centre; a cell's text is its blocks' from top to
-    bottom, then left to right. Which cell a block goes to does not depend on other blocks, so a minimum decides.
+    bottom, then left to right, each as ``shown``. Which cell a block goes to does not depend on other blocks, so a minimum decides.
     """
     usable = blocks.where(T.strip(F.col("text")) != "")
     if crowded:
@@ -113,7 +113,7 @@ def fill_cells(cells: DataFrame, blocks: DataFrame, crowded: bool = False) -> Da
     )
     entry = F.struct(F.col("box.y").alias("y"), F.col("box.x").alias("x"), "line_no", "text")
     return owner.groupBy(*PAGE, "cell_no").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["text"]), "\n").alias("text"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(entry)), lambda e: shown(e["text"])), "\n").alias("text"),
         F.count("*").alias("n_blocks"), F.avg("confidence").alias("confidence"),
     )
 

@@ -45,14 +45,16 @@ def pages_from_models(layout: DataFrame, lines: DataFrame, marks: DataFrame) ->
     """
     from ..functions import geometry as G
     from ..functions import text as T
+    from ..operators.base import checkpointed
     from ..operators.spatial import PAGE, annotate, fill_cells, outside
 
     regions = layout.where("label <> 'table'").withColumnRenamed("line_no", "cell_no")
-    filled = fill_cells(regions.select(*PAGE, "cell_no", "box"), lines.withColumn("text", T.squeeze(F.col("text"))))
+    filled = fill_cells(regions.select(*PAGE, "cell_no", "box"), lines, shown=T.squeeze)
     own = regions.join(filled.select(*PAGE, "cell_no", F.col("text").alias("found")), [*PAGE, "cell_no"], "left")
     blocks = own.select(*PAGE, F.col("cell_no").alias("line_no"), F.coalesce("found", T.squeeze(F.col("text"))).alias("text"), "box").where("text <> \'\'")
     free = outside(lines, regions.select(*PAGE, "box"), G.center_inside).select(*PAGE, (F.col("line_no") + 1_000_000).cast("int").alias("line_no"), "text", "box")
-    return annotate(reading.dedupe_blocks(blocks.unionByName(free)), marks)
+    # marks are put on blocks that are then read again, so these are computed once
+    return annotate(checkpointed(reading.dedupe_blocks(blocks.unionByName(free))), marks)
 
 
 def document_results_plan(docs: DataFrame, keywords: DataFrame | None = None, recognised: DataFrame | None = None, cells: DataFrame | None = None, tables_: DataFrame | None = None) -> DataFrame:
