@@ -120,14 +120,15 @@ def merge_artifact_text(blocks: DataFrame, candidates: DataFrame, pages: DataFra
     has = lambda df, name, default: F.col(name) if name in df.columns else default
 
     def entry(number: str, shown: Column, *more: Column) -> Column:
-        said = [shown.alias("text"), T.canonical(F.col("text")).alias("canonical"), T.canonical_key(F.col("text")).alias("key"), T.similarity_units(F.col("text")).alias("units")]
+        said = [shown.alias("text"), F.col("_own.text").alias("canonical"), F.col("_own.said.key").alias("key"), F.col("_own.said.units").alias("units")]
         box = F.col("box").cast(_BOX).alias("box")
         return F.array_sort(F.collect_list(F.struct(F.col(number).cast("int").alias(number), *said, box, F.col("confidence").cast("double").alias("confidence"), *more)))
 
     kind = has(blocks, "block_type", F.lit(None).cast("string")).alias("kind")
     of_page = F.coalesce(has(candidates, "whole_page", F.lit(False)), F.lit(False)).alias("whole_page")
-    texts = candidates.groupBy(*PAGE).agg(entry("ordinal", T.strip(F.coalesce("text", F.lit(""))), F.lit(None).cast("string").alias("kind"), of_page).alias("texts"))
-    own = blocks.join(candidates.select(*PAGE).distinct(), [*PAGE], "left_semi").groupBy(*PAGE).agg(entry("line_no", F.col("text"), kind).alias("blocks"))
+    keyed = lambda rows: rows.withColumn("_own", T.let(T.canonical(F.col("text")), lambda t: F.struct(t.alias("text"), T.key_and_units(t).alias("said"))))
+    texts = keyed(candidates).groupBy(*PAGE).agg(entry("ordinal", T.strip(F.coalesce("text", F.lit(""))), F.lit(None).cast("string").alias("kind"), of_page).alias("texts"))
+    own = keyed(blocks.join(candidates.select(*PAGE).distinct(), [*PAGE], "left_semi")).groupBy(*PAGE).agg(entry("line_no", F.col("text"), kind).alias("blocks"))
     both = texts.join(own, [*PAGE], "left")
     whole = F.array_join(F.transform("blocks", lambda b: b["text"]), "\n")
     if pages is not None:

@@ -15,6 +15,8 @@ from . import patterns
 
 #: Most keywords of one search; the caller's list, not data.
 MOST_KEYWORDS = 10_000
+#: Most keywords that are part of the plan.
+FEW = patterns.PLAIN
 SOURCES = ("table_cell", "paddle_text", "mineru_text", "unknown")
 
 
@@ -56,19 +58,48 @@ def matches(rows: DataFrame, keywords: DataFrame) -> DataFrame:
     A text's key is computed once. Few keywords meet it as an array in its own row; many are found by one automaton in one pass. Either way
     texts are not joined to keywords, and a text without a match is not multiplied.
     """
-    listed = [(r["keyword"], r["key"]) for r in keywords.select("keyword", "key").limit(MOST_KEYWORDS + 1).collect()]
-    if len(listed) > MOST_KEYWORDS:
-        raise ValueError(f"at most {MOST_KEYWORDS} keywords")
-    if len(listed) > patterns.PLAIN:
+    words = listed(keywords)
+    if len(words) > patterns.PLAIN:
         keyed = rows.withColumn("text_key", T.match_key(F.col("text")))
         found = patterns.held(keyed, keywords, word="key", text="text_key").withColumnRenamed("word", "key")
         return found.join(F.broadcast(keywords.select("key", "keyword")), "key").select(*rows.columns, "text_key", "keyword")
-    words = F.array(*[F.struct(F.lit(w).alias("keyword"), F.lit(k).alias("key")) for w, k in listed]).cast("array<struct<keyword: string, key: string>>")
-    found = lambda key: F.struct(key.alias("text_key"), F.transform(F.filter(words, lambda w: key.contains(w["key"])), lambda w: w["keyword"]).alias("keywords"))
+    found = lambda key: F.struct(key.alias("text_key"), _held(key, words).alias("keywords"))
     keyed = rows.withColumn("_found", T.let(T.match_key(F.col("text")), found))
     return keyed.select(*rows.columns, F.col("_found.text_key").alias("text_key"), F.explode("_found.keywords").alias("keyword"))
 
 
+def listed(keywords: DataFrame) -> list[tuple[str, str]]:
+    """(keyword, key) of the caller's list."""
+    words = [(r["keyword"], r["key"]) for r in keywords.select("keyword", "key").limit(MOST_KEYWORDS + 1).collect()]
+    if len(words) > MOST_KEYWORDS:
+        raise ValueError(f"at most {MOST_KEYWORDS} keywords")
+    return words
+
+
+def _held(key: Column, words: list[tuple[str, str]]) -> Column:
+    """The keywords whose keys a text's key holds."""
+    pairs = F.array(*[F.struct(F.lit(w).alias("keyword"), F.lit(k).alias("key")) for w, k in words]).cast("array<struct<keyword: string, key: string>>")
+    return F.transform(F.filter(pairs, lambda w: key.contains(w["key"])), lambda w: w["keyword"])
+
+
+def matches_of_page(blocks: Column, cells: Column, words: list[tuple[str, str]]) -> Column:
+    """The number of ``field_search``'s rows of a page, of arrays of its blocks and cells (struct with box and sought, the match key of a text) and ``FEW`` keywords at most."""
+    if not words:
+        return F.lit(0)
+
+    def found(items: Column) -> Column:
+        keyed = F.transform(F.filter(items, lambda b: b["box"].isNotNull()), lambda b: F.struct(b["sought"].alias("key"), _held(b["sought"], words).alias("words"), b["box"].alias("box")))
+        side = lambda b, n: F.bround(b["box"][n].cast("double"), 1).alias(n)
+        one = lambda b, w: F.struct(w.alias("keyword"), b["key"].alias("key"), *[side(b, n) for n in "xywh"])
+        return F.array_distinct(F.flatten(F.transform(F.filter(keyed, lambda b: F.size(b["words"]) > 0), lambda b: F.transform(b["words"], lambda w: one(b, w)))))
+
+    name = lambda f: F.struct(f["keyword"].alias("keyword"), f["key"].alias("key"))
+    # texts of cells rank before those of blocks
+    rest = lambda of: F.size(of["blocks"]) - F.size(F.filter(of["blocks"], lambda f: F.array_contains(of["names"], name(f))))
+    both = T.let(found(cells), lambda c: F.struct(c.alias("cells"), F.transform(c, name).alias("names"), found(blocks).alias("blocks")))
+    return T.let(both, lambda of: F.size(of["cells"]) + rest(of)).cast("bigint")
+
+
 def distinct_matches(found: DataFrame) -> DataFrame:
     """One of each (keyword, page, rounded box, text); where sources differ on a text, only those of the best rank.
 

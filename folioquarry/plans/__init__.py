@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import extract as X
@@ -62,44 +63,80 @@ def document_results_plan(docs: DataFrame, keywords: DataFrame | None = None, re
 
     Pages are extracted (failed documents keep their error and nothing else), recognised texts are merged into their blocks (C3), all texts are
     corrected (T1), blocks in tables give way to cells (C1), page texts are composed anew in reading order (O2, A11, C4), Markdown is rendered (K11), keywords are located
-    (C5), and a tree of pages with their blocks is put together (P7, K1). ``docs``: doc_id, text; ``recognised`` as candidates of ``merge_artifact_text``; ``cells`` and
+    (C5), and a tree of pages with their blocks is put together (P7, K1). Documents are extracted once. ``docs``: doc_id, text; ``recognised`` as candidates of ``merge_artifact_text``; ``cells`` and
     ``tables_``: cells and boxes of tables by page.
     """
+    from ..functions import geometry as G
     from ..functions import text as T
     from ..operators.spatial import PAGE
 
-    pages = X.extract(docs)
-    good = pages.where("error IS NULL")
-    own = good.select(*PAGE, F.explode("blocks").alias("b")).select(*PAGE, "b.line_no", "b.text", "b.box", F.lit(None).cast("double").alias("confidence"))
-    blocks = own if recognised is None else merge_artifact_text(own, recognised)
-    blocks = blocks.select(*PAGE, "line_no", T.correct(F.col("text")).alias("text"), "box")
+    box = "struct<x: int, y: int, w: int, h: int>"
+    kinds = {"n": "int", "code": "string", "blocks": f"array<struct<line_no: int, text: string, box: {box}>>", "cells": f"array<struct<line_no: int, text: string, box: {box}, shown: boolean>>", "tables": f"array<{box}>"}
+
+    def rows(of: DataFrame, **given: Column) -> DataFrame:
+        return of.select(*PAGE, *[given.get(c, F.lit(None)).cast(kind).alias(c) for c, kind in kinds.items()])
+
+    pages, good = X.extract(docs), F.col("error").isNull()
+    parts = [rows(pages, n=good.cast("int"), code=F.col("error.code"), **({} if recognised is not None else {"blocks": F.col("blocks")}))]
+    if recognised is not None:
+        own = pages.where(good).select(*PAGE, F.explode("blocks").alias("b")).select(*PAGE, "b.line_no", "b.text", "b.box", F.lit(None).cast("double").alias("confidence"))
+        parts.append(rows(merge_artifact_text(own, recognised), blocks=F.array(F.struct("line_no", "text", "box"))))
     if tables_ is not None and cells is not None:
-        fixed = cells.withColumn("text", T.correct(F.col("text")))
-        merged = tables.merge_refined(blocks, tables_, fixed)
-    else:
-        fixed, merged = None, blocks.withColumn("kind", F.lit(0))
-    texts = reading.page_text(reading.reading_order(merged))
-    entry = F.struct("kind", "line_no", "text", "box")
-    held = merged.groupBy(*PAGE).agg(F.array_sort(F.collect_list(entry), lambda a, b: F.when(a["kind"] == b["kind"], a["line_no"] - b["line_no"]).otherwise(a["kind"] - b["kind"])).alias("blocks"))
-    page = good.select(*PAGE).join(texts, [*PAGE], "left").join(held, [*PAGE], "left")
+        shown = F.col("box").isNotNull() & (T.strip(T.correct(F.col("text"))) != "")
+        cell = F.struct((F.col("row_index") * 1000 + F.col("col_index")).alias("line_no"), "text", "box", F.coalesce(shown, F.lit(False)).alias("shown"))
+        parts += [rows(cells, cells=F.array(cell)), rows(tables_, tables=F.array("box"))]
+
+    # all that is known of a page meets in one shuffle; what is made of it is then made in its row
+    whole = [F.flatten(F.collect_list(c)).alias(c) for c in ("blocks", "cells", "tables")]
+    page = reduce(DataFrame.unionByName, parts).groupBy(*PAGE).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.min("code").alias("code"), *whole)
+
+    def keyed(b: Column) -> Column:
+        """A block with the keys of its text, which are computed here and in no later step. What is sought is another key only where corrections may correct again."""
+
+        def told(t: Column, own: Column, k: Column) -> Column:
+            sought = F.when(t.contains("盖率") | t.contains("号"), T.match_key(t)).otherwise(k["key"])
+            return F.struct(b["line_no"].alias("line_no"), b["box"].alias("box"), t.alias("text"), own.alias("own"), k["key"].alias("key"), k["units"].alias("units"), sought.alias("sought"))
+
+        return T.let(T.correct(b["text"]), lambda t: T.let(T.canonical(t), lambda own: T.let(T.key_and_units(own), lambda k: told(t, own, k))))
+
+    page = page.select(*PAGE, "n", "code", "tables", F.transform("blocks", keyed).alias("blocks"), F.transform("cells", lambda c: keyed(c).withField("shown", c["shown"])).alias("cells"))
+    keyed_page = page
+    said = lambda c: keyed_page.select(*PAGE, F.explode(c).alias("b")).select(*PAGE, "b.text", "b.box")
+    fields = ("line_no", "text", "box", "own", "key", "units")
+    entry = lambda kind: lambda b: F.struct(F.lit(kind).alias("kind"), *[b[c].alias(c) for c in fields])
+    inside = lambda b: F.exists("tables", lambda t: F.coalesce(G.center_inside(b["box"], t), F.lit(False)))
+    body = F.when(F.size("tables") > 0, F.filter("blocks", lambda b: ~inside(b))).otherwise(F.col("blocks"))
+    merged = F.array_sort(F.concat(F.transform(body, entry(0)), F.transform(F.filter("cells", lambda c: c["shown"]), entry(2))))
+    listed = search.listed(keywords) if keywords is not None else []
+    few = len(listed) <= search.FEW
+    matched = F.lit(0) if not few else search.matches_of_page(F.col("blocks"), F.col("cells"), listed)
+    page = page.select(*PAGE, "n", "code", matched.alias("matches"), merged.alias("merged"))
+    more = {"own": "string", "key": "string", "units": "array<string>"}
+    places = F.transform("merged", lambda b: F.struct(b["box"]["y"].cast("double").alias("y"), b["box"]["x"].cast("double").alias("x"), *[b[c].alias(c) for c in ("text", *more)]))
+    page = page.select("*", F.array_sort(places).alias("places"))
+    ordered = F.transform(reading.in_lines(F.col("places"), **more), lambda b: F.struct(b["own"].alias("text"), b["key"].alias("key"), b["units"].alias("units")))
+    blocks = F.transform("merged", lambda b: F.struct(*[b[c].alias(c) for c in ("kind", "line_no", "text", "box")]))
+    page = page.select(*PAGE, "n", "code", "matches", F.when(F.size("merged") > 0, blocks).alias("blocks"), ordered.alias("items"))
+    page = page.withColumn("kept", reading.not_redundant(F.col("items")))
+    page = page.select(*PAGE, "n", "code", "matches", "blocks", F.nullif(F.array_join("kept", "\n"), F.lit("")).alias("text"))
+
+    held = F.flatten(F.collect_list(F.array_repeat(F.struct("page_index", "text", "blocks"), F.col("n").cast("int"))))
     tree = page.groupBy("doc_id").agg(
-        F.array_sort(F.collect_list(F.struct("page_index", "text", "blocks")), lambda a, b: a["page_index"] - b["page_index"]).alias("pages"),
-        F.count("*").alias("page_count"), F.coalesce(F.sum(F.when(F.col("blocks").isNotNull(), F.size("blocks"))), F.lit(0)).alias("block_count"),
-        F.coalesce(F.sum(F.size(F.filter("blocks", lambda b: b["kind"] == 2))), F.lit(0)).alias("cell_count"),
+        F.min("code").alias("error_code"), F.array_sort(held).alias("pages"), F.sum("n").alias("page_count"),
+        F.sum(F.col("n") * F.coalesce(F.size("blocks"), F.lit(0))).alias("block_count"),
+        F.sum(F.col("n") * F.coalesce(F.size(F.filter("blocks", lambda b: b["kind"] == 2)), F.lit(0))).alias("cell_count"), F.sum("matches").alias("match_count"),
     )
-    written = reading.markdown(page.select(*PAGE, "text"))
-    if keywords is not None:
-        found = search.field_search(blocks, fixed if fixed is not None else blocks.limit(0).select(*PAGE, "text", "box"), keywords)
-        counts = found.groupBy("doc_id").agg(F.count("*").alias("match_count"))
-    else:
-        counts = docs.select("doc_id").limit(0).withColumn("match_count", F.lit(0).cast("bigint"))
-    failed = pages.where("error IS NOT NULL").groupBy("doc_id").agg(F.min("error.code").alias("error_code"))
-    every = docs.select("doc_id").join(failed, "doc_id", "left").join(tree, "doc_id", "left").join(written, "doc_id", "left").join(counts, "doc_id", "left")
+    every = docs.select("doc_id").join(tree, "doc_id", "left")
+    if not few:
+        found = search.field_search(said("blocks"), said("cells"), keywords).groupBy("doc_id").agg(F.count("*").alias("match_count"))
+        every = every.drop("match_count").join(found, "doc_id", "left")
     ok = F.col("error_code").isNull()
     number = lambda c: F.coalesce(F.when(ok, F.col(c)), F.lit(0)).cast("bigint").alias(c)
+    written = F.when(F.size("pages") > 0, reading.markdown_of(F.transform("pages", lambda p: F.struct(p["page_index"].alias("page_index"), F.coalesce(p["text"], F.lit("")).alias("text")))))
+    pages_ = F.when(F.size("pages") > 0, F.col("pages"))
     return every.select(
-        "doc_id", "error_code", number("page_count"), number("block_count"), number("cell_count"), F.when(ok, F.col("markdown")).alias("markdown"), number("match_count"),
-        F.when(ok, F.to_json(F.struct("doc_id", "page_count", "pages"))).alias("result"),
+        "doc_id", "error_code", number("page_count"), number("block_count"), number("cell_count"), F.when(ok, written).alias("markdown"), number("match_count"),
+        F.when(ok, F.to_json(F.struct("doc_id", F.nullif("page_count", F.lit(0)).alias("page_count"), pages_.alias("pages")))).alias("result"),
     )
 
 

@@ -77,7 +77,7 @@ def whole_documents(spark, sf_dir):
     """C11: all steps of a single-document run, for all documents at once."""
     docs = L.read_documents(spark, sf_dir).select("doc_id", "text")
     found = document_results_plan(docs, keyword_table(spark, list(_PROBES)), cells=L.cells(docs), tables_=L.tables(docs))
-    pages = F.try_variant_get(F.parse_json("result"), "$.pages", "array<variant>")
+    pages = F.from_json("result", "pages array<struct<page_index: int>>")["pages"]
     return found.select("doc_id", "error_code", "page_count", "block_count", "cell_count", "match_count", F.char_length("markdown").alias("markdown_chars"), F.size(pages).alias("pages_in_result"))
 
 
