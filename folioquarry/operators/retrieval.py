@@ -27,6 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import text as T
 from .base import checkpointed, in_batches
 from .spatial import PAGE
 
@@ -51,13 +52,20 @@ def terms_of(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
 
 
+def _counted(terms: Column) -> Column:
+    """struct<term, tf> of each distinct term of a page: counted in its sorted array, so that no aggregate holds, or spills, the words of all pages."""
+    starts = lambda s: F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
+    runs = lambda s, p: F.transform(p, lambda i, j: F.struct(F.get(s, i).alias("term"), (F.coalesce(F.get(p, j + 1), F.size(s)) - i).alias("tf")))
+    return T.let(F.sort_array(terms), lambda s: T.let(starts(s), lambda p: runs(s, p)))
+
+
 def build(pages: DataFrame) -> Index:
     """The index of pages (doc_id, page_index, text)."""
     split = pages.select(*PAGE, terms_of(F.col("text")).alias("terms")).where(F.size("terms") > 0).withColumn("n", F.size("terms"))
     n_pages, n_words = split.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     mean = n_words / n_pages if n_pages else 1.0
     blocks = max(1, math.ceil(n_pages / BLOCK))
-    counted = split.select(*PAGE, "n", F.explode("terms").alias("term")).groupBy(*PAGE, "n", "term").agg(F.count("*").alias("tf"))
+    counted = split.select(*PAGE, "n", F.explode(_counted(F.col("terms"))).alias("t")).select(*PAGE, "n", "t.term", "t.tf")
     impact = F.col("tf") * (SATURATION + 1) / (F.col("tf") + SATURATION * (1 - LENGTH + LENGTH * F.col("n") / mean))
     postings = counted.select("term", F.pmod(F.xxhash64(*PAGE), F.lit(blocks)).cast("int").alias("block"), *PAGE, impact.alias("impact"))
     maxima = postings.groupBy("term", "block").agg(F.max("impact").alias("top"))
