@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import scratch, small, written
+from .common import scratch, written, written_small
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -33,11 +33,11 @@ def _stars(edges: DataFrame) -> DataFrame:
     while True:
         # large star: greater neighbours to the least neighbour
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
-        least = small(written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))))
+        least = written_small(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
         large = both.where("v > u").join(least, "u").select(F.col("m").alias("a"), F.col("v").alias("b")).distinct()
         large = written(large)
         # small star: lesser neighbours and the node itself to the least neighbour
-        least = small(written(large.groupBy(F.col("b").alias("u")).agg(F.min("a").alias("m"))))
+        least = written_small(large.groupBy(F.col("b").alias("u")).agg(F.min("a").alias("m")))
         tied = large.select(F.col("b").alias("u"), F.col("a").alias("v")).join(least, "u")
         edges = written(tied.select(F.col("m").alias("a"), F.col("v").alias("b")).union(least.select("m", "u")).where("a <> b").distinct())
         # done when no node is both a head and a member, nor a member twice: all are stars

@@ -40,7 +40,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import mapped, scratch, small, written
+from .common import mapped, scratch, small, written, written_small
 from .components import components
 from .wordhash import byte_rows, mix, shingle_hashes, word_hashes
 
@@ -267,9 +267,9 @@ def _components(docs: DataFrame, words: int, percent: int) -> DataFrame:
     sizes = written(mapped(texts, _sizes(words), "doc_id bigint, text_hash bigint, n bigint, hi bigint, lo bigint"))
     # equal sets are one node, the least id's; the others are not dealt
     equal = sizes.where("n > 0 and doc_id is not null").groupBy("n", "hi", "lo").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
-    equal = small(written(equal.where("copies > 1").drop("copies")))
+    equal = written_small(equal.where("copies > 1").drop("copies"))
     nodes = written(sizes.join(equal, ["n", "hi", "lo"], "left").select("doc_id", "text_hash", "n", "first"))
-    copies = small(nodes.where("first <> doc_id").select("doc_id", "text_hash").distinct(), BROADCAST_IDS)
+    copies = written_small(nodes.where("first <> doc_id").select("doc_id", "text_hash").distinct(), BROADCAST_IDS)
     own = texts.where("doc_id is not null").join(copies, ["doc_id", "text_hash"], "left_anti").select("doc_id", "text")
     dealt = mapped(own, _parts(words, percent), "part bigint, doc_id bigint, tied bigint")
     # rows that are tied already are spread, as nothing of a part has to meet there
@@ -282,7 +282,7 @@ def _components(docs: DataFrame, words: int, percent: int) -> DataFrame:
     met = written(free.unionByName(at.drop("near")).unionByName(heads))
     # a document's group is the least head it met; groups beyond BLOCK are cut by hash
     home = written(met.groupBy("doc_id").agg(F.min("head").alias("home")))
-    count = small(written(home.groupBy("home").count().where(F.col("count") > BLOCK)))
+    count = written_small(home.groupBy("home").count().where(F.col("count") > BLOCK))
     block = F.coalesce(F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("count") / BLOCK)), F.lit(0)).cast("int")
     home = written(home.join(count, "home", "left").select("doc_id", "home", block.alias("block")))
     grouped = own.join(small(home.select("doc_id"), BROADCAST_IDS), "doc_id", "left_semi")
@@ -294,7 +294,7 @@ def _components(docs: DataFrame, words: int, percent: int) -> DataFrame:
     def verified(queries: DataFrame) -> DataFrame:
         """Links of the queries (doc_id, home, block) to members of their blocks; a block of many queries is replicated for each ``ASKERS`` of them."""
         asking = written(queries.groupBy("home", "block").agg(F.ceil(F.count("*") / ASKERS).cast("int").alias("copies")))
-        many = small(written(asking.where("copies > 1")))
+        many = written_small(asking.where("copies > 1"))
         copy = F.pmod(F.xxhash64("doc_id"), F.coalesce("copies", F.lit(1))).cast("int")
         spread = queries.join(many, ["home", "block"], "left").select("doc_id", "home", "block", copy.alias("copy"), F.lit(1).alias("query"))
         members = home.join(asking, ["home", "block"]).select("doc_id", "home", "block", F.explode(F.expr("sequence(0, copies - 1)")).alias("copy"), F.lit(0).alias("query"))
@@ -329,9 +329,9 @@ def _components(docs: DataFrame, words: int, percent: int) -> DataFrame:
         opened = placed.where(F.col("block").between(begin, begin + width - 1))
         asking = asked.join(placed.select("doc_id", "order", "component"), "doc_id").alias("q")
         # first by what a group as a whole has to offer, which leaves few queries where most are connected; then block by block
-        groups_ = small(written(two_greatest(opened, "home"))).alias("g")
+        groups_ = written_small(two_greatest(opened, "home")).alias("g")
         some = written(asking.join(groups_, (F.col("q.home") == F.col("g.home")) & comes_before("g")).select("q.*")).alias("q")
-        queries = some.join(small(written(two_greatest(opened, "home", "block"))).alias("o"), (F.col("q.home") == F.col("o.home")) & comes_before("o"))
+        queries = some.join(written_small(two_greatest(opened, "home", "block")).alias("o"), (F.col("q.home") == F.col("o.home")) & comes_before("o"))
         links = written(links.unionByName(verified(written(queries.select("q.doc_id", "q.home", "o.block")))))
         begin, width = begin + width, width * 16
     edges = links.select("a", "b").union(nodes.where("first <> doc_id").select("first", "doc_id"))
@@ -347,5 +347,5 @@ def first_of_components(docs: DataFrame, words: int = 5, percent: int = 80) -> D
     Rows that share the least id all stay, equal ones too; all columns are kept, whatever their names; texts count whole; an empty table gives no rows.
     """
     columns = docs.columns
-    others = small(written(jaccard_components(docs, words, percent).where("component_id <> doc_id").select("doc_id").distinct()))
+    others = written_small(jaccard_components(docs, words, percent).where("component_id <> doc_id").select("doc_id").distinct())
     return docs.join(others, "doc_id", "left_anti").select(*columns)

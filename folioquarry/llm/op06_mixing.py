@@ -27,7 +27,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, scratch, small, written
+from .common import WORD, scratch, small, written, written_small
 
 BITS, LEVELS = 12, 4
 WEIGHTS = (3, 1, 2)
@@ -56,11 +56,11 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = 1.5, max_re
 
 
 def edges(sized: DataFrame, open_: DataFrame, key: str) -> DataFrame:
-    """(source, rest, edge, base, to, n): of each open source (source, rest) the key at which the running size passes the rest, the size before and with it, and its rows."""
+    """(source, rest, edge, base, to, n), marked for broadcast if small: of each open source (source, rest) the key at which the running size passes the rest, the size before and with it, and its rows."""
     state = open_.select("source", "rest", F.lit(0).cast("long").alias("prefix"), F.lit(0).cast("long").alias("base"))
     for level in range(1, LEVELS + 1):
         shift = BITS * (LEVELS - level)
-        state = small(state).alias("s")
+        state = (small(state) if level == 1 else state).alias("s")
         inside = sized.alias("d").join(
             state,
             F.col("d.source").eqNullSafe(F.col("s.source")) & (F.shiftright(F.col(f"d.{key}"), shift + BITS) == F.col("s.prefix")),
@@ -71,7 +71,7 @@ def edges(sized: DataFrame, open_: DataFrame, key: str) -> DataFrame:
         running = Window.partitionBy("source").orderBy("bucket")
         histogram = histogram.withColumn("to", F.col("base") + F.sum("tokens").over(running))
         boundary = F.min(F.when(F.col("to") > F.col("rest"), F.struct("bucket", "to", "tokens", "rest", "n")))
-        state = written(histogram.groupBy("source").agg(boundary.alias("b")).where("b is not null").select(
+        state = written_small(histogram.groupBy("source").agg(boundary.alias("b")).where("b is not null").select(
             "source", F.col("b.rest").alias("rest"), F.col("b.bucket").alias("prefix"),
             (F.col("b.to") - F.col("b.tokens")).alias("base"), F.col("b.to").alias("to"), F.col("b.n").alias("n"),
         ))
@@ -106,7 +106,7 @@ def content_of(docs: DataFrame) -> Column:
 
 def at_edge(rows: DataFrame, found: DataFrame, key: str) -> DataFrame:
     """The rows at the edges of several rows."""
-    several = small(found.where("n > 1").select(F.col("source").alias("_source"), F.col("edge").alias("_edge")))
+    several = found.where("n > 1").select(F.col("source").alias("_source"), F.col("edge").alias("_edge"))
     return rows.join(several, F.col("source").eqNullSafe(F.col("_source")) & (F.col(key) == F.col("_edge"))).drop("_source", "_edge")
 
 
@@ -130,9 +130,9 @@ def source_plan(sized: DataFrame, weights=WEIGHTS, share: float = 1.5, max_repea
         if i:
             rows, open_ = at_edge(rows, found, keys[i - 1]), _left(found)
         found = edges(rows, open_, key)
-        known = small(found.select("source", F.col("edge").alias(f"edge_{key}"), whole_edge().alias(f"whole_{key}"))).alias("b")
+        known = found.select("source", F.col("edge").alias(f"edge_{key}"), whole_edge().alias(f"whole_{key}")).alias("b")
         out = out.alias("a").join(known, F.col("a.source").eqNullSafe(F.col("b.source")), "left").select("a.*", f"b.edge_{key}", f"b.whole_{key}")
-    return written(out), found if found is not None and not found.where("n > 1").isEmpty() else None
+    return written_small(out), found if found is not None and not found.where("n > 1").isEmpty() else None
 
 
 def times_taken(row: str, keys: tuple[str, ...] = ("h", "g", "t")) -> Column:
@@ -150,7 +150,7 @@ def mix_plan(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, max_repeats:
     content = F.shiftrightunsigned(F.xxhash64("text"), 64 - BITS * LEVELS)
     sized = written(docs.select("doc_id", "source", size_of(F.col("text")).alias("size"), hash_of(F.col("doc_id")).alias("h"), content.alias("g"), drawn().alias("t")))
     per_source, _ = source_plan(sized, weights, share, max_repeats)
-    return sized.alias("d").join(small(per_source).alias("p"), F.col("d.source").eqNullSafe(F.col("p.source"))).select(
+    return sized.alias("d").join(per_source.alias("p"), F.col("d.source").eqNullSafe(F.col("p.source"))).select(
         "d.doc_id", "d.source", "d.size", "d.h", "source_size", "target", times_taken("d").alias("times")
     )
 
@@ -169,19 +169,19 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, max_repeats: int =
     with scratch(docs.sparkSession):
         sized = written(keyed.drop("row"))
         plan, several = source_plan(sized, weights, share, max_repeats, keys)
-        per_source = written(plan, keep=True)
+        per_source = written_small(plan, keep=True)
         if several is not None:
             only = per_source.join(several.where("n > 1").select(F.col("source").alias("_s"), F.col("edge").alias("_e")), F.col("source").eqNullSafe(F.col("_s")) & (F.col("edge_g") == F.col("_e")))
-            only = small(written(only.select(F.col("source").alias("_source"), "edge_h", "edge_g", "copies"), keep=True))
+            only = written_small(only.select(F.col("source").alias("_source"), "edge_h", "edge_g", "copies"), keep=True)
             at = F.col("source").eqNullSafe(F.col("_source")) & (F.col("h") == F.col("edge_h")) & (F.col("g") == F.col("edge_g"))
             equal = written(keyed.join(only, at).select("row", "source", "size", "copies", drawn().alias("t")), keep=True)
             last = edges(equal, _left(several), "t")
-            found = written(last.select(F.col("source").alias("_source"), F.col("edge").alias("_edge"), whole_edge().alias("_whole")), keep=True)
-    joined = keyed.alias("d").join(small(per_source).alias("p"), F.col("d.source").eqNullSafe(F.col("p.source")))
+            found = written_small(last.select(F.col("source").alias("_source"), F.col("edge").alias("_edge"), whole_edge().alias("_whole")), keep=True)
+    joined = keyed.alias("d").join(per_source.alias("p"), F.col("d.source").eqNullSafe(F.col("p.source")))
     rows = joined.select("d.row", F.col("d.source").alias("source"), F.col("d.h").alias("h"), F.col("d.g").alias("g"), times_taken("d", keys).alias("times"))
     if equal is not None:
         rows = rows.join(only, at, "left_anti").select("row", "times")
         more = (F.col("t") < F.col("_edge")) | ((F.col("t") == F.col("_edge")) & F.col("_whole"))
-        rest = equal.join(small(found), F.col("source").eqNullSafe(F.col("_source")), "left").select("row", (F.col("copies") + F.coalesce(more.cast("long"), F.lit(0))).alias("times"))
+        rest = equal.join(found, F.col("source").eqNullSafe(F.col("_source")), "left").select("row", (F.col("copies") + F.coalesce(more.cast("long"), F.lit(0))).alias("times"))
         rows = rows.unionByName(rest)
     return rows.where("times > 0").select(F.explode(F.array_repeat("row", F.col("times").cast("int"))).alias("row")).select("row.*")

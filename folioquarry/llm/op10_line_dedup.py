@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import mapped, scratch, small, written
+from .common import mapped, scratch, written, written_small
 from .wordhash import SEPARATOR, blocks, byte_rows, runs, span_hashes
 
 MIN_WORDS = 50
@@ -173,13 +173,13 @@ def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         both = of_level.join(level.alias("x"), same("w", "x", *KEY) & (F.col("x.seq") == F.col("w.seq"))).join(
             level.alias("y"), same("w", "y", *KEY) & (F.col("y.seq") == F.col("w.seq") + F.col("w.n") - 2**k)
         )
-        place = place.unionByName(both.select("w.doc_id", "w.text_hash", "w.seq", "w.first", "w.n", "w.to", F.col("x.rank").alias("a"), F.col("y.rank").alias("b")))
+        # each level is written by itself: one query over all levels would be a plan that grows with them, planned anew whenever one of its stages ends
+        place = place.unionByName(written(both.select("w.doc_id", "w.text_hash", "w.seq", "w.first", "w.n", "w.to", F.col("x.rank").alias("a"), F.col("y.rank").alias("b"))))
         k += 1
-    place = written(place) if k > 1 else place
     at = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash", "seq", "to")
     interval = place.groupBy("n", "a", "b").agg(F.min(at).alias("head"), F.count("*").alias("places")).where("places > 1")
     # written, so that the join deals both sides anew and a hot interval's places can be split
-    interval = small(written(interval))
+    interval = written_small(interval)
     later = place.alias("p").join(interval.alias("i"), ["n", "a", "b"]).where(at != F.col("head"))
     here = F.col("p.doc_id").eqNullSafe(F.col("head.doc_id")) & (F.col("p.text_hash") == F.col("head.text_hash"))
     start = F.when(here, F.greatest(F.col("first"), F.col("head.to"))).otherwise(F.col("first"))
@@ -219,8 +219,7 @@ def _edited(at: int):
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with later copies of repeated line runs deleted from ``text``; ``removed_lines`` has their number."""
     with scratch(docs.sparkSession):
-        cuts = written(deletions(docs, min_words), keep=True)
-    cuts = small(cuts)
+        cuts = written_small(deletions(docs, min_words), keep=True)
     columns = [c for c in docs.columns if c != "removed_lines"]
     # the row travels as one struct, so its columns cannot clash with the working ones
     keyed = docs.select(F.struct(*columns).alias("row"), F.xxhash64("text").alias("text_hash")).alias("d")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import corpus_pipeline
 from pyspark.sql import functions as F
 
@@ -46,6 +48,40 @@ def test_run_equals_stages(spark, sf_dir):
     assert sorted(r[0] for r in ran.select(key).collect()) == sorted(r[0] for r in docs.select(key).collect())
 
 
+def test_small_tables_are_counted_as_they_are_written(spark):
+    """A table that may be broadcast costs one job, its write, and is marked only within its bounds; an empty table is small."""
+
+    def made(df, *bounds):
+        group = f"small-{uuid.uuid4().hex}"
+        spark.sparkContext.setJobGroup(group, group)
+        out = common.written_small(df, *bounds)
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+        return out, jobs, "ResolvedHint" in out._jdf.queryExecution().analyzed().toString()
+
+    rows = spark.range(100).select("id", F.repeat(F.lit("x"), 50).alias("text"), F.array(F.struct(F.lit("y").alias("z"))).alias("list"))
+    out, jobs, marked = made(rows)
+    assert jobs == 1 and marked and sorted(map(tuple, out.collect())) == sorted(map(tuple, rows.collect()))
+    assert [made(rows, *bounds)[2] for bounds in ((100,), (99,), (100, 100 * 50))] == [True, False, False]
+    out, _, marked = made(rows.where("id < 0"))
+    assert marked and out.count() == 0 and out.columns == rows.columns
+
+
+def test_a_level_of_lines_is_a_query_of_its_own(spark, monkeypatch):
+    """No plan of line dedup grows with the levels of doubling: with twice as many of them, the largest query written has no more joins."""
+
+    def most_joins(levels: int) -> int:
+        text = "\n".join(f"w{i}" for i in range(2**levels + 2))
+        docs = spark.createDataFrame([(1, text), (2, text)], "doc_id long, text string")
+        plans = []
+        real = op10_line_dedup.written
+        monkeypatch.setattr(op10_line_dedup, "written", lambda df, *a, **k: (plans.append(df._jdf.queryExecution().analyzed().toString().count("Join ")), real(df, *a, **k))[1])
+        op10_line_dedup.deletions(docs, 2**levels)
+        monkeypatch.setattr(op10_line_dedup, "written", real)
+        return max(plans)
+
+    assert most_joins(4) == most_joins(2)
+
+
 def test_pipeline_by_force(spark, tmp_path):
     """Every row of the pipeline, by plain Python versions of its stages."""
     import random
